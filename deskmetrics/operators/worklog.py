@@ -97,9 +97,9 @@ def elect_time(df: DataFrame, drop_outliers: bool = True, exclude: Sequence[str]
                 "tempo_via_glpi": X.reset_outlier("tempo_via_glpi"),
             }
         )
-    df = df.withColumn(
-        "tempo_eleito", X.seconds_to_days(X.elected_time("tempo_via_plugin", "tempo_via_glpi"))
-    )
+    secs = X.elected_time("tempo_via_plugin", "tempo_via_glpi")
+    # The exact integer seconds stay (hidden) for the summary's sums.
+    df = df.withColumns({"tempo_eleito": X.seconds_to_days(secs), "__eleito_secs": secs})
     if exclude:
         df = df.filter(not_excluded("tecnico_das_tarefas", exclude))
     return df
@@ -107,15 +107,23 @@ def elect_time(df: DataFrame, drop_outliers: bool = True, exclude: Sequence[str]
 
 def worklog_summary(detail: DataFrame, labels: bool = True) -> DataFrame:
     """R05 (X07 A11 C04): per task technician and month of the end day, distinct
-    tickets, total time (0 when every value is null) and mean time over detail rows."""
+    tickets, total time (0 when every value is null) and mean time over detail rows.
+
+    Sums and means are taken over the exact integer seconds when the detail still has
+    them (``__eleito_secs``), then turned into days."""
+    if "__eleito_secs" in detail.columns:
+        total = F.sum("__eleito_secs") / F.lit(X.SECONDS_PER_DAY)
+        mean = F.avg("__eleito_secs") / F.lit(X.SECONDS_PER_DAY)
+    else:
+        total, mean = F.sum("tempo_eleito"), F.avg("tempo_eleito")
     out = (
         detail.withColumn("data_mes", X.month_key("ultima_modificacao"))
         .filter(F.col("tecnico_das_tarefas").isNotNull() & F.col("data_mes").isNotNull())
         .groupBy("tecnico_das_tarefas", "data_mes")
         .agg(
             F.count_distinct("id").alias("id"),
-            F.coalesce(F.sum("tempo_eleito"), F.lit(0.0)).alias("tempo_eleito"),
-            F.avg("tempo_eleito").alias("tempo_eleito2"),
+            F.coalesce(total, F.lit(0.0)).alias("tempo_eleito"),
+            mean.alias("tempo_eleito2"),
         )
     )
     if labels:

@@ -96,3 +96,374 @@ GROUP BY nome_tecnico, date2
 def technician_month_summary(t: Tables) -> DataFrame:
     """R02 with weights {solucao: 1}."""
     return R.technician_month_summary(t, PERIOD)
+
+
+# -- R01 graded ticket detail ----------------------------------------------------------
+
+DETAIL_DOUBLES = [
+    "tempo_medio_fechamento",
+    "tempo_medio_solucao",
+    "tempo_fechamento",
+    "tempo_solucao",
+    "nota_final_tempos",
+    "delta_tempo_solucao",
+    "diferenca_media_vs_gasto_solucao",
+    "nota_final",
+]
+DETAIL_BODY = f"""
+SELECT id, CAST(date AS DATE) AS date, {O.type_label_sql('type_code')} AS type, nome_categoria, peso, origem,
+       nome_tecnico, tempo_medio_fechamento, tempo_medio_solucao, tempo_fechamento, tempo_solucao, atraso,
+       nota_final_tempos, delta_tempo_solucao, diferenca_media_vs_gasto_solucao, nota_final
+FROM final
+"""
+
+
+@register(
+    "graded_tickets",
+    O.with_fixtures(rounded_sql(DETAIL_BODY, DETAIL_DOUBLES), O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)])),
+)
+def graded_tickets(t: Tables) -> DataFrame:
+    """R01, clean detail (allow-list), weights {solucao: 1}."""
+    return R.graded_tickets(t, PERIOD)
+
+
+def _full_body(metrics: list[str]) -> str:
+    per_metric = []
+    for i, m in enumerate(metrics):
+        per_metric.append(f"delta_tempo_{m}")
+        if i == 0:
+            per_metric.append("date2")
+        per_metric += [
+            f"max_mes_{m}",
+            f"min_mes_{m}",
+            f"delta_tempo_{m}_normalized",
+            f"diferenca_media_vs_gasto_{m}",
+        ]
+    return f"""
+SELECT id, CAST(date AS DATE) AS date, status, {O.type_label_sql('type_code')} AS type, itilcategories_id,
+       requesttypes_id, {O.clock_sql('close_secs')} AS close_delay_stat, {O.clock_sql('solve_secs')} AS solve_delay_stat,
+       CAST(solvedate AS DATE) AS solvedate, CAST(time_to_resolve AS DATE) AS time_to_resolve,
+       nome_categoria, peso, origem, nome_tecnico, tempo_medio_fechamento, tempo_medio_solucao,
+       tempo_fechamento, tempo_solucao, atraso, nota_final_tempos, {', '.join(per_metric)},
+       qtde_chamados, bonus, nota_final
+FROM final
+"""
+
+
+def _full_doubles(metrics: list[str]) -> list[str]:
+    out = ["tempo_medio_fechamento", "tempo_medio_solucao", "tempo_fechamento", "tempo_solucao", "nota_final_tempos"]
+    for m in metrics:
+        out += [f"delta_tempo_{m}", f"max_mes_{m}", f"min_mes_{m}", f"delta_tempo_{m}_normalized", f"diferenca_media_vs_gasto_{m}"]
+    return out + ["bonus", "nota_final"]
+
+
+@register(
+    "graded_tickets_full",
+    O.with_fixtures(
+        rounded_sql(_full_body(["solucao"]), _full_doubles(["solucao"])),
+        O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)]),
+    ),
+)
+def graded_tickets_full(t: Tables) -> DataFrame:
+    """R01 keeping every column (relatorio_limpo=False), weights {solucao: 1}."""
+    return R.graded_tickets_full(t, PERIOD)
+
+
+@register(
+    "graded_tickets_two_metrics",
+    O.with_fixtures(
+        rounded_sql(_full_body(["fechamento", "solucao"]), _full_doubles(["fechamento", "solucao"])),
+        O.ASSIGNED + ",\n" + O.derived_cte([("fechamento", 2), ("solucao", 1)]),
+    ),
+)
+def graded_tickets_two_metrics(t: Tables) -> DataFrame:
+    """Graded detail with weights {fechamento: 2, solucao: 1}."""
+    return R.graded_tickets_full(t, PERIOD, TWO_METRICS)
+
+
+SUMMARY_TWO_BODY = """
+SELECT nome_tecnico AS "Técnico", date2 AS "Data",
+       count(DISTINCT id) AS "Total de chamados",
+       CAST(count(DISTINCT CASE WHEN atraso THEN id END) AS BIGINT) AS "Total de atrasos",
+       avg(close_secs) / 86400.0 AS tempo_fechamento,
+       avg(diferenca_media_vs_gasto_fechamento) AS diferenca_media_vs_gasto_fechamento,
+       avg(solve_secs) / 86400.0 AS "Tempo de solução médio",
+       round_even(avg(diferenca_media_vs_gasto_solucao), 4) AS "Diferença de tempo percentual em relação a média anual",
+       avg(nota_final) AS "Nota final"
+FROM final
+WHERE nome_tecnico IS NOT NULL AND date2 IS NOT NULL
+GROUP BY nome_tecnico, date2
+"""
+
+
+@register(
+    "summary_two_metrics",
+    O.with_fixtures(
+        rounded_sql(
+            SUMMARY_TWO_BODY,
+            [
+                "tempo_fechamento",
+                "diferenca_media_vs_gasto_fechamento",
+                "Tempo de solução médio",
+                "Diferença de tempo percentual em relação a média anual",
+                "Nota final",
+            ],
+        ),
+        O.ASSIGNED + ",\n" + O.derived_cte([("fechamento", 2), ("solucao", 1)]),
+    ),
+)
+def summary_two_metrics(t: Tables) -> DataFrame:
+    """R02 with weights {fechamento: 2, solucao: 1}: close columns included."""
+    return R.technician_month_summary(t, PERIOD, TWO_METRICS)
+
+
+# -- R04/R05 worklog -------------------------------------------------------------------
+
+WORKLOG_CTE = f"""
+wl_grouped AS (
+  SELECT t.id,
+         min(CAST(tt.date AS DATE)) AS data_tarefa,
+         CAST(att.actual_end AS DATE) AS ultima_modificacao,
+         min(u2.firstname) AS tecnico_do_chamado,
+         min(u.firstname) AS tecnico_das_tarefas,
+         min(ic.name) AS categoria_chamado,
+         CAST(sum(att.actual_actiontime) AS BIGINT) AS tempo_via_plugin,
+         CAST(sum(tt.actiontime) AS BIGINT) AS tempo_via_glpi
+  FROM tickets t
+  LEFT JOIN tasks tt ON t.id = tt.tickets_id
+  LEFT JOIN categories ic ON t.itilcategories_id = ic.id
+  LEFT JOIN tickets_users tu ON t.id = tu.tickets_id AND tu.type = 2
+  LEFT JOIN users u2 ON u2.id = tu.users_id
+  LEFT JOIN users u ON u.id = tt.users_id_tech
+  LEFT JOIN timers att ON tt.id = att.tasks_id
+  WHERE (CAST(att.actual_begin AS DATE) BETWEEN {O.INITIAL} AND {O.FINAL})
+    AND (CAST(att.actual_end AS DATE) BETWEEN {O.INITIAL} AND {O.FINAL})
+    AND tt.users_id_tech <> 0
+  GROUP BY t.id, tt.users_id_tech, CAST(att.actual_end AS DATE)
+),
+wl_reset AS (
+  SELECT id, data_tarefa, ultima_modificacao, tecnico_do_chamado, tecnico_das_tarefas, categoria_chamado,
+         CASE WHEN tempo_via_plugin > 1000000000 THEN 0 ELSE tempo_via_plugin END AS tempo_via_plugin,
+         CASE WHEN tempo_via_glpi > 1000000000 THEN 0 ELSE tempo_via_glpi END AS tempo_via_glpi
+  FROM wl_grouped
+),
+worklog AS (
+  SELECT *, coalesce(nullif(tempo_via_plugin, 0), tempo_via_glpi) AS eleito_secs,
+         coalesce(nullif(tempo_via_plugin, 0), tempo_via_glpi) / 86400.0 AS tempo_eleito
+  FROM wl_reset
+)"""
+
+
+@register(
+    "worklog_elected",
+    O.with_fixtures(
+        rounded_sql(
+            "SELECT id, data_tarefa, ultima_modificacao, tecnico_do_chamado, tecnico_das_tarefas, categoria_chamado, "
+            "tempo_via_plugin, tempo_via_glpi, tempo_eleito FROM worklog",
+            ["tempo_eleito"],
+        ),
+        WORKLOG_CTE,
+    ),
+)
+def worklog_elected(t: Tables) -> DataFrame:
+    """Worklog detail with outliers reset and elected time."""
+    return R.worklog_report(t, PERIOD)
+
+
+@register(
+    "worklog_detail",
+    O.with_fixtures("SELECT * FROM wl_grouped", WORKLOG_CTE),
+)
+def worklog_detail(t: Tables) -> DataFrame:
+    """R04 SQL part (A04 A05 J11 J12 F02 F04): grouped worklog before the pandas steps."""
+    from ..operators.worklog import worklog_grouped
+
+    return worklog_grouped(t, PERIOD.initial, PERIOD.final)
+
+
+@register(
+    "worklog_month_summary",
+    O.with_fixtures(
+        rounded_sql(
+            """SELECT tecnico_das_tarefas AS "Técnico", strftime(ultima_modificacao, '%Y-%m') AS "Data",
+                      count(DISTINCT id) AS "Número de chamados",
+                      coalesce(CAST(sum(eleito_secs) AS BIGINT) / 86400.0, 0.0) AS "Total tempo trabalhado GLPI",
+                      avg(eleito_secs) / 86400.0 AS "Média tempo trabalhado GLPI (por chamado)"
+               FROM worklog WHERE tecnico_das_tarefas IS NOT NULL
+               GROUP BY 1, 2""",
+            ["Total tempo trabalhado GLPI", "Média tempo trabalhado GLPI (por chamado)"],
+        ),
+        WORKLOG_CTE,
+    ),
+)
+def worklog_month_summary(t: Tables) -> DataFrame:
+    """R05."""
+    return R.worklog_month_summary(t, PERIOD)
+
+
+# -- R08 account growth ----------------------------------------------------------------
+
+ACCOUNTS_BODY = """
+SELECT CAST(u1.date_creation AS DATE) AS data,
+       count(DISTINCT u1.id) AS novas_contas,
+       count(DISTINCT u2.id) AS total_contas
+FROM accounts u1
+INNER JOIN accounts u2 ON u1.id >= u2.id
+WHERE u1.is_deleted = 0 AND u2.is_deleted = 0 AND u1.is_active = 1 AND u2.is_active = 1
+  AND u1.date_creation IS NOT NULL AND u2.date_creation IS NOT NULL
+GROUP BY CAST(u1.date_creation AS DATE)
+"""
+
+
+@register("account_growth", O.with_fixtures(ACCOUNTS_BODY))
+def account_growth(t: Tables) -> DataFrame:
+    """R08 by prefix rank (checked against the self-join)."""
+    return R.account_growth_report(t)
+
+
+# -- R06/R07/R09 changes, problems, combined ------------------------------------------
+
+
+def _change_sql(table: str, bridge: str, key: str, tag: str) -> str:
+    return f"""
+SELECT c.id, c.date, c.itilcategories_id, c.close_delay_stat, c.solve_delay_stat, c.solvedate,
+       u.firstname AS nome_tecnico, ic.name AS nome_categoria, p.pesofield AS peso, '{tag}' AS type
+FROM {table} c
+LEFT JOIN {bridge} cu ON c.id = cu.{key} AND cu.type = 2
+LEFT JOIN users u ON cu.users_id = u.id
+LEFT JOIN categories ic ON c.itilcategories_id = ic.id
+LEFT JOIN category_weights p ON c.itilcategories_id = p.items_id
+WHERE (CAST(c.date AS DATE) BETWEEN {O.INITIAL} AND {O.FINAL}) AND (c.status = 5 OR c.status = 6)
+"""
+
+
+CHANGES_SQL = _change_sql("changes", "changes_users", "changes_id", "Mudança")
+PROBLEMS_SQL = _change_sql("problems", "problems_users", "problems_id", "Problema")
+
+
+@register("changes_report", O.with_fixtures(CHANGES_SQL))
+def changes_report(t: Tables) -> DataFrame:
+    """R06."""
+    return R.changes_report(t, PERIOD)
+
+
+@register("problems_report", O.with_fixtures(PROBLEMS_SQL))
+def problems_report(t: Tables) -> DataFrame:
+    """R07."""
+    return R.problems_report(t, PERIOD)
+
+
+COMBINED_BODY = f"""
+SELECT id, CAST(date AS DATE) AS date, {O.type_label_sql('type_code')} AS type, itilcategories_id,
+       {O.clock_sql('close_secs')} AS close_delay_stat, {O.clock_sql('solve_secs')} AS solve_delay_stat,
+       CAST(solvedate AS DATE) AS solvedate, nome_categoria, peso, nome_tecnico
+FROM derived
+UNION ALL
+SELECT id, CAST(date AS DATE), type, itilcategories_id, CAST(close_delay_stat AS VARCHAR),
+       CAST(solve_delay_stat AS VARCHAR), CAST(solvedate AS DATE), nome_categoria, peso, nome_tecnico
+FROM ({CHANGES_SQL}) ch
+UNION ALL
+SELECT id, CAST(date AS DATE), type, itilcategories_id, CAST(close_delay_stat AS VARCHAR),
+       CAST(solve_delay_stat AS VARCHAR), CAST(solvedate AS DATE), nome_categoria, peso, nome_tecnico
+FROM ({PROBLEMS_SQL}) pr
+"""
+
+
+@register(
+    "combined_report",
+    O.with_fixtures(COMBINED_BODY, O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)])),
+)
+def combined_report(t: Tables) -> DataFrame:
+    """Tickets (common allow-list) + changes + problems."""
+    return R.combined_report(t, PERIOD)
+
+
+# -- R10 observers ---------------------------------------------------------------------
+
+OBSERVED_CTE = f"""
+obs_baseline AS (
+  SELECT ic.id, avg(t.close_delay_stat) AS avg_close, avg(t.solve_delay_stat) AS avg_solve
+  FROM tickets t LEFT JOIN categories ic ON t.itilcategories_id = ic.id
+  WHERE CAST(t.date AS DATE) BETWEEN {O.FIRST_DAY} AND {O.FINAL}
+  GROUP BY t.itilcategories_id, ic.id
+),
+obs_pairs AS (
+  SELECT DISTINCT t.id, u2.firstname AS nome_observador
+  FROM tickets t
+  LEFT JOIN tickets_users tu2 ON t.id = tu2.tickets_id AND tu2.type = 3
+  LEFT JOIN users u2 ON u2.id = tu2.users_id AND (u2.groups_id = 1 OR u2.groups_id = 2) AND u2.id <> 6
+  WHERE CAST(t.date AS DATE) BETWEEN {O.FIRST_DAY} AND {O.FINAL}
+),
+observed AS (
+  SELECT t.*, ic.name AS nome_categoria, rt.name AS origem, u.firstname AS nome_tecnico, o.nome_observador,
+         c.avg_close AS tempo_medio_fechamento, c.avg_solve AS tempo_medio_solucao
+  FROM tickets t
+  LEFT JOIN categories ic ON t.itilcategories_id = ic.id
+  LEFT JOIN tickets_users tu ON t.id = tu.tickets_id AND tu.type = 2
+  LEFT JOIN request_types rt ON t.requesttypes_id = rt.id
+  LEFT JOIN users u ON u.id = tu.users_id
+  LEFT JOIN obs_baseline c ON t.itilcategories_id = c.id
+  LEFT JOIN obs_pairs o ON t.id = o.id AND o.nome_observador IS NOT NULL
+  WHERE CAST(t.date AS DATE) BETWEEN {O.INITIAL} AND {O.FINAL} AND (t.status = 6 OR t.status = 5)
+)"""
+
+
+@register(
+    "observed_report",
+    O.with_fixtures(
+        rounded_sql("SELECT * FROM observed", ["tempo_medio_fechamento", "tempo_medio_solucao"]), OBSERVED_CTE
+    ),
+)
+def observed_report(t: Tables) -> DataFrame:
+    """R10."""
+    return R.observed_tickets(t, PERIOD)
+
+
+OBSERVER_COUNTS_BODY = """
+SELECT nome_observador, strftime(date, '%Y-%m') AS date2, count(id) AS id
+FROM observed WHERE nome_observador IS NOT NULL GROUP BY 1, 2
+"""
+
+
+@register("observer_month_counts", O.with_fixtures(OBSERVER_COUNTS_BODY, OBSERVED_CTE))
+def observer_month_counts(t: Tables) -> DataFrame:
+    """A10."""
+    return R.observer_month_counts(t, PERIOD)
+
+
+@register(
+    "technician_observer_summary",
+    O.with_fixtures(
+        rounded_sql(
+            f"""
+SELECT coalesce(s.nome, o.nome_observador) AS nome, coalesce(s.date2, o.date2) AS date2,
+       s."Total de chamados", s."Total de atrasos", s."Tempo de solução médio",
+       s."Diferença de tempo percentual em relação a média anual", s."Nota final",
+       o.id AS chamados_observados
+FROM (SELECT nome_tecnico AS nome, date2, count(DISTINCT id) AS "Total de chamados",
+             CAST(count(DISTINCT CASE WHEN atraso THEN id END) AS BIGINT) AS "Total de atrasos",
+             avg(solve_secs) / 86400.0 AS "Tempo de solução médio",
+             round_even(avg(diferenca_media_vs_gasto_solucao), 4) AS "Diferença de tempo percentual em relação a média anual",
+             avg(nota_final) AS "Nota final"
+      FROM final WHERE nome_tecnico IS NOT NULL AND date2 IS NOT NULL GROUP BY 1, 2) s
+FULL OUTER JOIN ({OBSERVER_COUNTS_BODY}) o ON s.nome = o.nome_observador AND s.date2 = o.date2
+""",
+            ["Tempo de solução médio", "Diferença de tempo percentual em relação a média anual", "Nota final"],
+        ),
+        O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)]) + ",\n" + OBSERVED_CTE,
+    ),
+)
+def technician_observer_summary(t: Tables) -> DataFrame:
+    """Technician summary beside observer counts, full outer join."""
+    return R.technician_observer_summary(t, PERIOD)
+
+
+@register(
+    "observer_pairs",
+    O.with_fixtures("SELECT * FROM obs_pairs WHERE nome_observador IS NOT NULL", OBSERVED_CTE),
+)
+def observer_pairs(t: Tables) -> DataFrame:
+    """A12/J08 right side: distinct (ticket, eligible observer name), baseline-to-date window."""
+    from ..operators import enrich as E
+
+    return E.observer_pairs(t.tickets, t, PERIOD.baseline_first, PERIOD.final)

@@ -135,6 +135,10 @@ def worklog_report(
     tables: Tables, period: Period, drop_outliers: bool = True, exclude: Sequence[str] = ()
 ) -> DataFrame:
     """R04."""
+    return S.drop_hidden(_worklog(tables, period, drop_outliers, exclude))
+
+
+def _worklog(tables: Tables, period: Period, drop_outliers: bool, exclude: Sequence[str]) -> DataFrame:
     return W.elect_time(W.worklog_grouped(tables, period.initial, period.final), drop_outliers, exclude)
 
 
@@ -142,7 +146,7 @@ def worklog_month_summary(
     tables: Tables, period: Period, drop_outliers: bool = True, exclude: Sequence[str] = (), labels: bool = True
 ) -> DataFrame:
     """R05."""
-    return W.worklog_summary(worklog_report(tables, period, drop_outliers, exclude), labels)
+    return W.worklog_summary(_worklog(tables, period, drop_outliers, exclude), labels)
 
 
 # -- accounts -------------------------------------------------------------------
