@@ -81,41 +81,57 @@ def drop_hidden(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
-def grade_tickets(df: DataFrame, config: ScoreConfig, month_bound: int | None = None) -> DataFrame:
-    """X07-X14 with W01-W04: month grades, weighted grade, volume bonus, final grade.
+def with_deltas(df: DataFrame, config: ScoreConfig) -> DataFrame:
+    """Month key ``date2`` and the clipped delta (days) of each weighted metric."""
+    delta_cols = [
+        X.clip(F.col(f"tempo_medio_{m}") - F.col(f"tempo_{m}"), config.lower, config.upper).alias(f"delta_tempo_{m}")
+        for m, _ in config.metrics()
+    ]
+    return df.select("*", X.month_key("date").alias("date2"), *delta_cols)
 
-    ``month_bound`` is the largest number of distinct months the input can hold (known
-    from the report period); it proves the per-month tables small enough to broadcast.
-    """
+
+def month_delta_bounds(with_delta: DataFrame, config: ScoreConfig) -> DataFrame:
+    """Per month, the largest and smallest clipped delta of each metric."""
     metrics = config.metrics()
-    total_weight = sum(w for _, w in metrics)
-    # Clipped deltas per metric and the month key.
-    delta_cols = []
-    for i, (m, _) in enumerate(metrics):
-        delta = X.clip(F.col(f"tempo_medio_{m}") - F.col(f"tempo_{m}"), config.lower, config.upper)
-        delta_cols.append(delta.alias(f"delta_tempo_{m}"))
-    with_delta = df.select("*", X.month_key("date").alias("date2"), *delta_cols)
-
-    # Month max/min of each delta, W03/W04: technician volume and its month range.
-    month_stats = with_delta.groupBy("date2").agg(
+    return with_delta.groupBy("date2").agg(
         *[F.max(f"delta_tempo_{m}").alias(f"max_mes_{m}") for m, _ in metrics],
         *[F.min(f"delta_tempo_{m}").alias(f"min_mes_{m}") for m, _ in metrics],
     )
-    volume = (
+
+
+def technician_volume(with_delta: DataFrame) -> DataFrame:
+    """Detail rows per (month, technician first name); rows without a name take no part."""
+    return (
         with_delta.filter(F.col("nome_tecnico").isNotNull())
         .groupBy("date2", "nome_tecnico")
         .agg(F.count("id").alias("qtde_chamados"))
     )
-    volume_range = volume.groupBy("date2").agg(
-        F.min("qtde_chamados").alias("__vol_min"), F.max("qtde_chamados").alias("__vol_max")
+
+
+def volume_range(volume: DataFrame) -> DataFrame:
+    """Per month, the smallest and largest technician volume."""
+    return volume.groupBy("date2").agg(
+        F.min("qtde_chamados").alias("min_qtde_chamados"), F.max("qtde_chamados").alias("max_qtde_chamados")
     )
+
+
+def grade_tickets(df: DataFrame, config: ScoreConfig, month_bound: int | None = None) -> DataFrame:
+    """X07-X14 with W01-W04: month grades, weighted grade, volume bonus, final grade.
+
+    ``month_bound`` is the largest number of distinct months the input can hold (known
+    from the report period); it proves the per-month table small enough to broadcast.
+    """
+    metrics = config.metrics()
+    total_weight = sum(w for _, w in metrics)
+    with_delta = with_deltas(df, config)
+    volume = technician_volume(with_delta)
     month_table = broadcast_by_bound(
-        month_stats.join(volume_range, "date2", "left").withColumnRenamed("date2", "__month"), month_bound
-    )
-    vol = volume.select(
-        F.col("date2").alias("__vm"), F.col("nome_tecnico").alias("__vt"), "qtde_chamados"
+        month_delta_bounds(with_delta, config)
+        .join(volume_range(volume), "date2", "left")
+        .withColumnRenamed("date2", "__month"),
+        month_bound,
     )
-
+    vol = volume.select(F.col("date2").alias("__vm"), F.col("nome_tecnico").alias("__vt"), "qtde_chamados")
     joined = with_delta.join(month_table, with_delta["date2"] == month_table["__month"], "left").join(
         vol,
         (with_delta["date2"] == vol["__vm"]) & (with_delta["nome_tecnico"] == vol["__vt"]),
@@ -140,7 +156,9 @@ def grade_tickets(df: DataFrame, config: ScoreConfig, month_bound: int | None =
             X.safe_ratio(delta, F.col(f"tempo_medio_{m}")).alias(f"diferenca_media_vs_gasto_{m}"),
         ]
     grade = grade / F.lit(float(total_weight))
-    bonus = X.volume_bonus(F.col("qtde_chamados"), F.col("__vol_min"), F.col("__vol_max"), config.qty_coef)
+    bonus = X.volume_bonus(
+        F.col("qtde_chamados"), F.col("min_qtde_chamados"), F.col("max_qtde_chamados"), config.qty_coef
+    )
     graded = joined.select(
         *[F.col(c) for c in df.columns],
         grade.alias("nota_final_tempos"),

@@ -1,0 +1,17 @@
+-- Finished problems of the period, one row per assigned user, with the user's first
+-- name, the category name and the category weight.
+SELECT p.*,
+       u.firstname AS nome_tecnico,
+       cat.name    AS nome_categoria,
+       w.pesofield AS peso
+FROM problems AS p
+LEFT JOIN problems_users AS pu
+       ON pu.problems_id = p.id AND pu.type = 2
+LEFT JOIN users AS u
+       ON u.id = pu.users_id
+LEFT JOIN categories AS cat
+       ON cat.id = p.itilcategories_id
+LEFT JOIN category_weights AS w
+       ON w.items_id = p.itilcategories_id
+WHERE to_date(p.date) BETWEEN :initial_date AND :final_date
+  AND p.status IN (5, 6)
