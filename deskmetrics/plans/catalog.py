@@ -219,8 +219,9 @@ def summary_two_metrics(t: Tables) -> DataFrame:
 
 # -- R04/R05 worklog -------------------------------------------------------------------
 
-WORKLOG_CTE = f"""
-wl_grouped AS (
+def worklog_cte(initial=O.INITIAL, final=O.FINAL, suffix="") -> str:
+    return f"""
+wl_grouped{suffix} AS (
   SELECT t.id,
          min(CAST(tt.date AS DATE)) AS data_tarefa,
          CAST(att.actual_end AS DATE) AS ultima_modificacao,
@@ -236,24 +237,27 @@ wl_grouped AS (
   LEFT JOIN users u2 ON u2.id = tu.users_id
   LEFT JOIN users u ON u.id = tt.users_id_tech
   LEFT JOIN timers att ON tt.id = att.tasks_id
-  WHERE (CAST(att.actual_begin AS DATE) BETWEEN {O.INITIAL} AND {O.FINAL})
-    AND (CAST(att.actual_end AS DATE) BETWEEN {O.INITIAL} AND {O.FINAL})
+  WHERE (CAST(att.actual_begin AS DATE) BETWEEN {initial} AND {final})
+    AND (CAST(att.actual_end AS DATE) BETWEEN {initial} AND {final})
     AND tt.users_id_tech <> 0
   GROUP BY t.id, tt.users_id_tech, CAST(att.actual_end AS DATE)
 ),
-wl_reset AS (
+wl_reset{suffix} AS (
   SELECT id, data_tarefa, ultima_modificacao, tecnico_do_chamado, tecnico_das_tarefas, categoria_chamado,
          CASE WHEN tempo_via_plugin > 1000000000 THEN 0 ELSE tempo_via_plugin END AS tempo_via_plugin,
          CASE WHEN tempo_via_glpi > 1000000000 THEN 0 ELSE tempo_via_glpi END AS tempo_via_glpi
-  FROM wl_grouped
+  FROM wl_grouped{suffix}
 ),
-worklog AS (
+worklog{suffix} AS (
   SELECT *, coalesce(nullif(tempo_via_plugin, 0), tempo_via_glpi) AS eleito_secs,
          coalesce(nullif(tempo_via_plugin, 0), tempo_via_glpi) / 86400.0 AS tempo_eleito
-  FROM wl_reset
+  FROM wl_reset{suffix}
 )"""
 
 
+WORKLOG_CTE = worklog_cte()
+
+
 @register(
     "worklog_elected",
     O.with_fixtures(
@@ -1038,3 +1042,27 @@ def weighted_grade(t: Tables) -> DataFrame:
 def volume_bonus(t: Tables) -> DataFrame:
     """Volume bonus per detail row."""
     return R.graded_tickets_full(t, PERIOD).select("id", "nome_tecnico", "qtde_chamados", "bonus")
+
+
+# -- R11 whole run ----------------------------------------------------------------------
+
+RUN_TODAY = "2000-06-15"  # mode "anual": 1999-07-01 .. 2000-06-30, baseline year 1999
+RUN_INITIAL, RUN_FINAL = "DATE '1999-07-01'", "DATE '2000-06-30'"
+
+
+@register(
+    "run_all",
+    O.with_fixtures(
+        f"""
+SELECT 'tickets' AS report, count(*) AS linhas FROM assigned_run
+UNION ALL SELECT 'worklog', count(*) FROM worklog_run
+UNION ALL SELECT 'accounts', count(*) FROM ({ACCOUNTS_BODY}) a
+""",
+        O.assigned_cte(RUN_INITIAL, RUN_FINAL, suffix="_run") + ",\n" + worklog_cte(RUN_INITIAL, RUN_FINAL, "_run"),
+    ),
+)
+def run_all(t: Tables) -> DataFrame:
+    """Tickets, worklog and accounts written as reports; row counts read back."""
+    from ..session import fresh_path
+
+    return R.run_all(t, fresh_path(t.spark, "run"), mode="anual", today=RUN_TODAY)

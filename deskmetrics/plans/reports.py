@@ -209,3 +209,38 @@ def technician_observer_summary(tables: Tables, period: Period, config: ScoreCon
         obs["chamados_observados"],
     )
     return out.withColumnsRenamed({k: v for k, v in SUMMARY_LABELS.items() if k in rest})
+
+
+# -- whole run --------------------------------------------------------------------
+
+
+def run_all(
+    tables: Tables,
+    out_root: str,
+    mode: str = "geral",
+    today=None,
+    config: ScoreConfig | None = None,
+) -> DataFrame:
+    """The batch job of the original script (tickets, worklog, account growth).
+
+    Each report is written as a CSV report below ``out_root`` by the executors. The result
+    is one row per report with the row count read back from what was written.
+    """
+    import datetime as dt
+
+    from ..functions.period import period_for_mode
+    from ..sources.sinks import read_report, write_report
+
+    period = period_for_mode(mode, today or dt.date.today())
+    reports = {
+        "tickets": graded_tickets_full(tables, period, config),
+        "worklog": worklog_report(tables, period),
+        "accounts": account_growth_report(tables),
+    }
+    counts = None
+    for name, df in reports.items():
+        path = write_report(df, f"{out_root.rstrip('/')}/{name}")
+        c = read_report(tables.spark, path).groupBy().agg(F.count(F.lit(1)).alias("linhas"))
+        c = c.select(F.lit(name).alias("report"), "linhas")
+        counts = c if counts is None else counts.unionByName(c)
+    return counts
