@@ -22,7 +22,13 @@ from .joins import MAX_BROADCAST_ROWS, broadcast_if_bounded, left_lookup
 
 @dataclass
 class Lookups:
-    """Dimension tables of one source, each with its broadcast decision made once."""
+    """Dimension tables of one source.
+
+    Only the category table gets a run-time size check: it bounds the per-category
+    baseline too (one row per known category), which Spark cannot estimate before the
+    aggregate runs. Weights and request types are left to Spark's own size-based choice
+    (``autoBroadcastJoinThreshold`` on the scan statistics, AQE on measured sizes).
+    """
 
     categories: DataFrame
     categories_small: bool
@@ -37,9 +43,7 @@ class Lookups:
         if cached is not None:
             return cached
         cat, cat_ok = broadcast_if_bounded(tables.categories, max_rows)
-        w, w_ok = broadcast_if_bounded(tables.category_weights, max_rows)
-        rt, rt_ok = broadcast_if_bounded(tables.request_types, max_rows)
-        out = cls(cat, cat_ok, w, w_ok, rt, rt_ok)
+        out = cls(cat, cat_ok, tables.category_weights, False, tables.request_types, False)
         tables._lookups = out
         return out
 

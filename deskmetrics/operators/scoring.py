@@ -118,23 +118,41 @@ def volume_range(volume: DataFrame) -> DataFrame:
 def grade_tickets(df: DataFrame, config: ScoreConfig, month_bound: int | None = None) -> DataFrame:
     """X07-X14 with W01-W04: month grades, weighted grade, volume bonus, final grade.
 
-    ``month_bound`` is the largest number of distinct months the input can hold (known
-    from the report period); it proves the per-month table small enough to broadcast.
+    One aggregate per (month, technician) yields both the technician's volume and that
+    group's delta range; a second, tiny aggregate folds those into the month table
+    (delta range, volume range). ``month_bound`` (months in the report period) proves
+    the month table small enough to broadcast. Each detail row then picks up its
+    (month, technician) entry with one join; rows without a technician match the
+    group of null names (null-safe key), which carries no volume.
     """
     metrics = config.metrics()
     total_weight = sum(w for _, w in metrics)
     with_delta = with_deltas(df, config)
-    volume = technician_volume(with_delta)
-    month_table = broadcast_by_bound(
-        month_delta_bounds(with_delta, config)
-        .join(volume_range(volume), "date2", "left")
-        .withColumnRenamed("date2", "__month"),
-        month_bound,
+
+    per_tech = with_delta.groupBy("date2", "nome_tecnico").agg(
+        F.count("id").alias("__rows"),
+        *[F.max(f"delta_tempo_{m}").alias(f"__max_{m}") for m, _ in metrics],
+        *[F.min(f"delta_tempo_{m}").alias(f"__min_{m}") for m, _ in metrics],
+    ).withColumn("qtde_chamados", F.when(F.col("nome_tecnico").isNotNull(), F.col("__rows")))
+    month_table = per_tech.groupBy("date2").agg(
+        *[F.max(f"__max_{m}").alias(f"max_mes_{m}") for m, _ in metrics],
+        *[F.min(f"__min_{m}").alias(f"min_mes_{m}") for m, _ in metrics],
+        F.min("qtde_chamados").alias("min_qtde_chamados"),
+        F.max("qtde_chamados").alias("max_qtde_chamados"),
+    )
+    month_table = broadcast_by_bound(month_table.withColumnRenamed("date2", "__month"), month_bound)
+    lookup = per_tech.join(month_table, per_tech["date2"] == month_table["__month"], "inner").select(
+        F.col("date2").alias("__m"),
+        F.col("nome_tecnico").alias("__t"),
+        "qtde_chamados",
+        *[F.col(f"max_mes_{m}") for m, _ in metrics],
+        *[F.col(f"min_mes_{m}") for m, _ in metrics],
+        "min_qtde_chamados",
+        "max_qtde_chamados",
     )
-    vol = volume.select(F.col("date2").alias("__vm"), F.col("nome_tecnico").alias("__vt"), "qtde_chamados")
-    joined = with_delta.join(month_table, with_delta["date2"] == month_table["__month"], "left").join(
-        vol,
-        (with_delta["date2"] == vol["__vm"]) & (with_delta["nome_tecnico"] == vol["__vt"]),
+    joined = with_delta.join(
+        lookup,
+        (with_delta["date2"] == lookup["__m"]) & with_delta["nome_tecnico"].eqNullSafe(lookup["__t"]),
         "left",
     )
 

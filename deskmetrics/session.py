@@ -14,10 +14,14 @@ from pyspark.sql import SparkSession
 # Settings every report relies on. AQE re-plans joins at run time (broadcast after a
 # small shuffle stage, skew-join splitting of hot keys, partition coalescing), and the
 # session time zone is pinned so date truncation never depends on the host.
+# ``requireAllClusterKeysForDistribution`` stops an aggregate on (technician, month,
+# ticket) from reusing a shuffle on (technician, month) alone: that reuse would put a
+# hot technician-month into one task with no map-side combine before it.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

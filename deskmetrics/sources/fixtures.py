@@ -14,6 +14,23 @@ from pyspark.sql import functions as F
 # Offset that keeps customer-backed user ids apart from supplier-backed ones.
 CUSTOMER_USER_OFFSET = 1_000_000
 
+# Declared layouts of the test tables read here: no footer has to be read on the driver
+# to infer them, and a file with a different layout fails instead of shifting columns.
+RAW_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
 
 def add_seconds(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, ts)
@@ -25,9 +42,15 @@ class FixtureTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._raw:
+            reader = self.spark.read
+            if name in RAW_SCHEMAS:
+                reader = reader.schema(RAW_SCHEMAS[name])
+            self._raw[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     # -- items -------------------------------------------------------------
     def item_base(self) -> DataFrame:

@@ -79,12 +79,15 @@ class JdbcSource(Source):
         return spark.read.format("jdbc").options(**self.options(name)).load()
 
 
-@dataclass(frozen=True)
 class FixtureSource(Source):
-    sf_dir: str
+    def __init__(self, sf_dir: str):
+        self.sf_dir = sf_dir
+        self._fixtures: FixtureTables | None = None
 
     def load(self, spark: SparkSession, name: str) -> DataFrame:
-        return getattr(FixtureTables(spark, self.sf_dir), name)()
+        if self._fixtures is None or self._fixtures.spark is not spark:
+            self._fixtures = FixtureTables(spark, self.sf_dir)
+        return getattr(self._fixtures, name)()
 
 
 def load_table(spark: SparkSession, name: str, source: Source) -> DataFrame:
