@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: enrichment joins, grading, worklog, account growth."""

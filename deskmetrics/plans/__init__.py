@@ -1,0 +1,2 @@
+"""Report compositions (``reports``), parameterised SQL texts (``sql``) and the registry of
+checked queries over the test data (``catalog``)."""

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports read one finished result set each and have no event-time windows, state or
+late data, so nothing here runs as a stream. A recurring run is a batch job over the
+tables (``plans.reports.run_all``) scheduled externally.
+"""
