@@ -49,10 +49,23 @@ def rounded_sql(body: str, double_cols: list[str], digits: int = 6) -> str:
     return f"SELECT * REPLACE ({repl}) FROM (\n{body}\n) q"
 
 
+_TABLES: dict[tuple[int, str], tuple[SparkSession, Tables]] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
+    """Table handles (lazy plans, no data) shared by the queries of one session."""
+    key = (id(spark), sf_dir)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, Tables.fixtures(spark, sf_dir))
+        _TABLES[key] = hit
+    return hit[1]
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(Tables.fixtures(spark, sf_dir)))
+            return round_doubles(fn(tables_for(spark, sf_dir)))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -77,8 +77,15 @@ def technician_month_summary(
 
 
 def tickets_for_combining(tables: Tables, period: Period, config: ScoreConfig | None = None) -> DataFrame:
-    """The graded tickets restricted to the columns shared with changes/problems."""
-    return keep_columns(graded_tickets_full(tables, period, config), COMMON_COLUMNS)
+    """The graded tickets restricted to the columns shared with changes/problems.
+
+    None of the kept columns comes from grading, and grading only adds columns (its
+    joins are left joins on keys that are unique on the right), so the rows and kept
+    values equal those of the derived tickets: grading is skipped. Catalyst cannot
+    prove that uniqueness itself and would otherwise run the month aggregates."""
+    config = config or ScoreConfig()
+    derived = S.derive_ticket_columns(assigned_tickets(tables, period), config.exclude_technicians)
+    return keep_columns(derived, COMMON_COLUMNS)
 
 
 # -- changes and problems ----------------------------------------------------------
