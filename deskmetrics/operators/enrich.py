@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import in_dates, observer_eligible
 from ..schemas import ROLE_ASSIGNED, ROLE_OBSERVER
 from ..sources.tables import Tables
-from .joins import MAX_BROADCAST_ROWS, broadcast_if_bounded, left_lookup
+from .joins import broadcast_if_bounded, left_lookup
 
 
 @dataclass
@@ -38,7 +38,7 @@ class Lookups:
     request_types_small: bool
 
     @classmethod
-    def of(cls, tables: Tables, max_rows: int = MAX_BROADCAST_ROWS) -> "Lookups":
+    def of(cls, tables: Tables, max_rows: int | None = None) -> "Lookups":
         cached = getattr(tables, "_lookups", None)
         if cached is not None:
             return cached

@@ -15,8 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count a lookup table may have to be broadcast to every task.
+# Largest row count a lookup table may have to be broadcast to every task; the session
+# setting ``spark.deskmetrics.broadcast.maxRows`` overrides it (0 turns explicit broadcasts off).
 MAX_BROADCAST_ROWS = 100_000
+MAX_ROWS_CONF = "spark.deskmetrics.broadcast.maxRows"
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(MAX_ROWS_CONF, None)
+    return MAX_BROADCAST_ROWS if value in (None, "") else int(value)
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -24,15 +31,17 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """``(df with a broadcast hint, True)`` when small enough, else ``(df, False)``."""
-    if has_at_most(df, max_rows):
+    max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
+    if max_rows > 0 and has_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False
 
 
-def broadcast_by_bound(df: DataFrame, row_bound: int | None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_by_bound(df: DataFrame, row_bound: int | None, max_rows: int | None = None) -> DataFrame:
     """Broadcast a side whose row count is bounded by construction (``row_bound``)."""
+    max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
     if row_bound is not None and row_bound <= max_rows:
         return F.broadcast(df)
     return df

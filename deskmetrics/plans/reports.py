@@ -19,6 +19,7 @@ from ..operators import scoring as S
 from ..operators import worklog as W
 from ..operators.joins import keep_columns
 from ..schemas import CHANGE_TAG, COMMON_COLUMNS, DETAIL_COLUMNS, PROBLEM_TAG, SUMMARY_LABELS
+from ..session import materialize as _materialize
 from ..sources.tables import Tables
 
 ScoreConfig = S.ScoreConfig
@@ -51,8 +52,15 @@ def assigned_tickets(tables: Tables, period: Period) -> DataFrame:
     return E.join_category_baseline(t, baseline, lk)
 
 
-def _graded(tables: Tables, period: Period, config: ScoreConfig, clock_text: bool = True) -> DataFrame:
+def _graded(
+    tables: Tables, period: Period, config: ScoreConfig, clock_text: bool = True, materialize: bool = True
+) -> DataFrame:
+    """Derived ticket rows, graded. The derived rows feed two branches (the rows themselves
+    and the per-(month, technician) aggregate); ``materialize`` writes them once to the
+    checkpoint folder so the enrichment joins run once, not per branch."""
     derived = S.derive_ticket_columns(assigned_tickets(tables, period), config.exclude_technicians, clock_text)
+    if materialize:
+        derived = _materialize(derived)
     return S.grade_tickets(derived, config, _month_bound(period))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every report relies on. AQE re-plans joins at run time (broadcast after a
 # small shuffle stage, skew-join splitting of hot keys, partition coalescing), and the
@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # Checkpoint files of intermediate results are removed once no plan refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -67,3 +69,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A not-yet-used path below the shared folder (one per call)."""
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from that copy.
+
+    Used where one intermediate result feeds several branches that Catalyst would
+    otherwise compute separately (column pruning makes their plans differ, so no
+    exchange is reused). It also cuts the lineage: a lost executor re-reads the written
+    files instead of recomputing the joins behind them. A reliable checkpoint, never a
+    local one.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
