@@ -3,16 +3,18 @@
 Per day: how many eligible accounts were created (``novas_contas``), and how many eligible
 accounts have an id up to the largest id created that day (``total_contas``). The
 original gets the second figure from a self-join on ``u1.id >= u2.id``, which pairs every
-account with every smaller one (quadratic). Here it is a prefix rank:
-
-* ids are cut into buckets of ``bucket_size`` consecutive values;
-* each bucket's distinct-id count gives, by a running sum over the (small) bucket
-  table, the number of ids in all lower buckets;
-* ``row_number`` inside a bucket (a bounded partition, at most ``bucket_size`` ids)
-  plus that offset is the rank of an id among all eligible ids;
-* the day total is the rank of the day's largest id.
-
-Only the running sum sees all buckets at once, i.e. ``ids / bucket_size`` rows.
+account with every smaller one (quadratic). Here it is a prefix rank, in one pass:
+
+1. distinct (id, day) pairs are cut into buckets of ``bucket_size`` consecutive ids;
+   within a bucket (a bounded partition: at most ``bucket_size`` distinct ids) each id
+   gets its dense rank;
+2. one aggregate per (day, bucket) keeps the number of pairs and the largest rank. This
+   table is small (a day's new ids usually sit in one or two buckets);
+3. on that table, the largest rank of a bucket is its number of distinct ids, and a
+   running sum of those over the buckets (the only step that sees all buckets at once)
+   gives each bucket the count of ids in all lower buckets;
+4. offset + rank is the rank of an id among all eligible ids. It grows with the id, so a
+   day's total is the largest offset + rank among its (day, bucket) rows.
 """
 
 from __future__ import annotations
@@ -30,35 +32,28 @@ def eligible_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def account_growth(accounts: DataFrame, bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    elig = eligible_accounts(accounts)
-    per_day = elig.groupBy("data").agg(
-        F.count_distinct("id").alias("novas_contas"), F.max("id").alias("__max_id")
-    )
-
     # Integral division is monotone in the id, so bucket order follows id order.
-    ids = elig.select("id").distinct().withColumn("__bucket", F.expr(f"id div {int(bucket_size)}"))
-    offsets = (
-        ids.groupBy("__bucket")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn(
-            "__offset",
-            F.coalesce(
-                F.sum("__n").over(
-                    Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .select(F.col("__bucket").alias("__ob"), "__offset")
+    pairs = (
+        eligible_accounts(accounts)
+        .distinct()
+        .withColumn("__bucket", F.expr(f"id div {int(bucket_size)}"))
+    )
+    ranked = pairs.withColumn("__r", F.dense_rank().over(Window.partitionBy("__bucket").orderBy("id")))
+    per_day_bucket = ranked.groupBy("data", "__bucket").agg(
+        F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__max_r")
     )
-    ranked = ids.withColumn(
-        "__r", F.row_number().over(Window.partitionBy("__bucket").orderBy("id"))
+    in_bucket = Window.partitionBy("__bucket")
+    lower_buckets = Window.orderBy("__bucket").rangeBetween(Window.unboundedPreceding, -1)
+    sized = per_day_bucket.withColumns(
+        {
+            # distinct ids of the bucket, counted on one row per bucket only
+            "__size": F.when(
+                F.row_number().over(in_bucket.orderBy("data")) == 1, F.max("__max_r").over(in_bucket)
+            ).otherwise(F.lit(0)),
+        }
     )
-    # Only the ranks of the days' largest ids are needed: one row per day.
-    at_max = per_day.join(ranked, per_day["__max_id"] == ranked["id"], "inner")
-    with_offset = at_max.join(offsets, at_max["__bucket"] == offsets["__ob"], "inner")
-    return with_offset.select(
-        "data",
-        "novas_contas",
-        (F.col("__offset") + F.col("__r")).cast("bigint").alias("total_contas"),
+    with_offset = sized.withColumn("__offset", F.coalesce(F.sum("__size").over(lower_buckets), F.lit(0)))
+    return with_offset.groupBy("data").agg(
+        F.sum("__n").cast("bigint").alias("novas_contas"),
+        F.max(F.col("__offset") + F.col("__max_r")).cast("bigint").alias("total_contas"),
     )
