@@ -3,16 +3,16 @@
 Per day: how many eligible accounts were created (``novas_contas``), and how many eligible
 accounts have an id up to the largest id created that day (``total_contas``). The
 original gets the second figure from a self-join on ``u1.id >= u2.id``, which pairs every
-account with every smaller one (quadratic). Here it is a prefix rank, in one pass:
+account with every smaller one (quadratic). Here it is a prefix rank:
 
 1. distinct (id, day) pairs are cut into buckets of ``bucket_size`` consecutive ids;
    within a bucket (a bounded partition: at most ``bucket_size`` distinct ids) each id
    gets its dense rank;
-2. one aggregate per (day, bucket) keeps the number of pairs and the largest rank. This
-   table is small (a day's new ids usually sit in one or two buckets);
-3. on that table, the largest rank of a bucket is its number of distinct ids, and a
-   running sum of those over the buckets (the only step that sees all buckets at once)
-   gives each bucket the count of ids in all lower buckets;
+2. one aggregate per (day, bucket) keeps the number of pairs and the largest rank; it
+   is written once to the checkpoint folder (it has two uses below);
+3. per bucket, the largest rank is its number of distinct ids; a running sum of those
+   over the bucket table (``ids / bucket_size`` rows, the only step that sees all
+   buckets at once) gives each bucket the count of ids in all lower buckets;
 4. offset + rank is the rank of an id among all eligible ids. It grows with the id, so a
    day's total is the largest offset + rank among its (day, bucket) rows.
 """
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import active_account
+from ..session import materialize
 
 DEFAULT_BUCKET_SIZE = 100_000
 
@@ -39,20 +40,22 @@ def account_growth(accounts: DataFrame, bucket_size: int = DEFAULT_BUCKET_SIZE)
         .withColumn("__bucket", F.expr(f"id div {int(bucket_size)}"))
     )
     ranked = pairs.withColumn("__r", F.dense_rank().over(Window.partitionBy("__bucket").orderBy("id")))
-    per_day_bucket = ranked.groupBy("data", "__bucket").agg(
-        F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__max_r")
+    per_day_bucket = materialize(
+        ranked.groupBy("data", "__bucket").agg(F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__max_r"))
     )
-    in_bucket = Window.partitionBy("__bucket")
-    lower_buckets = Window.orderBy("__bucket").rangeBetween(Window.unboundedPreceding, -1)
-    sized = per_day_bucket.withColumns(
-        {
-            # distinct ids of the bucket, counted on one row per bucket only
-            "__size": F.when(
-                F.row_number().over(in_bucket.orderBy("data")) == 1, F.max("__max_r").over(in_bucket)
-            ).otherwise(F.lit(0)),
-        }
+    offsets = (
+        per_day_bucket.groupBy("__bucket")
+        .agg(F.max("__max_r").alias("__size"))
+        .withColumn(
+            "__offset",
+            F.coalesce(
+                F.sum("__size").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)),
+                F.lit(0),
+            ),
+        )
+        .select(F.col("__bucket").alias("__ob"), "__offset")
     )
-    with_offset = sized.withColumn("__offset", F.coalesce(F.sum("__size").over(lower_buckets), F.lit(0)))
+    with_offset = per_day_bucket.join(offsets, per_day_bucket["__bucket"] == offsets["__ob"], "inner")
     return with_offset.groupBy("data").agg(
         F.sum("__n").cast("bigint").alias("novas_contas"),
         F.max(F.col("__offset") + F.col("__max_r")).cast("bigint").alias("total_contas"),
