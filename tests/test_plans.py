@@ -52,3 +52,18 @@ def test_account_growth_window_is_bucketed(spark):
     p = plan(QUERIES["account_growth"](spark, SF_SMALL))
     assert "SortMergeJoin" in p or "BroadcastHashJoin" in p or "ShuffledHashJoin" in p
     assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_category_baseline_scans_tickets_once(spark):
+    p = plan(QUERIES["category_baseline"](spark, SF_SMALL))
+    locations = [line for line in p.splitlines() if line.startswith("Location:")]
+    assert sum("orders.parquet" in line for line in locations) == 1
+
+
+def test_summary_aggregates_after_partial_combine(spark):
+    """Each aggregation level shuffles on its own full key, after a map-side partial
+    aggregate; no level rides on the (month, technician) join shuffle."""
+    p = plan(QUERIES["technician_month_summary"](spark, SF_SMALL))
+    assert "hashpartitioning(nome_tecnico" in p
+    per_ticket = [l for l in p.splitlines() if "hashpartitioning(nome_tecnico" in l and "id#" in l]
+    assert per_ticket, "per-ticket level must shuffle on (technician, month, ticket)"
