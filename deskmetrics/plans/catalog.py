@@ -395,6 +395,33 @@ def combined_report(t: Tables) -> DataFrame:
     return R.combined_report(t, PERIOD)
 
 
+COMBINED_FULL_BODY = f"""
+SELECT * FROM ({_full_body(["solucao"])}) tk
+UNION ALL BY NAME
+SELECT id, CAST(date AS DATE) AS date, itilcategories_id, CAST(close_delay_stat AS VARCHAR) AS close_delay_stat,
+       CAST(solve_delay_stat AS VARCHAR) AS solve_delay_stat, CAST(solvedate AS DATE) AS solvedate,
+       nome_tecnico, nome_categoria, peso, type
+FROM ({CHANGES_SQL}) ch
+UNION ALL BY NAME
+SELECT id, CAST(date AS DATE) AS date, itilcategories_id, CAST(close_delay_stat AS VARCHAR) AS close_delay_stat,
+       CAST(solve_delay_stat AS VARCHAR) AS solve_delay_stat, CAST(solvedate AS DATE) AS solvedate,
+       nome_tecnico, nome_categoria, peso, type
+FROM ({PROBLEMS_SQL}) pr
+"""
+
+
+@register(
+    "combined_report_full",
+    O.with_fixtures(
+        rounded_sql(COMBINED_FULL_BODY, _full_doubles(["solucao"])),
+        O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)]),
+    ),
+)
+def combined_report_full(t: Tables) -> DataFrame:
+    """R09 as the batch script calls it: every graded ticket column kept."""
+    return R.combined_report(t, PERIOD, clean_tickets=False)
+
+
 # -- R10 observers ---------------------------------------------------------------------
 
 OBSERVED_CTE = f"""

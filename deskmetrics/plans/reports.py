@@ -130,13 +130,19 @@ def _as_common_types(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def combined_report(tables: Tables, period: Period, config: ScoreConfig | None = None) -> DataFrame:
-    """R09 (U01): tickets, then changes, then problems; by column name, duplicates kept."""
-    parts = [
-        tickets_for_combining(tables, period, config),
-        changes_report(tables, period),
-        problems_report(tables, period),
-    ]
+def combined_report(
+    tables: Tables, period: Period, config: ScoreConfig | None = None, clean_tickets: bool = True
+) -> DataFrame:
+    """R09 (U01): tickets, then changes, then problems; by column name, duplicates kept.
+
+    ``clean_tickets=False`` keeps every graded ticket column (as the original batch script
+    calls it); change and problem rows then hold nulls in the ticket-only columns."""
+    tickets = (
+        tickets_for_combining(tables, period, config)
+        if clean_tickets
+        else graded_tickets_full(tables, period, config)
+    )
+    parts = [tickets, changes_report(tables, period), problems_report(tables, period)]
     out = _as_common_types(parts[0])
     for p in parts[1:]:
         out = out.unionByName(_as_common_types(p), allowMissingColumns=True)
