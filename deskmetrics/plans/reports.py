@@ -71,9 +71,12 @@ def graded_tickets_full(
     return S.drop_hidden(_graded(tables, period, config or ScoreConfig(), clock_text))
 
 
-def graded_tickets(tables: Tables, period: Period, config: ScoreConfig | None = None) -> DataFrame:
-    """Graded ticket detail, detail allow-list."""
-    return keep_columns(graded_tickets_full(tables, period, config), DETAIL_COLUMNS)
+def graded_tickets(
+    tables: Tables, period: Period, config: ScoreConfig | None = None, clock_text: bool = True
+) -> DataFrame:
+    """Graded ticket detail, detail allow-list (C03). ``clock_text=False`` keeps the
+    delay columns as whole seconds instead of ``HH:MM:SS`` text."""
+    return keep_columns(graded_tickets_full(tables, period, config, clock_text), DETAIL_COLUMNS)
 
 
 def technician_month_summary(
