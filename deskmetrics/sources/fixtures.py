@@ -145,33 +145,24 @@ class FixtureTables:
 
     # -- bridges -----------------------------------------------------------
     def tickets_users(self, item_column: str = "tickets_id") -> DataFrame:
+        # Line 1 suppliers are assigned (type 2), line 2 suppliers observe (type 3): one
+        # distinct pass over both, since the type is a function of the line number.
         li = self.raw("lineitem")
-        assigned = (
-            li.filter(F.col("l_linenumber") == 1)
-            .select("l_orderkey", "l_suppkey")
-            .distinct()
+        from_lines = (
+            li.filter(F.col("l_linenumber").isin(1, 2))
             .select(
                 F.col("l_orderkey").alias(item_column),
                 F.col("l_suppkey").alias("users_id"),
-                F.lit(2).cast("int").alias("type"),
+                F.when(F.col("l_linenumber") == 1, 2).otherwise(3).cast("int").alias("type"),
             )
-        )
-        observing_suppliers = (
-            li.filter(F.col("l_linenumber") == 2)
-            .select("l_orderkey", "l_suppkey")
             .distinct()
-            .select(
-                F.col("l_orderkey").alias(item_column),
-                F.col("l_suppkey").alias("users_id"),
-                F.lit(3).cast("int").alias("type"),
-            )
         )
         observing_customers = self.raw("orders").select(
             F.col("o_orderkey").alias(item_column),
             (F.lit(CUSTOMER_USER_OFFSET) + F.col("o_custkey")).alias("users_id"),
             F.lit(3).cast("int").alias("type"),
         )
-        return assigned.unionByName(observing_suppliers).unionByName(observing_customers)
+        return from_lines.unionByName(observing_customers)
 
     def changes_users(self) -> DataFrame:
         return self.tickets_users("changes_id")
