@@ -190,15 +190,18 @@ def observed_tickets(tables: Tables, period: Period) -> DataFrame:
     The category means and the observer pairs use the window from January 1 of the
     previous year to the final date (A03)."""
     lk = E.Lookups.of(tables)
-    t = _in_period(tables.tickets, period)
-    t = E.join_category(t, lk)
+    base = _in_period(tables.tickets, period)
+    # Both fan-out joins are keyed on the ticket id, so they share one shuffle of the
+    # tickets; the user lookup (keyed on the user) comes after them.
+    pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
+    t = E.join_observers(base, pairs)
     t = E.join_assignee(t, tables.tickets_users, tables.users, "tickets_id")
+    t = E.join_category(t, lk)
     t = E.join_request_type(t, lk)
-    t = t.select(*[c for c in t.columns if c not in ("origem", "nome_tecnico")], "origem", "nome_tecnico")
-    pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
-    t = E.join_observers(t, pairs)
     baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.final)
-    return E.join_category_baseline(t, baseline, lk)
+    t = E.join_category_baseline(t, baseline, lk)
+    added = ["nome_categoria", "origem", "nome_tecnico", "nome_observador", "tempo_medio_fechamento", "tempo_medio_solucao"]
+    return t.select(*base.columns, *added)
 
 
 def observer_month_counts(tables: Tables, period: Period) -> DataFrame:
