@@ -52,16 +52,16 @@ def build_session(
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is read as given. Only where it
-    is unset (local tests) a fresh folder is made and registered as the checkpoint dir.
+    On a cluster that setting names shared storage and is read as given (and handed to
+    the SparkContext if only the session knows it). Only where it is unset (local tests)
+    a fresh folder is made and registered as the checkpoint dir.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="deskmetrics-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     base = str(base).rstrip("/")
     return "/".join([base, *parts]) if parts else base
 
