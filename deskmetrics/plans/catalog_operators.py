@@ -15,6 +15,7 @@ from ..functions import predicates as PR
 from ..sources.tables import Tables
 from . import reports as R
 from .catalog import (
+    ACCOUNTS_BODY,
     CHANGES_SQL,
     OBSERVED_CTE,
     PERIOD,
@@ -78,6 +79,44 @@ def param_sql_tickets(t: Tables) -> DataFrame:
     return run_sql_report(t, "tickets_assigned", PERIOD)
 
 
+@register("param_sql_tasks", O.with_fixtures("SELECT * FROM tasks"))
+def param_sql_tasks(t: Tables) -> DataFrame:
+    """The task table from its SQL text (a whole-table scan)."""
+    from .sql import run_sql_report
+
+    return run_sql_report(t, "tasks")
+
+
+@register(
+    "param_sql_observed",
+    O.with_fixtures(
+        rounded_sql("SELECT * FROM observed", ["tempo_medio_fechamento", "tempo_medio_solucao"]), OBSERVED_CTE
+    ),
+)
+def param_sql_observed(t: Tables) -> DataFrame:
+    """The observed-ticket query from its SQL text."""
+    from .sql import run_sql_report
+
+    return run_sql_report(t, "tickets_observed", PERIOD)
+
+
+@register("param_sql_worklog", O.with_fixtures("SELECT * FROM wl_grouped", WORKLOG_CTE))
+def param_sql_worklog(t: Tables) -> DataFrame:
+    """The grouped worklog from its SQL text (sums before the assignee fan-out)."""
+    from .sql import run_sql_report
+
+    return run_sql_report(t, "worklog", PERIOD)
+
+
+@register("param_sql_accounts", O.with_fixtures(ACCOUNTS_BODY))
+def param_sql_accounts(t: Tables) -> DataFrame:
+    """Account growth from its SQL text (bucketed prefix rank)."""
+    from ..operators.accounts import DEFAULT_BUCKET_SIZE
+    from .sql import run_sql_report
+
+    return run_sql_report(t, "accounts_growth", bucket_size=DEFAULT_BUCKET_SIZE)
+
+
 def _report_text_sql(body: str) -> str:
     return f"""
 SELECT CAST(id AS VARCHAR) AS id, strftime(date, '%d/%m/%Y') AS date, CAST(itilcategories_id AS VARCHAR) AS itilcategories_id,

@@ -26,10 +26,12 @@ def register_views(tables: Tables, names=TABLE_NAMES, prefix: str = "") -> None:
         getattr(tables, n).createOrReplaceTempView(prefix + n)
 
 
-def run_sql_report(tables: Tables, name: str, period: Period) -> DataFrame:
-    """Run ``sql/<name>.sql`` with the period bound as named parameters."""
+def run_sql_report(tables: Tables, name: str, period: Period | None = None, **params) -> DataFrame:
+    """Run ``sql/<name>.sql`` with the period (and any further ``params``) bound as
+    named parameters."""
     text = sql_text(name)
     needed = [n for n in TABLE_NAMES if n in text]
     register_views(tables, needed)
-    args = {k: v for k, v in period.args().items() if f":{k}" in text}
+    args = {k: v for k, v in (period.args() if period else {}).items() if f":{k}" in text}
+    args.update(params)
     return tables.spark.sql(text, args=args)
