@@ -156,6 +156,25 @@ def sink_snapshot(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@register(
+    "ticket_snapshot",
+    O.with_fixtures(
+        rounded_sql(
+            f"""SELECT id, CAST(date AS DATE) AS date, status, {O.type_label_sql('type_code')} AS type, itilcategories_id,
+       requesttypes_id, {O.clock_sql('close_secs')} AS close_delay_stat, {O.clock_sql('solve_secs')} AS solve_delay_stat,
+       CAST(solvedate AS DATE) AS solvedate, CAST(time_to_resolve AS DATE) AS time_to_resolve,
+       nome_categoria, peso, origem, nome_tecnico, tempo_medio_fechamento, tempo_medio_solucao,
+       tempo_fechamento, tempo_solucao, atraso FROM derived""",
+            ["tempo_medio_fechamento", "tempo_medio_solucao", "tempo_fechamento", "tempo_solucao"],
+        ),
+        O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)]),
+    ),
+)
+def ticket_snapshot(t: Tables) -> DataFrame:
+    """The ticket rows after the derived columns, before grading."""
+    return R.ticket_snapshot(t, PERIOD)
+
+
 # -- P: report periods over a column of dates ---------------------------------------------
 
 

@@ -64,6 +64,15 @@ def _graded(
     return S.grade_tickets(derived, config, _month_bound(period))
 
 
+def ticket_snapshot(tables: Tables, period: Period, config: ScoreConfig | None = None) -> DataFrame:
+    """S14 for tickets: the rows after the derived columns (X01-X06, F07), before grading;
+    write it with ``sinks.write_snapshot``. Worklog and change/problem snapshots are the
+    ``worklog_report`` and ``changes_report``/``problems_report`` stages themselves."""
+    config = config or ScoreConfig()
+    derived = S.derive_ticket_columns(assigned_tickets(tables, period), config.exclude_technicians)
+    return S.drop_hidden(derived)
+
+
 def graded_tickets_full(
     tables: Tables, period: Period, config: ScoreConfig | None = None, clock_text: bool = True
 ) -> DataFrame:
