@@ -1,7 +1,8 @@
 """The user-facing reports (R01-R11), each one lazy DataFrame plan from scan to result.
 
-Nothing here triggers a job except the size checks of the lookup tables; the caller
-decides where the result goes (a sink, ``collect`` of a small summary, ...).
+Building a report runs two kinds of jobs only: the bounded size check of the category
+table, and the checkpoint of the derived ticket rows that grading reads twice. The rest
+runs when the caller sends the result somewhere (a sink, ``collect`` of a summary, ...).
 """
 
 from __future__ import annotations
