@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import in_dates, observer_eligible
 from ..schemas import ROLE_ASSIGNED, ROLE_OBSERVER
 from ..sources.tables import Tables
-from .joins import broadcast_if_bounded, left_lookup
+from .joins import broadcast_if_bounded, fan_out_join, left_lookup
 
 
 @dataclass
@@ -74,19 +74,14 @@ def join_assignee(
     """J02 + J03: one row per (item, assigned user); the first name of that user.
 
     An item without an assignee keeps one row with a null name; a bridge row whose
-    user is missing keeps its row with a null name too.
+    user is missing keeps its row with a null name too. The bridge join is a
+    ``fan_out_join``, so one item with a large share of the bridge rows is still split.
     """
     assigned = bridge.filter(F.col("type") == role).select(
         F.col(item_col).alias("__item"), F.col("users_id").alias("__user")
     )
-    with_bridge = df.join(assigned, df["id"] == assigned["__item"], "left")
-    named = left_lookup(
-        with_bridge.select(*[df[c] for c in df.columns], assigned["__user"]),
-        users,
-        "__user",
-        "id",
-        {"firstname": name},
-    )
+    with_bridge = fan_out_join(df, assigned, "id", "__item", ["__user"])
+    named = left_lookup(with_bridge, users, "__user", "id", {"firstname": name})
     return named.drop("__user")
 
 
@@ -152,5 +147,4 @@ def observer_pairs(tickets: DataFrame, tables: Tables, first, last) -> DataFrame
 def join_observers(df: DataFrame, pairs: DataFrame) -> DataFrame:
     """Fan out per eligible observer; tickets without one keep a null observer."""
     right = pairs.select(F.col("id").alias("__obs_id"), "nome_observador")
-    joined = df.join(right, df["id"] == right["__obs_id"], "left")
-    return joined.select(*[df[c] for c in df.columns], right["nome_observador"])
+    return fan_out_join(df, right, "id", "__obs_id", ["nome_observador"])

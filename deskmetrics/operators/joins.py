@@ -70,6 +70,29 @@ def left_lookup(
     return joined.select(*[df[c] for c in df.columns], *[right[c] for c in columns.values()])
 
 
+def fan_out_join(df: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str]) -> DataFrame:
+    """``df LEFT JOIN right ON left_key = right_key`` where ``right`` may hold many rows per
+    key (one output row per match), written so that a hot key on either side can be split.
+
+    AQE splits a skewed partition only on the left side of a left outer join, so one key
+    holding a large share of ``right`` would land in a single task. Here the matches
+    come from an inner join (AQE may split either side), and the left rows without any
+    match from an anti join against the distinct right keys (a map-side-combined
+    aggregate, so a hot key is one row per task before the shuffle). Output: the columns
+    of ``df`` followed by ``columns`` of ``right``; null ``columns`` for unmatched rows.
+    """
+    key_alias = f"__fk_{right_key}"
+    r = right.select(F.col(right_key).alias(key_alias), *[F.col(c) for c in columns])
+    matched = df.join(r, df[left_key] == r[key_alias], "inner").select(
+        *[df[c] for c in df.columns], *[r[c] for c in columns]
+    )
+    keys = right.select(F.col(right_key).alias(key_alias)).distinct()
+    unmatched = df.join(keys, df[left_key] == keys[key_alias], "left_anti").select(
+        *[F.col(c) for c in df.columns], *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
+    )
+    return matched.unionByName(unmatched)
+
+
 def keep_columns(df: DataFrame, allowed: Sequence[str]) -> DataFrame:
     """Keep the allowed columns in input order; names not present are ignored."""
     wanted = set(allowed)
