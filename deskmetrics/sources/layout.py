@@ -43,9 +43,10 @@ def write_layout(
     (for example 128-512 MB of parquet per bucket).
     """
     spark = tables.spark
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    root = location.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_database'")
     for name in names:
-        writer = getattr(tables, name).write.mode("overwrite").option("path", f"{location.rstrip('/')}/{name}")
+        writer = getattr(tables, name).write.mode("overwrite").option("path", f"{root}/{name}")
         key = BUCKET_KEYS.get(name)
         if key is not None:
             writer = writer.bucketBy(num_buckets, key).sortBy(key)
