@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import in_dates, observer_eligible
 from ..schemas import ROLE_ASSIGNED, ROLE_OBSERVER
 from ..sources.tables import Tables
-from .joins import broadcast_if_bounded, fan_out_join, left_lookup
+from .joins import broadcast_if_bounded, fan_out_join, fan_out_mapping, left_lookup
 
 
 @dataclass
@@ -63,6 +63,13 @@ def join_request_type(df: DataFrame, lk: Lookups) -> DataFrame:
     return left_lookup(df, lk.request_types, "requesttypes_id", "id", {"name": "origem"}, lk.request_types_small)
 
 
+def assigned_users(bridge: DataFrame, item_col: str, role: int = ROLE_ASSIGNED) -> DataFrame:
+    """Bridge rows of one role as ``(__item, __user)``."""
+    return bridge.filter(F.col("type") == role).select(
+        F.col(item_col).alias("__item"), F.col("users_id").alias("__user")
+    )
+
+
 def join_assignee(
     df: DataFrame,
     bridge: DataFrame,
@@ -77,10 +84,7 @@ def join_assignee(
     user is missing keeps its row with a null name too. The bridge join is a
     ``fan_out_join``, so one item with a large share of the bridge rows is still split.
     """
-    assigned = bridge.filter(F.col("type") == role).select(
-        F.col(item_col).alias("__item"), F.col("users_id").alias("__user")
-    )
-    with_bridge = fan_out_join(df, assigned, "id", "__item", ["__user"])
+    with_bridge = fan_out_join(df, assigned_users(bridge, item_col, role), "id", "__item", ["__user"])
     named = left_lookup(with_bridge, users, "__user", "id", {"firstname": name})
     return named.drop("__user")
 

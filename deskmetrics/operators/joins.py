@@ -70,27 +70,42 @@ def left_lookup(
     return joined.select(*[df[c] for c in df.columns], *[right[c] for c in columns.values()])
 
 
+def fan_out_mapping(keys: DataFrame, right: DataFrame, right_key: str, columns: list[str], key: str) -> DataFrame:
+    """Rows ``(key, *columns)`` of ``right`` for the distinct ``keys`` (a one-column frame
+    named ``key``), plus one all-null row for every key without a match: at least one row
+    per key, exactly what a left join on those keys would attach.
+
+    Only the key column of the left side is read here, and the unmatched keys come from
+    an anti join against the distinct right keys, a map-side-combined aggregate, so a
+    hot right key is one row per task before any shuffle.
+    """
+    r = right.select(F.col(right_key).alias(key), *[F.col(c) for c in columns])
+    right_keys = r.select(key).distinct()
+    missing = keys.join(right_keys, key, "left_anti").select(
+        key, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
+    )
+    return r.unionByName(missing)
+
+
 def fan_out_join(df: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str]) -> DataFrame:
     """``df LEFT JOIN right ON left_key = right_key`` where ``right`` may hold many rows per
     key (one output row per match), written so that a hot key on either side can be split.
 
     AQE splits a skewed partition only on the left side of a left outer join, so one key
-    holding a large share of ``right`` would land in a single task. Here the matches
-    come from an inner join (AQE may split either side), and the left rows without any
-    match from an anti join against the distinct right keys (a map-side-combined
-    aggregate, so a hot key is one row per task before the shuffle). Output: the columns
-    of ``df`` followed by ``columns`` of ``right``; null ``columns`` for unmatched rows.
+    holding a large share of ``right`` would land in a single task. Here ``df`` meets a
+    ``fan_out_mapping`` (at least one row per key) in an inner join, which AQE may split
+    on either side; rows with a null key never match and pass through with nulls.
+    Output: the columns of ``df`` followed by ``columns`` (null when unmatched).
     """
-    key_alias = f"__fk_{right_key}"
-    r = right.select(F.col(right_key).alias(key_alias), *[F.col(c) for c in columns])
-    matched = df.join(r, df[left_key] == r[key_alias], "inner").select(
-        *[df[c] for c in df.columns], *[r[c] for c in columns]
-    )
-    keys = right.select(F.col(right_key).alias(key_alias)).distinct()
-    unmatched = df.join(keys, df[left_key] == keys[key_alias], "left_anti").select(
-        *[F.col(c) for c in df.columns], *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
+    key = f"__fk_{right_key}"
+    keys = df.select(F.col(left_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    mapping = fan_out_mapping(keys, right, right_key, columns, key)
+    matched = df.join(mapping, df[left_key] == mapping[key], "inner").select(
+        *[df[c] for c in df.columns], *[mapping[c] for c in columns]
     )
-    return matched.unionByName(unmatched)
+    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
+    null_keys = df.filter(F.col(left_key).isNull()).select(*[F.col(c) for c in df.columns], *nulls)
+    return matched.unionByName(null_keys)
 
 
 def keep_columns(df: DataFrame, allowed: Sequence[str]) -> DataFrame:

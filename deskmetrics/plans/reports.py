@@ -18,7 +18,7 @@ from ..operators import accounts as A
 from ..operators import enrich as E
 from ..operators import scoring as S
 from ..operators import worklog as W
-from ..operators.joins import keep_columns
+from ..operators.joins import fan_out_mapping, keep_columns, left_lookup
 from ..schemas import CHANGE_TAG, COMMON_COLUMNS, DETAIL_COLUMNS, PROBLEM_TAG, SUMMARY_LABELS
 from ..session import materialize as _materialize
 from ..sources.tables import Tables
@@ -42,15 +42,18 @@ def _month_bound(period: Period) -> int | None:
 def assigned_tickets(tables: Tables, period: Period) -> DataFrame:
     """SQL part of R01: finished tickets of the period with category, weight, origin,
     assignee first name (one row per assignee) and the previous year's category means
-    in seconds."""
+    in seconds. The assignee fan-out runs on the bare tickets, so its key-only side reads
+    just the ticket ids; the lookups follow."""
     lk = E.Lookups.of(tables)
-    t = _in_period(tables.tickets, period)
+    base = _in_period(tables.tickets, period)
+    t = E.join_assignee(base, tables.tickets_users, tables.users, "tickets_id")
     t = E.join_category(t, lk)
     t = E.join_category_weight(t, lk)
     t = E.join_request_type(t, lk)
-    t = E.join_assignee(t, tables.tickets_users, tables.users, "tickets_id")
     baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.baseline_last)
-    return E.join_category_baseline(t, baseline, lk)
+    t = E.join_category_baseline(t, baseline, lk)
+    added = ["nome_categoria", "peso", "origem", "nome_tecnico", "tempo_medio_fechamento", "tempo_medio_solucao"]
+    return t.select(*base.columns, *added)
 
 
 def _graded(
@@ -201,11 +204,19 @@ def observed_tickets(tables: Tables, period: Period) -> DataFrame:
     previous year to the final date (A03)."""
     lk = E.Lookups.of(tables)
     base = _in_period(tables.tickets, period)
-    # Both fan-out joins are keyed on the ticket id, so they share one shuffle of the
-    # tickets; the user lookup (keyed on the user) comes after them.
+    # Both fan-outs are built from the distinct ticket ids only, then attached with inner
+    # joins on the ticket id that share one shuffle of the tickets.
+    keys = base.select(F.col("id").alias("__k")).distinct()
     pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
-    t = E.join_observers(base, pairs)
-    t = E.join_assignee(t, tables.tickets_users, tables.users, "tickets_id")
+    observers = fan_out_mapping(keys, pairs, "id", ["nome_observador"], "__k")
+    assignees = fan_out_mapping(
+        keys, E.assigned_users(tables.tickets_users, "tickets_id"), "__item", ["__user"], "__k"
+    ).withColumnRenamed("__k", "__k2")
+    t = base.join(observers, base["id"] == observers["__k"], "inner").join(
+        assignees, base["id"] == assignees["__k2"], "inner"
+    )
+    t = t.select(*base.columns, "nome_observador", "__user")
+    t = left_lookup(t, tables.users, "__user", "id", {"firstname": "nome_tecnico"})
     t = E.join_category(t, lk)
     t = E.join_request_type(t, lk)
     baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.final)
