@@ -1,6 +1,8 @@
 """Sources, sinks, session helpers and parameterised SQL."""
 
+import contextlib
 import datetime as dt
+import io
 import os
 
 import pytest
@@ -98,3 +100,28 @@ def test_run_all_writes_reports(spark):
     assert set(counts) == {"tickets", "worklog", "accounts"}
     assert counts["accounts"] == 96
     assert all(os.path.isdir(f"{root}/{n}") for n in counts)
+
+
+def test_fan_out_join_equals_left_join(spark):
+    from deskmetrics.operators.joins import fan_out_join
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (2, "e")], "id long, x string")
+    hot = [(2, f"u{i}") for i in range(200)]
+    right = spark.createDataFrame(hot + [(1, "v"), (9, "w"), (None, "z")], "k long, y string")
+    got = fan_out_join(left, right, "id", "k", ["y"])
+    want = left.join(right, left["id"] == right["k"], "left").select(left["id"], left["x"], right["y"])
+    assert got.columns == ["id", "x", "y"]
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.count() == 1 + 200 * 2 + 1 + 1
+
+
+def test_fan_out_join_plan_is_inner(spark):
+    from deskmetrics.operators.joins import fan_out_join
+
+    left = spark.createDataFrame([(1, "a")], "id long, x string")
+    right = spark.createDataFrame([(1, "v")], "k long, y string")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        fan_out_join(left, right, "id", "k", ["y"]).explain()
+    p = buf.getvalue()
+    assert "LeftOuter" not in p and ("Inner" in p)
