@@ -1,10 +1,10 @@
 """Enrichment joins (J01-J10) and the category baseline.
 
-Each item row (ticket, change, problem) is extended with looked-up names. The lookups
-that are dimension tables (categories, weights, request types, the per-category
-baseline) go through a size check and are broadcast when small; the bridge and user
-tables may be as large as the facts and are left to the planner (sort-merge with AQE
-skew splitting, or a broadcast if AQE measures them small).
+Each item row (ticket, change, problem) is extended with looked-up names. The category
+table (and with it the per-category baseline) is broadcast after a bounded size check;
+weights and request types are left to Spark's size-based choice. The bridge joins fan
+out (many rows per item) and go through ``joins.fan_out_join``, so a hot item is split
+on either side; the user lookups are keyed on the user and split on the detail side.
 """
 
 from __future__ import annotations
