@@ -25,6 +25,8 @@ from .catalog import (
     rounded_sql,
 )
 
+GRADED_CTES = O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)])
+
 # -- S: scans, parameterised SQL, sinks ----------------------------------------------------
 
 
@@ -326,6 +328,36 @@ def enrich_tickets(t: Tables) -> DataFrame:
     return R.assigned_tickets(t, PERIOD)
 
 
+@register(
+    "project_detail",
+    O.with_fixtures(
+        rounded_sql(
+            f"""SELECT id, CAST(date AS DATE) AS date, {O.type_label_sql('type_code')} AS type, nome_categoria, peso, origem,
+       nome_tecnico, tempo_medio_fechamento, tempo_medio_solucao, tempo_fechamento, tempo_solucao, atraso,
+       nota_final_tempos, delta_tempo_solucao, diferenca_media_vs_gasto_solucao, nota_final FROM final""",
+            [
+                "tempo_medio_fechamento",
+                "tempo_medio_solucao",
+                "tempo_fechamento",
+                "tempo_solucao",
+                "nota_final_tempos",
+                "delta_tempo_solucao",
+                "diferenca_media_vs_gasto_solucao",
+                "nota_final",
+            ],
+        ),
+        GRADED_CTES,
+    ),
+)
+def project_detail(t: Tables) -> DataFrame:
+    """C03 with the detail allow-list applied to the full graded frame (input order kept,
+    names the frame lacks, such as ``locations_id``, ignored)."""
+    from ..operators.joins import keep_columns
+    from ..schemas import DETAIL_COLUMNS
+
+    return keep_columns(R.graded_tickets_full(t, PERIOD), DETAIL_COLUMNS)
+
+
 @register(
     "project_common",
     O.with_fixtures(
@@ -454,7 +486,6 @@ def category_baseline_to_date(t: Tables) -> DataFrame:
 
 # -- W: per-month tables ---------------------------------------------------------------------
 
-GRADED_CTES = O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)])
 
 
 def _with_deltas(t: Tables):
