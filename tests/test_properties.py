@@ -1,5 +1,6 @@
 """Properties: expressions against plain Python on generated batches, bounds on real data."""
 
+import datetime as dt
 import math
 
 import pytest
@@ -89,3 +90,27 @@ def test_account_totals_grow_with_largest_id(spark):
     assert totals == sorted(totals)
     assert all(r["novas_contas"] <= r["total_contas"] for r in rows)
     assert not any(math.isnan(x) for x in totals)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2040, 12, 31)), min_size=1, max_size=30))
+def test_period_columns_match_python(spark, days):
+    from deskmetrics.functions import period as P
+
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    d = F.col("d")
+    rows = df.select(
+        P.baseline_first_col(d).alias("bf"),
+        P.baseline_last_col(d).alias("bl"),
+        P.default_initial_col(d).alias("di"),
+        P.default_final_col(d).alias("df"),
+        P.annual_initial_col(d).alias("ai"),
+        P.month_end_col(d).alias("me"),
+    ).collect()
+    for day, r in zip(days, rows):
+        base = P.Period.of(None, day)
+        assert (r["bf"], r["bl"]) == (base.baseline_first, base.baseline_last)
+        default = P.default_period(day)
+        assert (r["di"], r["df"]) == (default.initial, default.final)
+        annual = P.period_for_mode("anual", day)
+        assert (r["ai"], r["me"]) == (annual.initial, annual.final)
