@@ -1,7 +1,8 @@
 """The user-facing reports (R01-R11), each one lazy DataFrame plan from scan to result.
 
 Building a report runs two kinds of jobs only: the bounded size check of the category
-table, and the checkpoint of the derived ticket rows that grading reads twice. The rest
+table, and checkpoints of intermediate results that a plan reads twice (the derived
+ticket rows in grading, the observer pairs, the per-(day, bucket) account ranks). The rest
 runs when the caller sends the result somewhere (a sink, ``collect`` of a summary, ...).
 """
 
@@ -207,7 +208,8 @@ def observed_tickets(tables: Tables, period: Period) -> DataFrame:
     # Both fan-outs are built from the distinct ticket ids only, then attached with inner
     # joins on the ticket id that share one shuffle of the tickets.
     keys = base.select(F.col("id").alias("__k")).distinct()
-    pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
+    # The pairs (a three-way join) feed both halves of the mapping: written once.
+    pairs = _materialize(E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final))
     observers = fan_out_mapping(keys, pairs, "id", ["nome_observador"], "__k")
     assignees = fan_out_mapping(
         keys, E.assigned_users(tables.tickets_users, "tickets_id"), "__item", ["__user"], "__k"
