@@ -113,6 +113,43 @@ def tickets_for_combining(tables: Tables, period: Period, config: ScoreConfig |
     return keep_columns(derived, COMMON_COLUMNS)
 
 
+class TicketReport:
+    """One graded ticket set with its several outputs, graded (and checkpointed) once.
+
+    ``full()`` keeps every column, ``detail()`` the detail allow-list, ``summary()`` the
+    technician-month summary, ``common()`` the columns shared with changes/problems and
+    ``snapshot()`` the rows before grading. Asking for several of them reads the same
+    checkpointed rows instead of grading again.
+    """
+
+    def __init__(self, tables: Tables, period: Period, config: ScoreConfig | None = None, clock_text: bool = True):
+        self.tables, self.period = tables, period
+        self.config = config or ScoreConfig()
+        self.clock_text = clock_text
+        self._graded: DataFrame | None = None
+
+    @property
+    def graded(self) -> DataFrame:
+        if self._graded is None:
+            self._graded = _graded(self.tables, self.period, self.config, self.clock_text)
+        return self._graded
+
+    def full(self) -> DataFrame:
+        return S.drop_hidden(self.graded)
+
+    def detail(self) -> DataFrame:
+        return keep_columns(self.full(), DETAIL_COLUMNS)
+
+    def summary(self, labels: bool = True) -> DataFrame:
+        return S.technician_summary(self.graded, self.config, labels)
+
+    def common(self) -> DataFrame:
+        return keep_columns(self.full(), COMMON_COLUMNS)
+
+    def snapshot(self) -> DataFrame:
+        return ticket_snapshot(self.tables, self.period, self.config)
+
+
 # -- changes and problems ----------------------------------------------------------
 
 

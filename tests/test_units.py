@@ -125,3 +125,14 @@ def test_fan_out_join_plan_is_inner(spark):
         fan_out_join(left, right, "id", "k", ["y"]).explain()
     p = buf.getvalue()
     assert "LeftOuter" not in p and ("Inner" in p)
+
+
+def test_ticket_report_outputs_share_one_grading(spark):
+    t = Tables.fixtures(spark, SF_SMALL)
+    period = Period.of("1996-01-01", "2000-06-30")
+    rep = R.TicketReport(t, period)
+    assert rep.full().count() == rep.detail().count() == 610
+    assert rep.summary().count() == 225
+    assert rep.graded is rep.graded
+    assert set(rep.detail().columns) <= set(rep.full().columns)
+    assert rep.summary().exceptAll(R.technician_month_summary(t, period)).count() == 0
