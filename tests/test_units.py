@@ -136,3 +136,15 @@ def test_ticket_report_outputs_share_one_grading(spark):
     assert rep.graded is rep.graded
     assert set(rep.detail().columns) <= set(rep.full().columns)
     assert rep.summary().exceptAll(R.technician_month_summary(t, period)).count() == 0
+
+
+def test_command_line_batch_run(spark, capsys):
+    import json
+
+    from deskmetrics.__main__ import main
+
+    out = fresh_path(spark, "cli")
+    main(["--fixtures", SF_SMALL, "--out", out, "--mode", "anual", "--today", "2000-06-15", "--sequential"])
+    lines = [json.loads(l) for l in capsys.readouterr().out.splitlines() if l.startswith("{")]
+    assert {l["report"] for l in lines} == {"tickets", "worklog", "accounts"}
+    assert {l["report"]: l["rows"] for l in lines}["accounts"] == 96
