@@ -53,12 +53,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 
     On a cluster that setting names shared storage and is read as given (and handed to
-    the SparkContext if only the session knows it). Only where it is unset (local tests)
-    a fresh folder is made and registered as the checkpoint dir.
+    the SparkContext if only the session knows it); a cluster without it is an error,
+    never a silent machine-local folder. Only in local mode without it (tests) a fresh
+    folder is made and registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="deskmetrics-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
