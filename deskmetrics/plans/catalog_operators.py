@@ -191,7 +191,7 @@ def period_baseline(t: Tables) -> DataFrame:
     """P01 per row, taking each order date as the report's final date."""
     from ..functions import period as P
 
-    o = t.spark.read.parquet(f"{t.source.sf_dir}/orders.parquet")
+    o = t.source.raw(t.spark, "orders")
     d = F.to_date("o_orderdate")
     return o.select("o_orderkey", P.baseline_first_col(d).alias("first_day"), P.baseline_last_col(d).alias("last_day"))
 
@@ -207,7 +207,7 @@ def period_default(t: Tables) -> DataFrame:
     """P02 per row, taking each order date as today."""
     from ..functions import period as P
 
-    o = t.spark.read.parquet(f"{t.source.sf_dir}/orders.parquet")
+    o = t.source.raw(t.spark, "orders")
     d = F.to_date("o_orderdate")
     return o.select(
         "o_orderkey", P.default_initial_col(d).alias("initial_date"), P.default_final_col(d).alias("final_date")
@@ -226,7 +226,7 @@ def period_modes(t: Tables) -> DataFrame:
     """P03/P04 per row, taking each order date as today."""
     from ..functions import period as P
 
-    o = t.spark.read.parquet(f"{t.source.sf_dir}/orders.parquet")
+    o = t.source.raw(t.spark, "orders")
     d = F.to_date("o_orderdate")
     return o.select(
         "o_orderkey",

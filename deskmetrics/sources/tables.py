@@ -84,10 +84,17 @@ class FixtureSource(Source):
         self.sf_dir = sf_dir
         self._fixtures: FixtureTables | None = None
 
-    def load(self, spark: SparkSession, name: str) -> DataFrame:
+    def fixtures(self, spark: SparkSession) -> FixtureTables:
         if self._fixtures is None or self._fixtures.spark is not spark:
             self._fixtures = FixtureTables(spark, self.sf_dir)
-        return getattr(self._fixtures, name)()
+        return self._fixtures
+
+    def load(self, spark: SparkSession, name: str) -> DataFrame:
+        return getattr(self.fixtures(spark), name)()
+
+    def raw(self, spark: SparkSession, name: str) -> DataFrame:
+        """One of the underlying test tables (declared schema)."""
+        return self.fixtures(spark).raw(name)
 
 
 def load_table(spark: SparkSession, name: str, source: Source) -> DataFrame:
