@@ -49,6 +49,14 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 
@@ -57,13 +65,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     never a silent machine-local folder. Only in local mode without it (tests) a fresh
     folder is made and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = _context(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not base:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="deskmetrics-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     base = str(base).rstrip("/")
     return "/".join([base, *parts]) if parts else base
