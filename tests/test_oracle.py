@@ -34,3 +34,23 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 225
     assert df.columns[:2] == ["Técnico", "Data"]
+
+
+SPARK_TO_DUCKDB = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_column_types_match_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    got = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    rel = con.sql(ORACLES[name])
+    want = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert got == want
