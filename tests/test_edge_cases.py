@@ -262,3 +262,33 @@ def test_combined_typing(spark):
     assert rows[2]["close_delay_stat"] == "3600" and rows[2]["date"] == D(2024, 1, 2)
     assert rows[2]["nome_tecnico"] is None
     assert dict(out.dtypes)["close_delay_stat"] == "string"
+
+
+def test_exclusion_before_month_bounds(spark):
+    """Excluding a technician removes their rows before the month range is taken, so the
+    others' grades move; rows without a technician stay."""
+    rows = [
+        (1, TS(2024, 1, 1), 3, "Ana", 86400, 172800),
+        (2, TS(2024, 1, 2), 3, "Pedro", 86400 * 10, 172800),
+        (3, TS(2024, 1, 3), 3, None, 43200, 172800),
+        (4, TS(2024, 1, 4), 3, "Bia", 0, 172800),
+    ]
+    df = spark.createDataFrame(
+        rows, "id long, date timestamp_ntz, peso int, nome_tecnico string, solve_delay_stat long, mean_secs long"
+    ).select(
+        "id", "date", "peso", "nome_tecnico",
+        F.col("solve_delay_stat"), F.col("solve_delay_stat").alias("close_delay_stat"),
+        F.lit(None).cast("timestamp_ntz").alias("solvedate"), F.lit(None).cast("timestamp_ntz").alias("time_to_resolve"),
+        F.lit(1).alias("type"),
+        F.col("mean_secs").cast("double").alias("tempo_medio_fechamento"),
+        F.col("mean_secs").cast("double").alias("tempo_medio_solucao"),
+    )
+    cfg_all = S.ScoreConfig()
+    cfg_ex = S.ScoreConfig(exclude_technicians=("Pedro",))
+    g_all = {r["id"]: r for r in S.grade_tickets(S.derive_ticket_columns(df), cfg_all).collect()}
+    g_ex = {r["id"]: r for r in S.grade_tickets(S.derive_ticket_columns(df, cfg_ex.exclude_technicians), cfg_ex).collect()}
+    assert 2 not in g_ex and 3 in g_ex
+    # clipped deltas (mean 2 days): Ana 1 -> 0.4, Pedro -8 -> -1, no technician 1.5 -> 0.4, Bia 2 -> 0.4
+    assert g_all[1]["min_mes_solucao"] == pytest.approx(-1.0)
+    assert g_ex[1]["min_mes_solucao"] == pytest.approx(0.4)
+    assert g_all[1]["delta_tempo_solucao_normalized"] != g_ex[1]["delta_tempo_solucao_normalized"]
