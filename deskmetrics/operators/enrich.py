@@ -1,8 +1,8 @@
 """Enrichment joins (J01-J10) and the category baseline.
 
-Each item row (ticket, change, problem) is extended with looked-up names. The category
-table (and with it the per-category baseline) is broadcast after a bounded size check;
-weights and request types are left to Spark's size-based choice. The bridge joins fan
+Each item row (ticket, change, problem) is extended with looked-up names. The category,
+weight and request-type tables (and with the categories the per-category baseline) are
+broadcast after a bounded size check. The bridge joins fan
 out (many rows per item) and go through ``joins.fan_out_join``, so a hot item is split
 on either side; the user lookups are keyed on the user and split on the detail side.
 """
@@ -17,17 +17,17 @@ from pyspark.sql import functions as F
 from ..functions.predicates import in_dates, observer_eligible
 from ..schemas import ROLE_ASSIGNED, ROLE_OBSERVER
 from ..sources.tables import Tables
-from .joins import broadcast_if_bounded, fan_out_join, fan_out_mapping, left_lookup
+from .joins import bounded_counts, fan_out_join, fan_out_mapping, left_lookup, max_broadcast_rows
 
 
 @dataclass
 class Lookups:
-    """Dimension tables of one source.
+    """Dimension tables of one source, each with a checked broadcast decision.
 
-    Only the category table gets a run-time size check: it bounds the per-category
-    baseline too (one row per known category), which Spark cannot estimate before the
-    aggregate runs. Weights and request types are left to Spark's own size-based choice
-    (``autoBroadcastJoinThreshold`` on the scan statistics, AQE on measured sizes).
+    One small job counts (up to the limit) the category, weight and request-type tables.
+    A table within ``spark.deskmetrics.broadcast.maxRows`` is broadcast; the category
+    check also bounds the per-category baseline (one row per known category). A table
+    beyond the limit is left to Spark (sort-merge join, or AQE's broadcast if measured small).
     """
 
     categories: DataFrame
@@ -42,8 +42,21 @@ class Lookups:
         cached = getattr(tables, "_lookups", None)
         if cached is not None:
             return cached
-        cat, cat_ok = broadcast_if_bounded(tables.categories, max_rows)
-        out = cls(cat, cat_ok, tables.category_weights, False, tables.request_types, False)
+        frames = {
+            "categories": tables.categories,
+            "weights": tables.category_weights,
+            "request_types": tables.request_types,
+        }
+        limit = max_broadcast_rows(tables.categories) if max_rows is None else max_rows
+        small = bounded_counts(frames, limit) if limit > 0 else {k: False for k in frames}
+        out = cls(
+            frames["categories"],
+            small["categories"],
+            frames["weights"],
+            small["weights"],
+            frames["request_types"],
+            small["request_types"],
+        )
         tables._lookups = out
         return out
 
@@ -110,6 +123,8 @@ def category_baseline(
         .agg(F.avg("close_delay_stat").alias(close_name), F.avg("solve_delay_stat").alias(solve_name))
     )
     known = lk.categories.select(F.col("id").alias("__cat"))
+    if lk.categories_small:
+        known = F.broadcast(known)
     return per_category.join(known, per_category["itilcategories_id"] == known["__cat"], "left_semi")
 
 

@@ -1,7 +1,7 @@
 """Join helpers with an explicit size check before any broadcast.
 
 A side is broadcast only when its size is proven: either checked at run time with a
-bounded count (``limit(n + 1).count()`` reads at most n + 1 rows), or bounded by
+bounded count (``limit(n + 1)`` then count: at most n + 1 rows are read), or bounded by
 construction (e.g. one row per month of a known period). Otherwise no hint is given and
 Spark chooses: its static size estimate against ``autoBroadcastJoinThreshold`` and,
 with AQE, the measured size of a finished shuffle stage, falling back to a sort-merge
@@ -26,17 +26,17 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return MAX_BROADCAST_ROWS if value in (None, "") else int(value)
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``(df with a broadcast hint, True)`` when small enough, else ``(df, False)``."""
-    max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
-    if max_rows > 0 and has_at_most(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
+def bounded_counts(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """For each frame, whether it has at most ``max_rows`` rows, all in one small job
+    (each side reads at most ``max_rows + 1`` rows)."""
+    probe = None
+    for name, df in dfs.items():
+        part = df.limit(max_rows + 1).groupBy().agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("name"), "n"
+        )
+        probe = part if probe is None else probe.unionByName(part)
+    counts = {r["name"]: r["n"] for r in probe.collect()}
+    return {name: counts.get(name, 0) <= max_rows for name in dfs}
 
 
 def broadcast_by_bound(df: DataFrame, row_bound: int | None, max_rows: int | None = None) -> DataFrame:
