@@ -52,3 +52,28 @@ def test_hot_ticket_is_split(skew_session):
         df.explain()
     plan = buf.getvalue()
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_hot_technician_month_is_split(skew_session):
+    from deskmetrics.operators import scoring as S
+
+    spark = skew_session
+    df = spark.range(0, 20000).select(
+        F.col("id"),
+        F.when(F.col("id") < 15000, F.lit("2024-01-10")).otherwise(F.lit("2024-02-10")).cast("date").alias("date"),
+        F.when(F.col("id") < 15000, F.lit("Ana")).otherwise(F.concat(F.lit("t"), (F.col("id") % 40).cast("string"))).alias(
+            "nome_tecnico"
+        ),
+        F.lit(3).alias("peso"),
+        F.lit(1.0).alias("tempo_medio_solucao"),
+        ((F.col("id") % 17) / 10.0).alias("tempo_solucao"),
+        F.lit(False).alias("atraso"),
+    )
+    g = S.grade_tickets(df, S.ScoreConfig())
+    out = S.technician_summary(g, S.ScoreConfig(), labels=False)
+    rows = {(r["nome_tecnico"], r["date2"]): r for r in out.collect()}
+    assert rows[("Ana", "2024-01")]["id"] == 15000
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    assert "SortMergeJoin(skew=true)" in buf.getvalue()
