@@ -77,3 +77,51 @@ def test_hot_technician_month_is_split(skew_session):
     with contextlib.redirect_stdout(buf):
         out.explain()
     assert "SortMergeJoin(skew=true)" in buf.getvalue()
+
+
+def test_hot_task_is_split_in_the_worklog(skew_session):
+    import datetime as dt
+
+    from deskmetrics.operators.worklog import worklog_grouped
+    from deskmetrics.sources.tables import Source, Tables
+
+    spark = skew_session
+
+    class Frames(Source):
+        def __init__(self, frames):
+            self.frames = frames
+
+        def load(self, spark, name):
+            return self.frames[name]
+
+    start = F.lit(dt.datetime(2024, 1, 2, 8)).cast("timestamp_ntz")
+    timers = spark.range(0, 20000).select(
+        F.when(F.col("id") < 15000, F.lit(1000)).otherwise(1000 + F.col("id") % 300).alias("tasks_id"),
+        start.alias("actual_begin"),
+        F.timestamp_add("SECOND", F.lit(60), start).alias("actual_end"),
+        F.lit(60).cast("bigint").alias("actual_actiontime"),
+    )
+    tasks = spark.range(1000, 1300).select(
+        F.col("id"),
+        (F.col("id") % 50).alias("tickets_id"),
+        start.alias("date"),
+        (1 + F.col("id") % 7).alias("users_id_tech"),
+        F.lit(60).cast("bigint").alias("actiontime"),
+    )
+    frames = {
+        "timers": timers,
+        "tasks": tasks,
+        "tickets": spark.range(0, 50).select(F.col("id"), F.lit(1).alias("itilcategories_id")),
+        "categories": spark.createDataFrame([(1, "Rede")], "id int, name string"),
+        "category_weights": spark.createDataFrame([(1, 3)], "items_id int, pesofield int"),
+        "request_types": spark.createDataFrame([(1, "Email")], "id int, name string"),
+        "tickets_users": spark.range(0, 50).select(F.col("id").alias("tickets_id"), F.lit(1).cast("long").alias("users_id"), F.lit(2).alias("type")),
+        "users": spark.range(0, 10).select(F.col("id"), F.concat(F.lit("u"), F.col("id").cast("string")).alias("firstname")),
+    }
+    df = worklog_grouped(Tables(spark, Frames(frames)), dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    rows = df.collect()
+    assert sum(r["tempo_via_plugin"] for r in rows) == 20000 * 60
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert "SortMergeJoin(skew=true)" in buf.getvalue()
