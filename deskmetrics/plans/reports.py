@@ -314,14 +314,16 @@ def run_all(
     Each report is written as a CSV report below ``out_root`` by the executors. The three
     reports are independent, so with ``parallel`` they are submitted from a small thread
     pool and run as concurrent Spark jobs sharing the cluster (only plans pass through
-    the driver). The result is one row per report with the row count read back from
-    what was written.
+    the driver). Row counts are observed while writing (``DataFrame.observe``), so no
+    report is read again. Result: one row per report with its row count.
     """
     import datetime as dt
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark.sql import Observation
+
     from ..functions.period import period_for_mode
-    from ..sources.sinks import read_report, write_report
+    from ..sources.sinks import write_report
 
     period = period_for_mode(mode, today or dt.date.today())
     E.Lookups.of(tables)  # one size check, shared by the reports
@@ -331,18 +333,17 @@ def run_all(
         "accounts": lambda: account_growth_report(tables),
     }
 
-    def run(name: str) -> str:
-        return write_report(builders[name](), f"{out_root.rstrip('/')}/{name}")
+    def run(name: str) -> int:
+        seen = Observation(f"rows_{name}")
+        df = builders[name]().observe(seen, F.count(F.lit(1)).alias("rows"))
+        write_report(df, f"{out_root.rstrip('/')}/{name}")
+        return int(seen.get["rows"])
 
     if parallel:
         with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-            paths = dict(zip(builders, pool.map(run, builders)))
+            counts = dict(zip(builders, pool.map(run, builders)))
     else:
-        paths = {name: run(name) for name in builders}
-
-    counts = None
-    for name, path in paths.items():
-        c = read_report(tables.spark, path).groupBy().agg(F.count(F.lit(1)).alias("linhas"))
-        c = c.select(F.lit(name).alias("report"), "linhas")
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+        counts = {name: run(name) for name in builders}
+    return tables.spark.createDataFrame(
+        [(name, counts[name]) for name in builders], "report string, linhas bigint"
+    )
