@@ -18,6 +18,7 @@ from .catalog import (
     ACCOUNTS_BODY,
     CHANGES_SQL,
     OBSERVED_CTE,
+    PROBLEMS_SQL,
     PERIOD,
     TWO_METRICS,
     WORKLOG_CTE,
@@ -81,6 +82,17 @@ def param_sql_tickets(t: Tables) -> DataFrame:
     return run_sql_report(t, "tickets_assigned", PERIOD)
 
 
+@register("param_sql_problems", O.with_fixtures(PROBLEMS_SQL))
+def param_sql_problems(t: Tables) -> DataFrame:
+    """The problems report from a SQL text with named parameters."""
+    from ..operators.joins import keep_columns
+    from ..schemas import COMMON_COLUMNS, PROBLEM_TAG
+    from .sql import run_sql_report
+
+    df = run_sql_report(t, "problems", PERIOD)
+    return keep_columns(df.drop("type").withColumn("type", F.lit(PROBLEM_TAG)), COMMON_COLUMNS)
+
+
 @register("param_sql_tasks", O.with_fixtures("SELECT * FROM tasks"))
 def param_sql_tasks(t: Tables) -> DataFrame:
     """The task table from its SQL text (a whole-table scan)."""
