@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from ..functions.predicates import not_excluded
 from ..schemas import LATE_TOTAL_LABEL, METRIC_ALIASES, SUMMARY_LABELS
-from .joins import broadcast_by_bound
+from ..session import materialize
+from .joins import bounded_counts, broadcast_by_bound, max_broadcast_rows
 
 
 @dataclass(frozen=True)
@@ -115,7 +116,9 @@ def volume_range(volume: DataFrame) -> DataFrame:
     )
 
 
-def grade_tickets(df: DataFrame, config: ScoreConfig, month_bound: int | None = None) -> DataFrame:
+def grade_tickets(
+    df: DataFrame, config: ScoreConfig, month_bound: int | None = None, check_lookup: bool = True
+) -> DataFrame:
     """X07-X14 with W01-W04: month grades, weighted grade, volume bonus, final grade.
 
     One aggregate per (month, technician) yields both the technician's volume and that
@@ -150,6 +153,14 @@ def grade_tickets(df: DataFrame, config: ScoreConfig, month_bound: int | None =
         "min_qtde_chamados",
         "max_qtde_chamados",
     )
+    if check_lookup:
+        # The lookup has one row per (month, technician name): written once, counted up to
+        # the broadcast limit, and broadcast when within it, so the detail rows need no
+        # shuffle to meet it. Beyond the limit Spark joins it by shuffling both sides.
+        lookup = materialize(lookup)
+        limit = max_broadcast_rows(lookup)
+        if limit > 0 and bounded_counts({"lookup": lookup}, limit)["lookup"]:
+            lookup = F.broadcast(lookup)
     joined = with_delta.join(
         lookup,
         (with_delta["date2"] == lookup["__m"]) & with_delta["nome_tecnico"].eqNullSafe(lookup["__t"]),

@@ -54,11 +54,8 @@ def test_hot_ticket_is_split(skew_session):
     assert "SortMergeJoin(skew=true)" in plan
 
 
-def test_hot_technician_month_is_split(skew_session):
-    from deskmetrics.operators import scoring as S
-
-    spark = skew_session
-    df = spark.range(0, 20000).select(
+def _hot_month_detail(spark):
+    return spark.range(0, 20000).select(
         F.col("id"),
         F.when(F.col("id") < 15000, F.lit("2024-01-10")).otherwise(F.lit("2024-02-10")).cast("date").alias("date"),
         F.when(F.col("id") < 15000, F.lit("Ana")).otherwise(F.concat(F.lit("t"), (F.col("id") % 40).cast("string"))).alias(
@@ -69,14 +66,38 @@ def test_hot_technician_month_is_split(skew_session):
         ((F.col("id") % 17) / 10.0).alias("tempo_solucao"),
         F.lit(False).alias("atraso"),
     )
-    g = S.grade_tickets(df, S.ScoreConfig())
+
+
+def _summary_plan(spark):
+    from deskmetrics.operators import scoring as S
+
+    g = S.grade_tickets(_hot_month_detail(spark), S.ScoreConfig())
     out = S.technician_summary(g, S.ScoreConfig(), labels=False)
     rows = {(r["nome_tecnico"], r["date2"]): r for r in out.collect()}
     assert rows[("Ana", "2024-01")]["id"] == 15000
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         out.explain()
-    assert "SortMergeJoin(skew=true)" in buf.getvalue()
+    return buf.getvalue()
+
+
+def test_hot_technician_month_is_split(skew_session):
+    """A (month, technician) lookup beyond the broadcast limit: both sides are shuffled
+    and the hot technician-month is split."""
+    spark = skew_session
+    spark.conf.set("spark.deskmetrics.broadcast.maxRows", "0")
+    try:
+        plan = _summary_plan(spark)
+    finally:
+        spark.conf.unset("spark.deskmetrics.broadcast.maxRows")
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_small_lookup_is_broadcast(skew_session):
+    """Within the limit the lookup is broadcast: the detail rows are not shuffled to meet it."""
+    plan = _summary_plan(skew_session)
+    assert "hashpartitioning(date2" not in plan
+    assert "BroadcastHashJoin" in plan
 
 
 def test_hot_task_is_split_in_the_worklog(skew_session):
