@@ -1,10 +1,12 @@
 """The user-facing reports (R01-R11), each one lazy DataFrame plan from scan to result.
 
-Building a report runs two kinds of jobs only: bounded size checks (dimension tables,
-the grading lookup), and checkpoints of small or twice-read intermediate results (the derived ticket
-rows and the per-(month, technician) lookup in grading, the observer pairs, the
-per-(day, bucket) account ranks). The rest
-runs when the caller sends the result somewhere (a sink, ``collect`` of a summary, ...).
+Building a report runs two kinds of jobs only:
+* bounded size checks (the dimension tables, the grading lookup);
+* checkpoints of small or twice-read intermediate results (the derived ticket rows and
+  the per-(month, technician) lookup in grading, the observer pairs, the per-(day,
+  bucket) account ranks).
+The rest runs when the caller sends the result somewhere (a sink, ``collect`` of a
+summary, ...).
 """
 
 from __future__ import annotations
