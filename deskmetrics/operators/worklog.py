@@ -12,6 +12,8 @@ here with the fan-out moved after the aggregation:
    sums are multiplied by that count, which is what the fan-out does to a sum.
 
 A hot ticket or technician is therefore combined on the map side before any shuffle.
+The groups are checkpointed, and the assignee summary only covers tickets that have work
+in the window (a semi join), not the whole bridge history.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from ..functions.predicates import has_technician, interval_inside, not_excluded
 from ..schemas import ROLE_ASSIGNED, WORKLOG_SUMMARY_LABELS
 from ..sources.tables import Tables
 from .enrich import Lookups
+from ..session import materialize
 from .joins import left_lookup
 
 
@@ -61,10 +64,15 @@ def worklog_grouped(tables: Tables, initial, final) -> DataFrame:
         {"name": "categoria_chamado"},
         lk.categories_small,
     )
-    # One row per ticket: number of assignee rows and the smallest assignee first name.
+    # The groups are far fewer than the timers and are read twice below: written once.
+    grouped = materialize(grouped)
+    # One row per ticket: number of assignee rows and the smallest assignee first name,
+    # only for tickets with work in the window (the bridge spans all history).
+    worked = grouped.select(F.col("tickets_id").alias("__wt")).distinct()
     bridge = tables.tickets_users.filter(F.col("type") == ROLE_ASSIGNED).select(
         F.col("tickets_id").alias("__bt"), F.col("users_id").alias("__bu")
     )
+    bridge = bridge.join(worked, bridge["__bt"] == worked["__wt"], "left_semi")
     users = tables.users.select(F.col("id").alias("__uid"), F.col("firstname"))
     assignees = (
         bridge.join(users, bridge["__bu"] == users["__uid"], "left")
