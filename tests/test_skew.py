@@ -146,3 +146,24 @@ def test_hot_task_is_split_in_the_worklog(skew_session):
     with contextlib.redirect_stdout(buf):
         df.explain()
     assert "SortMergeJoin(skew=true)" in buf.getvalue()
+
+
+def test_hot_ticket_observers_are_split(skew_session):
+    """One ticket with most observer pairs: the fan-out mapping's inner join is split."""
+    from deskmetrics.operators.joins import fan_out_mapping
+
+    spark = skew_session
+    tickets = spark.range(0, 200).select(F.col("id"), F.lit(5).alias("status"))
+    pairs = spark.range(0, 20000).select(
+        F.when(F.col("id") < 15000, F.lit(3)).otherwise(F.col("id") % 150).alias("id"),
+        F.concat(F.lit("obs"), F.col("id").cast("string")).alias("nome_observador"),
+    )
+    keys = tickets.select(F.col("id").alias("__k")).distinct()
+    mapping = fan_out_mapping(keys, pairs, "id", ["nome_observador"], "__k")
+    df = tickets.join(mapping, tickets["id"] == mapping["__k"], "inner")
+    rows = df.collect()
+    assert len(rows) == 20000 + 50  # every pair, plus one null row per ticket without observers
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert "SortMergeJoin(skew=true)" in buf.getvalue()
