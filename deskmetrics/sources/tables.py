@@ -27,10 +27,18 @@ class Source:
 
 @dataclass(frozen=True)
 class ParquetSource(Source):
+    """``root/<name>.parquet`` per table. ``schemas`` (table -> DDL string) declares the
+    layouts: the driver then reads no footer to infer them, and a file whose layout
+    drifted fails instead of shifting columns."""
+
     root: str
+    schemas: dict = field(default_factory=dict)
 
     def load(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(f"{self.root.rstrip('/')}/{name}.parquet")
+        reader = spark.read
+        if name in self.schemas:
+            reader = reader.schema(self.schemas[name])
+        return reader.parquet(f"{self.root.rstrip('/')}/{name}.parquet")
 
 
 @dataclass(frozen=True)

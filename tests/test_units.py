@@ -148,3 +148,12 @@ def test_command_line_batch_run(spark, capsys):
     lines = [json.loads(l) for l in capsys.readouterr().out.splitlines() if l.startswith("{")]
     assert {l["report"] for l in lines} == {"tickets", "worklog", "accounts"}
     assert {l["report"]: l["rows"] for l in lines}["accounts"] == 96
+
+
+def test_parquet_source_with_declared_schema(spark):
+    t = Tables.fixtures(spark, SF_SMALL)
+    root = fresh_path(spark, "declared")
+    t.categories.write.parquet(f"{root}/categories.parquet")
+    src = ParquetSource(root, schemas={"categories": "id int, name string"})
+    df = Tables(spark, src).categories
+    assert df.dtypes == [("id", "int"), ("name", "string")] and df.count() == 24
