@@ -1,6 +1,7 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame over the
-test tables, with the report parameters of FIXTURES.md §3. ``ORACLES`` holds the DuckDB
-text for each key that SQL can express.
+whole test tables, with the report parameters of FIXTURES.md §3. ``ORACLES`` holds the
+DuckDB text of every key. This module registers the report-level queries;
+``catalog_operators`` (imported at the end) the single-operator ones.
 """
 
 from __future__ import annotations
