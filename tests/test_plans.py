@@ -67,3 +67,13 @@ def test_summary_aggregates_after_partial_combine(spark):
     assert "hashpartitioning(nome_tecnico" in p
     per_ticket = [l for l in p.splitlines() if "hashpartitioning(nome_tecnico" in l and "id#" in l]
     assert per_ticket, "per-ticket level must shuffle on (technician, month, ticket)"
+
+
+def test_account_growth_joins_on_buckets_only(spark):
+    """After the checkpointed (day, bucket) ranks, the only window is the running sum over
+    buckets and every join is keyed on the bucket: nothing joins back on the id."""
+    p = plan(QUERIES["account_growth"](spark, SF_SMALL))
+    window_args = [l for l in p.splitlines() if l.startswith("Arguments:") and "windowspecdefinition" in l]
+    assert window_args and all("__bucket" in l for l in window_args)
+    keys = [l for l in p.splitlines() if l.startswith(("Left keys", "Right keys"))]
+    assert keys and all("__bucket" in l or "__ob" in l for l in keys)
