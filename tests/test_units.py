@@ -157,3 +157,10 @@ def test_parquet_source_with_declared_schema(spark):
     src = ParquetSource(root, schemas={"categories": "id int, name string"})
     df = Tables(spark, src).categories
     assert df.dtypes == [("id", "int"), ("name", "string")] and df.count() == 24
+
+
+def test_run_all_concurrent_equals_sequential(spark):
+    t = Tables.fixtures(spark, SF_SMALL)
+    a = R.run_all(t, fresh_path(spark, "par"), mode="anual", today="2000-06-15", parallel=True)
+    b = R.run_all(t, fresh_path(spark, "seq"), mode="anual", today="2000-06-15", parallel=False)
+    assert sorted(a.collect()) == sorted(b.collect())
