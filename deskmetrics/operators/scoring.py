@@ -126,7 +126,9 @@ def grade_tickets(
     (delta range, volume range). ``month_bound`` (months in the report period) proves
     the month table small enough to broadcast. Each detail row then picks up its
     (month, technician) entry with one join; rows without a technician match the
-    group of null names (null-safe key), which carries no volume.
+    group of null names (null-safe key), which carries no volume. With ``check_lookup``
+    that (month, technician) table is checkpointed and counted up to the broadcast limit,
+    and broadcast when within it, so the detail rows are not shuffled to meet it.
     """
     metrics = config.metrics()
     total_weight = sum(w for _, w in metrics)
