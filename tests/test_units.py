@@ -164,3 +164,12 @@ def test_run_all_concurrent_equals_sequential(spark):
     a = R.run_all(t, fresh_path(spark, "par"), mode="anual", today="2000-06-15", parallel=True)
     b = R.run_all(t, fresh_path(spark, "seq"), mode="anual", today="2000-06-15", parallel=False)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_summary_report_keeps_business_labels(spark):
+    t = Tables.fixtures(spark, SF_SMALL)
+    summary = R.technician_month_summary(t, Period.of("1996-01-01", "2000-06-30"))
+    back = read_report(spark, write_report(summary, fresh_path(spark, "summary")))
+    assert back.columns == summary.columns
+    assert "Diferença de tempo percentual em relação a média anual" in back.columns
+    assert back.count() == 225
