@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmetrics.llm import bpe_codec, packing, token_counts
+from deskmetrics.llm import bpe_codec, line_rules, packing, token_counts
 from deskmetrics.llm.common import table
 
 
@@ -16,10 +16,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe_codec.roundtrip(docs, then=bpe_codec.digests, schema=bpe_codec.DIGEST_SCHEMA)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op10_bpe_roundtrip)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op6_line_rules, op10_bpe_roundtrip)}
+ORACLES: dict[str, str] = {"op6_line_rules": line_rules.VERDICTS_SQL}
