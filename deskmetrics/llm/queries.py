@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmetrics.llm import bpe_codec, line_rules, packing, token_counts
+from deskmetrics.llm import bpe_codec, langid, line_rules, packing, quality, token_counts
 from deskmetrics.llm.common import table
 
 
@@ -16,14 +16,32 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe_codec.roundtrip(docs, then=bpe_codec.digests, schema=bpe_codec.DIGEST_SCHEMA)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op6_line_rules, op10_bpe_roundtrip)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_token_counts,
+        op3_quality_trees,
+        op6_line_rules,
+        op7_language_id,
+        op10_bpe_roundtrip,
+    )
+}
 ORACLES: dict[str, str] = {"op6_line_rules": line_rules.VERDICTS_SQL}
