@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmetrics.llm import bpe_codec, langid, line_rules, packing, quality, token_counts
+from deskmetrics.llm import bpe_codec, jaccard, langid, line_rules, packing, quality, token_counts
 from deskmetrics.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_parity_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe_codec.roundtrip(docs, then=bpe_codec.digests, schema=bpe_codec.DIGEST_SCHEMA)
@@ -41,6 +45,7 @@ QUERIES = {
         op3_quality_trees,
         op6_line_rules,
         op7_language_id,
+        op9_parity_jaccard,
         op10_bpe_roundtrip,
     )
 }
