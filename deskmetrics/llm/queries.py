@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmetrics.llm import bpe_codec, jaccard, langid, line_rules, packing, quality, token_counts
+from deskmetrics.llm import bpe_codec, jaccard, langid, line_rules, packing, pii, projected_nn, quality, token_counts
 from deskmetrics.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected_nn.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_pii_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.verdicts(table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,8 @@ QUERIES = {
         op1_best_fit_packing,
         op2_token_counts,
         op3_quality_trees,
+        op4_projected_neighbours,
+        op5_pii_candidates,
         op6_line_rules,
         op7_language_id,
         op9_parity_jaccard,
