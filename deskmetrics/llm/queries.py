@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmetrics.llm import bpe_codec, jaccard, langid, line_rules, packing, pii, projected_nn, quality, token_counts
+from deskmetrics.llm import bpe_codec, jaccard, langid, licenses, line_rules, packing, pii, projected_nn, quality, token_counts
 from deskmetrics.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op9_parity_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_groups(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES = {
         op5_pii_candidates,
         op6_line_rules,
         op7_language_id,
+        op8_license_paragraphs,
         op9_parity_jaccard,
         op10_bpe_roundtrip,
     )
