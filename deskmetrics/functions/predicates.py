@@ -50,8 +50,8 @@ def has_technician(tech: Column | str = "users_id_tech") -> Column:
 
 
 def active_account(is_deleted="is_deleted", is_active="is_active", created="date_creation") -> Column:
-    """F05 + F06: active, not deleted, with a creation date."""
-    return (_col(is_deleted) == 0) & (_col(is_active) == 1) & _col(created).isNotNull()
+    """F05 + F06: active, not deleted, with a creation date. Flags may be integers or booleans."""
+    return (_col(is_deleted).cast("int") == 0) & (_col(is_active).cast("int") == 1) & _col(created).isNotNull()
 
 
 def not_excluded(name: Column | str, excluded: Iterable[str]) -> Column:

@@ -5,16 +5,15 @@ accounts have an id up to the largest id created that day (``total_contas``). Th
 original gets the second figure from a self-join on ``u1.id >= u2.id``, which pairs every
 account with every smaller one (quadratic). Here it is a prefix rank:
 
-1. distinct (id, day) pairs are cut into buckets of ``bucket_size`` consecutive ids;
-   within a bucket (a bounded partition: at most ``bucket_size`` distinct ids) each id
-   gets its dense rank;
-2. one aggregate per (day, bucket) keeps the number of pairs and the largest rank; it
-   is written once to the checkpoint folder (it has two uses below);
-3. per bucket, the largest rank is its number of distinct ids; a running sum of those
-   over the bucket table (``ids / bucket_size`` rows, the only step that sees all
-   buckets at once) gives each bucket the count of ids in all lower buckets;
+1. distinct (id, day) pairs are range-partitioned by id into ``parts`` pieces of about equal rows, dense or
+   sparse ids alike, and written with the number of their piece (it must not change afterwards);
+2. within a piece each id gets its dense rank, and one aggregate per (day, piece) keeps the number
+   of pairs and the largest rank;
+3. per piece, the largest rank is its number of distinct ids; a running sum of those over the
+   ``parts`` pieces gives each piece the count of ids in all lower ones. This is the only step
+   that sees all pieces, and their number is a setting, not a property of the data;
 4. offset + rank is the rank of an id among all eligible ids. It grows with the id, so a
-   day's total is the largest offset + rank among its (day, bucket) rows.
+   day's total is the largest offset + rank among its (day, piece) rows.
 """
 
 from __future__ import annotations
@@ -25,37 +24,27 @@ from pyspark.sql import functions as F
 from ..functions.predicates import active_account
 from ..session import materialize
 
-DEFAULT_BUCKET_SIZE = 100_000
-
-
 def eligible_accounts(accounts: DataFrame) -> DataFrame:
     return accounts.filter(active_account()).select("id", F.to_date("date_creation").alias("data"))
 
 
-def account_growth(accounts: DataFrame, bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    # Integral division is monotone in the id, so bucket order follows id order.
-    pairs = (
-        eligible_accounts(accounts)
-        .distinct()
-        .withColumn("__bucket", F.expr(f"id div {int(bucket_size)}"))
-    )
-    ranked = pairs.withColumn("__r", F.dense_rank().over(Window.partitionBy("__bucket").orderBy("id")))
-    per_day_bucket = materialize(
-        ranked.groupBy("data", "__bucket").agg(F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__max_r"))
-    )
-    offsets = (
-        per_day_bucket.groupBy("__bucket")
-        .agg(F.max("__max_r").alias("__size"))
-        .withColumn(
-            "__offset",
-            F.coalesce(
-                F.sum("__size").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .select(F.col("__bucket").alias("__ob"), "__offset")
-    )
-    with_offset = per_day_bucket.join(offsets, per_day_bucket["__bucket"] == offsets["__ob"], "inner")
+def ranged_accounts(accounts: DataFrame, parts: int | None = None) -> DataFrame:
+    """Distinct eligible (id, data) and ``part``, the number of the id range they lie in; written once.
+
+    ``parts`` defaults to the shuffle partitions; one piece has to fit a task's sort."""
+    parts = parts or int(accounts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = eligible_accounts(accounts).distinct()
+    return materialize(pairs.repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id()))
+
+
+def account_growth(accounts: DataFrame, parts: int | None = None) -> DataFrame:
+    ranged = ranged_accounts(accounts, parts)
+    ranked = ranged.withColumn("__r", F.dense_rank().over(Window.partitionBy("part").orderBy("id")))
+    per_day = materialize(ranked.groupBy("data", "part").agg(F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__max_r")))
+    lower = Window.orderBy("__op").rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
+    offsets = per_day.groupBy(F.col("part").alias("__op")).agg(F.max("__max_r").alias("__size"))
+    offsets = offsets.select("__op", F.coalesce(F.sum("__size").over(lower), F.lit(0)).alias("__offset"))
+    with_offset = per_day.join(F.broadcast(offsets), per_day["part"] == offsets["__op"], "inner")
     return with_offset.groupBy("data").agg(
         F.sum("__n").cast("bigint").alias("novas_contas"),
         F.max(F.col("__offset") + F.col("__max_r")).cast("bigint").alias("total_contas"),

@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 from ..functions.predicates import in_dates, observer_eligible
 from ..schemas import ROLE_ASSIGNED, ROLE_OBSERVER
 from ..sources.tables import Tables
-from .joins import bounded_counts, fan_out_join, fan_out_mapping, left_lookup, max_broadcast_rows
+from .joins import bounded_counts, fan_out_join, fan_out_parts, left_lookup, max_broadcast_rows, with_null
 
 
 @dataclass
 class Lookups:
     """Dimension tables of one source, each with a checked broadcast decision.
 
-    One small job counts (up to the limit) the category, weight and request-type tables.
+    One small job per report counts the category, weight and request-type tables, so a table that
+    grows during a long session is seen.
     A table within ``spark.deskmetrics.broadcast.maxRows`` is broadcast; the category
     check also bounds the per-category baseline (one row per known category). A table
     beyond the limit is left to Spark (sort-merge join, or AQE's broadcast if measured small).
@@ -39,9 +40,6 @@ class Lookups:
 
     @classmethod
     def of(cls, tables: Tables, max_rows: int | None = None) -> "Lookups":
-        cached = getattr(tables, "_lookups", None)
-        if cached is not None:
-            return cached
         frames = {
             "categories": tables.categories,
             "weights": tables.category_weights,
@@ -49,7 +47,7 @@ class Lookups:
         }
         limit = max_broadcast_rows(tables.categories) if max_rows is None else max_rows
         small = bounded_counts(frames, limit) if limit > 0 else {k: False for k in frames}
-        out = cls(
+        return cls(
             frames["categories"],
             small["categories"],
             frames["weights"],
@@ -57,8 +55,6 @@ class Lookups:
             frames["request_types"],
             small["request_types"],
         )
-        tables._lookups = out
-        return out
 
 
 def join_category(df: DataFrame, lk: Lookups, name: str = "nome_categoria") -> DataFrame:
@@ -90,16 +86,18 @@ def join_assignee(
     item_col: str,
     name: str = "nome_tecnico",
     role: int = ROLE_ASSIGNED,
+    chained: bool = False,
 ) -> DataFrame:
     """J02 + J03: one row per (item, assigned user); the first name of that user.
 
     An item without an assignee keeps one row with a null name; a bridge row whose
-    user is missing keeps its row with a null name too. The bridge join is a
-    ``fan_out_join``, so one item with a large share of the bridge rows is still split.
+    user is missing keeps its row with a null name too. The bridge join is made of
+    ``fan_out_parts``, so one item with a large share of the bridge rows is still split.
     """
-    with_bridge = fan_out_join(df, assigned_users(bridge, item_col, role), "id", "__item", ["__user"])
-    named = left_lookup(with_bridge, users, "__user", "id", {"firstname": name})
-    return named.drop("__user")
+    matched, missing = fan_out_parts(df, assigned_users(bridge, item_col, role), "id", "__item", ["__user"], chained)
+    # Only matches look a user up: items without an assignee would all meet in one partition.
+    named = left_lookup(matched, users, "__user", "id", {"firstname": name}).drop("__user")
+    return named.unionByName(with_null(missing, name, named))
 
 
 def category_baseline(
@@ -163,7 +161,7 @@ def observer_pairs(tickets: DataFrame, tables: Tables, first, last) -> DataFrame
     return pairs.select(F.col("__t").alias("id"), "nome_observador").distinct()
 
 
-def join_observers(df: DataFrame, pairs: DataFrame) -> DataFrame:
+def join_observers(df: DataFrame, pairs: DataFrame, chained: bool = False) -> DataFrame:
     """Fan out per eligible observer; tickets without one keep a null observer."""
     right = pairs.select(F.col("id").alias("__obs_id"), "nome_observador")
-    return fan_out_join(df, right, "id", "__obs_id", ["nome_observador"])
+    return fan_out_join(df, right, "id", "__obs_id", ["nome_observador"], chained)

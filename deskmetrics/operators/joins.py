@@ -1,7 +1,7 @@
 """Join helpers with an explicit size check before any broadcast.
 
-A side is broadcast only when its size is proven: either checked at run time with a
-bounded count (``limit(n + 1)`` then count: at most n + 1 rows are read), or bounded by
+A side is broadcast only when its size is proven: either counted at run time (partial
+counts per task, one number each to the final count), or bounded by
 construction (e.g. one row per month of a known period). Otherwise no hint is given and
 Spark chooses: its static size estimate against ``autoBroadcastJoinThreshold`` and,
 with AQE, the measured size of a finished shuffle stage, falling back to a sort-merge
@@ -27,13 +27,13 @@ def max_broadcast_rows(df: DataFrame) -> int:
 
 
 def bounded_counts(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """For each frame, whether it has at most ``max_rows`` rows, all in one small job
-    (each side reads at most ``max_rows + 1`` rows)."""
+    """For each frame, whether it has at most ``max_rows`` rows, all in one small job.
+
+    Every task counts its own rows (for parquet files from their footers) and sends one
+    number, so no rows travel however large a frame turns out to be."""
     probe = None
     for name, df in dfs.items():
-        part = df.limit(max_rows + 1).groupBy().agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("name"), "n"
-        )
+        part = df.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         probe = part if probe is None else probe.unionByName(part)
     counts = {r["name"]: r["n"] for r in probe.collect()}
     return {name: counts.get(name, 0) <= max_rows for name in dfs}
@@ -70,42 +70,48 @@ def left_lookup(
     return joined.select(*[df[c] for c in df.columns], *[right[c] for c in columns.values()])
 
 
-def fan_out_mapping(keys: DataFrame, right: DataFrame, right_key: str, columns: list[str], key: str) -> DataFrame:
-    """Rows ``(key, *columns)`` of ``right`` for the distinct ``keys`` (a one-column frame
-    named ``key``), plus one all-null row for every key without a match: at least one row
-    per key, exactly what a left join on those keys would attach.
+def own_exchange(key):
+    """The key in a form that an earlier join's partitioning on it does not satisfy.
 
-    Only the key column of the left side is read here, and the unmatched keys come from
-    an anti join against the distinct right keys, a map-side-combined aggregate, so a
-    hot right key is one row per task before any shuffle.
-    """
-    r = right.select(F.col(right_key).alias(key), *[F.col(c) for c in columns])
-    right_keys = r.select(key).distinct()
-    missing = keys.join(right_keys, key, "left_anti").select(
-        key, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
-    )
-    return r.unionByName(missing)
+    AQE leaves a skewed join unsplit when a later join relies on its output partitioning.
+    A join on this form is given exchanges of its own, so both joins can be split."""
+    return F.col(key).cast("string") if isinstance(key, str) else key.cast("string")
 
 
-def fan_out_join(df: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str]) -> DataFrame:
-    """``df LEFT JOIN right ON left_key = right_key`` where ``right`` may hold many rows per
-    key (one output row per match), written so that a hot key on either side can be split.
+def fan_out_parts(
+    df: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str], chained: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The two halves of ``df LEFT JOIN right``: the matches, with ``columns``, and the rows of ``df`` without one.
 
-    AQE splits a skewed partition only on the left side of a left outer join, so one key
-    holding a large share of ``right`` would land in a single task. Here ``df`` meets a
-    ``fan_out_mapping`` (at least one row per key) in an inner join, which AQE may split
-    on either side; rows with a null key never match and pass through with nulls.
-    Output: the columns of ``df`` followed by ``columns`` (null when unmatched).
+    ``right`` may hold many rows per key. AQE splits a skewed partition only on the left side of a left
+    outer join, so one key holding a large share of ``right`` would land in a single task. Here the
+    matches are an inner join, which may be split on either side (and which by itself restricts
+    ``right`` to the keys of ``df``), and the rest is an anti join against the distinct keys of
+    ``right``, an aggregate that combines on the map side. Rows with a null key have no match. Both
+    halves shuffle ``df`` the same way, so one exchange of it serves both.
+    ``chained`` is for a ``df`` that comes out of another join on the same key.
     """
     key = f"__fk_{right_key}"
-    keys = df.select(F.col(left_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
-    mapping = fan_out_mapping(keys, right, right_key, columns, key)
-    matched = df.join(mapping, df[left_key] == mapping[key], "inner").select(
-        *[df[c] for c in df.columns], *[mapping[c] for c in columns]
-    )
-    nulls = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in columns]
-    null_keys = df.filter(F.col(left_key).isNull()).select(*[F.col(c) for c in df.columns], *nulls)
-    return matched.unionByName(null_keys)
+    r = right.select(F.col(right_key).alias(key), *columns).filter(F.col(key).isNotNull())
+    form = own_exchange if chained else (lambda c: c)
+    own = form(df[left_key])
+    matched = df.join(r, own == form(r[key]), "inner").select(*[df[c] for c in df.columns], *[r[c] for c in columns])
+    keys = r.select(key).distinct()
+    return matched, df.join(keys, own == form(keys[key]), "left_anti")
+
+
+def with_null(df: DataFrame, name: str, like: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c) for c in df.columns], F.lit(None).cast(like.schema[name].dataType).alias(name))
+
+
+def fan_out_join(
+    df: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str], chained: bool = False
+) -> DataFrame:
+    """``df LEFT JOIN right``: the columns of ``df`` followed by ``columns`` (null when unmatched); see ``fan_out_parts``."""
+    matched, missing = fan_out_parts(df, right, left_key, right_key, columns, chained)
+    for c in columns:
+        missing = with_null(missing, c, right)
+    return matched.unionByName(missing)
 
 
 def keep_columns(df: DataFrame, allowed: Sequence[str]) -> DataFrame:

@@ -29,7 +29,7 @@ from ..schemas import ROLE_ASSIGNED, WORKLOG_SUMMARY_LABELS
 from ..sources.tables import Tables
 from .enrich import Lookups
 from ..session import materialize
-from .joins import left_lookup
+from .joins import left_lookup, own_exchange
 
 
 def worklog_grouped(tables: Tables, initial, final) -> DataFrame:
@@ -81,7 +81,8 @@ def worklog_grouped(tables: Tables, initial, final) -> DataFrame:
     )
 
     g = grouped.join(tickets, grouped["tickets_id"] == tickets["id"], "inner")
-    g = g.join(assignees, g["tickets_id"] == assignees["__bt"], "left")
+    # A second join on the ticket with exchanges of its own, so that AQE may split a hot ticket in both.
+    g = g.join(assignees, own_exchange(g["tickets_id"]) == own_exchange(assignees["__bt"]), "left")
     g = left_lookup(g, tables.users, "users_id_tech", "id", {"firstname": "tecnico_das_tarefas"})
     fan_out = F.coalesce(F.col("__n_assignees"), F.lit(1))
     return g.select(

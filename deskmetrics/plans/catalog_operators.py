@@ -125,10 +125,9 @@ def param_sql_worklog(t: Tables) -> DataFrame:
 @register("param_sql_accounts", O.with_fixtures(ACCOUNTS_BODY))
 def param_sql_accounts(t: Tables) -> DataFrame:
     """Account growth from its SQL text (bucketed prefix rank)."""
-    from ..operators.accounts import DEFAULT_BUCKET_SIZE
     from .sql import run_sql_report
 
-    return run_sql_report(t, "accounts_growth", bucket_size=DEFAULT_BUCKET_SIZE)
+    return run_sql_report(t, "accounts_growth")
 
 
 def _report_text_sql(body: str) -> str:
@@ -387,7 +386,7 @@ def project_common(t: Tables) -> DataFrame:
 @register(
     "join_category",
     O.with_fixtures(
-        "SELECT t.*, ic.name AS nome_categoria FROM tickets t LEFT JOIN categories ic ON t.itilcategories_id = ic.id"
+        f"SELECT *, {O.looked_up('categories', 'name', 'id', 'itilcategories_id')} AS nome_categoria FROM tickets"
     ),
 )
 def join_category(t: Tables) -> DataFrame:
@@ -400,8 +399,8 @@ def join_category(t: Tables) -> DataFrame:
 @register(
     "join_assignee",
     O.with_fixtures(
-        "SELECT t.*, u.firstname AS nome_tecnico FROM tickets t "
-        "LEFT JOIN tickets_users tu ON t.id = tu.tickets_id AND tu.type = 2 LEFT JOIN users u ON u.id = tu.users_id"
+        f"SELECT * EXCLUDE (person), person AS nome_tecnico FROM ({O.with_staff('tickets', 'staff')}) named",
+        f"staff AS ({O.staff_sql('tickets_users', 'tickets_id')})",
     ),
 )
 def join_assignee(t: Tables) -> DataFrame:
@@ -414,7 +413,7 @@ def join_assignee(t: Tables) -> DataFrame:
 @register(
     "join_request_type",
     O.with_fixtures(
-        "SELECT t.*, rt.name AS origem FROM tickets t LEFT JOIN request_types rt ON t.requesttypes_id = rt.id"
+        f"SELECT *, {O.looked_up('request_types', 'name', 'id', 'requesttypes_id')} AS origem FROM tickets"
     ),
 )
 def join_request_type(t: Tables) -> DataFrame:
@@ -427,7 +426,7 @@ def join_request_type(t: Tables) -> DataFrame:
 @register(
     "join_category_weight",
     O.with_fixtures(
-        "SELECT t.*, p.pesofield AS peso FROM tickets t LEFT JOIN category_weights p ON t.itilcategories_id = p.items_id"
+        f"SELECT *, {O.looked_up('category_weights', 'pesofield', 'items_id', 'itilcategories_id')} AS peso FROM tickets"
     ),
 )
 def join_category_weight(t: Tables) -> DataFrame:
@@ -437,7 +436,7 @@ def join_category_weight(t: Tables) -> DataFrame:
     return E.join_category_weight(t.tickets, E.Lookups.of(t))
 
 
-BASELINE_ONLY = O.ASSIGNED.split("),\nassigned AS")[0] + ")"
+BASELINE_ONLY = O.mean_cte("baseline", O.FIRST_DAY, O.LAST_DAY)
 
 
 @register(
@@ -445,7 +444,7 @@ BASELINE_ONLY = O.ASSIGNED.split("),\nassigned AS")[0] + ")"
     O.with_fixtures(
         rounded_sql(
             "SELECT t.*, b.avg_close AS tempo_medio_fechamento, b.avg_solve AS tempo_medio_solucao "
-            "FROM tickets t LEFT JOIN baseline b ON t.itilcategories_id = b.id",
+            "FROM tickets t LEFT JOIN baseline b ON t.itilcategories_id = b.category",
             ["tempo_medio_fechamento", "tempo_medio_solucao"],
         ),
         BASELINE_ONLY,
@@ -464,8 +463,8 @@ def join_category_baseline(t: Tables) -> DataFrame:
     "category_baseline",
     O.with_fixtures(
         rounded_sql(
-            "SELECT id AS itilcategories_id, avg_close AS tempo_medio_fechamento, avg_solve AS tempo_medio_solucao "
-            "FROM baseline WHERE id IS NOT NULL",
+            "SELECT category AS itilcategories_id, avg_close AS tempo_medio_fechamento, avg_solve AS tempo_medio_solucao "
+            "FROM baseline",
             ["tempo_medio_fechamento", "tempo_medio_solucao"],
         ),
         BASELINE_ONLY,
@@ -482,8 +481,8 @@ def category_baseline(t: Tables) -> DataFrame:
     "category_baseline_to_date",
     O.with_fixtures(
         rounded_sql(
-            "SELECT id AS itilcategories_id, avg_close AS tempo_medio_fechamento, avg_solve AS tempo_medio_solucao "
-            "FROM obs_baseline WHERE id IS NOT NULL",
+            "SELECT category AS itilcategories_id, avg_close AS tempo_medio_fechamento, avg_solve AS tempo_medio_solucao "
+            "FROM obs_baseline",
             ["tempo_medio_fechamento", "tempo_medio_solucao"],
         ),
         OBSERVED_CTE,
@@ -610,7 +609,7 @@ SELECT t.id,
        CASE WHEN b.avg_solve / 86400.0 - t.solve_delay_stat / 86400.0 IS NULL THEN NULL
             ELSE least(greatest(b.avg_solve / 86400.0 - t.solve_delay_stat / 86400.0, CAST(-1.0 AS DOUBLE)), CAST(0.4 AS DOUBLE)) END
          AS delta_tempo_solucao
-FROM tickets t LEFT JOIN baseline b ON t.itilcategories_id = b.id
+FROM tickets t LEFT JOIN baseline b ON t.itilcategories_id = b.category
 """
 
 
@@ -643,7 +642,7 @@ def clipped_delta(t: Tables) -> DataFrame:
         rounded_sql(
             "SELECT id, delta_tempo_fechamento / nullif(b.avg_close / 86400.0, 0) AS diferenca_media_vs_gasto_fechamento, "
             "delta_tempo_solucao / nullif(b.avg_solve / 86400.0, 0) AS diferenca_media_vs_gasto_solucao "
-            f"FROM ({CLIPPED_BODY}) d JOIN tickets t2 USING (id) LEFT JOIN baseline b ON t2.itilcategories_id = b.id",
+            f"FROM ({CLIPPED_BODY}) d JOIN tickets t2 USING (id) LEFT JOIN baseline b ON t2.itilcategories_id = b.category",
             ["diferenca_media_vs_gasto_fechamento", "diferenca_media_vs_gasto_solucao"],
         ),
         BASELINE_ONLY,

@@ -1,10 +1,13 @@
 """The user-facing reports (R01-R11), each one lazy DataFrame plan from scan to result.
 
 Building a report runs two kinds of jobs only:
-* bounded size checks (the dimension tables, the grading lookup);
-* checkpoints of small or twice-read intermediate results (the derived ticket rows and
-  the per-(month, technician) lookup in grading, the observer pairs, the per-(day,
-  bucket) account ranks).
+* size checks (the dimension tables, the grading lookup);
+* parquet copies, in the shared folder, of small or twice-read intermediate results (the derived ticket
+  rows, with the columns the report needs, and the per-(month, technician) lookup in
+  grading, the observer pairs, the ranged accounts).
+
+The parts before a copy are functions of their own (``derived_tickets``, ``with_assignees``,
+``observer_rows``), so their plans can be looked at.
 The rest runs when the caller sends the result somewhere (a sink, ``collect`` of a
 summary, ...).
 """
@@ -22,7 +25,7 @@ from ..operators import accounts as A
 from ..operators import enrich as E
 from ..operators import scoring as S
 from ..operators import worklog as W
-from ..operators.joins import fan_out_mapping, keep_columns, left_lookup
+from ..operators.joins import keep_columns
 from ..schemas import CHANGE_TAG, COMMON_COLUMNS, DETAIL_COLUMNS, PROBLEM_TAG, SUMMARY_LABELS
 from ..session import materialize as _materialize
 from ..sources.tables import Tables
@@ -43,32 +46,49 @@ def _month_bound(period: Period) -> int | None:
 # -- tickets ------------------------------------------------------------------
 
 
-def assigned_tickets(tables: Tables, period: Period) -> DataFrame:
+def with_assignees(tables: Tables, period: Period, columns: Sequence[str] | None = None) -> DataFrame:
+    """Finished tickets of the period (all columns, or ``columns``), one row per assignee first name."""
+    base = _in_period(tables.tickets, period)
+    if columns:
+        base = base.select(*columns)
+    return E.join_assignee(base, tables.tickets_users, tables.users, "tickets_id")
+
+
+def assigned_tickets(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
     """SQL part of R01: finished tickets of the period with category, weight, origin,
     assignee first name (one row per assignee) and the previous year's category means
-    in seconds. The assignee fan-out runs on the bare tickets, so its key-only side reads
-    just the ticket ids; the lookups follow."""
-    lk = E.Lookups.of(tables)
-    base = _in_period(tables.tickets, period)
-    t = E.join_assignee(base, tables.tickets_users, tables.users, "tickets_id")
+    in seconds. The assignee fan-out runs on the bare tickets; the lookups follow."""
+    lk = lk or E.Lookups.of(tables)
+    t = with_assignees(tables, period)
     t = E.join_category(t, lk)
     t = E.join_category_weight(t, lk)
     t = E.join_request_type(t, lk)
     baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.baseline_last)
     t = E.join_category_baseline(t, baseline, lk)
     added = ["nome_categoria", "peso", "origem", "nome_tecnico", "tempo_medio_fechamento", "tempo_medio_solucao"]
-    return t.select(*base.columns, *added)
+    return t.select(*tables.tickets.columns, *added)
+
+
+def _grading_columns(config: ScoreConfig) -> list[str]:
+    """What grading and the summary read of the derived rows."""
+    per_metric = [c for m, _ in config.metrics() for c in (f"tempo_{m}", f"tempo_medio_{m}")]
+    return ["id", "date", "nome_tecnico", "peso", "atraso", *per_metric, "__close_secs", "__solve_secs"]
+
+
+def derived_tickets(
+    tables: Tables, period: Period, config: ScoreConfig, clock_text: bool = True, columns: Sequence[str] | None = None, lk: E.Lookups | None = None
+) -> DataFrame:
+    """Derived ticket rows before grading; ``columns`` keeps only those."""
+    derived = S.derive_ticket_columns(assigned_tickets(tables, period, lk), config.exclude_technicians, clock_text)
+    return derived if columns is None else derived.select(*[c for c in derived.columns if c in set(columns)])
 
 
 def _graded(
-    tables: Tables, period: Period, config: ScoreConfig, clock_text: bool = True, materialize: bool = True
+    tables: Tables, period: Period, config: ScoreConfig, clock_text: bool = True, columns: Sequence[str] | None = None, lk: E.Lookups | None = None
 ) -> DataFrame:
     """Derived ticket rows, graded. The derived rows feed two branches (the rows themselves
-    and the per-(month, technician) aggregate); ``materialize`` writes them once to the
-    checkpoint folder so the enrichment joins run once, not per branch."""
-    derived = S.derive_ticket_columns(assigned_tickets(tables, period), config.exclude_technicians, clock_text)
-    if materialize:
-        derived = _materialize(derived)
+    and the per-(month, technician) aggregate), so they are written once, pruned to what is needed."""
+    derived = _materialize(derived_tickets(tables, period, config, clock_text, columns, lk))
     return S.grade_tickets(derived, config, _month_bound(period))
 
 
@@ -76,16 +96,14 @@ def ticket_snapshot(tables: Tables, period: Period, config: ScoreConfig | None =
     """S14 for tickets: the rows after the derived columns (X01-X06, F07), before grading;
     write it with ``sinks.write_snapshot``. Worklog and change/problem snapshots are the
     ``worklog_report`` and ``changes_report``/``problems_report`` stages themselves."""
-    config = config or ScoreConfig()
-    derived = S.derive_ticket_columns(assigned_tickets(tables, period), config.exclude_technicians)
-    return S.drop_hidden(derived)
+    return S.drop_hidden(derived_tickets(tables, period, config or ScoreConfig()))
 
 
 def graded_tickets_full(
-    tables: Tables, period: Period, config: ScoreConfig | None = None, clock_text: bool = True
+    tables: Tables, period: Period, config: ScoreConfig | None = None, clock_text: bool = True, lk: E.Lookups | None = None
 ) -> DataFrame:
     """R01 with every column (the original with ``relatorio_limpo=False``)."""
-    return S.drop_hidden(_graded(tables, period, config or ScoreConfig(), clock_text))
+    return S.drop_hidden(_graded(tables, period, config or ScoreConfig(), clock_text, lk=lk))
 
 
 def graded_tickets(
@@ -93,7 +111,9 @@ def graded_tickets(
 ) -> DataFrame:
     """Graded ticket detail, detail allow-list (C03). ``clock_text=False`` keeps the
     delay columns as whole seconds instead of ``HH:MM:SS`` text."""
-    return keep_columns(graded_tickets_full(tables, period, config, clock_text), DETAIL_COLUMNS)
+    config = config or ScoreConfig()
+    columns = [*DETAIL_COLUMNS, *_grading_columns(config)]
+    return keep_columns(S.drop_hidden(_graded(tables, period, config, clock_text, columns)), DETAIL_COLUMNS)
 
 
 def technician_month_summary(
@@ -101,18 +121,31 @@ def technician_month_summary(
 ) -> DataFrame:
     """R02."""
     config = config or ScoreConfig()
-    return S.technician_summary(_graded(tables, period, config), config, labels)
+    return S.technician_summary(_graded(tables, period, config, False, _grading_columns(config)), config, labels)
+
 
+def in_key_order(summary: DataFrame) -> DataFrame:
+    """A summary (one row per technician and month, a bounded table) sorted by its first two columns."""
+    return summary.orderBy(*[F.col(f"`{c}`") for c in summary.columns[:2]])
 
-def tickets_for_combining(tables: Tables, period: Period, config: ScoreConfig | None = None) -> DataFrame:
+
+def tickets_for_combining(
+    tables: Tables, period: Period, config: ScoreConfig | None = None, lk: E.Lookups | None = None
+) -> DataFrame:
     """The graded tickets restricted to the columns shared with changes/problems.
 
     None of the kept columns comes from grading, and grading only adds columns (its
     joins are left joins on keys that are unique on the right), so the rows and kept
-    values equal those of the derived tickets: grading is skipped. Catalyst cannot
-    prove that uniqueness itself and would otherwise run the month aggregates."""
+    values equal those of the derived tickets: grading is skipped. So are the lookups of
+    origin and category means, which add columns only, too. Catalyst cannot prove that uniqueness."""
     config = config or ScoreConfig()
-    derived = S.derive_ticket_columns(assigned_tickets(tables, period), config.exclude_technicians)
+    lk = lk or E.Lookups.of(tables)
+    t = E.join_category_weight(E.join_category(with_assignees(tables, period), lk), lk)
+    for name in ("tempo_medio_fechamento", "tempo_medio_solucao"):
+        t = t.withColumn(name, F.lit(None).cast("double"))
+    derived = S.derive_ticket_columns(t, config.exclude_technicians)
+    kept = ["nome_categoria", "peso", "nome_tecnico"]  # in the order of the full report
+    derived = derived.select(*[c for c in derived.columns if c not in kept], *kept)
     return keep_columns(derived, COMMON_COLUMNS)
 
 
@@ -156,8 +189,8 @@ class TicketReport:
 # -- changes and problems ----------------------------------------------------------
 
 
-def _change_like(items: DataFrame, bridge: DataFrame, item_col: str, tables: Tables, period: Period, tag: str):
-    lk = E.Lookups.of(tables)
+def _change_like(items: DataFrame, bridge: DataFrame, item_col: str, tables: Tables, period: Period, tag: str, lk=None):
+    lk = lk or E.Lookups.of(tables)
     df = _in_period(items, period)
     df = E.join_assignee(df, bridge, tables.users, item_col)
     df = E.join_category(df, lk)
@@ -166,14 +199,14 @@ def _change_like(items: DataFrame, bridge: DataFrame, item_col: str, tables: Tab
     return keep_columns(df, COMMON_COLUMNS)
 
 
-def changes_report(tables: Tables, period: Period) -> DataFrame:
+def changes_report(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
     """R06 (F01 F03 J09 J01 J05 C02 C03)."""
-    return _change_like(tables.changes, tables.changes_users, "changes_id", tables, period, CHANGE_TAG)
+    return _change_like(tables.changes, tables.changes_users, "changes_id", tables, period, CHANGE_TAG, lk)
 
 
-def problems_report(tables: Tables, period: Period) -> DataFrame:
+def problems_report(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
     """R07 (F01 F03 J10 J01 J05 C02 C03)."""
-    return _change_like(tables.problems, tables.problems_users, "problems_id", tables, period, PROBLEM_TAG)
+    return _change_like(tables.problems, tables.problems_users, "problems_id", tables, period, PROBLEM_TAG, lk)
 
 
 def _as_common_types(df: DataFrame) -> DataFrame:
@@ -194,12 +227,13 @@ def combined_report(
 
     ``clean_tickets=False`` keeps every graded ticket column (as the original batch script
     calls it); change and problem rows then hold nulls in the ticket-only columns."""
+    lk = E.Lookups.of(tables)  # one size check for the three parts
     tickets = (
-        tickets_for_combining(tables, period, config)
+        tickets_for_combining(tables, period, config, lk)
         if clean_tickets
-        else graded_tickets_full(tables, period, config)
+        else graded_tickets_full(tables, period, config, lk=lk)
     )
-    parts = [tickets, changes_report(tables, period), problems_report(tables, period)]
+    parts = [tickets, changes_report(tables, period, lk), problems_report(tables, period, lk)]
     out = _as_common_types(parts[0])
     for p in parts[1:]:
         out = out.unionByName(_as_common_types(p), allowMissingColumns=True)
@@ -230,62 +264,67 @@ def worklog_month_summary(
 # -- accounts -------------------------------------------------------------------
 
 
-def account_growth_report(tables: Tables, bucket_size: int = A.DEFAULT_BUCKET_SIZE) -> DataFrame:
+def account_growth_report(tables: Tables, parts: int | None = None) -> DataFrame:
     """R08."""
-    return A.account_growth(tables.accounts, bucket_size)
+    return A.account_growth(tables.accounts, parts)
 
 
 # -- observers ------------------------------------------------------------------
 
 
+def observer_rows(tables: Tables, period: Period, pairs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Finished tickets of the period, one row per assignee x eligible observer (null where there is none).
+
+    Both fan-outs are keyed on the ticket. The second one has exchanges of its own (``chained``): were it
+    to ride on the first one's partitioning, AQE could not split a hot ticket in either."""
+    return E.join_observers(with_assignees(tables, period, columns), pairs, chained=True)
+
+
+def _pairs(tables: Tables, period: Period) -> DataFrame:
+    # The pairs (a three-way join) feed both halves of the fan-out: written once.
+    return _materialize(E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final))
+
+
 def observed_tickets(tables: Tables, period: Period) -> DataFrame:
     """Finished tickets of the period, one row per assignee x eligible observer.
 
     The category means and the observer pairs use the window from January 1 of the
     previous year to the final date (A03)."""
     lk = E.Lookups.of(tables)
-    base = _in_period(tables.tickets, period)
-    # Both fan-outs are built from the distinct ticket ids only, then attached with inner
-    # joins on the ticket id that share one shuffle of the tickets.
-    keys = base.select(F.col("id").alias("__k")).distinct()
-    # The pairs (a three-way join) feed both halves of the mapping: written once.
-    pairs = _materialize(E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final))
-    observers = fan_out_mapping(keys, pairs, "id", ["nome_observador"], "__k")
-    assignees = fan_out_mapping(
-        keys, E.assigned_users(tables.tickets_users, "tickets_id"), "__item", ["__user"], "__k"
-    ).withColumnRenamed("__k", "__k2")
-    t = base.join(observers, base["id"] == observers["__k"], "inner").join(
-        assignees, base["id"] == assignees["__k2"], "inner"
-    )
-    t = t.select(*base.columns, "nome_observador", "__user")
-    t = left_lookup(t, tables.users, "__user", "id", {"firstname": "nome_tecnico"})
+    t = observer_rows(tables, period, _pairs(tables, period))
     t = E.join_category(t, lk)
     t = E.join_request_type(t, lk)
     baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.final)
     t = E.join_category_baseline(t, baseline, lk)
     added = ["nome_categoria", "origem", "nome_tecnico", "nome_observador", "tempo_medio_fechamento", "tempo_medio_solucao"]
-    return t.select(*base.columns, *added)
+    return t.select(*tables.tickets.columns, *added)
+
+
+def _observer_counts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per observer first name and opening month, the (ticket, assignee) ``rows`` he or she observes."""
+    seen = rows.join(pairs.withColumnRenamed("id", "__p"), rows["id"] == F.col("__p"), "inner")
+    return seen.groupBy("nome_observador", F.date_format("date", "yyyy-MM").alias("date2")).agg(F.count("id").alias("id"))
 
 
 def observer_month_counts(tables: Tables, period: Period) -> DataFrame:
-    """A10: rows of the observed report per observer first name and opening month."""
-    obs = observed_tickets(tables, period)
-    return (
-        obs.filter(F.col("nome_observador").isNotNull())
-        .groupBy("nome_observador", F.date_format("date", "yyyy-MM").alias("date2"))
-        .agg(F.count("id").alias("id"))
-    )
+    """A10: rows of the observed report per observer first name and opening month. Rows without an
+    observer do not count, so only ids and dates are joined."""
+    pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
+    return _observer_counts(with_assignees(tables, period, ["id", "date"]), pairs)
 
 
 def technician_observer_summary(tables: Tables, period: Period, config: ScoreConfig | None = None) -> DataFrame:
     """Technician summary and observer counts side by side, full outer on
     (first name, month). Unlabelled key names ``nome``/``date2``; the observer count is
-    ``chamados_observados``."""
+    ``chamados_observados``. Both halves read the same derived ticket rows, written once."""
     config = config or ScoreConfig()
-    summary = technician_month_summary(tables, period, config, labels=False).withColumnRenamed(
-        "nome_tecnico", "nome"
-    )
-    obs = observer_month_counts(tables, period).select(
+    derived = _materialize(derived_tickets(tables, period, config, False, _grading_columns(config)))
+    summary = S.technician_summary(S.grade_tickets(derived, config, _month_bound(period)), config, labels=False)
+    summary = summary.withColumnRenamed("nome_tecnico", "nome")
+    pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
+    # The observed report knows no excluded technicians: with any, its rows are read anew.
+    rows = with_assignees(tables, period, ["id", "date"]) if config.exclude_technicians else derived
+    obs = _observer_counts(rows.select("id", "date"), pairs).select(
         F.col("nome_observador").alias("__on"), F.col("date2").alias("__od"), F.col("id").alias("chamados_observados")
     )
     joined = summary.join(
@@ -311,6 +350,8 @@ def run_all(
     today=None,
     config: ScoreConfig | None = None,
     parallel: bool = True,
+    period: Period | None = None,
+    reports: Sequence[str] = ("tickets", "worklog", "accounts"),
 ) -> DataFrame:
     """The batch job of the original script (tickets, worklog, account growth).
 
@@ -318,7 +359,8 @@ def run_all(
     reports are independent, so with ``parallel`` they are submitted from a small thread
     pool and run as concurrent Spark jobs sharing the cluster (only plans pass through
     the driver). Row counts are observed while writing (``DataFrame.observe``), so no
-    report is read again. Result: one row per report with its row count.
+    report is read again. ``period`` replaces the mode's window; ``reports`` names any of the keys
+    below. Summaries are written in key order. Result: one row per report with its row count.
     """
     import datetime as dt
     from concurrent.futures import ThreadPoolExecutor
@@ -328,13 +370,20 @@ def run_all(
     from ..functions.period import period_for_mode
     from ..sources.sinks import write_report
 
-    period = period_for_mode(mode, today or dt.date.today())
-    E.Lookups.of(tables)  # one size check, shared by the reports
+    period = period or period_for_mode(mode, today or dt.date.today())
     builders = {
         "tickets": lambda: graded_tickets_full(tables, period, config),
         "worklog": lambda: worklog_report(tables, period),
         "accounts": lambda: account_growth_report(tables),
+        "changes": lambda: changes_report(tables, period),
+        "problems": lambda: problems_report(tables, period),
+        "combined": lambda: combined_report(tables, period, config),
+        "observed": lambda: observed_tickets(tables, period),
+        "ticket_summary": lambda: in_key_order(technician_month_summary(tables, period, config)),
+        "worklog_summary": lambda: in_key_order(worklog_month_summary(tables, period)),
+        "observer_summary": lambda: in_key_order(technician_observer_summary(tables, period, config)),
     }
+    builders = {name: builders[name] for name in reports}
 
     def run(name: str) -> int:
         seen = Observation(f"rows_{name}")

@@ -2,17 +2,22 @@
 
 The SQL files next to this module use Spark SQL named parameter markers
 (``:initial_date``, ``:final_date``, ``:first_day``, ``:last_day``) and are run with
-``spark.sql(text, args=period.args())``; Spark binds the values, nothing is pasted
-into the text. Tables are visible as temporary views named after the logical tables.
+``spark.sql(text, args=...)``; Spark binds the values, nothing is pasted into the text. A
+marker without a value is an error: a report over an open period is the DataFrame report's.
+
+Tables are visible as temporary views named ``desk_<logical table>``, so a session's own views
+keep their names.
 """
 
 from __future__ import annotations
 
+import re
 from importlib import resources
 
 from pyspark.sql import DataFrame
 
 from ..functions.period import Period
+from ..operators.accounts import ranged_accounts
 from ..schemas import TABLE_NAMES
 from ..sources.tables import Tables
 
@@ -21,17 +26,22 @@ def sql_text(name: str) -> str:
     return resources.files(__package__).joinpath("sql", f"{name}.sql").read_text(encoding="utf-8")
 
 
-def register_views(tables: Tables, names=TABLE_NAMES, prefix: str = "") -> None:
-    for n in names:
-        getattr(tables, n).createOrReplaceTempView(prefix + n)
+def register_views(tables: Tables, text: str) -> None:
+    """The views that ``text`` mentions."""
+    for name in TABLE_NAMES:
+        if re.search(rf"\bdesk_{name}\b", text):
+            getattr(tables, name).createOrReplaceTempView(f"desk_{name}")
+    if "desk_ranged_accounts" in text:
+        ranged_accounts(tables.accounts).createOrReplaceTempView("desk_ranged_accounts")
 
 
 def run_sql_report(tables: Tables, name: str, period: Period | None = None, **params) -> DataFrame:
-    """Run ``sql/<name>.sql`` with the period (and any further ``params``) bound as
-    named parameters."""
+    """Run ``sql/<name>.sql`` with the period (and any further ``params``) bound as named parameters."""
     text = sql_text(name)
-    needed = [n for n in TABLE_NAMES if n in text]
-    register_views(tables, needed)
-    args = {k: v for k, v in (period.args() if period else {}).items() if f":{k}" in text}
-    args.update(params)
-    return tables.spark.sql(text, args=args)
+    args = {**(period.args() if period else {}), **params}
+    used = set(re.findall(r":([a-z_]+)", re.sub(r"--.*|'[^']*'", "", text)))
+    missing = sorted(k for k in used if args.get(k) is None)
+    if missing:
+        raise ValueError(f"sql report {name!r} needs a value for {', '.join(missing)}")
+    register_views(tables, text)
+    return tables.spark.sql(text, args={k: args[k] for k in used})

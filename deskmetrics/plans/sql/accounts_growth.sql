@@ -1,28 +1,16 @@
 -- New eligible accounts per creation day and the number of eligible accounts with an
--- id up to the day's largest id, by a prefix rank over buckets of :bucket_size ids
--- (no pairwise comparison of accounts).
-WITH pairs AS (
-  SELECT DISTINCT id, to_date(date_creation) AS data, id DIV :bucket_size AS bucket
-  FROM accounts
-  WHERE is_deleted = 0 AND is_active = 1 AND date_creation IS NOT NULL
+-- id up to the day's largest id, by a prefix rank over id ranges of about equal rows
+-- (no pairwise comparison of accounts). The view has distinct (id, data) and the range's number.
+WITH ranked AS (
+  SELECT data, part, dense_rank() OVER (PARTITION BY part ORDER BY id) AS place FROM desk_ranged_accounts
 ),
-ranked AS (
-  SELECT data, bucket, dense_rank() OVER (PARTITION BY bucket ORDER BY id) AS r
-  FROM pairs
+per_day AS (
+  SELECT data, part, count(*) AS n, max(place) AS top FROM ranked GROUP BY data, part
 ),
-per_day_bucket AS (
-  SELECT data, bucket, count(*) AS n, max(r) AS max_r
-  FROM ranked
-  GROUP BY data, bucket
-),
-offsets AS (
-  SELECT bucket,
-         coalesce(sum(bucket_ids) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lower_ids
-  FROM (SELECT bucket, max(max_r) AS bucket_ids FROM per_day_bucket GROUP BY bucket) AS s
+below AS (
+  SELECT part AS of_part, sum(size) OVER (ORDER BY part) - size AS lower_ids
+  FROM (SELECT part, max(top) AS size FROM per_day GROUP BY part)
 )
-SELECT p.data,
-       CAST(sum(p.n) AS BIGINT)              AS novas_contas,
-       CAST(max(o.lower_ids + p.max_r) AS BIGINT) AS total_contas
-FROM per_day_bucket AS p
-JOIN offsets AS o ON o.bucket = p.bucket
-GROUP BY p.data
+SELECT data, CAST(sum(n) AS BIGINT) AS novas_contas, CAST(max(lower_ids + top) AS BIGINT) AS total_contas
+FROM per_day JOIN below ON of_part = part
+GROUP BY data

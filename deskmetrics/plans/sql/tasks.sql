@@ -1,2 +1,2 @@
 -- The whole task table.
-SELECT * FROM tasks
+SELECT * FROM desk_tasks

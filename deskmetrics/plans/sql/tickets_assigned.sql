@@ -1,35 +1,31 @@
 -- Finished tickets of the period, one row per assigned user, with category, weight,
--- origin, the user's first name and last year's mean close/solve delay (seconds) of
--- the ticket's category. Both means come from one aggregate; categories missing from
--- the category table get none.
-WITH baseline AS (
-  SELECT t.itilcategories_id,
-         avg(t.close_delay_stat) AS tempo_medio_fechamento,
-         avg(t.solve_delay_stat) AS tempo_medio_solucao
-  FROM tickets AS t
-  WHERE to_date(t.date) BETWEEN :first_day AND :last_day
-    AND t.itilcategories_id IN (SELECT id FROM categories)
-  GROUP BY t.itilcategories_id
+-- origin, the user's first name and last year's mean close and solve seconds of the
+-- ticket's category (none for categories that the category table lacks). Assignees are attached by an
+-- inner join and tickets without one by an anti join, so a hot ticket can be split on either side.
+WITH means AS (
+  SELECT itilcategories_id AS category,
+         avg(close_delay_stat) AS tempo_medio_fechamento, avg(solve_delay_stat) AS tempo_medio_solucao
+  FROM desk_tickets LEFT SEMI JOIN desk_categories ON desk_categories.id = itilcategories_id
+  WHERE to_date(date) BETWEEN :first_day AND :last_day
+  GROUP BY itilcategories_id
+),
+finished AS (
+  SELECT * FROM desk_tickets WHERE status IN (5, 6) AND to_date(date) BETWEEN :initial_date AND :final_date
+),
+staff AS (
+  SELECT tickets_id AS item, firstname
+  FROM desk_tickets_users LEFT JOIN desk_users ON desk_users.id = users_id
+  WHERE type = 2
+),
+named AS (
+  SELECT finished.*, firstname AS nome_tecnico FROM finished JOIN staff ON item = id
+  UNION ALL
+  SELECT *, CAST(NULL AS STRING) FROM finished LEFT ANTI JOIN (SELECT DISTINCT item FROM staff) ON item = id
 )
-SELECT t.*,
-       cat.name    AS nome_categoria,
-       w.pesofield AS peso,
-       rt.name     AS origem,
-       u.firstname AS nome_tecnico,
-       b.tempo_medio_fechamento,
-       b.tempo_medio_solucao
-FROM tickets AS t
-LEFT JOIN categories AS cat
-       ON cat.id = t.itilcategories_id
-LEFT JOIN tickets_users AS tu
-       ON tu.tickets_id = t.id AND tu.type = 2
-LEFT JOIN request_types AS rt
-       ON rt.id = t.requesttypes_id
-LEFT JOIN users AS u
-       ON u.id = tu.users_id
-LEFT JOIN category_weights AS w
-       ON w.items_id = t.itilcategories_id
-LEFT JOIN baseline AS b
-       ON b.itilcategories_id = t.itilcategories_id
-WHERE to_date(t.date) BETWEEN :initial_date AND :final_date
-  AND t.status IN (5, 6)
+SELECT named.*, desk_categories.name AS nome_categoria, pesofield AS peso, desk_request_types.name AS origem,
+       tempo_medio_fechamento, tempo_medio_solucao
+FROM named
+LEFT JOIN desk_categories ON desk_categories.id = itilcategories_id
+LEFT JOIN desk_category_weights ON items_id = itilcategories_id
+LEFT JOIN desk_request_types ON desk_request_types.id = requesttypes_id
+LEFT JOIN means ON category = itilcategories_id

@@ -6,6 +6,7 @@ in. ``build_session`` is a convenience for tests, the bench and scripts.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,8 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
-    # Checkpoint files of intermediate results are removed once no plan refers to them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -57,6 +56,12 @@ def _context(spark: SparkSession):
         return None
 
 
+def _machine_local(base: str) -> bool:
+    """Whether a folder is the machine's own temporary folder itself (a mounted share below it has a name of its own)."""
+    path = re.sub("^file:/+", "/", base).rstrip("/")
+    return path in ("/tmp", "/var/tmp", tempfile.gettempdir().rstrip("/"))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 
@@ -75,6 +80,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     base = str(base).rstrip("/")
+    local = base.startswith(("file:", "/"))
+    if local and sc is not None and not (sc.master.startswith("local")) and _machine_local(base):
+        raise RuntimeError(f"spark.checkpoint.dir = {base} is a machine-local temporary folder")
     return "/".join([base, *parts]) if parts else base
 
 
@@ -84,13 +92,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from that copy.
+    """Write ``df`` once to the shared folder, as parquet, and continue from that copy.
 
     Used where one intermediate result feeds several branches that Catalyst would
     otherwise compute separately (column pruning makes their plans differ, so no
-    exchange is reused). It also cuts the lineage: a lost executor re-reads the written
-    files instead of recomputing the joins behind them. A reliable checkpoint, never a
-    local one.
+    exchange is reused). The copy is columnar and compressed, later branches read only their
+    columns of it, and a lost executor re-reads the files instead of recomputing the joins
+    behind them.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = fresh_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

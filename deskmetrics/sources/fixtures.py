@@ -145,18 +145,13 @@ class FixtureTables:
 
     # -- bridges -----------------------------------------------------------
     def tickets_users(self, item_column: str = "tickets_id") -> DataFrame:
-        # Line 1 suppliers are assigned (type 2), line 2 suppliers observe (type 3): one
-        # distinct pass over both, since the type is a function of the line number.
+        # Suppliers of odd lines are assigned (type 2), those of even lines observe (type 3).
         li = self.raw("lineitem")
-        from_lines = (
-            li.filter(F.col("l_linenumber").isin(1, 2))
-            .select(
-                F.col("l_orderkey").alias(item_column),
-                F.col("l_suppkey").alias("users_id"),
-                F.when(F.col("l_linenumber") == 1, 2).otherwise(3).cast("int").alias("type"),
-            )
-            .distinct()
-        )
+        from_lines = li.select(
+            F.col("l_orderkey").alias(item_column),
+            F.col("l_suppkey").alias("users_id"),
+            F.when(F.col("l_linenumber") % 2 == 1, 2).otherwise(3).cast("int").alias("type"),
+        ).distinct()
         observing_customers = self.raw("orders").select(
             F.col("o_orderkey").alias(item_column),
             (F.lit(CUSTOMER_USER_OFFSET) + F.col("o_custkey")).alias("users_id"),

@@ -1,11 +1,16 @@
-"""Storage layout for large installations: tables bucketed on their join keys.
-
-The big joins of the reports are ticket <-> bridge (on the ticket id) and timer <-> task
-(on the task id). Written with ``bucketBy`` on those keys (same bucket count on both
-sides) and sorted within buckets, they are read back as catalog tables whose scans
-already have the partitioning the sort-merge join needs: Spark joins them without
-shuffling either side. The other tables are written plainly (small dimensions, or joined
-on other keys).
+"""Storage layouts for large installations; which one to take depends on the data.
+
+*Bucketed* (``layout="bucketed"``): the big joins are ticket <-> bridge (on the ticket id) and
+timer <-> task (on the task id). Bucketed on those keys (same count on both sides, one
+sorted file per bucket) the tables are read back with the partitioning that the sort-merge
+join needs, so neither side is shuffled. Without a shuffle there is nothing that AQE could
+split either: a ticket that holds a large share of the bridge is one task's work. Take it where keys are even.
+
+*Dated* (``layout="dated"``): the tables with a date are range-partitioned and sorted by it, so a report's
+window prunes files and row groups by their statistics. The joins shuffle, and AQE splits hot
+keys on both sides. Take it where keys are skewed or windows are short.
+
+The other tables are written plainly (small dimensions, or joined on other keys).
 """
 
 from __future__ import annotations
@@ -30,12 +35,17 @@ BUCKET_KEYS = {
 }
 
 
+# Date column of each table that reports restrict by a window.
+DATE_COLUMNS = {"tickets": "date", "changes": "date", "problems": "date", "tasks": "date", "timers": "actual_begin"}
+
+
 def write_layout(
     tables: Tables,
     database: str,
     location: str,
     num_buckets: int = 512,
     names=TABLE_NAMES,
+    layout: str = "bucketed",
 ) -> None:
     """Write ``names`` from ``tables`` as catalog tables ``database.<name>`` under ``location``.
 
@@ -45,9 +55,18 @@ def write_layout(
     spark = tables.spark
     root = location.rstrip("/")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_database'")
+    if layout not in ("bucketed", "dated"):
+        raise ValueError(f"unknown layout {layout!r}")
     for name in names:
-        writer = getattr(tables, name).write.mode("overwrite").option("path", f"{root}/{name}")
-        key = BUCKET_KEYS.get(name)
+        df = getattr(tables, name)
+        key = BUCKET_KEYS.get(name) if layout == "bucketed" else None
+        day = DATE_COLUMNS.get(name) if layout == "dated" else None
+        if key is not None:
+            # The same hash as the buckets': every task writes one bucket, every bucket is one file.
+            df = df.repartition(num_buckets, key)
+        elif day is not None:
+            df = df.repartitionByRange(num_buckets, day).sortWithinPartitions(day)
+        writer = df.write.mode("overwrite").option("path", f"{root}/{name}")
         if key is not None:
             writer = writer.bucketBy(num_buckets, key).sortBy(key)
         writer.format("parquet").saveAsTable(f"{database}.{name}")
