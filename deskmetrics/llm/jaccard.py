@@ -47,6 +47,8 @@ PERCENT = 80
 #: Share of extra blocks, and the least number of them.
 SLACK, LEAST_SLACK = 0.4, 4
 STARS = 3
+#: Text bytes that a task sketches at once; its arrays take some 40 times as much.
+SKETCH_BYTES = 3 << 20
 #: Ids of up to so many candidates are broadcast to pick their texts; beyond, the join is shuffled.
 BROADCAST_IDS = 2_000_000
 
@@ -193,7 +195,7 @@ def _sketch_rows(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layouts = Layouts()
         spread = 0
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", SKETCH_BYTES):
             h, upto = shingles(*text_parts(batch.column("text")))
             fp, second = fingerprints(h, upto)
             ids = batch.column("doc_id")
@@ -300,7 +302,7 @@ def _rows(kind, gid, node, layout, need, n, times, doc, no_doc) -> pa.Table:
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, hashes) of candidate texts; a text that is not the node's (an id with several texts) gives no row."""
-    for batch in byte_slices(batches, "text"):
+    for batch in byte_slices(batches, "text", SKETCH_BYTES):
         h, upto = shingles(*text_parts(batch.column("text")))
         fp, _ = fingerprints(h, upto)
         node = batch.column("node").to_numpy(zero_copy_only=False)
