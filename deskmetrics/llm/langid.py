@@ -1,6 +1,6 @@
 """Language ID: interpolated Kneser-Ney character language models, one per language.
 
-A text's words (runs of letters, in lower case) are scored as character sequences with a start and
+A text's words (runs of letters that touch no digit, in lower case) are scored as character sequences with a start and
 an end mark. For every n-gram up to ``ORDER`` that any language has met, the interpolated probability in
 each language is worked out once, from Kneser-Ney counts; so is the back-off weight of every context. They
 lie in arrays sorted by the n-gram's 64-bit hash, one row for all languages: scoring a character
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from deskmetrics.llm.common import binary_array, byte_slices, text_parts
 
 ORDER = 5
-TRAIN_DOCS = 600
+TRAIN_DOCS = 250
 #: One sampled document in so many is for calibration and not counted.
 CALIBRATE_EACH = 6
 FOLDS = 3
@@ -54,7 +54,9 @@ _LETTER[128:] = True
 
 
 def letter_runs(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Runs of ASCII letters and non-ASCII bytes: owner text, number of the distinct run, the distinct runs (ASCII in lower case)."""
+    """Runs of ASCII letters and non-ASCII bytes: owner text, number of the distinct run, the distinct runs (ASCII in lower case).
+
+    Runs that touch a digit (keys, numbers with units) are no words; they are left out of texts that have other runs."""
     low = np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint8)
     own = np.zeros(len(raw) + 1, bool)
     own[:-1] = _LETTER[raw]
@@ -63,6 +65,12 @@ def letter_runs(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     first = np.flatnonzero(own[:-1] & (np.append(True, ~own[:-2]) | starts[:-1])) if len(raw) else np.zeros(0, np.int64)
     last = np.flatnonzero(own[:-1] & (~own[1:] | starts[1:])) + 1 if len(raw) else np.zeros(0, np.int64)
     doc = np.searchsorted(off, first, side="right") - 1
+    if len(first):
+        digit = np.append((raw >= 48) & (raw <= 57), False)  # at -1, too, there is none
+        free = ~((digit[first - 1] & ~starts[first]) | (digit[last] & ~starts[last]))
+        some = np.bincount(doc, free, len(off) - 1) > 0
+        use = free | ~some[doc]
+        first, last, doc = first[use], last[use], doc[use]
     both = np.append(np.stack([first, last], 1).ravel(), len(raw)).astype(np.int64)
     if not len(first):
         return doc, np.zeros(0, np.int64), pa.array([], pa.large_binary())
@@ -211,28 +219,26 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, part, word, n, doc): what a slice adds to the counts, or a calibration document's words."""
+    """(lang, calibration, word, n): what a slice adds to the counts of a language's two parts."""
     for batch in byte_slices(batches, "text"):
         raw, off = text_parts(batch.column("text"))
         doc, code, runs = letter_runs(raw, off)
-        words = np.array([words_of(r) for r in runs.to_pylist()], object)
+        if not len(code):
+            continue
+        words = [words_of(r) for r in runs.to_pylist()]
         langs, of_lang = np.unique(np.array(batch.column("lang").to_pylist(), object).astype(str), return_inverse=True)
         part = batch.column("calibration").to_numpy(zero_copy_only=False)
-        group = np.where(part[doc], len(langs) + doc, of_lang[doc])
-        pair, n = np.unique(group * max(len(words), 1) + code, return_counts=True)
-        group, code = pair // max(len(words), 1), pair % max(len(words), 1)
-        own = group >= len(langs)
-        lang = np.where(own, of_lang[np.where(own, group - len(langs), 0)], group)
-        ids = np.array(batch.column("doc_id").to_pylist(), np.int64)
+        group = (of_lang * 2 + part)[doc]
+        pair, n = np.unique(group * len(words) + code, return_counts=True)
+        group, code = pair // len(words), pair % len(words)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(langs[lang].tolist() if len(lang) else [], pa.string()),
-                pa.array(np.where(own, ids[np.where(own, group - len(langs), 0)], -1) if len(ids) else [], pa.int64()),
-                pa.array(own),
-                pa.array(words[code].tolist() if len(code) else [], pa.string()),
+                pa.array(langs[group // 2].tolist(), pa.string()),
+                pa.array(group % 2 == 1),
+                pa.array(words, pa.string()).take(pa.array(code)),
                 pa.array(n.astype(np.int64)),
             ],
-            ["lang", "doc_id", "calibration", "word", "n"],
+            ["lang", "calibration", "word", "n"],
         )
 
 
@@ -247,11 +253,11 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     )
     rows = (
         sample.select("doc_id", "lang", "text", "calibration")
-        .mapInArrow(_word_counts, "lang string, doc_id bigint, calibration boolean, word string, n bigint")
+        .mapInArrow(_word_counts, "lang string, calibration boolean, word string, n bigint")
         .where("word != ''")
-        .groupBy("lang", "doc_id", "calibration", "word")
+        .groupBy("lang", "calibration", "word")
         .agg(F.sum("n").alias("n"))
-        .orderBy("lang", "doc_id", "word")
+        .orderBy("lang", "calibration", "word")
         .toPandas()
     )
     counted = rows[~rows["calibration"]] if (~rows["calibration"]).any() else rows
