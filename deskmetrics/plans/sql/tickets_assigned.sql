@@ -22,8 +22,8 @@ named AS (
   UNION ALL
   SELECT *, CAST(NULL AS STRING) FROM finished LEFT ANTI JOIN (SELECT DISTINCT item FROM staff) ON item = id
 )
-SELECT named.*, desk_categories.name AS nome_categoria, pesofield AS peso, desk_request_types.name AS origem,
-       tempo_medio_fechamento, tempo_medio_solucao
+SELECT named.* EXCEPT (nome_tecnico), desk_categories.name AS nome_categoria, pesofield AS peso,
+       desk_request_types.name AS origem, nome_tecnico, tempo_medio_fechamento, tempo_medio_solucao
 FROM named
 LEFT JOIN desk_categories ON desk_categories.id = itilcategories_id
 LEFT JOIN desk_category_weights ON items_id = itilcategories_id

@@ -33,7 +33,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() == 225
+    assert df.count() == 473
     assert df.columns[:2] == ["Técnico", "Data"]
 
 

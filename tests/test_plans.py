@@ -70,11 +70,77 @@ def test_summary_aggregates_after_partial_combine(spark):
     assert per_ticket, "per-ticket level must shuffle on (technician, month, ticket)"
 
 
-def test_account_growth_joins_on_buckets_only(spark):
-    """After the checkpointed (day, bucket) ranks, the only window is the running sum over
-    buckets and every join is keyed on the bucket: nothing joins back on the id."""
+def test_account_growth_sees_all_ranges_only_as_one_row_each(spark):
+    """After the copies, the only window is the running sum over one row per id range, and the
+    join is keyed on the range: nothing joins back on the id."""
     p = plan(QUERIES["account_growth"](spark, SF_SMALL))
-    window_args = [l for l in p.splitlines() if l.startswith("Arguments:") and "windowspecdefinition" in l]
-    assert window_args and all("__bucket" in l for l in window_args)
-    keys = [l for l in p.splitlines() if l.startswith(("Left keys", "Right keys"))]
-    assert keys and all("__bucket" in l or "__ob" in l for l in keys)
+    windows = [line for line in p.splitlines() if line.startswith("Arguments:") and "windowspecdefinition" in line]
+    assert windows and all("__op" in line for line in windows)
+    keys = [line for line in p.splitlines() if line.startswith(("Left keys", "Right keys"))]
+    assert keys and all("part" in line or "__op" in line for line in keys)
+
+
+def stages(spark):
+    """The plans of the reports up to their copies, which an explained report no longer shows."""
+    from deskmetrics.operators import enrich
+    from deskmetrics.operators.accounts import eligible_accounts
+    from deskmetrics.plans import reports as R
+    from deskmetrics.plans.catalog import PERIOD, tables_for
+
+    t = tables_for(spark, SF_SMALL)
+    pairs = enrich.observer_pairs(t.tickets, t, PERIOD.baseline_first, PERIOD.final)
+    return {
+        "assigned": R.assigned_tickets(t, PERIOD),
+        "derived": R.derived_tickets(t, PERIOD, R.ScoreConfig(), False, R._grading_columns(R.ScoreConfig())),
+        "pairs": pairs,
+        "observed": R.observer_rows(t, PERIOD, pairs),
+        "changes": R.changes_report(t, PERIOD),
+        "accounts": eligible_accounts(t.accounts),
+    }
+
+
+@pytest.mark.parametrize("name", ["assigned", "derived", "pairs", "observed", "changes", "accounts"])
+def test_stages_have_no_python_and_no_quadratic_join(spark, name):
+    p = plan(stages(spark)[name])
+    assert "Scan parquet" in p
+    for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in p, f"{name}: {bad} in plan"
+
+
+def scans(p, table):
+    """(pushed filters, columns) of every scan of a table in a formatted plan."""
+    found = []
+    for block in p.split("\n\n"):
+        if f"{table}.parquet" in block and "ReadSchema" in block:
+            lines = {line.split(":")[0]: line for line in block.splitlines() if ":" in line}
+            found.append((lines.get("PushedFilters", ""), lines["ReadSchema"]))
+    return found
+
+
+def test_assigned_tickets_reads_tickets_three_times_and_filters_each(spark):
+    """Twice for the two halves of the fan-out and once for the category means, all with the window pushed down."""
+    own = scans(plan(stages(spark)["assigned"]), "orders")
+    windowed = [f for f, _ in own if "GreaterThanOrEqual(o_orderdate" in f and "LessThan(o_orderdate" in f]
+    assert 2 <= len(windowed) <= 3
+    assert len(own) == len(windowed) + sum("o_custkey" not in r and "o_orderpriority" in r for _, r in own)
+
+
+def test_derived_stage_reads_only_what_grading_needs(spark):
+    df = stages(spark)["derived"]
+    assert set(df.columns) == {"id", "date", "nome_tecnico", "peso", "atraso", "tempo_solucao", "tempo_medio_solucao", "__close_secs", "__solve_secs"}
+    for _, read in scans(plan(df), "lineitem"):
+        assert "l_shipdate" not in read and "l_extendedprice" not in read
+
+
+def test_worklog_prunes_timers_and_tasks(spark):
+    from deskmetrics.plans.catalog import tables_for
+
+    t = tables_for(spark, SF_SMALL)
+    for df, unused in ((t.timers.select("tasks_id", "actual_end"), "l_extendedprice"), (t.tasks.select("id", "tickets_id"), "l_quantity")):
+        assert all(unused not in read for _, read in scans(plan(df), "lineitem"))
+
+
+@pytest.mark.parametrize("name", ["sink_report", "sink_snapshot", "run_all"])
+def test_sinks_read_back_what_they_wrote(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    assert "Scan" in p and "PythonUDF" not in p and "EvalPython" not in p

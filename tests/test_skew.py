@@ -148,22 +148,68 @@ def test_hot_task_is_split_in_the_worklog(skew_session):
     assert "SortMergeJoin(skew=true)" in buf.getvalue()
 
 
-def test_hot_ticket_observers_are_split(skew_session):
-    """One ticket with most observer pairs: the fan-out mapping's inner join is split."""
-    from deskmetrics.operators.joins import fan_out_mapping
+class Frames:
+    def __init__(self, frames):
+        self.frames = frames
 
-    spark = skew_session
-    tickets = spark.range(0, 200).select(F.col("id"), F.lit(5).alias("status"))
-    pairs = spark.range(0, 20000).select(
-        F.when(F.col("id") < 15000, F.lit(3)).otherwise(F.col("id") % 150).alias("id"),
-        F.concat(F.lit("obs"), F.col("id").cast("string")).alias("nome_observador"),
-    )
-    keys = tickets.select(F.col("id").alias("__k")).distinct()
-    mapping = fan_out_mapping(keys, pairs, "id", ["nome_observador"], "__k")
-    df = tickets.join(mapping, tickets["id"] == mapping["__k"], "inner")
+    def load(self, spark, name):
+        return self.frames[name]
+
+
+def _hot_desk(spark):
+    """Ticket 7 holds most bridge rows, most observers and most worked days."""
+    import datetime as dt
+
+    from deskmetrics.sources.tables import Tables
+
+    day = F.lit(dt.datetime(2024, 1, 2, 8)).cast("timestamp_ntz")
+    hot = F.when(F.col("id") < 3000, F.lit(7)).otherwise(F.col("id") % 200).cast("long")
+    items = spark.range(0, 200).select(
+        "id", day.alias("date"), F.lit(5).alias("status"), F.lit(1).alias("type"), F.lit(1).alias("itilcategories_id"),
+        F.lit(1).alias("requesttypes_id"), F.lit(60).cast("long").alias("close_delay_stat"), F.lit(60).cast("long").alias("solve_delay_stat"),
+        day.alias("solvedate"), day.alias("time_to_resolve"),
+    )
+    bridge = spark.range(0, 4000).select(hot.alias("item"), (10 + F.col("id") % 3000).alias("users_id"), F.lit(2).alias("type"))
+    watch = spark.range(0, 4000).select(hot.alias("item"), (100 + F.col("id")).alias("users_id"), F.lit(3).alias("type"))
+    bridge = bridge.union(watch.filter("item = 7 AND users_id % 60 = 0 OR item <> 7"))
+    bridge = bridge.select(F.col("item").alias("tickets_id"), "users_id", "type")
+    tasks = spark.range(0, 4000).select("id", hot.alias("tickets_id"), day.alias("date"), (1 + F.col("id") % 500).alias("users_id_tech"), F.lit(60).cast("long").alias("actiontime"))
+    timers = spark.range(0, 4000).select(
+        F.col("id").alias("tasks_id"), day.alias("actual_begin"),
+        F.timestamp_add("DAY", (F.col("id") / 500).cast("int"), day).alias("actual_end"), F.lit(60).cast("long").alias("actual_actiontime"),
+    )
+    frames = {
+        "tickets": items, "changes": items, "problems": items, "tickets_users": bridge, "tasks": tasks, "timers": timers,
+        "changes_users": bridge.withColumnRenamed("tickets_id", "changes_id"), "problems_users": bridge.withColumnRenamed("tickets_id", "problems_id"),
+        "categories": spark.createDataFrame([(1, "Rede")], "id int, name string"),
+        "category_weights": spark.createDataFrame([(1, 3)], "items_id int, pesofield int"),
+        "request_types": spark.createDataFrame([(1, "Email")], "id int, name string"),
+        "users": spark.range(1, 5000).select("id", F.concat(F.lit("u"), F.col("id").cast("string")).alias("firstname"), F.lit(1).alias("groups_id")),
+    }
+    return Tables(spark, Frames(frames))
+
+
+def _skewed_joins(df):
     rows = df.collect()
-    assert len(rows) == 20000 + 50  # every pair, plus one null row per ticket without observers
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()
-    assert "SortMergeJoin(skew=true)" in buf.getvalue()
+    return rows, buf.getvalue().split("== Initial Plan ==")[0].count("SortMergeJoin(skew=true)")
+
+
+@pytest.mark.parametrize("name", ["assigned", "observed", "worklog", "changes", "sql:tickets_assigned", "sql:tickets_observed", "sql:changes", "sql:problems", "sql:worklog"])
+def test_hot_ticket_is_split_in_the_reports(skew_session, name):
+    from deskmetrics.functions.period import Period
+    from deskmetrics.plans import reports as R
+    from deskmetrics.plans.sql import run_sql_report
+
+    t = _hot_desk(skew_session)
+    period = Period.of("2024-01-01", "2024-01-31")
+    if name.startswith("sql:"):
+        df = run_sql_report(t, name[4:], period)
+    else:
+        df = {"assigned": R.assigned_tickets, "observed": R.observed_tickets, "changes": R.changes_report, "worklog": R.worklog_report}[name](t, period)
+    rows, split = _skewed_joins(df)
+    assert len(rows) > 2000
+    # Both fan-outs of the observed report, else the one on the ticket.
+    assert split >= (2 if "observed" in name else 1)

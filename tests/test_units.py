@@ -131,8 +131,8 @@ def test_ticket_report_outputs_share_one_grading(spark):
     t = Tables.fixtures(spark, SF_SMALL)
     period = Period.of("1996-01-01", "2000-06-30")
     rep = R.TicketReport(t, period)
-    assert rep.full().count() == rep.detail().count() == 610
-    assert rep.summary().count() == 225
+    assert rep.full().count() == rep.detail().count() == 1173
+    assert rep.summary().count() == 473
     assert rep.graded is rep.graded
     assert set(rep.detail().columns) <= set(rep.full().columns)
     assert rep.summary().exceptAll(R.technician_month_summary(t, period)).count() == 0
@@ -172,4 +172,77 @@ def test_summary_report_keeps_business_labels(spark):
     back = read_report(spark, write_report(summary, fresh_path(spark, "summary")))
     assert back.columns == summary.columns
     assert "Diferença de tempo percentual em relação a média anual" in back.columns
-    assert back.count() == 225
+    assert back.count() == 473
+
+
+def test_sql_report_with_an_open_period_is_an_error(spark):
+    t = Tables.fixtures(spark, SF_SMALL)
+    for name in ("tickets_assigned", "tickets_observed", "changes", "problems", "worklog"):
+        for period in (None, Period.of(None, None), Period.of("1996-01-01", None)):
+            with pytest.raises(ValueError, match="needs a value"):
+                run_sql_report(t, name, period)
+
+
+def test_sql_views_leave_the_callers_views_alone(spark):
+    t = Tables.fixtures(spark, SF_SMALL)
+    spark.range(3).createOrReplaceTempView("users")
+    run_sql_report(t, "changes", Period.of("1996-01-01", "2000-06-30")).count()
+    assert spark.table("users").count() == 3
+    spark.catalog.dropTempView("users")
+
+
+def test_summary_is_written_in_key_order(spark):
+    import csv
+    import glob
+
+    t = Tables.fixtures(spark, SF_SMALL)
+    period = Period.of("1996-01-01", "2000-06-30")
+    out = fresh_path(spark, "ordered")
+    R.run_all(t, out, period=period, reports=["ticket_summary", "worklog_summary"])
+    for name in ("ticket_summary", "worklog_summary"):
+        keys = []
+        for part in sorted(glob.glob(f"{out}/{name}/part-*.csv")):
+            with open(part, newline="", encoding="utf-8") as f:
+                keys += [tuple(row[:2]) for row in list(csv.reader(f))[1:]]
+        assert len(keys) > 50 and keys == sorted(keys)
+
+
+def test_run_all_files_hold_the_reports(spark):
+    t = Tables.fixtures(spark, SF_SMALL)
+    period = Period.of("1996-01-01", "2000-06-30")
+    out = fresh_path(spark, "files")
+    R.run_all(t, out, period=period, reports=["accounts", "changes"])
+    accounts = read_report(spark, f"{out}/accounts").collect()
+    want = R.account_growth_report(t).collect()
+    assert sorted((r[0], int(r[1]), int(r[2])) for r in accounts) == sorted((r[0].strftime("%d/%m/%Y"), r[1], r[2]) for r in want)
+    changes = read_report(spark, f"{out}/changes")
+    got = changes.groupBy("id").count().collect()
+    assert {(int(r[0]), r[1]) for r in got} == {(r[0], r[1]) for r in R.changes_report(t, period).groupBy("id").count().collect()}
+
+
+def test_account_ranks_with_sparse_ids(spark):
+    """Ids far apart: every window task sees one id range, and the running sum one row per range."""
+    import datetime as dt
+
+    from deskmetrics.operators import accounts as A
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5000).select(
+        (F.col("id") * 1_000_003).alias("id"), F.lit(True).alias("is_active"), F.lit(False).alias("is_deleted"),
+        F.timestamp_add("DAY", F.col("id") % 30, F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")).alias("date_creation"),
+    )
+    ranged = A.ranged_accounts(rows, parts=8)
+    sizes = [r["count"] for r in ranged.groupBy("part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 5000 / 8
+    got = {r["data"]: r["total_contas"] for r in A.account_growth(rows, parts=8).collect()}
+    assert len(got) == 30 and got[dt.date(2024, 1, 1) + dt.timedelta(days=4999 % 30)] == 5000
+
+
+def test_command_line_window_reports_and_bounds(spark):
+    from deskmetrics.__main__ import parse_args
+
+    a = parse_args("--jdbc-url jdbc:x --out o --initial 2024-01-01 --final 2024-02-01 --report changes --jdbc-bounds tickets:id:1:9".split())
+    assert (a.initial.month, a.final.month, a.report, a.jdbc_bounds) == (1, 2, ["changes"], ["tickets:id:1:9"])
+    for bad in ("--initial 2024-01-01", "--jdbc-bounds tickets:id"):
+        with pytest.raises(SystemExit):
+            parse_args(["--parquet", "p", "--out", "o", *bad.split()])
