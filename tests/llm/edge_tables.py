@@ -1,3 +1,5 @@
+"""Fixtures of this folder: tables with odd rows, and the smallest test corpus."""
+
 import pytest
 
 from pyspark.sql import functions as F

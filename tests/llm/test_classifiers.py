@@ -6,6 +6,7 @@ import pytest
 
 from compare import canon, duck
 from conftest import SF_CHECK, SF_SMALL
+from edge_tables import corpus, edge_docs, no_docs  # noqa: F401
 from deskmetrics.llm import langid, licenses, line_rules, quality, trees
 from deskmetrics.llm.common import text_parts
 

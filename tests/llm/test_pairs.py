@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_CHECK
+from edge_tables import corpus, edge_docs, no_docs  # noqa: F401
 from deskmetrics.llm import jaccard, pii, projected_nn
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from edge_tables import corpus, edge_docs, no_docs  # noqa: F401
 from deskmetrics.llm import bpe_codec, packing, token_counts
 from deskmetrics.llm.common import byte_slices, ragged, text_parts
 from deskmetrics.llm.units import Memo, library, unit_offsets
