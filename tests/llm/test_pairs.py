@@ -242,7 +242,7 @@ def test_pii_report_and_redaction(spark, edge_docs, no_docs):
     out = pii.redacted(edge_docs)
     assert out.columns == edge_docs.columns
     changed = {r["doc_id"]: r for r in out.collect() if r["doc_id"] is not None}
-    assert "4387513035237269" not in changed[11]["text"] and changed[11]["n_chars"] == len(changed[11]["text"])
+    assert "a@b.co" not in changed[11]["text"] and "1.2.3.4" not in changed[11]["text"] and changed[11]["n_chars"] == len(changed[11]["text"])
     assert all(changed[i]["text"] == t for i, t in texts.items() if not any(plain_spans(t or "").values()))
 
 
