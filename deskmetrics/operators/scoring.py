@@ -91,28 +91,26 @@ def with_deltas(df: DataFrame, config: ScoreConfig) -> DataFrame:
     return df.select("*", X.month_key("date").alias("date2"), *delta_cols)
 
 
-def month_delta_bounds(with_delta: DataFrame, config: ScoreConfig) -> DataFrame:
-    """Per month, the largest and smallest clipped delta of each metric."""
-    metrics = config.metrics()
-    return with_delta.groupBy("date2").agg(
-        *[F.max(f"delta_tempo_{m}").alias(f"max_mes_{m}") for m, _ in metrics],
-        *[F.min(f"delta_tempo_{m}").alias(f"min_mes_{m}") for m, _ in metrics],
-    )
-
-
-def technician_volume(with_delta: DataFrame) -> DataFrame:
-    """Detail rows per (month, technician first name); rows without a name take no part."""
-    return (
-        with_delta.filter(F.col("nome_tecnico").isNotNull())
-        .groupBy("date2", "nome_tecnico")
-        .agg(F.count("id").alias("qtde_chamados"))
+def technician_groups(with_delta: DataFrame, config: ScoreConfig) -> DataFrame:
+    """W03 and the first level of W01/W02: per (month, technician first name) the detail rows, which are the
+    technician's volume (none for the group of null names), and the delta range of each metric."""
+    metrics = [m for m, _ in config.metrics()]
+    groups = with_delta.groupBy("date2", "nome_tecnico").agg(
+        F.count("id").alias("__rows"),
+        *[F.max(f"delta_tempo_{m}").alias(f"__max_{m}") for m in metrics],
+        *[F.min(f"delta_tempo_{m}").alias(f"__min_{m}") for m in metrics],
     )
+    return groups.withColumn("qtde_chamados", F.when(F.col("nome_tecnico").isNotNull(), F.col("__rows")))
 
 
-def volume_range(volume: DataFrame) -> DataFrame:
-    """Per month, the smallest and largest technician volume."""
-    return volume.groupBy("date2").agg(
-        F.min("qtde_chamados").alias("min_qtde_chamados"), F.max("qtde_chamados").alias("max_qtde_chamados")
+def month_ranges(groups: DataFrame, config: ScoreConfig) -> DataFrame:
+    """Per month the delta range of each metric and the range of technician volumes."""
+    metrics = [m for m, _ in config.metrics()]
+    return groups.groupBy("date2").agg(
+        *[F.max(f"__max_{m}").alias(f"max_mes_{m}") for m in metrics],
+        *[F.min(f"__min_{m}").alias(f"min_mes_{m}") for m in metrics],
+        F.min("qtde_chamados").alias("min_qtde_chamados"),
+        F.max("qtde_chamados").alias("max_qtde_chamados"),
     )
 
 
@@ -134,17 +132,8 @@ def grade_tickets(
     total_weight = sum(w for _, w in metrics)
     with_delta = with_deltas(df, config)
 
-    per_tech = with_delta.groupBy("date2", "nome_tecnico").agg(
-        F.count("id").alias("__rows"),
-        *[F.max(f"delta_tempo_{m}").alias(f"__max_{m}") for m, _ in metrics],
-        *[F.min(f"delta_tempo_{m}").alias(f"__min_{m}") for m, _ in metrics],
-    ).withColumn("qtde_chamados", F.when(F.col("nome_tecnico").isNotNull(), F.col("__rows")))
-    month_table = per_tech.groupBy("date2").agg(
-        *[F.max(f"__max_{m}").alias(f"max_mes_{m}") for m, _ in metrics],
-        *[F.min(f"__min_{m}").alias(f"min_mes_{m}") for m, _ in metrics],
-        F.min("qtde_chamados").alias("min_qtde_chamados"),
-        F.max("qtde_chamados").alias("max_qtde_chamados"),
-    )
+    per_tech = technician_groups(with_delta, config)
+    month_table = month_ranges(per_tech, config)
     month_table = broadcast_by_bound(month_table.withColumnRenamed("date2", "__month"), month_bound)
     lookup = per_tech.join(month_table, per_tech["date2"] == month_table["__month"], "inner").select(
         F.col("date2").alias("__m"),

@@ -517,7 +517,7 @@ def _with_deltas(t: Tables):
 def month_bounds(t: Tables) -> DataFrame:
     """W01 + W02 as an aggregate (one row per month)."""
     S, cfg, wd = _with_deltas(t)
-    return S.month_delta_bounds(wd, cfg)
+    return S.month_ranges(S.technician_groups(wd, cfg), cfg).select("date2", "max_mes_solucao", "min_mes_solucao")
 
 
 @register(
@@ -531,9 +531,10 @@ def month_bounds(t: Tables) -> DataFrame:
 def technician_volume(t: Tables) -> DataFrame:
     """W03 + W04: rows per (month, technician) with the month's smallest and largest volume."""
     S, cfg, wd = _with_deltas(t)
-    vol = S.technician_volume(wd)
-    rng = S.volume_range(vol)
-    return vol.join(rng, "date2", "left")
+    groups = S.technician_groups(wd, cfg)
+    months = S.month_ranges(groups, cfg).select("date2", "min_qtde_chamados", "max_qtde_chamados")
+    named = groups.where("nome_tecnico IS NOT NULL").select("date2", "nome_tecnico", "qtde_chamados")
+    return named.join(months, "date2", "left")
 
 
 # -- X: scalar expressions over whole tables -----------------------------------------------
