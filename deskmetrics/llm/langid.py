@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskmetrics.llm.common import binary_array, byte_slices, text_parts
+from deskmetrics.llm.common import binary_array, byte_slices, text_parts, written
 
 ORDER = 5
 TRAIN_DOCS = 250
@@ -40,6 +40,8 @@ FOLDS = 3
 HELD_OUT = 1
 TOLERANCE = 6.0
 SLACK = 1.2
+#: Ids of up to so many sampled documents are broadcast to pick their texts; beyond, the join is shuffled.
+BROADCAST_IDS = 1_000_000
 #: Words a worker remembers.
 MEMO_WORDS = 500_000
 #: Nats by which the score's logistic falls off around the rejection line.
@@ -246,9 +248,10 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """The model of at most ``train_docs`` documents of each language, the held-out fold left out."""
     nearest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = learnable(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")).select("doc_id", "lang")
-    ids = ids.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= train_docs).drop("place").distinct()
+    ids = written(ids.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= train_docs).drop("place").distinct(), "learned")
+    few = ids.count() <= BROADCAST_IDS  # train_docs for each language
     sample = learnable(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"))
-    sample = sample.join(F.broadcast(ids), ["doc_id", "lang"]).withColumn(
+    sample = sample.join(F.broadcast(ids) if few else ids, ["doc_id", "lang"]).withColumn(
         "calibration", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(CALIBRATE_EACH)) == 0
     )
     rows = (
