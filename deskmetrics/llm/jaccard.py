@@ -452,3 +452,29 @@ def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # An id with several rows: they are copies of one document, or texts of a group; one row of each component stays.
     single = kept.join(again, "doc_id", "left_anti").select(docs.columns)
     return single.union(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+
+
+#: The rows of ``link_groups`` over ``documents`` (whose ids are unique) in DuckDB's SQL, by brute force.
+GROUPS_SQL = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) >= {WORDS} THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM t
+), n AS (
+  SELECT t.doc_id, count(g) AS n FROM t LEFT JOIN s USING (doc_id) GROUP BY t.doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY x, y
+), links AS (
+  SELECT x, y FROM common JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= {PERCENT} * (a.n + b.n - c)
+), edges AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT reach.x, edges.y FROM reach JOIN edges ON edges.x = reach.y
+)
+SELECT doc_id, CAST(max(n) AS BIGINT) AS n_shingles, min(y) AS component_id FROM n JOIN reach ON x = doc_id GROUP BY doc_id
+"""
