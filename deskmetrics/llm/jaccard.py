@@ -20,8 +20,9 @@ sets count once: they are one node, whatever the number of copies.
 *Candidates.* Nodes that share fewer than ``need`` codes in every layout drop out (passages and boilerplate
 that many documents share end here). What is left are groups of nodes by code. No group is expanded into pairs:
 each node is verified against the most central node of its groups (``STARS`` rounds); verified links make
-components; only nodes of one group that are still in different components are then paired, and
-verified if they share ``need`` codes.
+components. Nodes of one group that are still in different components are compared by their bit sketches, in
+blocks: only pairs whose Hamming distance lets them link leave the task. Of a node's groups only the rarest
+have to be looked at for that (``_rarest``).
 
 *Verification* compares the shingle sets themselves.
 
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskmetrics.llm.common import byte_slices, ragged, text_parts, written
@@ -47,6 +48,10 @@ PERCENT = 80
 #: Share of extra blocks, and the least number of them.
 SLACK, LEAST_SLACK = 0.4, 4
 STARS = 3
+#: Bits of a node's sketch for each bit that may differ.
+SKETCH_BITS = 6
+#: Nodes of a group that a task compares with as many others.
+COMPARED = 1024
 #: Text bytes that a task sketches at once; its arrays take some 40 times as much.
 SKETCH_BYTES = 3 << 20
 #: Ids of up to so many candidates are broadcast to pick their texts; beyond, the join is shuffled.
@@ -311,6 +316,49 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(data, pa.binary())], ["node", "hashes"])
 
 
+def _bit_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, layout, bits): the parity sketch of a set in a layout, with some more bits than may differ."""
+    layouts = Layouts()
+    for batch in batches:
+        out = []
+        for layout, hashes in zip(batch.column("layout").to_pylist(), batch.column("hashes"), strict=True):
+            h = np.frombuffer(hashes.as_buffer(), np.uint64)
+            layouts.band(np.array([len(h) * 2]))
+            wide = 64 * max(8, int(layouts.differ()[layout]) * SKETCH_BITS // 64 + 1)
+            odd = np.bincount((h % _U(wide)).astype(np.int64), minlength=wide) & 1
+            out.append(np.packbits(odd.astype(np.uint8)).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("layout"), pa.array(out, pa.binary())], ["node", "layout", "bits"])
+
+
+def _near_sketches(percent: int):
+    """Arrow function over two blocks of a group: the pairs of different labels whose sizes and sketches let them link."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        node, label, n, own = (table.column(c).to_numpy() for c in ("node", "label", "n", "own"))
+        bits = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in table.column("bits")), np.uint64).reshape(len(node), -1)
+        i, j = key[1].as_py(), key[2].as_py()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        found = []
+        step = max(1, (1 << 21) // max(1, len(right) * bits.shape[1]))
+        for start in range(0, len(left), step):
+            rows = left[start : start + step]
+            fits = label[rows, None] != label[None, right]
+            if i == j:
+                fits &= rows[:, None] < right[None]
+            small, large = np.minimum(n[rows, None], n[None, right]), np.maximum(n[rows, None], n[None, right])
+            fits &= small * 100 >= large * percent
+            x, y = np.nonzero(fits)
+            for part in range(0, len(x), 1 << 16):
+                a, b = rows[x[part : part + (1 << 16)]], right[y[part : part + (1 << 16)]]
+                differ = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64)
+                near = differ * (100 + percent) <= (n[a].astype(np.int64) + n[b]) * (100 - percent)
+                found.append((np.minimum(node[a], node[b])[near], np.maximum(node[a], node[b])[near]))
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+        return pa.table([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return run
+
+
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,6 +411,20 @@ def _core(groups: DataFrame) -> DataFrame:
     return groups
 
 
+def _rarest(groups: DataFrame) -> DataFrame:
+    """Of each node and layout, the memberships by which a link must show first.
+
+    A node's codes that a linked node lacks are at most ``shared - need`` of those it shares with
+    anyone. So, in one order of all groups, the first code that a linked pair has in common is
+    among the first ``shared - need + 1`` of either node. Ordered by size, these are the rarest
+    ones: a passage that many documents hold comes last.
+    """
+    own = Window.partitionBy("node", "layout")
+    before = F.sum("times").over(own.orderBy("members", "gid").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = groups.withColumns({"before": F.coalesce(before, F.lit(0)), "shared": F.sum("times").over(own)})
+    return ranked.where("before <= shared - need").drop("before", "shared", "members")
+
+
 def _label(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return nodes.withColumn("label", F.col("node"))
@@ -414,17 +476,18 @@ def link_groups(docs: DataFrame, percent: int = PERCENT, parts: int | None = Non
             edges = found if edges is None else edges.union(found)
             labels = components(edges)
 
-    named = written(_label(groups, labels), "labelled")
-    open_ = named.groupBy("gid").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 != l2").select("gid")
-    named = named.join(open_, "gid")
-    left = named.select("gid", "layout", "times", *[F.col(c).alias(f"a_{c}") for c in ("node", "label", "need", "n")])
-    right = named.select("gid", *[F.col(c).alias(f"b_{c}") for c in ("node", "label", "need", "n")])
-    size = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
-    pairs = left.join(right, "gid").where((F.col("a_label") < F.col("b_label")) & size)
-    pairs = pairs.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "layout").agg(
-        F.sum("times").alias("times"), F.max(F.greatest("a_need", "b_need")).alias("need")
+    named = _label(_rarest(groups), labels)
+    sizes = F.ceil(F.count("*") / COMPARED).cast("int").alias("blocks")
+    open_ = named.groupBy("gid").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), sizes).where("l1 != l2")
+    named = written(named.join(open_.select("gid", "blocks"), "gid"), "open")
+    bits = sets.join(named.select("node", "layout").distinct(), "node").mapInArrow(_bit_sketches, "node bigint, layout smallint, bits binary")
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    met = named.join(bits, ["node", "layout"]).select(
+        "gid", "node", "label", "n", "bits", block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     )
-    pairs = pairs.where("times >= need").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
+    pairs = met.groupBy("gid", "i", "j").applyInArrow(_near_sketches(percent), "a bigint, b bigint").distinct()
+    pairs = pairs.join(tried, ["a", "b"], "left_anti")
     swapped = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
     pairs = written(pairs.join(swapped, ["a", "b"], "left_anti"), "open-pairs")
     found = written(verify(pairs, sets, percent), "verified")
