@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deskmetrics.llm.common import binary_array, byte_slices, ragged, text_parts
+from deskmetrics.llm.common import binary_array, byte_slices, hold, ragged, text_parts
 from deskmetrics.llm.units import Library, Memo, library, unit_offsets
 
 WINDOW = 16
 CHUNK_BYTES = 1024
 #: Unit places that a worker remembers for chunks.
-CHUNK_MEMO = 4_000_000
+CHUNK_MEMO = 3_000_000
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>, decoded string"
 
@@ -176,6 +176,7 @@ def _decode(name: str, ids: np.ndarray, upto: np.ndarray) -> list[str]:
 
 def _chunks(name: str) -> Chunks:
     """The memory of this Python worker, kept from task to task."""
+    hold("bpe_codec", _CHUNKS.clear)
     if name not in _CHUNKS:
         _CHUNKS[name] = Chunks(library(name))
     return _CHUNKS[name]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from deskmetrics.session import fresh_path
 
 #: Text bytes handled at once inside a task. Arrow batches above it are sliced, so the
 #: working arrays of a task do not depend on how long the documents are.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -54,6 +56,14 @@ def byte_slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE
             end = max(end, start + 1)
             yield batch.slice(start, end - start)
             start = end
+    release()
+
+
+def release() -> None:
+    """Give memory that is free back to the system: a worker outlives its task, and the next one may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without this call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def binary_array(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -64,6 +74,26 @@ def binary_array(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
     )
 
 
+def count_in(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often ``mask`` is true between neighbouring offsets."""
+    return np.diff(np.searchsorted(np.flatnonzero(mask), offsets))
+
+
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, drop: Callable[[], None]) -> None:
+    """Announce what operator ``name`` remembers in this Python worker; ``drop`` forgets it.
+
+    Workers outlive tasks and stages. When another operator's turn comes, the earlier one's memory goes."""
+    if name not in _HELD:
+        for other in list(_HELD.values()):
+            other()
+        _HELD.clear()
+        release()
+        _HELD[name] = drop
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of every (start, length), one after another."""
     ends = np.cumsum(lengths)

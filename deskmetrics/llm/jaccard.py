@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskmetrics.llm.common import byte_slices, ragged, text_parts, written
+from deskmetrics.llm.common import byte_slices, hold, ragged, text_parts, written
 
 WORDS = 5
 PERCENT = 80
@@ -77,6 +77,7 @@ _POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    hold("jaccard", _POWERS.clear)
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, 1 << 20)
         ones = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)

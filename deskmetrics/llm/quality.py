@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmetrics.llm import trees
-from deskmetrics.llm.common import binary_array, byte_slices, text_parts
+from deskmetrics.llm.common import binary_array, byte_slices, count_in, text_parts
 
 TRAIN_ROWS = 20_000
 FOLDS = 5
@@ -62,10 +62,7 @@ def document_statistics(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     size = np.diff(off).astype(float)
     per = np.maximum(size, 1)
 
-    def count(mask: np.ndarray) -> np.ndarray:
-        return np.diff(np.append(0, np.cumsum(mask, dtype=np.int64))[off])
-
-    kinds = {k: count(table[raw]) for k, table in _KINDS.items()}
+    kinds = {k: count_in(table[raw], off) for k, table in _KINDS.items()}
     blank = _KINDS["blanks"][raw]
     starts = np.zeros(len(raw) + 1, bool)
     starts[off] = True
@@ -84,8 +81,7 @@ def document_statistics(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     ends = np.flatnonzero((raw == 10) | starts[1:])  # the last byte of each line
     begins = np.append(0, ends[:-1] + 1) if len(ends) else ends
     of_line = np.searchsorted(off, begins, side="right") - 1
-    upto = np.append(0, np.cumsum(~blank & ahead, dtype=np.int64))
-    line_words = upto[ends + 1] - upto[begins]
+    line_words = np.searchsorted(first, ends + 1) - np.searchsorted(first, begins)
     full = line_words > 0
     begins, ends, of_line, line_words = begins[full], ends[full], of_line[full], line_words[full]
     lines = np.bincount(of_line, minlength=n).astype(float)

@@ -25,7 +25,7 @@ import numpy as np
 from deskmetrics.llm.common import binary_array, ragged
 
 #: Remembered units of one worker; about 200 bytes each.
-MEMO_UNITS = 700_000
+MEMO_UNITS = 400_000
 #: Units handed to the library at once.
 BLOCK = 4_096
 
