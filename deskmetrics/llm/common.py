@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from deskmetrics.session import fresh_path
 
@@ -28,6 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows: those whose ``key`` has the smallest hash, whatever the order and partitioning.
+
+    A count comes first. Of a larger frame only the rows below a hash bound (about four times
+    ``rows``) go on to the sort, so what meets in its last task does not grow with the frame.
+    """
+    total = df.count()
+    h = F.xxhash64(key)
+    if total > 4 * rows:
+        df = df.where(h < F.lit(int(4 * rows / total * 2**64) - 2**63))
+    return df.orderBy(h, key).limit(rows)
+
+
 def text_parts(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n + 1 offsets of an Arrow string column; nulls become empty texts."""
     if isinstance(column, pa.ChunkedArray):

@@ -247,7 +247,11 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """The model of at most ``train_docs`` documents of each language, the held-out fold left out."""
     nearest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = learnable(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")).select("doc_id", "lang")
+    ids = learnable(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")).select("doc_id", "lang")
+    # Below a hash bound of its own, each language has about four times the rows wanted: the window stays small.
+    counts = written(ids.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    ids = ids.join(F.broadcast(counts) if counts.count() <= BROADCAST_IDS else counts, "lang")
+    ids = ids.where(F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5 < F.lit(4.0 * train_docs) / F.col("rows")).drop("rows")
     ids = written(ids.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= train_docs).drop("place").distinct(), "learned")
     few = ids.count() <= BROADCAST_IDS  # train_docs for each language
     sample = learnable(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text"))

@@ -9,7 +9,7 @@ be wrong. Every candidate is described by its format (lengths, groups, separator
 and words beside it), and boosted trees give the probability that it is personal data of its kind. Of the candidates that
 reach their kind's threshold, the likeliest that overlap no base span or chosen one are added.
 
-*Training* needs no labels: at most ``TRAIN_SPANS`` base spans (smallest id hash) are rewritten in other
+*Training* needs no labels: at most ``TRAIN_SPANS`` base spans of ``TRAIN_DOCS`` documents (smallest id hash) are rewritten in other
 formats and set beside other numbers, in their own contexts, and distractors (dates, prices, versions, order numbers, hex
 strings, numbers whose check fails) take their places as negatives. Candidates are labelled by whether they are exactly
 the planted span. Each kind's threshold is the lowest with a precision of ``PRECISION`` on a quarter of
@@ -33,9 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmetrics.llm import trees
-from deskmetrics.llm.common import byte_slices, count_in, text_parts
+from deskmetrics.llm.common import byte_slices, count_in, hash_sample, text_parts
 
 KINDS = ("email", "ip", "card", "phone")
+TRAIN_DOCS = 40_000
 TRAIN_SPANS = 3_000
 PRECISION = 0.99
 LEAST_THRESHOLD = 0.5
@@ -237,7 +238,9 @@ def fit(docs: DataFrame, train_spans: int = TRAIN_SPANS) -> Judge:
             types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "kind", "before", "own", "after"])
 
-    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+    ids = hash_sample(own.select("doc_id"), "doc_id", TRAIN_DOCS)  # bounded, so a broadcast of bounded size
+    own = own.join(F.broadcast(ids.distinct()), "doc_id")
     found = own.mapInArrow(snippets, "doc_id bigint, kind string, before string, own string, after string")
     rows = found.orderBy(F.xxhash64("doc_id"), "doc_id", "kind", "before", "own").limit(train_spans).collect()
     return train([tuple(r) for r in rows])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmetrics.llm import trees
-from deskmetrics.llm.common import binary_array, byte_slices, count_in, text_parts
+from deskmetrics.llm.common import binary_array, byte_slices, count_in, hash_sample, text_parts
 
 TRAIN_ROWS = 20_000
 FOLDS = 5
@@ -129,7 +129,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
         F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)
     )
     usable = usable.groupBy("doc_id").agg(F.round(F.avg("y")).cast("int").alias("y"))
-    kept = usable.where(fold("doc_id") != HELD_OUT).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    kept = hash_sample(usable.where(fold("doc_id") != HELD_OUT), "doc_id", rows)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return texts.join(F.broadcast(kept), "doc_id")
 
