@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmetrics.llm.common import binary_array, byte_slices, hold, ragged, text_parts
-from deskmetrics.llm.units import Library, Memo, library, unit_offsets
+from deskmetrics.llm.units import Library, Memo, forget, library, unit_offsets
 
 WINDOW = 16
 CHUNK_BYTES = 1024
@@ -176,7 +176,7 @@ def _decode(name: str, ids: np.ndarray, upto: np.ndarray) -> list[str]:
 
 def _chunks(name: str) -> Chunks:
     """The memory of this Python worker, kept from task to task."""
-    hold("bpe_codec", _CHUNKS.clear)
+    hold("bpe_codec", lambda: (_CHUNKS.clear(), _TOKENS.clear(), _DECIMAL.clear(), forget()))
     if name not in _CHUNKS:
         _CHUNKS[name] = Chunks(library(name))
     return _CHUNKS[name]

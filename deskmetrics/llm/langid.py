@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deskmetrics.llm.common import binary_array, byte_slices, hold, text_parts, written
+from deskmetrics.llm.common import binary_array, byte_slices, hold, release, text_parts, written
 
 ORDER = 5
 TRAIN_DOCS = 250
@@ -43,7 +43,7 @@ SLACK = 1.2
 #: Ids of up to so many sampled documents are broadcast to pick their texts; beyond, the join is shuffled.
 BROADCAST_IDS = 1_000_000
 #: Words a worker remembers.
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
 #: Nats by which the score's logistic falls off around the rejection line.
 SOFTNESS = 0.1
 #: A text counts as at most so many characters when the languages' odds are taken.
@@ -271,6 +271,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     model = kneser_ney(list(zip(counted["lang"], counted["word"], counted["n"], strict=True)))
     held = rows[rows["calibration"]] if rows["calibration"].any() else rows
     _calibrate(model, held)
+    del rows, counted, held
+    release()  # the driver outlives the fit
     return model
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deskmetrics.llm.common import byte_slices, hold, ragged, text_parts, written
-from deskmetrics.llm.units import Memo, library, unit_offsets
+from deskmetrics.llm.units import Memo, forget, library, unit_offsets
 
 CAPACITY = 1024
 END_ID = 2
@@ -56,7 +56,7 @@ def cut_lengths(tokens: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarr
 
 def _memo(tokenizer: str, ranks: str | None) -> Memo:
     """The memory of this Python worker, kept from task to task."""
-    hold("packing", _MEMOS.clear)
+    hold("packing", lambda: (_MEMOS.clear(), forget()))
     if (tokenizer, ranks) not in _MEMOS:
         _MEMOS[tokenizer, ranks] = Memo(library(tokenizer, ranks))
     return _MEMOS[tokenizer, ranks]

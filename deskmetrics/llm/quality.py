@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmetrics.llm import trees
-from deskmetrics.llm.common import binary_array, byte_slices, count_in, hash_sample, text_parts
+from deskmetrics.llm.common import binary_array, byte_slices, count_in, hash_sample, release, text_parts
 
 TRAIN_ROWS = 20_000
 FOLDS = 5
@@ -147,7 +147,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label: str =
     sample = training_sample(docs, labels, label, rows).mapInArrow(_statistics_rows, "doc_id bigint, y int, x array<double>")
     got = sample.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(-1, len(STATISTICS))
-    return trees.fit(x, got["y"].to_numpy(float))
+    model = trees.fit(x, got["y"].to_numpy(float))
+    del got, x
+    release()  # the driver outlives the fit
+    return model
 
 
 def score(docs: DataFrame, model: trees.Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deskmetrics.llm.common import byte_slices, hold, text_parts
-from deskmetrics.llm.units import Memo, library, unit_offsets
+from deskmetrics.llm.units import Memo, forget, library, unit_offsets
 
 #: Tokenizer files whose pre-tokens end at the boundaries of ``units``.
 SPLITTABLE = ("byte_bpe_50k.json", "word_bpe_49k.json")
@@ -37,7 +37,7 @@ class Lengths(Memo):
 
 def _memo(tokenizer: str) -> Lengths:
     """The memory of this Python worker, kept from task to task."""
-    hold("token_counts", _MEMOS.clear)
+    hold("token_counts", lambda: (_MEMOS.clear(), forget()))
     if tokenizer not in _MEMOS:
         _MEMOS[tokenizer] = Lengths(library(tokenizer))
     return _MEMOS[tokenizer]

@@ -25,7 +25,7 @@ import numpy as np
 from deskmetrics.llm.common import binary_array, ragged
 
 #: Remembered units of one worker; about 200 bytes each.
-MEMO_UNITS = 400_000
+MEMO_UNITS = 250_000
 #: Units handed to the library at once.
 BLOCK = 4_096
 
@@ -211,3 +211,8 @@ def library(name: str, ranks: str | None = None) -> Library:
     if (name, ranks) not in _LIBRARIES:
         _LIBRARIES[name, ranks] = Library(name, ranks)
     return _LIBRARIES[name, ranks]
+
+
+def forget() -> None:
+    """Drop the loaded tokenizers of this worker."""
+    _LIBRARIES.clear()
