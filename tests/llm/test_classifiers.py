@@ -196,3 +196,62 @@ def test_licence_edge_cases(spark, edge_docs, no_docs, corpus):
     )
     got = {r["doc_id"]: r["families"] for r in licenses.scan(unseen, scanner).collect()}
     assert got == {1: "mit", 2: "", 3: ""}
+
+
+def test_language_counts_hold_every_distinct_text(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = {(r["lang"], r["text"]) for r in langid.learnable(docs).collect()}
+    want = {}
+    for lang, text in rows:
+        doc, code, runs = langid.letter_runs(*text_parts(pa.array([text])))
+        for run, n in zip(runs.to_pylist(), np.bincount(code, minlength=len(runs)), strict=True):
+            if word := langid.words_of(run):
+                want[lang, word] = want.get((lang, word), 0) + n
+    got = langid.word_table(docs.union(docs).union(docs.limit(50))).groupBy("lang", "word").sum("n").collect()
+    assert {(r[0], r[1]): r[2] for r in got} == want
+
+
+def test_language_learns_from_more_than_a_sample(spark):
+    # 700 texts of a language, each with a word of its own; and one text that holds nine tenths of the rows.
+    own = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(700)]
+    rows = [(i, f"common words and {w}", "en") for i, w in enumerate(own)] + [(1000 + i, "one text again", "en") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    words = {r["word"]: r["n"] for r in langid.word_table(docs).groupBy("word").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    learned = {r["doc_id"] for r in langid.learnable(docs).collect()}
+    assert {w for i, w in enumerate(own) if i in learned} <= set(words) and words["again"] == 1
+
+
+def test_language_model_from_spark_is_the_plain_one(spark):
+    words = [("a", "banana", 3), ("a", "ban  nab", 2), ("a", "b", 4), ("b", "abba", 2), ("b", "éa", 1), ("c", "日本", 1)]
+    frame = spark.createDataFrame(words, "lang string, word string, n bigint")
+    grams = {}
+    for r in langid.gram_table(frame).collect():
+        assert (r["lang"], r["gram"]) not in grams
+        grams[r["lang"], r["gram"]] = r["n"]
+    assert grams["a", "\x01ban"] == 5 and grams["a", "anana"] == 3 and grams["a", "an"] == 2 and grams["b", "a\x02"] == 2
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    got = langid.fit(docs)
+    counted = langid.word_table(docs).where("not calibration").collect()
+    want = langid.kneser_ney([(r["lang"], r["word"], r["n"]) for r in counted])
+    assert got.langs == want.langs and got.unseen == want.unseen
+    for name in ("grams", "logp", "contexts", "weight"):
+        for a, b in zip(getattr(got, name), getattr(want, name), strict=True):
+            assert a.shape == b.shape and np.allclose(a.astype(float), b.astype(float), rtol=1e-5)
+
+
+def test_language_model_too_large_to_broadcast(spark, monkeypatch, edge_docs):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").unionByName(edge_docs.drop("score"), allowMissingColumns=True)
+    small = langid.fit(docs)
+    monkeypatch.setattr(langid, "MODEL_BYTES", 0)
+    monkeypatch.setattr(langid, "BLOCK_WORDS", 500)
+    large = langid.fit(docs)
+    assert isinstance(large, langid.Spread) and np.allclose(large.mean, small.mean) and np.allclose(large.deviation, small.deviation)
+    rows = lambda model: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["lang_pred"], r["accepted"], round(r["score"], 6)) for r in langid.identify(docs, model).collect())
+    assert rows(large) == rows(small)
+    kept = langid.keep_known(docs, large)
+    assert kept.columns == docs.columns and canon(kept.toPandas()) == canon(langid.keep_known(docs, small).toPandas())
+
+
+def test_letters_beside_digits_are_words():
+    doc, code, runs = langid.letter_runs(*text_parts(pa.array(["ab12 cd"])))
+    assert [runs[i].as_py() for i in code] == [b"ab", b"cd"]
