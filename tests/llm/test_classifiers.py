@@ -255,3 +255,22 @@ def test_language_model_too_large_to_broadcast(spark, monkeypatch, edge_docs):
 def test_letters_beside_digits_are_words():
     doc, code, runs = langid.letter_runs(*text_parts(pa.array(["ab12 cd"])))
     assert [runs[i].as_py() for i in code] == [b"ab", b"cd"]
+
+
+def test_licences_inside_long_lines(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    marks = ("licen", "CC BY", "SPDX", "General Public")
+    prose = " ".join(t.replace("\n", " ") for r in docs.where("lang = 'en'").orderBy("doc_id").limit(60).collect() if not any(m in (t := r["text"]) for m in marks)).split()
+    notices = {f: t for f, t in reversed(licenses.TEMPLATES)}  # the first of each family
+    notices |= {"mit": "Released under the MIT License.", "cc-by-nc": "Licensed under CC BY-NC 4.0."}
+    rows, want = [], {}
+    for k, (family, notice) in enumerate(sorted(notices.items())):
+        for many in (5, 12, 40, 700):
+            own = prose[k * 50 : k * 50 + 2 * many]
+            rows.append((len(rows), " ".join([*own[:many], notice, *own[many:]])))
+            want[rows[-1][0]] = family
+    rows.append((1000, " ".join([*prose[:100], notices["mit"], *prose[100:200], notices["gpl"], *prose[200:300]])))
+    rows.append((1001, " ".join(prose[:2000])))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), licenses.fit(docs)).collect()
+    assert {r["doc_id"]: r["families"] for r in got} == want | {1000: "gpl,mit", 1001: ""}
+    assert all(r["n_confirmed"] == (r["doc_id"] != 1001) for r in got)
