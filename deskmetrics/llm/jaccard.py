@@ -212,8 +212,8 @@ def _sketch_rows(parts: int):
             )
             spread += 1
             out = [(-1 - (spread * 7919 + int(doc[0])) % parts, rows.tobytes())]
-            once = np.unique(fp, return_index=True)[1]
-            once = once[valid[once] & (np.diff(upto)[once] > 0)]
+            use = np.flatnonzero(valid & (np.diff(upto) > 0))  # before the copies go: one without id must not stand for the others
+            once = use[np.unique(fp[use], return_index=True)[1]]
             many = np.diff(upto)[once]
             h, fp = h[ragged(upto[once], many)], fp[once]
             owner, layout, need, of, block, key = block_codes(h, np.append(0, np.cumsum(many)), layouts)

@@ -249,3 +249,10 @@ def test_pii_report_and_redaction(spark, edge_docs, no_docs):
 def test_redaction_of_overlapping_spans():
     assert pii.redact("x 12345 y", [(2, 2, 5), (3, 4, 7)]) == "x [CARD] y"
     assert pii.redact("ab", []) == "ab"
+
+
+def test_a_copy_without_id_does_not_hide_the_others(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(words)), (7, " ".join(words)), (9, " ".join([*words[:-1], "other"]))]
+    got = grouped(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1))
+    assert got[7][1] == got[9][1] == 7
