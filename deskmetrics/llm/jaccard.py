@@ -432,8 +432,8 @@ def _label(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def link_groups(docs: DataFrame, percent: int = PERCENT, parts: int | None = None) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id."""
+def node_groups(docs: DataFrame, percent: int = PERCENT, parts: int | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, node (the set's fingerprint) and label of its component."""
     spark = docs.sparkSession
     # Parts of one layout's code space; a part has to fit a task's memory.
     parts = parts or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
@@ -497,25 +497,43 @@ def link_groups(docs: DataFrame, percent: int = PERCENT, parts: int | None = Non
 
     ids = _label(nodes.select("node", "first_id"), labels)
     least = ids.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    ids = ids.join(least, "label").select("node", "component_id")
-    some = of_docs.where("n_shingles > 0 AND doc_id IS NOT NULL").join(ids, "node").select("doc_id", "n_shingles", "component_id")
-    none = of_docs.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return some.union(none).select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), "component_id")
+    ids = ids.join(least, "label").select("node", "component_id", "label")
+    some = of_docs.where("n_shingles > 0 AND doc_id IS NOT NULL").join(ids, "node").select("doc_id", "n_shingles", "component_id", "node", "label")
+    none = of_docs.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node", F.lit(None).cast("bigint").alias("label"))
+    return some.union(none).select("doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), "component_id", "node", "label")
+
+
+def link_groups(docs: DataFrame, percent: int = PERCENT, parts: int | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id."""
+    return node_groups(docs, percent, parts).select("doc_id", "n_shingles", "component_id")
+
+
+def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the fingerprint of their set; null where it is empty."""
+    for batch in byte_slices(batches, "text", SKETCH_BYTES):
+        h, upto = shingles(*text_parts(batch.column("text")))
+        node = pa.array(fingerprints(h, upto)[0].view(np.int64), mask=np.diff(upto) == 0)
+        yield pa.RecordBatch.from_arrays([batch.column("whole"), node], ["whole", "node"])
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, whole: of each component the document with the smallest id. Rows without words or id stay."""
-    groups = written(link_groups(docs, percent), "groups")
-    drop = groups.where("component_id != doc_id").select("doc_id")
+    groups = written(node_groups(docs, percent), "groups")
+    again = written(groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    drop = groups.where("component_id != doc_id").select("doc_id").union(again)
     few = drop.count() <= BROADCAST_IDS
     kept = docs.join(F.broadcast(drop) if few else drop, "doc_id", "left_anti").select(docs.columns)
-    again = groups.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = written(again, "repeated")
     if again.isEmpty():
         return kept
-    # An id with several rows: they are copies of one document, or texts of a group; one row of each component stays.
-    single = kept.join(again, "doc_id", "left_anti").select(docs.columns)
-    return single.union(kept.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    # An id with several rows may hold several texts: these are judged by their fingerprint, one row of each component stays.
+    first = groups.where("component_id = doc_id AND label IS NOT NULL").join(again, "doc_id", "left_semi")
+    first = first.groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("first")).select("first.doc_id", "first.node")
+    rows = docs.join(again, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("whole"), "text")
+    schema = f"whole {rows.schema['whole'].dataType.simpleString()}, node bigint"
+    rows = written(rows.mapInArrow(_fingerprint_rows, schema), "judged").select(F.col("whole.doc_id").cast("bigint").alias("doc_id"), "node", "whole")
+    single = rows.join(first, ["doc_id", "node"], "left_semi").groupBy("doc_id", "node").agg(F.first("whole").alias("whole"))
+    stay = single.select("whole").union(rows.where("node IS NULL").select("whole"))
+    return kept.union(stay.select("whole.*").select(docs.columns))
 
 
 #: The rows of ``link_groups`` over ``documents`` (whose ids are unique) in DuckDB's SQL, by brute force.

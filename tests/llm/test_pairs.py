@@ -256,3 +256,10 @@ def test_a_copy_without_id_does_not_hide_the_others(spark):
     rows = [(None, " ".join(words)), (7, " ".join(words)), (9, " ".join([*words[:-1], "other"]))]
     got = grouped(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1))
     assert got[7][1] == got[9][1] == 7
+
+
+def test_texts_that_share_an_id_are_judged_one_by_one(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (6, text("b")), (8, text("c")), (8, text("d")), (8, text("d")), (8, "")]
+    kept = jaccard.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, text("a")), (5, text("b")), (8, text("c")), (8, text("d")), (8, "")])
