@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmetrics.llm import bpe_codec, jaccard, langid, licenses, line_rules, packing, pii, projected_nn, quality, token_counts
+from deskmetrics.llm import ball_codes, bpe_codec, jaccard, langid, licenses, line_rules, mean_clusters, packing, pii, projected_nn, quality, token_counts
 from deskmetrics.llm.common import table
 
 
@@ -49,6 +49,14 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.roundtrip(docs, then=bpe_codec.digests, schema=bpe_codec.DIGEST_SCHEMA)
 
 
+def op11_mean_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mean_clusters.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_codes.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -62,7 +70,14 @@ QUERIES = {
         op8_license_paragraphs,
         op9_parity_jaccard,
         op10_bpe_roundtrip,
+        op11_mean_clusters,
+        op13_ball_codes,
     )
 }
 #: The other operators have fitted models, libraries or searches that SQL cannot express; tests/llm holds them against plain versions.
-ORACLES: dict[str, str] = {"op6_line_rules": line_rules.VERDICTS_SQL, "op9_parity_jaccard": jaccard.GROUPS_SQL}
+ORACLES: dict[str, str] = {
+    "op6_line_rules": line_rules.VERDICTS_SQL,
+    "op9_parity_jaccard": jaccard.GROUPS_SQL,
+    "op11_mean_clusters": mean_clusters.REPORT_SQL,
+    "op13_ball_codes": ball_codes.REPORT_SQL,
+}
