@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmetrics.llm import ball_codes, bpe_codec, jaccard, langid, licenses, line_rules, mean_clusters, packing, pii, projected_nn, quality, token_counts
+from deskmetrics.llm import ball_codes, bpe_codec, chat_tree, jaccard, langid, licenses, line_rules, mean_clusters, packing, pii, projected_nn, quality, token_counts
 from deskmetrics.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op11_mean_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_clusters.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_tree.report(table(spark, sf_dir, "conversations"))
+
+
 def op13_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_codes.report(table(spark, sf_dir, "embeddings"))
 
@@ -71,6 +75,7 @@ QUERIES = {
         op9_parity_jaccard,
         op10_bpe_roundtrip,
         op11_mean_clusters,
+        op12_chat_tree,
         op13_ball_codes,
     )
 }
@@ -79,5 +84,6 @@ ORACLES: dict[str, str] = {
     "op6_line_rules": line_rules.VERDICTS_SQL,
     "op9_parity_jaccard": jaccard.GROUPS_SQL,
     "op11_mean_clusters": mean_clusters.REPORT_SQL,
+    "op12_chat_tree": chat_tree.REPORT_SQL,
     "op13_ball_codes": ball_codes.REPORT_SQL,
 }
