@@ -3,49 +3,63 @@
 Per day: how many eligible accounts were created (``novas_contas``), and how many eligible
 accounts have an id up to the largest id created that day (``total_contas``). The
 original gets the second figure from a self-join on ``u1.id >= u2.id``, which pairs every
-account with every smaller one (quadratic). Here it is a prefix rank:
-
-1. distinct (id, day) pairs are range-partitioned by id into ``parts`` pieces of about equal rows, dense or
-   sparse ids alike, and written with the number of their piece (it must not change afterwards);
-2. within a piece each id gets its dense rank, and one aggregate per (day, piece) keeps the number
-   of pairs and the largest rank;
-3. per piece, the largest rank is its number of distinct ids; a running sum of those over the
-   ``parts`` pieces gives each piece the count of ids in all lower ones. This is the only step
-   that sees all pieces, and their number is a setting, not a property of the data;
-4. offset + rank is the rank of an id among all eligible ids. It grows with the id, so a
-   day's total is the largest offset + rank among its (day, piece) rows.
+account with every smaller one (quadratic). Here the days are the pieces of a prefix count:
+
+1. ``day_tops``: the largest id of each day, combined on the map side; there are as many rows as calendar days, so
+   the driver may hold them. Sorted, the distinct tops cut the ids into steps;
+2. one shuffle of the accounts, on the id: per id its distinct days. An id that repeats is combined on the map side, and the
+   number of calendar days bounds what it collects;
+3. each id counts once for each of its days, and once for its step (a binary search in the tops), both combined on the map side;
+4. a running sum over the steps, as many as there are days, gives each top the number of ids up to it.
+
+No accounts are sorted, ranked, written or gathered in ranges, so no task's rows depend on how dense the ids are or on a setting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import active_account
-from ..session import materialize
+
 
 def eligible_accounts(accounts: DataFrame) -> DataFrame:
-    return accounts.filter(active_account()).select("id", F.to_date("date_creation").alias("data"))
+    return accounts.filter(active_account() & F.col("id").isNotNull()).select("id", F.to_date("date_creation").alias("data"))
+
 
+def day_tops(accounts: DataFrame) -> list[int]:
+    """The largest eligible id of each creation day, distinct and ascending."""
+    per_day = eligible_accounts(accounts).groupBy("data").agg(F.max("id").alias("top"))
+    return sorted({r["top"] for r in per_day.collect()})
 
-def ranged_accounts(accounts: DataFrame, parts: int | None = None) -> DataFrame:
-    """Distinct eligible (id, data) and ``part``, the number of the id range they lie in; written once.
 
-    ``parts`` defaults to the shuffle partitions; one piece has to fit a task's sort."""
-    parts = parts or int(accounts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = eligible_accounts(accounts).distinct()
-    return materialize(pairs.repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id()))
+def step_of(key: Column, tops: Column, n: int) -> Column:
+    """How many of the ``n`` ascending ``tops`` are smaller than ``key``, by binary search."""
+    width = 1
+    while width <= n:
+        width *= 2
+    halves = []
+    while width > 1:
+        width //= 2
+        halves.append(width)
+    start = F.lit(0)
+    ahead = lambda at, half: F.coalesce(F.get(tops, at + half - 1) < key, F.lit(False))
+    return F.aggregate(F.lit(halves), start, lambda at, half: F.when(ahead(at, half), at + half).otherwise(at))
 
 
-def account_growth(accounts: DataFrame, parts: int | None = None) -> DataFrame:
-    ranged = ranged_accounts(accounts, parts)
-    ranked = ranged.withColumn("__r", F.dense_rank().over(Window.partitionBy("part").orderBy("id")))
-    per_day = materialize(ranked.groupBy("data", "part").agg(F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__max_r")))
-    lower = Window.orderBy("__op").rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
-    offsets = per_day.groupBy(F.col("part").alias("__op")).agg(F.max("__max_r").alias("__size"))
-    offsets = offsets.select("__op", F.coalesce(F.sum("__size").over(lower), F.lit(0)).alias("__offset"))
-    with_offset = per_day.join(F.broadcast(offsets), per_day["part"] == offsets["__op"], "inner")
-    return with_offset.groupBy("data").agg(
-        F.sum("__n").cast("bigint").alias("novas_contas"),
-        F.max(F.col("__offset") + F.col("__max_r")).cast("bigint").alias("total_contas"),
+def account_growth(accounts: DataFrame) -> DataFrame:
+    tops = day_tops(accounts)
+    places = F.lit([int(t) for t in tops]).cast("array<bigint>")
+    step = lambda key: step_of(F.col(key).cast("bigint"), places, len(tops))
+    per_id = eligible_accounts(accounts).groupBy("id").agg(F.collect_set("data").alias("days"))
+    # A row with a day counts the id for that day, the one without counts it for its step.
+    marks = F.explode(F.concat("days", F.array(F.lit(None).cast("date")))).alias("data")
+    marked = per_id.select("id", step("id").alias("step"), marks)
+    counts = marked.groupBy("data", F.when(F.col("data").isNull(), F.col("step")).alias("step")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("id").alias("top")
     )
+    placed = counts.withColumn("step", F.coalesce("step", step("top")))
+    up_to = Window.orderBy("step").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # two rows per calendar day at most
+    total = F.sum(F.when(F.col("data").isNull(), F.col("n"))).over(up_to)
+    grown = placed.select("data", F.col("n").cast("bigint").alias("novas_contas"), total.cast("bigint").alias("total_contas"))
+    return grown.filter(F.col("data").isNotNull())

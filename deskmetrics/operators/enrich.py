@@ -3,13 +3,15 @@
 Each item row (ticket, change, problem) is extended with looked-up names. The category,
 weight and request-type tables (and with the categories the per-category baseline) are
 broadcast after a bounded size check. The bridge joins fan
-out (many rows per item) and go through ``joins.fan_out_join``, so a hot item is split
-on either side; the user lookups are keyed on the user and split on the detail side.
+out (many rows per item) and go through ``joins.fan_out_join``: a bridge is cut to the report's items at its scan
+(``prefilter``), its users' names are looked up, and it meets the items in one join on the item; items that hold a
+large share of the bridge (``hotkeys``) go apart.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 from ..functions.predicates import in_dates, observer_eligible
 from ..schemas import ROLE_ASSIGNED, ROLE_OBSERVER
 from ..sources.tables import Tables
-from .joins import bounded_counts, fan_out_join, fan_out_parts, left_lookup, max_broadcast_rows, with_null
+from .hotkeys import heavy_keys
+from .joins import FanOut, fan_out, hot_test, left_lookup, max_broadcast_rows, row_counts
+from .prefilter import IdFilter
 
 
 @dataclass
@@ -37,16 +41,20 @@ class Lookups:
     weights_small: bool
     request_types: DataFrame
     request_types_small: bool
+    #: Rows of the report's windows, counted in the same job, by name.
+    rows: dict = field(default_factory=dict)
 
     @classmethod
-    def of(cls, tables: Tables, max_rows: int | None = None) -> "Lookups":
+    def of(cls, tables: Tables, max_rows: int | None = None, windows: dict[str, DataFrame] | None = None) -> "Lookups":
         frames = {
             "categories": tables.categories,
             "weights": tables.category_weights,
             "request_types": tables.request_types,
         }
         limit = max_broadcast_rows(tables.categories) if max_rows is None else max_rows
-        small = bounded_counts(frames, limit) if limit > 0 else {k: False for k in frames}
+        windows = windows or {}
+        counts = row_counts({**(frames if limit > 0 else {}), **{f"window {k}": df for k, df in windows.items()}})
+        small = {name: limit > 0 and counts[name] <= limit for name in frames}
         return cls(
             frames["categories"],
             small["categories"],
@@ -54,6 +62,7 @@ class Lookups:
             small["weights"],
             frames["request_types"],
             small["request_types"],
+            {k: counts[f"window {k}"] for k in windows},
         )
 
 
@@ -72,11 +81,29 @@ def join_request_type(df: DataFrame, lk: Lookups) -> DataFrame:
     return left_lookup(df, lk.request_types, "requesttypes_id", "id", {"name": "origem"}, lk.request_types_small)
 
 
-def assigned_users(bridge: DataFrame, item_col: str, role: int = ROLE_ASSIGNED) -> DataFrame:
-    """Bridge rows of one role as ``(__item, __user)``."""
-    return bridge.filter(F.col("type") == role).select(
-        F.col(item_col).alias("__item"), F.col("users_id").alias("__user")
-    )
+def bridge_rows(bridge: DataFrame, item_col: str, role: int, keep: IdFilter | None = None) -> DataFrame:
+    """Bridge rows of one role as ``(__item, __user)``, cut to the items that ``keep`` may contain."""
+    rows = bridge.filter(F.col("type") == role)
+    if keep is not None:
+        rows = rows.filter(keep.may_contain(F.col(item_col)))
+    return rows.select(F.col(item_col).alias("__item"), F.col("users_id").alias("__user"))
+
+
+def hot_items(tables: Tables, bridge: str, item_col: str, role: int = ROLE_ASSIGNED) -> tuple:
+    """The items that hold a large share of a bridge's rows of one role; looked up once for each ``Tables``."""
+    return tables.remembered(("hot", bridge, role), lambda: heavy_keys(bridge_rows(getattr(tables, bridge), item_col, role), "__item")["__item"])
+
+
+def staff_names(bridge: DataFrame, users: DataFrame, item_col: str, name: str, role: int = ROLE_ASSIGNED, keep: IdFilter | None = None) -> DataFrame:
+    """``(__item, __user, name)``, one row per assigned user; a user that is missing has a null name."""
+    return left_lookup(bridge_rows(bridge, item_col, role, keep), users, "__user", "id", {"firstname": name})
+
+
+def assignees(
+    bridge: DataFrame, users: DataFrame, item_col: str, name: str = "nome_tecnico", role: int = ROLE_ASSIGNED, keep: IdFilter | None = None
+) -> FanOut:
+    """J02 + J03 as a fan-out that adds the assigned user's id (``__user``) and first name."""
+    return FanOut(staff_names(bridge, users, item_col, name, role, keep), ["__item"], ["__user", name])
 
 
 def join_assignee(
@@ -86,18 +113,18 @@ def join_assignee(
     item_col: str,
     name: str = "nome_tecnico",
     role: int = ROLE_ASSIGNED,
-    chained: bool = False,
+    keep: IdFilter | None = None,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """J02 + J03: one row per (item, assigned user); the first name of that user.
 
     An item without an assignee keeps one row with a null name; a bridge row whose
-    user is missing keeps its row with a null name too. The bridge join is made of
-    ``fan_out_parts``, so one item with a large share of the bridge rows is still split.
+    user is missing keeps its row with a null name too. ``keep`` must hold every id of ``df``. ``hot`` names the items that hold a large share of
+    the bridge; they are looked up if it is None.
     """
-    matched, missing = fan_out_parts(df, assigned_users(bridge, item_col, role), "id", "__item", ["__user"], chained)
-    # Only matches look a user up: items without an assignee would all meet in one partition.
-    named = left_lookup(matched, users, "__user", "id", {"firstname": name}).drop("__user")
-    return named.unionByName(with_null(missing, name, named))
+    if hot is None:
+        hot = heavy_keys(bridge_rows(bridge, item_col, role), "__item")["__item"]
+    return fan_out(df, ["id"], [assignees(bridge, users, item_col, name, role, keep)], hot_test(hot)).drop("__user")
 
 
 def category_baseline(
@@ -161,7 +188,15 @@ def observer_pairs(tickets: DataFrame, tables: Tables, first, last) -> DataFrame
     return pairs.select(F.col("__t").alias("id"), "nome_observador").distinct()
 
 
-def join_observers(df: DataFrame, pairs: DataFrame, chained: bool = False) -> DataFrame:
-    """Fan out per eligible observer; tickets without one keep a null observer."""
-    right = pairs.select(F.col("id").alias("__obs_id"), "nome_observador")
-    return fan_out_join(df, right, "id", "__obs_id", ["nome_observador"], chained)
+def eligible_observers(tables: Tables, keep: IdFilter | None = None) -> DataFrame:
+    """Distinct ``(__item, nome_observador)`` over the eligible users (F08) of the bridge's observers."""
+    eligible = tables.users.filter(observer_eligible()).select(F.col("id").alias("__uid"), F.col("firstname").alias("nome_observador"))
+    rows = bridge_rows(tables.tickets_users, "tickets_id", ROLE_OBSERVER, keep)
+    return rows.join(eligible, F.col("__user") == F.col("__uid"), "inner").select("__item", "nome_observador").distinct()
+
+
+def observers(tables: Tables, first, last, keep: IdFilter | None = None) -> FanOut:
+    """J08 as a fan-out: tickets without an eligible observer, or opened outside ``first..last``, keep a null one.
+
+    It follows the assignees, by whom the rows of one ticket differ."""
+    return FanOut(eligible_observers(tables, keep), ["__item"], ["nome_observador"], in_dates("date", first, last), "__user")

@@ -10,9 +10,10 @@ join (with skew-split of hot keys) beyond that.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest row count a lookup table may have to be broadcast to every task; the session
@@ -26,17 +27,22 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return MAX_BROADCAST_ROWS if value in (None, "") else int(value)
 
 
-def bounded_counts(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """For each frame, whether it has at most ``max_rows`` rows, all in one small job.
+def row_counts(dfs: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of each frame, all in one small job.
 
-    Every task counts its own rows (for parquet files from their footers) and sends one
+    Every task counts its own rows (for whole parquet files from their footers) and sends one
     number, so no rows travel however large a frame turns out to be."""
     probe = None
     for name, df in dfs.items():
         part = df.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         probe = part if probe is None else probe.unionByName(part)
-    counts = {r["name"]: r["n"] for r in probe.collect()}
-    return {name: counts.get(name, 0) <= max_rows for name in dfs}
+    counts = {r["name"]: r["n"] for r in probe.collect()} if dfs else {}
+    return {name: counts.get(name, 0) for name in dfs}
+
+
+def bounded_counts(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """For each frame, whether it has at most ``max_rows`` rows."""
+    return {name: n <= max_rows for name, n in row_counts(dfs).items()}
 
 
 def broadcast_by_bound(df: DataFrame, row_bound: int | None, max_rows: int | None = None) -> DataFrame:
@@ -70,48 +76,95 @@ def left_lookup(
     return joined.select(*[df[c] for c in df.columns], *[right[c] for c in columns.values()])
 
 
-def own_exchange(key):
-    """The key in a form that an earlier join's partitioning on it does not satisfy.
+def hot_test(hot: Sequence) -> Callable | None:
+    """The test whether a one-column key is one of ``hot``; None without any."""
+    return (lambda key: key.isin(*hot)) if hot else None
 
-    AQE leaves a skewed join unsplit when a later join relies on its output partitioning.
-    A join on this form is given exchanges of its own, so both joins can be split."""
-    return F.col(key).cast("string") if isinstance(key, str) else key.cast("string")
 
+@dataclass(frozen=True)
+class FanOut:
+    """One right side of ``fan_out``: its key columns, and what it adds.
 
-def fan_out_parts(
-    df: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str], chained: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """The two halves of ``df LEFT JOIN right``: the matches, with ``columns``, and the rows of ``df`` without one.
-
-    ``right`` may hold many rows per key. AQE splits a skewed partition only on the left side of a left
-    outer join, so one key holding a large share of ``right`` would land in a single task. Here the
-    matches are an inner join, which may be split on either side (and which by itself restricts
-    ``right`` to the keys of ``df``), and the rest is an anti join against the distinct keys of
-    ``right``, an aggregate that combines on the map side. Rows with a null key have no match. Both
-    halves shuffle ``df`` the same way, so one exchange of it serves both.
-    ``chained`` is for a ``df`` that comes out of another join on the same key.
-    """
-    key = f"__fk_{right_key}"
-    r = right.select(F.col(right_key).alias(key), *columns).filter(F.col(key).isNotNull())
-    form = own_exchange if chained else (lambda c: c)
-    own = form(df[left_key])
-    matched = df.join(r, own == form(r[key]), "inner").select(*[df[c] for c in df.columns], *[r[c] for c in columns])
-    keys = r.select(key).distinct()
-    return matched, df.join(keys, own == form(keys[key]), "left_anti")
+    ``where`` is a condition on the left rows without which they have no match (a left outer join's ON). ``spread`` names a column of the
+    left rows by which those of one hot key differ; without it the right side is the one with many rows per key."""
 
+    right: DataFrame
+    keys: Sequence[str]
+    columns: Sequence[str]
+    where: Column | None = None
+    spread: str | None = None
 
-def with_null(df: DataFrame, name: str, like: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c) for c in df.columns], F.lit(None).cast(like.schema[name].dataType).alias(name))
 
+def fan_out(df: DataFrame, keys: Sequence[str], steps: Sequence[FanOut], hot: Callable | None = None) -> DataFrame:
+    """``df LEFT JOIN step LEFT JOIN step ...``, all on the same ``keys`` of ``df``; every step may hold many rows per key.
 
-def fan_out_join(
-    df: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: list[str], chained: bool = False
-) -> DataFrame:
-    """``df LEFT JOIN right``: the columns of ``df`` followed by ``columns`` (null when unmatched); see ``fan_out_parts``."""
-    matched, missing = fan_out_parts(df, right, left_key, right_key, columns, chained)
-    for c in columns:
-        missing = with_null(missing, c, right)
-    return matched.unionByName(missing)
+    Rows of ordinary keys are left joins: each side is shuffled once on the keys, and a further step finds the rows where they are.
+    A left outer join cannot be split on its right side, and a join whose partitioning the next one uses cannot be split at all. So
+    the rows of hot keys (``hot`` tests key columns; see ``hotkeys.heavy_keys``) go apart, with salted keys (``_hot_parts``).
+    Rows with a null key have no match.
+    """
+    named = [FanOut(*_renamed(step, i), step.where, step.spread) for i, step in enumerate(steps)]
+    is_hot = lambda cols: F.coalesce(hot(*[F.col(c) for c in cols]), F.lit(False))
+    rest = df if hot is None else df.filter(~is_hot(keys))
+    for step in named:
+        right = step.right if hot is None else step.right.filter(~is_hot(step.keys))
+        rest = _left_join(rest, keys, FanOut(right, step.keys, step.columns, step.where))
+    if hot is None:
+        return rest
+    apart = df.filter(is_hot(keys))
+    for step in named:
+        apart = _hot_parts(apart, keys, FanOut(step.right.filter(is_hot(step.keys)), step.keys, step.columns, step.where, step.spread))
+    return rest.unionByName(apart)
+
+
+def _renamed(step: FanOut, i: int) -> tuple[DataFrame, list[str], list[str]]:
+    """The right side under key names of its own."""
+    names = [f"__fk{i}_{k}" for k in step.keys]
+    return step.right.select(*[F.col(k).alias(n) for k, n in zip(step.keys, names)], *step.columns), names, list(step.columns)
+
+
+def _on(df: DataFrame, keys: Sequence[str], right: DataFrame, right_keys: Sequence[str], where: Column | None = None):
+    on = F.lit(True) if where is None else where
+    for k, r in zip(keys, right_keys):
+        on = on & (df[k] == right[r])
+    return on
+
+
+def _left_join(df: DataFrame, keys: Sequence[str], step: FanOut) -> DataFrame:
+    joined = df.join(step.right, _on(df, keys, step.right, step.keys, step.where), "left")
+    return joined.select(*[df[c] for c in df.columns], *[step.right[c] for c in step.columns])
+
+
+#: Tasks that the rows of one hot key are dealt out to.
+SALTS = 32
+
+
+def _hot_parts(df: DataFrame, keys: Sequence[str], step: FanOut) -> DataFrame:
+    """The left join for hot keys only. The side with many rows per key gets a salt, the other one a copy for each salt.
+
+    Keys without a match are found against the distinct hot keys of the right side: at most ``hotkeys.TOP`` a key column, broadcast."""
+    own = df if step.where is None else df.filter(step.where)
+    salt = lambda *by: F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int").alias("__salt")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt")
+    left = own.select("*", salt(step.spread) if step.spread else every)
+    right = step.right.select("*", every if step.spread else salt(*step.columns))
+    matched = left.join(right, _on(left, [*keys, "__salt"], right, [*step.keys, "__salt"]), "inner")
+    matched = matched.select(*[left[c] for c in df.columns], *[right[c] for c in step.columns])
+    known = F.broadcast(step.right.select(*step.keys).distinct())
+    missing = df.join(known, _on(df, keys, known, step.keys, step.where), "left_anti")
+    nulls = [F.lit(None).cast(step.right.schema[c].dataType).alias(c) for c in step.columns]
+    return matched.unionByName(missing.select("*", *nulls))
+
+
+def lookup_with_hot_keys(df: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: Sequence) -> DataFrame:
+    """``df JOIN right`` where ``right`` has one row per key and is itself the result of a join on that key, so that AQE cannot split
+    this one: the rows of ``right`` for the ``hot`` keys of ``df`` (at most ``hotkeys.TOP``) are broadcast."""
+    join = lambda a, b: a.join(b, a[left_key] == b[right_key], "inner")
+    if not hot:
+        return join(df, right)
+    test = hot_test(hot)
+    rest = join(df.filter(~F.coalesce(test(df[left_key]), F.lit(False))), right.filter(~test(right[right_key])))
+    return rest.unionByName(join(df.filter(test(df[left_key])), F.broadcast(right.filter(test(right[right_key])))))
 
 
 def keep_columns(df: DataFrame, allowed: Sequence[str]) -> DataFrame:

@@ -12,8 +12,8 @@ here with the fan-out moved after the aggregation:
    sums are multiplied by that count, which is what the fan-out does to a sum.
 
 A hot ticket or technician is therefore combined on the map side before any shuffle.
-The groups are checkpointed, and the assignee summary only covers tickets that have work
-in the window (a semi join), not the whole bridge history.
+The groups are written once, and the assignee summary and the tickets only cover tickets that have work
+in the window (``prefilter``), not the whole history.
 """
 
 from __future__ import annotations
@@ -27,9 +27,11 @@ from ..functions import expressions as X
 from ..functions.predicates import has_technician, interval_inside, not_excluded
 from ..schemas import ROLE_ASSIGNED, WORKLOG_SUMMARY_LABELS
 from ..sources.tables import Tables
-from .enrich import Lookups
 from ..session import materialize
-from .joins import left_lookup, own_exchange
+from .enrich import Lookups, bridge_rows
+from .hotkeys import heavy_keys
+from .joins import left_lookup, lookup_with_hot_keys
+from .prefilter import id_filter
 
 
 def worklog_grouped(tables: Tables, initial, final) -> DataFrame:
@@ -54,35 +56,28 @@ def worklog_grouped(tables: Tables, initial, final) -> DataFrame:
         F.sum("actiontime").alias("__glpi"),
     )
 
-    # Tickets (all statuses) with their category name; a task's ticket must exist.
-    lk = Lookups.of(tables)
-    tickets = left_lookup(
-        tables.tickets.select("id", "itilcategories_id"),
-        lk.categories,
-        "itilcategories_id",
-        "id",
-        {"name": "categoria_chamado"},
-        lk.categories_small,
-    )
     # The groups are far fewer than the timers and are read twice below: written once.
     grouped = materialize(grouped)
-    # One row per ticket: number of assignee rows and the smallest assignee first name,
-    # only for tickets with work in the window (the bridge spans all history).
-    worked = grouped.select(F.col("tickets_id").alias("__wt")).distinct()
-    bridge = tables.tickets_users.filter(F.col("type") == ROLE_ASSIGNED).select(
-        F.col("tickets_id").alias("__bt"), F.col("users_id").alias("__bu")
-    )
-    bridge = bridge.join(worked, bridge["__bt"] == worked["__wt"], "left_semi")
-    users = tables.users.select(F.col("id").alias("__uid"), F.col("firstname"))
-    assignees = (
-        bridge.join(users, bridge["__bu"] == users["__uid"], "left")
-        .groupBy("__bt")
+    ids = grouped.select("tickets_id")
+    lk = Lookups.of(tables, windows={"worked": grouped})
+    keep = id_filter(ids, lk.rows["worked"])
+    # Everything a ticket adds, one row per ticket with work in the window: its category (any status; a task's ticket must
+    # exist), its number of assignee rows and their smallest first name. Both histories are cut to those tickets at the scan.
+    tickets = tables.tickets.select("id", "itilcategories_id")
+    bridge = bridge_rows(tables.tickets_users, "tickets_id", ROLE_ASSIGNED, keep)
+    if keep is not None:
+        tickets = tickets.filter(keep.may_contain(F.col("id")))
+    else:
+        bridge = bridge.join(ids.distinct(), F.col("__item") == F.col("tickets_id"), "left_semi")
+    tickets = left_lookup(tickets, lk.categories, "itilcategories_id", "id", {"name": "categoria_chamado"}, lk.categories_small)
+    people = (
+        left_lookup(bridge, tables.users, "__user", "id", {"firstname": "firstname"})
+        .groupBy("__item")
         .agg(F.count(F.lit(1)).alias("__n_assignees"), F.min("firstname").alias("tecnico_do_chamado"))
     )
-
-    g = grouped.join(tickets, grouped["tickets_id"] == tickets["id"], "inner")
-    # A second join on the ticket with exchanges of its own, so that AQE may split a hot ticket in both.
-    g = g.join(assignees, own_exchange(g["tickets_id"]) == own_exchange(assignees["__bt"]), "left")
+    per_ticket = tickets.join(people, tickets["id"] == people["__item"], "left")
+    # One join on the ticket, whose other side has one row per ticket; a hot ticket's groups stay where they are.
+    g = lookup_with_hot_keys(grouped, per_ticket, "tickets_id", "id", heavy_keys(grouped, "tickets_id")["tickets_id"])
     g = left_lookup(g, tables.users, "users_id_tech", "id", {"firstname": "tecnico_das_tarefas"})
     fan_out = F.coalesce(F.col("__n_assignees"), F.lit(1))
     return g.select(

@@ -1,10 +1,10 @@
 """The user-facing reports (R01-R11), each one lazy DataFrame plan from scan to result.
 
 Building a report runs two kinds of jobs only:
-* size checks (the dimension tables, the grading lookup);
+* size checks (the dimension tables, the window's items, the grading lookup; once for each ``Tables``, a bridge's hot items);
 * parquet copies, in the shared folder, of small or twice-read intermediate results (the derived ticket
-  rows, with the columns the report needs, and the per-(month, technician) lookup in
-  grading, the observer pairs, the ranged accounts).
+  rows, with the columns the report needs, the per-(month, technician) lookup in
+  grading, the worklog's groups).
 
 The parts before a copy are functions of their own (``derived_tickets``, ``with_assignees``,
 ``observer_rows``), so their plans can be looked at.
@@ -19,14 +19,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import expressions as X
 from ..functions.period import Period
-from ..functions.predicates import finished, in_dates
+from ..functions.predicates import finished, in_dates, not_excluded
 from ..operators import accounts as A
 from ..operators import enrich as E
 from ..operators import scoring as S
 from ..operators import worklog as W
-from ..operators.joins import keep_columns
-from ..schemas import CHANGE_TAG, COMMON_COLUMNS, DETAIL_COLUMNS, PROBLEM_TAG, SUMMARY_LABELS
+from ..operators.joins import FanOut, fan_out, hot_test, keep_columns, left_lookup
+from ..operators.prefilter import IdFilter, id_filter
+from ..schemas import CHANGE_TAG, COMMON_COLUMNS, DETAIL_COLUMNS, PROBLEM_TAG, ROLE_ASSIGNED, ROLE_OBSERVER, SUMMARY_LABELS
 from ..session import materialize as _materialize
 from ..sources.tables import Tables
 
@@ -46,20 +48,51 @@ def _month_bound(period: Period) -> int | None:
 # -- tickets ------------------------------------------------------------------
 
 
-def with_assignees(tables: Tables, period: Period, columns: Sequence[str] | None = None) -> DataFrame:
+#: Item table -> its bridge and the bridge's item column.
+BRIDGES = {
+    "tickets": ("tickets_users", "tickets_id"),
+    "changes": ("changes_users", "changes_id"),
+    "problems": ("problems_users", "problems_id"),
+}
+
+
+def _window_ids(tables: Tables, name: str, period: Period) -> DataFrame:
+    return _in_period(getattr(tables, name), period).select("id")
+
+
+def lookups_for(tables: Tables, period: Period, *names: str) -> E.Lookups:
+    """The dimension tables, checked, and the rows of the report's windows, in one small job."""
+    return E.Lookups.of(tables, windows={name: _window_ids(tables, name, period) for name in names or ("tickets",)})
+
+
+def _keep(tables: Tables, name: str, period: Period, lk: E.Lookups) -> IdFilter | None:
+    """The filter of the window's items for their bridge; none for a period without bounds."""
+    if period.initial is None and period.final is None:
+        return None
+    ids = _window_ids(tables, name, period)
+    return id_filter(ids, lk.rows[name] if name in lk.rows else ids.count())
+
+
+def with_assignees(tables: Tables, period: Period, columns: Sequence[str] | None = None, lk: E.Lookups | None = None) -> DataFrame:
     """Finished tickets of the period (all columns, or ``columns``), one row per assignee first name."""
-    base = _in_period(tables.tickets, period)
+    return _with_staff(tables, "tickets", period, columns, lk)
+
+
+def _with_staff(tables: Tables, name: str, period: Period, columns: Sequence[str] | None, lk: E.Lookups | None) -> DataFrame:
+    base = _in_period(getattr(tables, name), period)
     if columns:
         base = base.select(*columns)
-    return E.join_assignee(base, tables.tickets_users, tables.users, "tickets_id")
+    keep = _keep(tables, name, period, lk or lookups_for(tables, period, name))
+    bridge, item_col = BRIDGES[name]
+    return E.join_assignee(base, getattr(tables, bridge), tables.users, item_col, keep=keep, hot=E.hot_items(tables, bridge, item_col))
 
 
 def assigned_tickets(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
     """SQL part of R01: finished tickets of the period with category, weight, origin,
     assignee first name (one row per assignee) and the previous year's category means
     in seconds. The assignee fan-out runs on the bare tickets; the lookups follow."""
-    lk = lk or E.Lookups.of(tables)
-    t = with_assignees(tables, period)
+    lk = lk or lookups_for(tables, period)
+    t = with_assignees(tables, period, lk=lk)
     t = E.join_category(t, lk)
     t = E.join_category_weight(t, lk)
     t = E.join_request_type(t, lk)
@@ -139,8 +172,8 @@ def tickets_for_combining(
     values equal those of the derived tickets: grading is skipped. So are the lookups of
     origin and category means, which add columns only, too. Catalyst cannot prove that uniqueness."""
     config = config or ScoreConfig()
-    lk = lk or E.Lookups.of(tables)
-    t = E.join_category_weight(E.join_category(with_assignees(tables, period), lk), lk)
+    lk = lk or lookups_for(tables, period)
+    t = E.join_category_weight(E.join_category(with_assignees(tables, period, lk=lk), lk), lk)
     for name in ("tempo_medio_fechamento", "tempo_medio_solucao"):
         t = t.withColumn(name, F.lit(None).cast("double"))
     derived = S.derive_ticket_columns(t, config.exclude_technicians)
@@ -189,10 +222,9 @@ class TicketReport:
 # -- changes and problems ----------------------------------------------------------
 
 
-def _change_like(items: DataFrame, bridge: DataFrame, item_col: str, tables: Tables, period: Period, tag: str, lk=None):
-    lk = lk or E.Lookups.of(tables)
-    df = _in_period(items, period)
-    df = E.join_assignee(df, bridge, tables.users, item_col)
+def _change_like(tables: Tables, name: str, period: Period, tag: str, lk: E.Lookups | None) -> DataFrame:
+    lk = lk or lookups_for(tables, period, name)
+    df = _with_staff(tables, name, period, None, lk)
     df = E.join_category(df, lk)
     df = E.join_category_weight(df, lk)
     df = df.drop("type").withColumn("type", F.lit(tag))
@@ -201,43 +233,82 @@ def _change_like(items: DataFrame, bridge: DataFrame, item_col: str, tables: Tab
 
 def changes_report(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
     """R06 (F01 F03 J09 J01 J05 C02 C03)."""
-    return _change_like(tables.changes, tables.changes_users, "changes_id", tables, period, CHANGE_TAG, lk)
+    return _change_like(tables, "changes", period, CHANGE_TAG, lk)
 
 
 def problems_report(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
     """R07 (F01 F03 J10 J01 J05 C02 C03)."""
-    return _change_like(tables.problems, tables.problems_users, "problems_id", tables, period, PROBLEM_TAG, lk)
-
-
-def _as_common_types(df: DataFrame) -> DataFrame:
-    """Common column types for the union: delays as text, dates as calendar dates."""
-    casts = {}
-    for f in df.schema.fields:
-        if f.name in ("close_delay_stat", "solve_delay_stat"):
-            casts[f.name] = F.col(f.name).cast("string")
-        elif f.dataType.typeName() in ("timestamp", "timestamp_ntz"):
-            casts[f.name] = F.to_date(f.name)
-    return df.withColumns(casts) if casts else df
+    return _change_like(tables, "problems", period, PROBLEM_TAG, lk)
+
+
+TAGS = {"changes": CHANGE_TAG, "problems": PROBLEM_TAG}
+
+
+def _common_form(items: DataFrame, name: str) -> DataFrame:
+    """Items of one kind in the combined report's types: delays as text (of tickets as clock time), dates as calendar dates."""
+    as_text = X.seconds_to_clock if name == "tickets" else (lambda c: F.col(c).cast("string"))
+    delays = {c: as_text(c) for c in ("close_delay_stat", "solve_delay_stat") if c in items.columns}
+    label = X.type_label("type") if name == "tickets" else F.lit(TAGS[name])
+    out = items if name == "tickets" else items.drop("type")  # a tag comes last, as in the single report
+    return keep_columns(X.truncate_timestamps(out.withColumns({**delays, "type": label})), COMMON_COLUMNS)
+
+
+def tagged_items(tables: Tables, period: Period, names: Sequence[str], lk: E.Lookups, exclude: Sequence[str] = ()) -> DataFrame:
+    """Items of several kinds with assignee, category and weight, by one fan-out and one set of lookups.
+
+    Items and bridge rows of all kinds are unions keyed by (kind, id), so they meet in one join. ``exclude`` drops technicians of tickets."""
+    kind = {name: F.lit(i).cast("bigint") for i, name in enumerate(names)}
+    items, ids, hot = None, None, {}
+    for name in names:
+        window = _in_period(getattr(tables, name), period)
+        own = _common_form(window, name).withColumn("__kind", kind[name])
+        items = own if items is None else items.unionByName(own, allowMissingColumns=True)
+        own = window.select(kind[name].alias("__kind"), "id")
+        ids = own if ids is None else ids.unionByName(own)
+        found = E.hot_items(tables, *BRIDGES[name])
+        if found:
+            hot[name] = found
+    whole = period.initial is None and period.final is None
+    keep = None if whole else id_filter(ids, sum(lk.rows[name] for name in names))
+    staff = None
+    for name in names:
+        bridge, item_col = BRIDGES[name]
+        rows = getattr(tables, bridge).filter(F.col("type") == ROLE_ASSIGNED)
+        if keep is not None:
+            rows = rows.filter(keep.may_contain(kind[name], F.col(item_col)))
+        rows = rows.select(kind[name].alias("__kind"), F.col(item_col).alias("__item"), F.col("users_id").alias("__user"))
+        staff = rows if staff is None else staff.unionByName(rows)
+    staff = left_lookup(staff, tables.users, "__user", "id", {"firstname": "nome_tecnico"})
+
+    def is_hot(k, item):
+        out = F.lit(False)
+        for name, found in hot.items():
+            out = out | ((k == kind[name]) & item.isin(*found))
+        return out
+
+    step = FanOut(staff, ["__kind", "__item"], ["__user", "nome_tecnico"])
+    df = fan_out(items, ["__kind", "id"], [step], is_hot if hot else None)
+    if exclude and "tickets" in names:
+        df = df.filter((F.col("__kind") != kind["tickets"]) | not_excluded("nome_tecnico", exclude))
+    df = E.join_category_weight(E.join_category(df, lk), lk)
+    added = ["nome_categoria", "peso", "nome_tecnico"]
+    return df.select(*[c for c in items.columns if c != "__kind" and c not in added], *added)
 
 
 def combined_report(
     tables: Tables, period: Period, config: ScoreConfig | None = None, clean_tickets: bool = True
 ) -> DataFrame:
-    """R09 (U01): tickets, then changes, then problems; by column name, duplicates kept.
+    """R09 (U01): tickets, changes and problems; by column name, duplicates kept.
 
     ``clean_tickets=False`` keeps every graded ticket column (as the original batch script
     calls it); change and problem rows then hold nulls in the ticket-only columns."""
-    lk = E.Lookups.of(tables)  # one size check for the three parts
-    tickets = (
-        tickets_for_combining(tables, period, config, lk)
-        if clean_tickets
-        else graded_tickets_full(tables, period, config, lk=lk)
-    )
-    parts = [tickets, changes_report(tables, period, lk), problems_report(tables, period, lk)]
-    out = _as_common_types(parts[0])
-    for p in parts[1:]:
-        out = out.unionByName(_as_common_types(p), allowMissingColumns=True)
-    return out
+    config = config or ScoreConfig()
+    lk = lookups_for(tables, period, *BRIDGES)  # one size check for all parts
+    if clean_tickets:
+        return tagged_items(tables, period, tuple(BRIDGES), lk, config.exclude_technicians)
+    tickets = graded_tickets_full(tables, period, config, lk=lk)
+    others = tagged_items(tables, period, tuple(TAGS), lk)
+    return tickets.unionByName(others, allowMissingColumns=True)
 
 
 # -- worklog --------------------------------------------------------------------
@@ -264,34 +335,39 @@ def worklog_month_summary(
 # -- accounts -------------------------------------------------------------------
 
 
-def account_growth_report(tables: Tables, parts: int | None = None) -> DataFrame:
+def account_growth_report(tables: Tables) -> DataFrame:
     """R08."""
-    return A.account_growth(tables.accounts, parts)
+    return A.account_growth(tables.accounts)
 
 
 # -- observers ------------------------------------------------------------------
 
 
-def observer_rows(tables: Tables, period: Period, pairs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def observer_rows(tables: Tables, period: Period, columns: Sequence[str] | None = None, lk: E.Lookups | None = None) -> DataFrame:
     """Finished tickets of the period, one row per assignee x eligible observer (null where there is none).
 
-    Both fan-outs are keyed on the ticket. The second one has exchanges of its own (``chained``): were it
-    to ride on the first one's partitioning, AQE could not split a hot ticket in either."""
-    return E.join_observers(with_assignees(tables, period, columns), pairs, chained=True)
-
-
-def _pairs(tables: Tables, period: Period) -> DataFrame:
-    # The pairs (a three-way join) feed both halves of the fan-out: written once.
-    return _materialize(E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final))
+    Both fan-outs are keyed on the ticket: the second one finds the rows of ordinary tickets where the first one has put them.
+    Only observers of the report's tickets count, so the filter of its ids cuts their bridge rows, too."""
+    lk = lk or lookups_for(tables, period)
+    base = _in_period(tables.tickets, period)
+    if columns:
+        base = base.select(*columns)
+    keep = _keep(tables, "tickets", period, lk)
+    steps = [
+        E.assignees(tables.tickets_users, tables.users, "tickets_id", keep=keep),
+        E.observers(tables, period.baseline_first, period.final, keep),
+    ]
+    hot = [i for role in (ROLE_ASSIGNED, ROLE_OBSERVER) for i in E.hot_items(tables, "tickets_users", "tickets_id", role)]
+    return fan_out(base, ["id"], steps, hot_test(sorted(set(hot)))).drop("__user")
 
 
 def observed_tickets(tables: Tables, period: Period) -> DataFrame:
     """Finished tickets of the period, one row per assignee x eligible observer.
 
-    The category means and the observer pairs use the window from January 1 of the
+    The category means and the observers use the window from January 1 of the
     previous year to the final date (A03)."""
-    lk = E.Lookups.of(tables)
-    t = observer_rows(tables, period, _pairs(tables, period))
+    lk = lookups_for(tables, period)
+    t = observer_rows(tables, period, lk=lk)
     t = E.join_category(t, lk)
     t = E.join_request_type(t, lk)
     baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.final)
@@ -300,17 +376,21 @@ def observed_tickets(tables: Tables, period: Period) -> DataFrame:
     return t.select(*tables.tickets.columns, *added)
 
 
-def _observer_counts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Per observer first name and opening month, the (ticket, assignee) ``rows`` he or she observes."""
-    seen = rows.join(pairs.withColumnRenamed("id", "__p"), rows["id"] == F.col("__p"), "inner")
+def _observer_counts(rows: DataFrame, tables: Tables, period: Period, keep: IdFilter | None) -> DataFrame:
+    """Per observer first name and opening month, the (ticket, assignee) ``rows`` he or she observes.
+
+    Rows without an observer do not count, so this is an inner join, which AQE may split on either side."""
+    pairs = E.eligible_observers(tables, keep)
+    in_window = rows.filter(in_dates("date", period.baseline_first, period.final))
+    seen = in_window.join(pairs, in_window["id"] == pairs["__item"], "inner")
     return seen.groupBy("nome_observador", F.date_format("date", "yyyy-MM").alias("date2")).agg(F.count("id").alias("id"))
 
 
 def observer_month_counts(tables: Tables, period: Period) -> DataFrame:
-    """A10: rows of the observed report per observer first name and opening month. Rows without an
-    observer do not count, so only ids and dates are joined."""
-    pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
-    return _observer_counts(with_assignees(tables, period, ["id", "date"]), pairs)
+    """A10: rows of the observed report per observer first name and opening month; only ids and dates are joined."""
+    lk = lookups_for(tables, period)
+    rows = with_assignees(tables, period, ["id", "date"], lk)
+    return _observer_counts(rows, tables, period, _keep(tables, "tickets", period, lk))
 
 
 def technician_observer_summary(tables: Tables, period: Period, config: ScoreConfig | None = None) -> DataFrame:
@@ -318,13 +398,14 @@ def technician_observer_summary(tables: Tables, period: Period, config: ScoreCon
     (first name, month). Unlabelled key names ``nome``/``date2``; the observer count is
     ``chamados_observados``. Both halves read the same derived ticket rows, written once."""
     config = config or ScoreConfig()
-    derived = _materialize(derived_tickets(tables, period, config, False, _grading_columns(config)))
+    lk = lookups_for(tables, period)
+    derived = _materialize(derived_tickets(tables, period, config, False, _grading_columns(config), lk))
     summary = S.technician_summary(S.grade_tickets(derived, config, _month_bound(period)), config, labels=False)
     summary = summary.withColumnRenamed("nome_tecnico", "nome")
-    pairs = E.observer_pairs(tables.tickets, tables, period.baseline_first, period.final)
     # The observed report knows no excluded technicians: with any, its rows are read anew.
-    rows = with_assignees(tables, period, ["id", "date"]) if config.exclude_technicians else derived
-    obs = _observer_counts(rows.select("id", "date"), pairs).select(
+    rows = with_assignees(tables, period, ["id", "date"], lk) if config.exclude_technicians else derived
+    counts = _observer_counts(rows.select("id", "date"), tables, period, _keep(tables, "tickets", period, lk))
+    obs = counts.select(
         F.col("nome_observador").alias("__on"), F.col("date2").alias("__od"), F.col("id").alias("chamados_observados")
     )
     joined = summary.join(

@@ -15,9 +15,10 @@ import re
 from importlib import resources
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.period import Period
-from ..operators.accounts import ranged_accounts
+from ..operators.accounts import day_tops
 from ..schemas import TABLE_NAMES
 from ..sources.tables import Tables
 
@@ -31,14 +32,15 @@ def register_views(tables: Tables, text: str) -> None:
     for name in TABLE_NAMES:
         if re.search(rf"\bdesk_{name}\b", text):
             getattr(tables, name).createOrReplaceTempView(f"desk_{name}")
-    if "desk_ranged_accounts" in text:
-        ranged_accounts(tables.accounts).createOrReplaceTempView("desk_ranged_accounts")
 
 
 def run_sql_report(tables: Tables, name: str, period: Period | None = None, **params) -> DataFrame:
     """Run ``sql/<name>.sql`` with the period (and any further ``params``) bound as named parameters."""
     text = sql_text(name)
     args = {**(period.args() if period else {}), **params}
+    if ":day_tops" in text:
+        # The largest id of each day: bounded by the calendar, and needed before the text's own pass.
+        args["day_tops"] = F.array(*[F.lit(int(t)) for t in day_tops(tables.accounts)])
     used = set(re.findall(r":([a-z_]+)", re.sub(r"--.*|'[^']*'", "", text)))
     missing = sorted(k for k in used if args.get(k) is None)
     if missing:

@@ -1,16 +1,20 @@
 -- New eligible accounts per creation day and the number of eligible accounts with an
--- id up to the day's largest id, by a prefix rank over id ranges of about equal rows
--- (no pairwise comparison of accounts). The view has distinct (id, data) and the range's number.
-WITH ranked AS (
-  SELECT data, part, dense_rank() OVER (PARTITION BY part ORDER BY id) AS place FROM desk_ranged_accounts
+-- id up to the day's largest id. The parameter has the days' largest ids, ascending: they cut the ids into steps, as
+-- many as there are days at most. Each account counts once for its step, and a running sum over
+-- the steps gives every day its total (no pairwise comparison of accounts, no sort of them).
+WITH eligible AS (
+  SELECT DISTINCT id, to_date(date_creation) AS data FROM desk_accounts
+  WHERE CAST(is_active AS INT) = 1 AND CAST(is_deleted AS INT) = 0 AND date_creation IS NOT NULL AND id IS NOT NULL
 ),
-per_day AS (
-  SELECT data, part, count(*) AS n, max(place) AS top FROM ranked GROUP BY data, part
+per_day AS (SELECT data, count(*) AS novas_contas, max(id) AS top FROM eligible GROUP BY data),
+per_step AS (
+  SELECT step, count(*) AS size FROM (
+    SELECT DISTINCT id, aggregate(
+      transform(sequence(30, 0, -1), e -> CAST(power(2, e) AS INT)), 0,
+      (at, half) -> CASE WHEN coalesce(get(:day_tops, at + half - 1) < id, false) THEN at + half ELSE at END) AS step
+    FROM eligible)
+  GROUP BY step
 ),
-below AS (
-  SELECT part AS of_part, sum(size) OVER (ORDER BY part) - size AS lower_ids
-  FROM (SELECT part, max(top) AS size FROM per_day GROUP BY part)
-)
-SELECT data, CAST(sum(n) AS BIGINT) AS novas_contas, CAST(max(lower_ids + top) AS BIGINT) AS total_contas
-FROM per_day JOIN below ON of_part = part
-GROUP BY data
+steps AS (SELECT get(:day_tops, step) AS top, sum(size) OVER (ORDER BY step) AS total_contas FROM per_step)
+SELECT data, novas_contas, CAST(total_contas AS BIGINT) AS total_contas
+FROM per_day JOIN steps USING (top)

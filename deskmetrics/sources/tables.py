@@ -118,6 +118,13 @@ class Tables:
         self.spark = spark
         self.source = source
         self._cache: dict[str, DataFrame] = {}
+        self._remembered: dict = {}
+
+    def remembered(self, key, find):
+        """What ``find()`` says about the tables, found out once. For facts that steer plans and never results."""
+        if key not in self._remembered:
+            self._remembered[key] = find()
+        return self._remembered[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLE_NAMES:

@@ -233,9 +233,8 @@ def test_account_growth_small(spark):
         [(1, d1, 1, 0), (2, d2, 1, 0), (3, d1, 1, 0), (4, d2, 0, 0), (5, None, 1, 0)],
         "id long, date_creation timestamp_ntz, is_active int, is_deleted int",
     )
-    for bucket in (1, 2, 100_000):
-        out = {r["data"]: (r["novas_contas"], r["total_contas"]) for r in A.account_growth(acc, bucket).collect()}
-        assert out == {D(2024, 1, 1): (2, 3), D(2024, 1, 2): (1, 2)}
+    out = {r["data"]: (r["novas_contas"], r["total_contas"]) for r in A.account_growth(acc).collect()}
+    assert out == {D(2024, 1, 1): (2, 3), D(2024, 1, 2): (1, 2)}
 
 
 def test_periods():
@@ -250,18 +249,13 @@ def test_periods():
 
 
 def test_combined_typing(spark):
-    tickets = spark.createDataFrame(
-        [(1, D(2024, 1, 1), "Incidente", "01:00:00", "Ana")],
-        "id long, date date, type string, close_delay_stat string, nome_tecnico string",
-    )
-    changes = spark.createDataFrame(
-        [(2, TS(2024, 1, 2, 5), "Mudança", 3600)], "id long, date timestamp_ntz, type string, close_delay_stat long"
-    )
-    out = R._as_common_types(tickets).unionByName(R._as_common_types(changes), allowMissingColumns=True)
+    tickets = spark.createDataFrame([(1, D(2024, 1, 1), 1, 3600)], "id long, date date, type int, close_delay_stat long")
+    changes = spark.createDataFrame([(2, TS(2024, 1, 2, 5), 3600, 4)], "id int, date timestamp_ntz, close_delay_stat int, urgency int")
+    out = R._common_form(tickets, "tickets").unionByName(R._common_form(changes, "changes"), allowMissingColumns=True)
     rows = {r["id"]: r for r in out.collect()}
-    assert rows[2]["close_delay_stat"] == "3600" and rows[2]["date"] == D(2024, 1, 2)
-    assert rows[2]["nome_tecnico"] is None
-    assert dict(out.dtypes)["close_delay_stat"] == "string"
+    assert (rows[1]["close_delay_stat"], rows[1]["type"], rows[1]["urgency"]) == ("01:00:00", "Incidente", None)
+    assert (rows[2]["close_delay_stat"], rows[2]["type"], rows[2]["date"]) == ("3600", "Mudança", D(2024, 1, 2))
+    assert dict(out.dtypes) == {"id": "bigint", "date": "date", "type": "string", "close_delay_stat": "string", "urgency": "int"}
 
 
 def test_exclusion_before_month_bounds(spark):

@@ -1,6 +1,6 @@
-"""A ticket holding most of the bridge rows: AQE splits it in the fan-out join.
+"""A ticket holding most of the bridge rows is found and dealt out; other hot keys are split by AQE.
 
-Skew thresholds are lowered so a few thousand rows count as skewed on a laptop."""
+Thresholds are lowered so a few thousand rows count as skewed on a laptop."""
 
 import contextlib
 import io
@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.deskmetrics.fanout.hotRows": "1000",
 }
 
 
@@ -47,11 +48,14 @@ def test_hot_ticket_is_split(skew_session):
     rows = df.collect()
     plain = tickets.join(bridge.filter("type = 2"), tickets["id"] == bridge["tickets_id"], "left")
     assert len(rows) == plain.count() == 20000
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    plan = buf.getvalue()
-    assert "SortMergeJoin(skew=true)" in plan
+    assert _tasks_of(df, 7) >= 4
+
+
+def _tasks_of(df, ticket):
+    """Tasks that produce rows of a ticket; none has more than half of them."""
+    rows = df.filter(F.col("id") == ticket).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert max(r["count"] for r in rows) <= sum(r["count"] for r in rows) / 2
+    return len(rows)
 
 
 def _hot_month_detail(spark):
@@ -211,5 +215,42 @@ def test_hot_ticket_is_split_in_the_reports(skew_session, name):
         df = {"assigned": R.assigned_tickets, "observed": R.observed_tickets, "changes": R.changes_report, "worklog": R.worklog_report}[name](t, period)
     rows, split = _skewed_joins(df)
     assert len(rows) > 2000
-    # Both fan-outs of the observed report, else the one on the ticket.
-    assert split >= (2 if "observed" in name else 1)
+    if name.startswith("sql:"):
+        # Both fan-outs of the observed report, else the one on the ticket.
+        assert split >= (2 if "observed" in name else 1)
+    else:
+        assert sum(r["id"] == 7 for r in rows) > 1000
+        assert _tasks_of(df, 7) >= 4
+
+
+def test_heavy_keys(skew_session):
+    from deskmetrics.operators.hotkeys import heavy_keys
+
+    df = skew_session.range(0, 30000).select(
+        F.when(F.col("id") < 9000, 7).when(F.col("id") < 11000, 8).when(F.col("id") < 11900, 9).when(F.col("id") < 12000, None).otherwise(F.col("id")).cast("long").alias("k")
+    )
+    assert heavy_keys(df, "k") == {"k": (7, 8)}
+    assert heavy_keys(df.limit(0), "k") == {"k": ()}
+
+
+def test_hot_items_are_looked_up_once(skew_session):
+    from deskmetrics.operators.enrich import hot_items
+
+    t = _hot_desk(skew_session)
+    assert hot_items(t, "tickets_users", "tickets_id") == (7,)
+    t.source.frames["tickets_users"] = None
+    t._cache.clear()
+    assert hot_items(t, "tickets_users", "tickets_id") == (7,)
+
+
+@pytest.mark.parametrize("name", ["assigned", "observed", "changes", "combined"])
+def test_hot_items_change_no_row(skew_session, name):
+    from deskmetrics.functions.period import Period
+    from deskmetrics.plans import reports as R
+
+    period = Period.of("2024-01-01", "2024-01-31")
+    build = {"assigned": R.assigned_tickets, "observed": R.observed_tickets, "changes": R.changes_report, "combined": R.combined_report}[name]
+    apart = build(_hot_desk(skew_session), period)
+    skew_session.conf.set("spark.deskmetrics.fanout.hotRows", "1000000")
+    plain = build(_hot_desk(skew_session), period)
+    assert apart.exceptAll(plain).count() == 0 and plain.exceptAll(apart).count() == 0

@@ -6,6 +6,7 @@ import io
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from deskmetrics.functions.period import Period
@@ -102,29 +103,36 @@ def test_run_all_writes_reports(spark):
     assert all(os.path.isdir(f"{root}/{n}") for n in counts)
 
 
-def test_fan_out_join_equals_left_join(spark):
-    from deskmetrics.operators.joins import fan_out_join
+@pytest.mark.parametrize("hot", [(), (2,), (1, 2, 77)])
+def test_fan_out_equals_left_joins(spark, hot):
+    """Two fan-outs on one key, with a condition on the second, whichever keys go apart."""
+    from deskmetrics.operators.joins import FanOut, fan_out, hot_test
 
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (2, "e")], "id long, x string")
-    hot = [(2, f"u{i}") for i in range(200)]
-    right = spark.createDataFrame(hot + [(1, "v"), (9, "w"), (None, "z")], "k long, y string")
-    got = fan_out_join(left, right, "id", "k", ["y"])
-    want = left.join(right, left["id"] == right["k"], "left").select(left["id"], left["x"], right["y"])
-    assert got.columns == ["id", "x", "y"]
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (2, "e"), (4, "f")], "id long, x string")
+    many = spark.createDataFrame([(2, f"u{i}") for i in range(200)] + [(1, "v"), (9, "w"), (None, "z")], "k long, y string")
+    more = spark.createDataFrame([(2, f"o{i}") for i in range(7)] + [(3, "p"), (4, "q"), (None, "r")], "k long, z string")
+    steps = [FanOut(many, ["k"], ["y"]), FanOut(more, ["k"], ["z"], F.col("x") != "f", "y")]
+    got = fan_out(left, ["id"], steps, hot_test(hot))
+    want = left.join(many, left["id"] == many["k"], "left").select(left["id"], left["x"], many["y"])
+    want = want.join(more, (want["id"] == more["k"]) & (want["x"] != "f"), "left").select(want["id"], want["x"], want["y"], more["z"])
+    assert got.columns == ["id", "x", "y", "z"]
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert got.count() == 1 + 200 * 2 + 1 + 1
+    assert got.count() == 1 + 2 * 200 * 7 + 3
 
 
-def test_fan_out_join_plan_is_inner(spark):
-    from deskmetrics.operators.joins import fan_out_join
+def test_second_fan_out_rides_on_the_first(spark):
+    """Without hot keys each right side is shuffled once, and the rows once for both joins."""
+    from deskmetrics.operators.joins import FanOut, fan_out
 
-    left = spark.createDataFrame([(1, "a")], "id long, x string")
-    right = spark.createDataFrame([(1, "v")], "k long, y string")
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        fan_out_join(left, right, "id", "k", ["y"]).explain()
-    p = buf.getvalue()
-    assert "LeftOuter" not in p and ("Inner" in p)
+    left, right = spark.range(50), spark.range(200).select((F.col("id") % 40).alias("k"), F.col("id").alias("y"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fan_out(left, ["id"], [FanOut(right, ["k"], ["y"]), FanOut(right.withColumnRenamed("y", "z"), ["k"], ["z"])]).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert buf.getvalue().count("Exchange hashpartitioning") == 3
 
 
 def test_ticket_report_outputs_share_one_grading(spark):
@@ -220,22 +228,43 @@ def test_run_all_files_hold_the_reports(spark):
     assert {(int(r[0]), r[1]) for r in got} == {(r[0], r[1]) for r in R.changes_report(t, period).groupBy("id").count().collect()}
 
 
-def test_account_ranks_with_sparse_ids(spark):
-    """Ids far apart: every window task sees one id range, and the running sum one row per range."""
+def _plain_growth(rows):
+    """(day, id) pairs -> day: (ids of the day, ids up to the day's largest)."""
+    ids = {i for _, i in rows}
+    days = {d: {i for e, i in rows if e == d} for d, _ in rows}
+    return {d: (len(own), sum(i <= max(own) for i in ids)) for d, own in days.items()}
+
+
+@pytest.mark.parametrize("gap", [1, 1_000_003])
+def test_account_growth_of_any_ids(spark, gap):
+    """Dense or sparse ids, ids on several days, equal tops, one id that fills the table."""
     import datetime as dt
+    import random
 
     from deskmetrics.operators import accounts as A
-    from pyspark.sql import functions as F
-
-    rows = spark.range(5000).select(
-        (F.col("id") * 1_000_003).alias("id"), F.lit(True).alias("is_active"), F.lit(False).alias("is_deleted"),
-        F.timestamp_add("DAY", F.col("id") % 30, F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")).alias("date_creation"),
-    )
-    ranged = A.ranged_accounts(rows, parts=8)
-    sizes = [r["count"] for r in ranged.groupBy("part").count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * 5000 / 8
-    got = {r["data"]: r["total_contas"] for r in A.account_growth(rows, parts=8).collect()}
-    assert len(got) == 30 and got[dt.date(2024, 1, 1) + dt.timedelta(days=4999 % 30)] == 5000
+
+    rng = random.Random(gap)
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(40)), rng.randrange(-200, 900) * gap) for _ in range(700)]
+    rows += [(dt.date(2024, 3, 1), 5 * gap)] * 900 + [(dt.date(2024, 3, d), 901 * gap) for d in (2, 3)]
+    df = spark.createDataFrame([(dt.datetime.combine(d, dt.time(9)), i) for d, i in rows], "date_creation timestamp_ntz, id long")
+    df = df.select("*", F.lit(1).alias("is_active"), F.lit(0).alias("is_deleted"))
+    bad = spark.createDataFrame([(None, 1, 1, 0), (dt.datetime(2030, 1, 1), None, 1, 0), (dt.datetime(2030, 1, 1), 7, 0, 0)], df.schema)
+    got = {r["data"]: (r["novas_contas"], r["total_contas"]) for r in A.account_growth(df.unionByName(bad).repartition(5)).collect()}
+    assert got == _plain_growth(rows)
+    assert A.account_growth(bad).collect() == []
+
+
+def test_account_growth_shuffles_accounts_once(spark):
+    from deskmetrics.operators import accounts as A
+
+    df = spark.range(500).select((F.col("id") * 3).alias("id"), F.timestamp_seconds(F.col("id") * 9_999).cast("timestamp_ntz").alias("date_creation"), F.lit(1).alias("is_active"), F.lit(0).alias("is_deleted"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        A.account_growth(df).explain()
+    p = buf.getvalue()
+    assert p.count("hashpartitioning(id#") == 1 and "rangepartitioning" not in p and "Scan parquet" not in p
+    # The only others: counts per day and step, and the running sum over them.
+    assert p.count("Exchange ") == 3 and p.count("Exchange SinglePartition") == 1
 
 
 def test_command_line_window_reports_and_bounds(spark):
