@@ -47,9 +47,14 @@ def step_of(key: Column, tops: Column, n: int) -> Column:
     return F.aggregate(F.lit(halves), start, lambda at, half: F.when(ahead(at, half), at + half).otherwise(at))
 
 
+def as_array(numbers: list[int]) -> Column:
+    """One literal (an array column of many literals would be as many calls)."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").try_cast("array<bigint>")
+
+
 def account_growth(accounts: DataFrame) -> DataFrame:
     tops = day_tops(accounts)
-    places = F.lit([int(t) for t in tops]).cast("array<bigint>")
+    places = as_array(tops)
     step = lambda key: step_of(F.col(key).cast("bigint"), places, len(tops))
     per_id = eligible_accounts(accounts).groupBy("id").agg(F.collect_set("data").alias("days"))
     # A row with a day counts the id for that day, the one without counts it for its step.

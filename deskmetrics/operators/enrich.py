@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 from ..functions.predicates import in_dates, observer_eligible
 from ..schemas import ROLE_ASSIGNED, ROLE_OBSERVER
 from ..sources.tables import Tables
-from .hotkeys import heavy_keys
+from .hotkeys import Hot, heavy_keys
 from .joins import FanOut, fan_out, hot_test, left_lookup, max_broadcast_rows, row_counts
 from .prefilter import IdFilter
 
 
+DIMENSIONS = ("categories", "category_weights", "request_types")
+
+
 @dataclass
 class Lookups:
     """Dimension tables of one source, each with a checked broadcast decision.
@@ -45,21 +48,21 @@ class Lookups:
     rows: dict = field(default_factory=dict)
 
     @classmethod
-    def of(cls, tables: Tables, max_rows: int | None = None, windows: dict[str, DataFrame] | None = None) -> "Lookups":
-        frames = {
-            "categories": tables.categories,
-            "weights": tables.category_weights,
-            "request_types": tables.request_types,
-        }
+    def of(
+        cls, tables: Tables, max_rows: int | None = None, windows: dict[str, DataFrame] | None = None, needed: Sequence[str] = DIMENSIONS
+    ) -> "Lookups":
+        """``needed`` are the tables that the report looks up; the others are not counted (and taken as large)."""
+        frames = {name: getattr(tables, name) for name in DIMENSIONS}
         limit = max_broadcast_rows(tables.categories) if max_rows is None else max_rows
         windows = windows or {}
-        counts = row_counts({**(frames if limit > 0 else {}), **{f"window {k}": df for k, df in windows.items()}})
-        small = {name: limit > 0 and counts[name] <= limit for name in frames}
+        counted = {name: frames[name] for name in needed} if limit > 0 else {}
+        counts = row_counts({**counted, **{f"window {k}": df for k, df in windows.items()}})
+        small = {name: name in counted and counts[name] <= limit for name in DIMENSIONS}
         return cls(
             frames["categories"],
             small["categories"],
-            frames["weights"],
-            small["weights"],
+            frames["category_weights"],
+            small["category_weights"],
             frames["request_types"],
             small["request_types"],
             {k: counts[f"window {k}"] for k in windows},
@@ -83,15 +86,13 @@ def join_request_type(df: DataFrame, lk: Lookups) -> DataFrame:
 
 def bridge_rows(bridge: DataFrame, item_col: str, role: int, keep: IdFilter | None = None) -> DataFrame:
     """Bridge rows of one role as ``(__item, __user)``, cut to the items that ``keep`` may contain."""
-    rows = bridge.filter(F.col("type") == role)
-    if keep is not None:
-        rows = rows.filter(keep.may_contain(F.col(item_col)))
-    return rows.select(F.col(item_col).alias("__item"), F.col("users_id").alias("__user"))
+    rows = bridge.filter(F.col("type") == role).select(F.col(item_col).alias("__item"), F.col("users_id").alias("__user"))
+    return rows if keep is None else keep.cut(rows, F.col("__item"))
 
 
-def hot_items(tables: Tables, bridge: str, item_col: str, role: int = ROLE_ASSIGNED) -> tuple:
-    """The items that hold a large share of a bridge's rows of one role; looked up once for each ``Tables``."""
-    return tables.remembered(("hot", bridge, role), lambda: heavy_keys(bridge_rows(getattr(tables, bridge), item_col, role), "__item")["__item"])
+def hot_items(tables: Tables, bridge: str, item_col: str, role: int = ROLE_ASSIGNED) -> Hot:
+    """A bridge's rows of one role, and the items that hold a large share of them; looked up once for each ``Tables``."""
+    return tables.remembered(("hot", bridge, role), lambda: heavy_keys(bridge_rows(getattr(tables, bridge), item_col, role), "__item"))
 
 
 def staff_names(bridge: DataFrame, users: DataFrame, item_col: str, name: str, role: int = ROLE_ASSIGNED, keep: IdFilter | None = None) -> DataFrame:
@@ -123,7 +124,7 @@ def join_assignee(
     the bridge; they are looked up if it is None.
     """
     if hot is None:
-        hot = heavy_keys(bridge_rows(bridge, item_col, role), "__item")["__item"]
+        hot = heavy_keys(bridge_rows(bridge, item_col, role), "__item").keys
     return fan_out(df, ["id"], [assignees(bridge, users, item_col, name, role, keep)], hot_test(hot)).drop("__user")
 
 

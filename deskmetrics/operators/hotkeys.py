@@ -9,6 +9,8 @@ The list only decides how rows travel (``joins.fan_out_join``), never which rows
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,16 @@ def hot_rows(df: DataFrame) -> int:
     return HOT_ROWS if value in (None, "") else int(value)
 
 
-def heavy_keys(df: DataFrame, *keys: str) -> dict[str, tuple]:
-    """For each key column: its hot values (at most ``TOP``). All of them come from one pass."""
-    sketches = [F.expr(f"approx_top_k(`{k}`, {TOP}, {TRACKED})").alias(k) for k in keys]
-    found = df.agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
+@dataclass(frozen=True)
+class Hot:
+    """Rows of a table when it was looked at, and its hot keys (at most ``TOP``)."""
+
+    rows: int
+    keys: tuple
+
+
+def heavy_keys(df: DataFrame, key: str) -> Hot:
+    sketch = F.expr(f"approx_top_k(`{key}`, {TOP}, {TRACKED})").alias("top")
+    found = df.agg(F.count(F.lit(1)).alias("rows"), sketch).first()
     limit = max(hot_rows(df), found["rows"] // TOP)
-    return {k: tuple(sorted(t["item"] for t in found[k] or () if t["item"] is not None and t["count"] > limit)) for k in keys}
+    return Hot(found["rows"], tuple(sorted(t["item"] for t in found["top"] or () if t["item"] is not None and t["count"] > limit)))

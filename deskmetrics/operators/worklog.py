@@ -28,7 +28,7 @@ from ..functions.predicates import has_technician, interval_inside, not_excluded
 from ..schemas import ROLE_ASSIGNED, WORKLOG_SUMMARY_LABELS
 from ..sources.tables import Tables
 from ..session import materialize
-from .enrich import Lookups, bridge_rows
+from .enrich import Lookups, bridge_rows, hot_items
 from .hotkeys import heavy_keys
 from .joins import left_lookup, lookup_with_hot_keys
 from .prefilter import id_filter
@@ -59,16 +59,14 @@ def worklog_grouped(tables: Tables, initial, final) -> DataFrame:
     # The groups are far fewer than the timers and are read twice below: written once.
     grouped = materialize(grouped)
     ids = grouped.select("tickets_id")
-    lk = Lookups.of(tables, windows={"worked": grouped})
-    keep = id_filter(ids, lk.rows["worked"])
+    hot = heavy_keys(grouped, "tickets_id")
+    lk = Lookups.of(tables, needed=("categories",))
     # Everything a ticket adds, one row per ticket with work in the window: its category (any status; a task's ticket must
     # exist), its number of assignee rows and their smallest first name. Both histories are cut to those tickets at the scan.
+    keep = id_filter(ids, hot.rows, hot_items(tables, "tickets_users", "tickets_id").rows)
     tickets = tables.tickets.select("id", "itilcategories_id")
+    tickets = tickets if keep is None else keep.cut(tickets, F.col("id"))
     bridge = bridge_rows(tables.tickets_users, "tickets_id", ROLE_ASSIGNED, keep)
-    if keep is not None:
-        tickets = tickets.filter(keep.may_contain(F.col("id")))
-    else:
-        bridge = bridge.join(ids.distinct(), F.col("__item") == F.col("tickets_id"), "left_semi")
     tickets = left_lookup(tickets, lk.categories, "itilcategories_id", "id", {"name": "categoria_chamado"}, lk.categories_small)
     people = (
         left_lookup(bridge, tables.users, "__user", "id", {"firstname": "firstname"})
@@ -77,7 +75,7 @@ def worklog_grouped(tables: Tables, initial, final) -> DataFrame:
     )
     per_ticket = tickets.join(people, tickets["id"] == people["__item"], "left")
     # One join on the ticket, whose other side has one row per ticket; a hot ticket's groups stay where they are.
-    g = lookup_with_hot_keys(grouped, per_ticket, "tickets_id", "id", heavy_keys(grouped, "tickets_id")["tickets_id"])
+    g = lookup_with_hot_keys(grouped, per_ticket, "tickets_id", "id", hot.keys)
     g = left_lookup(g, tables.users, "users_id_tech", "id", {"firstname": "tecnico_das_tarefas"})
     fan_out = F.coalesce(F.col("__n_assignees"), F.lit(1))
     return g.select(

@@ -344,7 +344,7 @@ SELECT id, date, itilcategories_id, close_delay_stat, solve_delay_stat, solvedat
        {O.looked_up("category_weights", "pesofield", "items_id", "itilcategories_id")} AS peso, '{tag}' AS type
 FROM (
   WITH staff AS ({O.staff_sql(bridge, key)}),
-       items AS (SELECT * FROM {table} WHERE status >= 5 AND date >= {O.INITIAL} AND date < {O.FINAL} + INTERVAL 1 DAY)
+       items AS (SELECT * FROM {table} WHERE status IN (5, 6) AND date >= {O.INITIAL} AND date < {O.FINAL} + INTERVAL 1 DAY)
   {O.with_staff("items", "staff")}
 ) named
 """
@@ -424,7 +424,7 @@ OBSERVED_CTE = f"""{O.mean_cte("obs_baseline", O.FIRST_DAY, O.FINAL)},
 obs_pairs AS (
   SELECT tickets_id AS id, firstname AS nome_observador
   FROM tickets_users, users
-  WHERE type = 3 AND users.id = users_id AND groups_id < 3 AND users.id <> 6 AND firstname IS NOT NULL
+  WHERE type = 3 AND users.id = users_id AND groups_id IN (1, 2) AND users.id <> 6 AND firstname IS NOT NULL
     AND tickets_id IN (SELECT id FROM tickets WHERE date >= {O.FIRST_DAY} AND date < {O.FINAL} + INTERVAL 1 DAY)
   GROUP BY ALL
 ),

@@ -56,13 +56,16 @@ BRIDGES = {
 }
 
 
+NAMES_AND_WEIGHTS = ("categories", "category_weights")
+
+
 def _window_ids(tables: Tables, name: str, period: Period) -> DataFrame:
     return _in_period(getattr(tables, name), period).select("id")
 
 
-def lookups_for(tables: Tables, period: Period, *names: str) -> E.Lookups:
-    """The dimension tables, checked, and the rows of the report's windows, in one small job."""
-    return E.Lookups.of(tables, windows={name: _window_ids(tables, name, period) for name in names or ("tickets",)})
+def lookups_for(tables: Tables, period: Period, *names: str, needed: Sequence[str] = E.DIMENSIONS) -> E.Lookups:
+    """The ``needed`` dimension tables, checked, and the rows of the report's windows, in one small job."""
+    return E.Lookups.of(tables, windows={name: _window_ids(tables, name, period) for name in names or ("tickets",)}, needed=needed)
 
 
 def _keep(tables: Tables, name: str, period: Period, lk: E.Lookups) -> IdFilter | None:
@@ -70,7 +73,7 @@ def _keep(tables: Tables, name: str, period: Period, lk: E.Lookups) -> IdFilter
     if period.initial is None and period.final is None:
         return None
     ids = _window_ids(tables, name, period)
-    return id_filter(ids, lk.rows[name] if name in lk.rows else ids.count())
+    return id_filter(ids, lk.rows[name] if name in lk.rows else ids.count(), E.hot_items(tables, *BRIDGES[name]).rows)
 
 
 def with_assignees(tables: Tables, period: Period, columns: Sequence[str] | None = None, lk: E.Lookups | None = None) -> DataFrame:
@@ -82,9 +85,9 @@ def _with_staff(tables: Tables, name: str, period: Period, columns: Sequence[str
     base = _in_period(getattr(tables, name), period)
     if columns:
         base = base.select(*columns)
-    keep = _keep(tables, name, period, lk or lookups_for(tables, period, name))
+    keep = _keep(tables, name, period, lk or lookups_for(tables, period, name, needed=()))
     bridge, item_col = BRIDGES[name]
-    return E.join_assignee(base, getattr(tables, bridge), tables.users, item_col, keep=keep, hot=E.hot_items(tables, bridge, item_col))
+    return E.join_assignee(base, getattr(tables, bridge), tables.users, item_col, keep=keep, hot=E.hot_items(tables, bridge, item_col).keys)
 
 
 def assigned_tickets(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
@@ -172,7 +175,7 @@ def tickets_for_combining(
     values equal those of the derived tickets: grading is skipped. So are the lookups of
     origin and category means, which add columns only, too. Catalyst cannot prove that uniqueness."""
     config = config or ScoreConfig()
-    lk = lk or lookups_for(tables, period)
+    lk = lk or lookups_for(tables, period, needed=NAMES_AND_WEIGHTS)
     t = E.join_category_weight(E.join_category(with_assignees(tables, period, lk=lk), lk), lk)
     for name in ("tempo_medio_fechamento", "tempo_medio_solucao"):
         t = t.withColumn(name, F.lit(None).cast("double"))
@@ -223,7 +226,7 @@ class TicketReport:
 
 
 def _change_like(tables: Tables, name: str, period: Period, tag: str, lk: E.Lookups | None) -> DataFrame:
-    lk = lk or lookups_for(tables, period, name)
+    lk = lk or lookups_for(tables, period, name, needed=NAMES_AND_WEIGHTS)
     df = _with_staff(tables, name, period, None, lk)
     df = E.join_category(df, lk)
     df = E.join_category_weight(df, lk)
@@ -258,7 +261,7 @@ def tagged_items(tables: Tables, period: Period, names: Sequence[str], lk: E.Loo
 
     Items and bridge rows of all kinds are unions keyed by (kind, id), so they meet in one join. ``exclude`` drops technicians of tickets."""
     kind = {name: F.lit(i).cast("bigint") for i, name in enumerate(names)}
-    items, ids, hot = None, None, {}
+    items, ids, hot, total = None, None, {}, 0
     for name in names:
         window = _in_period(getattr(tables, name), period)
         own = _common_form(window, name).withColumn("__kind", kind[name])
@@ -266,17 +269,16 @@ def tagged_items(tables: Tables, period: Period, names: Sequence[str], lk: E.Loo
         own = window.select(kind[name].alias("__kind"), "id")
         ids = own if ids is None else ids.unionByName(own)
         found = E.hot_items(tables, *BRIDGES[name])
-        if found:
-            hot[name] = found
+        total += found.rows
+        if found.keys:
+            hot[name] = found.keys
     whole = period.initial is None and period.final is None
-    keep = None if whole else id_filter(ids, sum(lk.rows[name] for name in names))
+    keep = None if whole else id_filter(ids, sum(lk.rows[name] for name in names), total)
     staff = None
     for name in names:
         bridge, item_col = BRIDGES[name]
-        rows = getattr(tables, bridge).filter(F.col("type") == ROLE_ASSIGNED)
-        if keep is not None:
-            rows = rows.filter(keep.may_contain(kind[name], F.col(item_col)))
-        rows = rows.select(kind[name].alias("__kind"), F.col(item_col).alias("__item"), F.col("users_id").alias("__user"))
+        rows = E.bridge_rows(getattr(tables, bridge), item_col, ROLE_ASSIGNED).select(kind[name].alias("__kind"), "__item", "__user")
+        rows = rows if keep is None else keep.cut(rows, F.col("__kind"), F.col("__item"))
         staff = rows if staff is None else staff.unionByName(rows)
     staff = left_lookup(staff, tables.users, "__user", "id", {"firstname": "nome_tecnico"})
 
@@ -303,7 +305,8 @@ def combined_report(
     ``clean_tickets=False`` keeps every graded ticket column (as the original batch script
     calls it); change and problem rows then hold nulls in the ticket-only columns."""
     config = config or ScoreConfig()
-    lk = lookups_for(tables, period, *BRIDGES)  # one size check for all parts
+    needed = NAMES_AND_WEIGHTS if clean_tickets else E.DIMENSIONS
+    lk = lookups_for(tables, period, *BRIDGES, needed=needed)  # one size check for all parts
     if clean_tickets:
         return tagged_items(tables, period, tuple(BRIDGES), lk, config.exclude_technicians)
     tickets = graded_tickets_full(tables, period, config, lk=lk)
@@ -357,7 +360,7 @@ def observer_rows(tables: Tables, period: Period, columns: Sequence[str] | None
         E.assignees(tables.tickets_users, tables.users, "tickets_id", keep=keep),
         E.observers(tables, period.baseline_first, period.final, keep),
     ]
-    hot = [i for role in (ROLE_ASSIGNED, ROLE_OBSERVER) for i in E.hot_items(tables, "tickets_users", "tickets_id", role)]
+    hot = [i for role in (ROLE_ASSIGNED, ROLE_OBSERVER) for i in E.hot_items(tables, "tickets_users", "tickets_id", role).keys]
     return fan_out(base, ["id"], steps, hot_test(sorted(set(hot)))).drop("__user")
 
 
@@ -366,7 +369,7 @@ def observed_tickets(tables: Tables, period: Period) -> DataFrame:
 
     The category means and the observers use the window from January 1 of the
     previous year to the final date (A03)."""
-    lk = lookups_for(tables, period)
+    lk = lookups_for(tables, period, needed=("categories", "request_types"))
     t = observer_rows(tables, period, lk=lk)
     t = E.join_category(t, lk)
     t = E.join_request_type(t, lk)
@@ -388,7 +391,7 @@ def _observer_counts(rows: DataFrame, tables: Tables, period: Period, keep: IdFi
 
 def observer_month_counts(tables: Tables, period: Period) -> DataFrame:
     """A10: rows of the observed report per observer first name and opening month; only ids and dates are joined."""
-    lk = lookups_for(tables, period)
+    lk = lookups_for(tables, period, needed=())
     rows = with_assignees(tables, period, ["id", "date"], lk)
     return _observer_counts(rows, tables, period, _keep(tables, "tickets", period, lk))
 

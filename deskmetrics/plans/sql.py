@@ -15,7 +15,6 @@ import re
 from importlib import resources
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.period import Period
 from ..operators.accounts import day_tops
@@ -40,7 +39,7 @@ def run_sql_report(tables: Tables, name: str, period: Period | None = None, **pa
     args = {**(period.args() if period else {}), **params}
     if ":day_tops" in text:
         # The largest id of each day: bounded by the calendar, and needed before the text's own pass.
-        args["day_tops"] = F.array(*[F.lit(int(t)) for t in day_tops(tables.accounts)])
+        args["day_tops"] = ",".join(map(str, day_tops(tables.accounts)))
     used = set(re.findall(r":([a-z_]+)", re.sub(r"--.*|'[^']*'", "", text)))
     missing = sorted(k for k in used if args.get(k) is None)
     if missing:

@@ -1,5 +1,5 @@
 -- New eligible accounts per creation day and the number of eligible accounts with an
--- id up to the day's largest id. The parameter has the days' largest ids, ascending: they cut the ids into steps, as
+-- id up to the day's largest id. The parameter lists the days' largest ids, ascending: they cut the ids into steps, as
 -- many as there are days at most. Each account counts once for its step, and a running sum over
 -- the steps gives every day its total (no pairwise comparison of accounts, no sort of them).
 WITH eligible AS (
@@ -11,10 +11,10 @@ per_step AS (
   SELECT step, count(*) AS size FROM (
     SELECT DISTINCT id, aggregate(
       transform(sequence(30, 0, -1), e -> CAST(power(2, e) AS INT)), 0,
-      (at, half) -> CASE WHEN coalesce(get(:day_tops, at + half - 1) < id, false) THEN at + half ELSE at END) AS step
+      (at, half) -> CASE WHEN coalesce(get(try_cast(split(:day_tops, ',') AS ARRAY<BIGINT>), at + half - 1) < id, false) THEN at + half ELSE at END) AS step
     FROM eligible)
   GROUP BY step
 ),
-steps AS (SELECT get(:day_tops, step) AS top, sum(size) OVER (ORDER BY step) AS total_contas FROM per_step)
+steps AS (SELECT get(try_cast(split(:day_tops, ',') AS ARRAY<BIGINT>), step) AS top, sum(size) OVER (ORDER BY step) AS total_contas FROM per_step)
 SELECT data, novas_contas, CAST(total_contas AS BIGINT) AS total_contas
 FROM per_day JOIN steps USING (top)

@@ -224,23 +224,23 @@ def test_hot_ticket_is_split_in_the_reports(skew_session, name):
 
 
 def test_heavy_keys(skew_session):
-    from deskmetrics.operators.hotkeys import heavy_keys
+    from deskmetrics.operators.hotkeys import Hot, heavy_keys
 
     df = skew_session.range(0, 30000).select(
         F.when(F.col("id") < 9000, 7).when(F.col("id") < 11000, 8).when(F.col("id") < 11900, 9).when(F.col("id") < 12000, None).otherwise(F.col("id")).cast("long").alias("k")
     )
-    assert heavy_keys(df, "k") == {"k": (7, 8)}
-    assert heavy_keys(df.limit(0), "k") == {"k": ()}
+    assert heavy_keys(df, "k") == Hot(30000, (7, 8))
+    assert heavy_keys(df.limit(0), "k") == Hot(0, ())
 
 
 def test_hot_items_are_looked_up_once(skew_session):
     from deskmetrics.operators.enrich import hot_items
 
     t = _hot_desk(skew_session)
-    assert hot_items(t, "tickets_users", "tickets_id") == (7,)
+    assert hot_items(t, "tickets_users", "tickets_id").keys == (7,)
     t.source.frames["tickets_users"] = None
     t._cache.clear()
-    assert hot_items(t, "tickets_users", "tickets_id") == (7,)
+    assert hot_items(t, "tickets_users", "tickets_id").keys == (7,)
 
 
 @pytest.mark.parametrize("name", ["assigned", "observed", "changes", "combined"])
