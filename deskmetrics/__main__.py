@@ -48,9 +48,10 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--jdbc-password-env", default=None, help="environment variable holding the password")
     p.add_argument(
         "--jdbc-bounds", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER",
-        help="read TABLE in parallel ranges of COLUMN (repeatable)",
+        help="read TABLE in ranges of COLUMN between these bounds instead of measured ones (repeatable)",
     )
-    p.add_argument("--jdbc-partitions", type=int, default=64, help="ranges per bounded table")
+    p.add_argument("--jdbc-partitions", type=int, default=64, help="parallel ranges per table, at most")
+    p.add_argument("--jdbc-rows", type=int, default=1_000_000, help="rows that one range should have")
     p.add_argument("--out", required=True, help="shared folder for the reports")
     p.add_argument("--mode", choices=("geral", "anual"), default="geral")
     p.add_argument("--today", default=None, help="reference date (default: today)")
@@ -90,7 +91,7 @@ def main(argv=None) -> None:
         if args.jdbc_password_env:
             props["password"] = os.environ[args.jdbc_password_env]
         bounds = {t: (c, low, high) for t, c, low, high in (b.split(":") for b in args.jdbc_bounds)}
-        source = JdbcSource(args.jdbc_url, props, bounds, args.jdbc_partitions)
+        source = JdbcSource(args.jdbc_url, props, bounds, args.jdbc_partitions, rows_per_task=args.jdbc_rows)
 
     today = dt.date.fromisoformat(args.today) if args.today else dt.date.today()
     period = Period.of(args.initial, args.final) if args.initial else None

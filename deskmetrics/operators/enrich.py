@@ -128,6 +128,39 @@ def join_assignee(
     return fan_out(df, ["id"], [assignees(bridge, users, item_col, name, role, keep)], hot_test(hot)).drop("__user")
 
 
+def category_days(tickets: DataFrame, first, last) -> DataFrame:
+    """Mergeable parts of the category means (A01, A02): per category and opening day in ``first..last``, the sums of the close and solve
+    delays and how many there are. Any window inside is a fold of its days (``fold_days``)."""
+    return (
+        tickets.filter(in_dates("date", first, last))
+        .groupBy("itilcategories_id", F.to_date("date").alias("day"))
+        .agg(
+            *[
+                part
+                for c in ("close", "solve")
+                for part in (F.sum(f"{c}_delay_stat").alias(f"{c}_sum"), F.count(f"{c}_delay_stat").alias(f"{c}_n"))
+            ]
+        )
+    )
+
+
+def fold_days(days: DataFrame, lk: Lookups, first, last, close_name: str = "tempo_medio_fechamento", solve_name: str = "tempo_medio_solucao") -> DataFrame:
+    """A01-A03 (J06/J07 right side): mean close and solve delay per category over the days ``first..last``.
+
+    Categories absent from the category table never match, as in the original, hence the semi join.
+    Output: ``(itilcategories_id, close mean, solve mean)``, at most one row per category."""
+    mean = lambda c: F.try_divide(F.sum(f"{c}_sum").cast("double"), F.sum(f"{c}_n"))
+    per_category = (
+        days.filter(in_dates("day", first, last))
+        .groupBy("itilcategories_id")
+        .agg(mean("close").alias(close_name), mean("solve").alias(solve_name))
+    )
+    known = lk.categories.select(F.col("id").alias("__cat"))
+    if lk.categories_small:
+        known = F.broadcast(known)
+    return per_category.join(known, per_category["itilcategories_id"] == known["__cat"], "left_semi")
+
+
 def category_baseline(
     tickets: DataFrame,
     lk: Lookups,
@@ -135,23 +168,13 @@ def category_baseline(
     last,
     close_name: str = "tempo_medio_fechamento",
     solve_name: str = "tempo_medio_solucao",
+    days: DataFrame | None = None,
 ) -> DataFrame:
-    """A01-A03 (J06/J07 right side): mean close and solve delay per category.
+    """The category means over ``first..last`` from the tickets, or from ``days`` that cover the window.
 
     One aggregate for both means (the original computes the same grouping twice). All
-    statuses count; only tickets opened within ``first..last`` do. Categories absent
-    from the category table never match, as in the original, hence the semi join.
-    Output: ``(itilcategories_id, close mean, solve mean)``, at most one row per category.
-    """
-    per_category = (
-        tickets.filter(in_dates("date", first, last))
-        .groupBy("itilcategories_id")
-        .agg(F.avg("close_delay_stat").alias(close_name), F.avg("solve_delay_stat").alias(solve_name))
-    )
-    known = lk.categories.select(F.col("id").alias("__cat"))
-    if lk.categories_small:
-        known = F.broadcast(known)
-    return per_category.join(known, per_category["itilcategories_id"] == known["__cat"], "left_semi")
+    statuses count; only tickets opened within ``first..last`` do."""
+    return fold_days(category_days(tickets, first, last) if days is None else days, lk, first, last, close_name, solve_name)
 
 
 def join_category_baseline(

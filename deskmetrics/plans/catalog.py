@@ -112,6 +112,22 @@ def technician_month_summary(t: Tables) -> DataFrame:
     return R.technician_month_summary(t, PERIOD)
 
 
+@register(
+    "summary_in_key_order",
+    O.with_fixtures(
+        rounded_sql(
+            f"""SELECT "Técnico", "Data", "Total de chamados", "Nota final", row_number() OVER (ORDER BY "Técnico", "Data") AS posicao
+FROM ({SUMMARY_BODY}) s""",
+            ["Nota final"],
+        ),
+        O.ASSIGNED + ",\n" + O.derived_cte([("solucao", 1)]),
+    ),
+)
+def summary_in_key_order(t: Tables) -> DataFrame:
+    """The summary's rows with their place in (technician, month) order."""
+    return R.with_position(R.technician_month_summary(t, PERIOD).select("Técnico", "Data", "Total de chamados", "Nota final"))
+
+
 # -- R01 graded ticket detail ----------------------------------------------------------
 
 DETAIL_DOUBLES = [

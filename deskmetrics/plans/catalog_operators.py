@@ -474,7 +474,8 @@ def category_baseline(t: Tables) -> DataFrame:
     """A01 + A02: one aggregate for both category means, previous calendar year."""
     from ..operators import enrich as E
 
-    return E.category_baseline(t.tickets, E.Lookups.of(t), PERIOD.baseline_first, PERIOD.baseline_last)
+    days = E.category_days(t.tickets, PERIOD.baseline_first, PERIOD.final)  # one table for this and the next window
+    return E.fold_days(days, E.Lookups.of(t, needed=("categories",)), PERIOD.baseline_first, PERIOD.baseline_last)
 
 
 @register(
@@ -492,7 +493,8 @@ def category_baseline_to_date(t: Tables) -> DataFrame:
     """The same means from January 1 of the previous year to the final date."""
     from ..operators import enrich as E
 
-    return E.category_baseline(t.tickets, E.Lookups.of(t), PERIOD.baseline_first, PERIOD.final)
+    days = E.category_days(t.tickets, PERIOD.baseline_first, PERIOD.final)
+    return E.fold_days(days, E.Lookups.of(t, needed=("categories",)), PERIOD.baseline_first, PERIOD.final)
 
 
 # -- W: per-month tables ---------------------------------------------------------------------

@@ -14,9 +14,10 @@ summary, ...).
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -81,30 +82,70 @@ def with_assignees(tables: Tables, period: Period, columns: Sequence[str] | None
     return _with_staff(tables, "tickets", period, columns, lk)
 
 
-def _with_staff(tables: Tables, name: str, period: Period, columns: Sequence[str] | None, lk: E.Lookups | None) -> DataFrame:
+def _with_staff(
+    tables: Tables, name: str, period: Period, columns: Sequence[str] | None, lk: E.Lookups | None, keep_user: bool = False
+) -> DataFrame:
     base = _in_period(getattr(tables, name), period)
     if columns:
         base = base.select(*columns)
     keep = _keep(tables, name, period, lk or lookups_for(tables, period, name, needed=()))
     bridge, item_col = BRIDGES[name]
-    return E.join_assignee(base, getattr(tables, bridge), tables.users, item_col, keep=keep, hot=E.hot_items(tables, bridge, item_col).keys)
+    staff = E.assignees(getattr(tables, bridge), tables.users, item_col, keep=keep)
+    out = fan_out(base, ["id"], [staff], hot_test(E.hot_items(tables, bridge, item_col).keys))
+    return out if keep_user else out.drop("__user")
 
 
-def assigned_tickets(tables: Tables, period: Period, lk: E.Lookups | None = None) -> DataFrame:
+def assigned_tickets(tables: Tables, period: Period, lk: E.Lookups | None = None, stages: "Stages | None" = None) -> DataFrame:
     """SQL part of R01: finished tickets of the period with category, weight, origin,
     assignee first name (one row per assignee) and the previous year's category means
     in seconds. The assignee fan-out runs on the bare tickets; the lookups follow."""
-    lk = lk or lookups_for(tables, period)
-    t = with_assignees(tables, period, lk=lk)
+    lk = lk or (stages.lookups if stages else lookups_for(tables, period))
+    t = stages.assigned.drop("__user") if stages else with_assignees(tables, period, lk=lk)
     t = E.join_category(t, lk)
     t = E.join_category_weight(t, lk)
     t = E.join_request_type(t, lk)
-    baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.baseline_last)
+    days = stages.days if stages else None
+    baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.baseline_last, days=days)
     t = E.join_category_baseline(t, baseline, lk)
     added = ["nome_categoria", "peso", "origem", "nome_tecnico", "tempo_medio_fechamento", "tempo_medio_solucao"]
     return t.select(*tables.tickets.columns, *added)
 
 
+class Stages:
+    """What several reports of one run share, each written once when the first of them asks for it.
+
+    ``assigned``: finished tickets of the period per assignee, every column and the user's id, the only read of tickets and assignees;
+    ``days``: the category sums per day, which the means of either window fold; ``graded``: the graded ticket rows.
+    Reports may ask from several threads."""
+
+    def __init__(self, tables: Tables, period: Period, config: ScoreConfig | None = None):
+        self.tables, self.period, self.config = tables, period, config or ScoreConfig()
+        self._lock, self._made = threading.RLock(), {}
+
+    def _once(self, name: str, make):
+        with self._lock:
+            if name not in self._made:
+                self._made[name] = make()
+            return self._made[name]
+
+    @property
+    def lookups(self) -> E.Lookups:
+        return self._once("lookups", lambda: lookups_for(self.tables, self.period))
+
+    @property
+    def assigned(self) -> DataFrame:
+        return self._once("assigned", lambda: _materialize(_with_staff(self.tables, "tickets", self.period, None, self.lookups, keep_user=True)))
+
+    @property
+    def days(self) -> DataFrame:
+        first, last = self.period.baseline_first, self.period.final
+        return self._once("days", lambda: _materialize(E.category_days(self.tables.tickets, first, last)))
+
+    @property
+    def graded(self) -> DataFrame:
+        return self._once("graded", lambda: _graded(self.tables, self.period, self.config, stages=self))
+
+
 def _grading_columns(config: ScoreConfig) -> list[str]:
     """What grading and the summary read of the derived rows."""
     per_metric = [c for m, _ in config.metrics() for c in (f"tempo_{m}", f"tempo_medio_{m}")]
@@ -112,19 +153,31 @@ def _grading_columns(config: ScoreConfig) -> list[str]:
 
 
 def derived_tickets(
-    tables: Tables, period: Period, config: ScoreConfig, clock_text: bool = True, columns: Sequence[str] | None = None, lk: E.Lookups | None = None
+    tables: Tables,
+    period: Period,
+    config: ScoreConfig,
+    clock_text: bool = True,
+    columns: Sequence[str] | None = None,
+    lk: E.Lookups | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """Derived ticket rows before grading; ``columns`` keeps only those."""
-    derived = S.derive_ticket_columns(assigned_tickets(tables, period, lk), config.exclude_technicians, clock_text)
+    derived = S.derive_ticket_columns(assigned_tickets(tables, period, lk, stages), config.exclude_technicians, clock_text)
     return derived if columns is None else derived.select(*[c for c in derived.columns if c in set(columns)])
 
 
 def _graded(
-    tables: Tables, period: Period, config: ScoreConfig, clock_text: bool = True, columns: Sequence[str] | None = None, lk: E.Lookups | None = None
+    tables: Tables,
+    period: Period,
+    config: ScoreConfig,
+    clock_text: bool = True,
+    columns: Sequence[str] | None = None,
+    lk: E.Lookups | None = None,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """Derived ticket rows, graded. The derived rows feed two branches (the rows themselves
     and the per-(month, technician) aggregate), so they are written once, pruned to what is needed."""
-    derived = _materialize(derived_tickets(tables, period, config, clock_text, columns, lk))
+    derived = _materialize(derived_tickets(tables, period, config, clock_text, columns, lk, stages))
     return S.grade_tickets(derived, config, _month_bound(period))
 
 
@@ -153,11 +206,11 @@ def graded_tickets(
 
 
 def technician_month_summary(
-    tables: Tables, period: Period, config: ScoreConfig | None = None, labels: bool = True
+    tables: Tables, period: Period, config: ScoreConfig | None = None, labels: bool = True, stages: Stages | None = None
 ) -> DataFrame:
     """R02."""
     config = config or ScoreConfig()
-    return S.technician_summary(_graded(tables, period, config, False, _grading_columns(config)), config, labels)
+    return S.technician_summary(_graded(tables, period, config, False, _grading_columns(config), stages=stages), config, labels)
 
 
 def in_key_order(summary: DataFrame) -> DataFrame:
@@ -165,6 +218,28 @@ def in_key_order(summary: DataFrame) -> DataFrame:
     return summary.orderBy(*[F.col(f"`{c}`") for c in summary.columns[:2]])
 
 
+#: Rows that one piece of an ordered result should have.
+ORDERED_ROWS = 100_000
+
+
+def with_position(summary: DataFrame, name: str = "posicao") -> DataFrame:
+    """O01 as a column: each row's place (from 1) in key order, so that the order survives formats that keep none.
+
+    The rows are range-partitioned by key and written with the number of their piece; a row's place is its place in the
+    piece after the rows of the pieces before. Only one number per piece meets in one task."""
+    keys = [F.col(f"`{c}`") for c in summary.columns[:2]]
+    summary = _materialize(summary)
+    pieces = -(-summary.count() // ORDERED_ROWS) or 1
+    # Written: the bounds of a range partitioning are sampled, and both readers must see the same pieces.
+    dealt = _materialize(summary.repartitionByRange(pieces, *keys).withColumn("__piece", F.spark_partition_id()))
+    before = Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)  # one row per piece
+    sizes = dealt.groupBy(F.col("__piece").alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sizes.select("__of", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__piece").orderBy(*keys))
+    out = dealt.withColumn("__place", place).join(F.broadcast(sizes), F.col("__piece") == F.col("__of"), "inner")
+    return out.select(*[F.col(f"`{c}`") for c in summary.columns], (F.col("__before") + F.col("__place")).cast("bigint").alias(name))
+
+
 def tickets_for_combining(
     tables: Tables, period: Period, config: ScoreConfig | None = None, lk: E.Lookups | None = None
 ) -> DataFrame:
@@ -346,34 +421,36 @@ def account_growth_report(tables: Tables) -> DataFrame:
 # -- observers ------------------------------------------------------------------
 
 
-def observer_rows(tables: Tables, period: Period, columns: Sequence[str] | None = None, lk: E.Lookups | None = None) -> DataFrame:
+def observer_rows(
+    tables: Tables, period: Period, columns: Sequence[str] | None = None, lk: E.Lookups | None = None, stages: Stages | None = None
+) -> DataFrame:
     """Finished tickets of the period, one row per assignee x eligible observer (null where there is none).
 
     Both fan-outs are keyed on the ticket: the second one finds the rows of ordinary tickets where the first one has put them.
     Only observers of the report's tickets count, so the filter of its ids cuts their bridge rows, too."""
     lk = lk or lookups_for(tables, period)
-    base = _in_period(tables.tickets, period)
+    base = stages.assigned if stages else _in_period(tables.tickets, period)
     if columns:
-        base = base.select(*columns)
+        base = base.select(*columns, *(["__user", "nome_tecnico"] if stages else []))
     keep = _keep(tables, "tickets", period, lk)
-    steps = [
-        E.assignees(tables.tickets_users, tables.users, "tickets_id", keep=keep),
-        E.observers(tables, period.baseline_first, period.final, keep),
-    ]
+    steps = [E.observers(tables, period.baseline_first, period.final, keep)]
+    if not stages:
+        steps.insert(0, E.assignees(tables.tickets_users, tables.users, "tickets_id", keep=keep))
     hot = [i for role in (ROLE_ASSIGNED, ROLE_OBSERVER) for i in E.hot_items(tables, "tickets_users", "tickets_id", role).keys]
     return fan_out(base, ["id"], steps, hot_test(sorted(set(hot)))).drop("__user")
 
 
-def observed_tickets(tables: Tables, period: Period) -> DataFrame:
+def observed_tickets(tables: Tables, period: Period, stages: Stages | None = None) -> DataFrame:
     """Finished tickets of the period, one row per assignee x eligible observer.
 
     The category means and the observers use the window from January 1 of the
     previous year to the final date (A03)."""
-    lk = lookups_for(tables, period, needed=("categories", "request_types"))
-    t = observer_rows(tables, period, lk=lk)
+    lk = stages.lookups if stages else lookups_for(tables, period, needed=("categories", "request_types"))
+    t = observer_rows(tables, period, lk=lk, stages=stages)
     t = E.join_category(t, lk)
     t = E.join_request_type(t, lk)
-    baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.final)
+    days = stages.days if stages else None
+    baseline = E.category_baseline(tables.tickets, lk, period.baseline_first, period.final, days=days)
     t = E.join_category_baseline(t, baseline, lk)
     added = ["nome_categoria", "origem", "nome_tecnico", "nome_observador", "tempo_medio_fechamento", "tempo_medio_solucao"]
     return t.select(*tables.tickets.columns, *added)
@@ -444,7 +521,7 @@ def run_all(
     pool and run as concurrent Spark jobs sharing the cluster (only plans pass through
     the driver). Row counts are observed while writing (``DataFrame.observe``), so no
     report is read again. ``period`` replaces the mode's window; ``reports`` names any of the keys
-    below. Summaries are written in key order. Result: one row per report with its row count.
+    below; those that work on the same tickets share stages that are written once (``Stages``). Summaries are written in key order. Result: one row per report with its row count.
     """
     import datetime as dt
     from concurrent.futures import ThreadPoolExecutor
@@ -455,21 +532,28 @@ def run_all(
     from ..sources.sinks import write_report
 
     period = period or period_for_mode(mode, today or dt.date.today())
+    # Reports on the same tickets share their stages; a single one has no use for copies.
+    stages = Stages(tables, period, config) if len({"tickets", "ticket_summary", "observed"} & set(reports)) > 1 else None
+    graded = {"tickets", "ticket_summary"} <= set(reports)
     builders = {
-        "tickets": lambda: graded_tickets_full(tables, period, config),
+        "tickets": lambda: S.drop_hidden(stages.graded if graded else _graded(tables, period, config or ScoreConfig(), stages=stages)),
         "worklog": lambda: worklog_report(tables, period),
         "accounts": lambda: account_growth_report(tables),
         "changes": lambda: changes_report(tables, period),
         "problems": lambda: problems_report(tables, period),
         "combined": lambda: combined_report(tables, period, config),
-        "observed": lambda: observed_tickets(tables, period),
-        "ticket_summary": lambda: in_key_order(technician_month_summary(tables, period, config)),
+        "observed": lambda: observed_tickets(tables, period, stages),
+        "ticket_summary": lambda: in_key_order(
+            S.technician_summary(stages.graded, stages.config) if graded else technician_month_summary(tables, period, config, stages=stages)
+        ),
         "worklog_summary": lambda: in_key_order(worklog_month_summary(tables, period)),
         "observer_summary": lambda: in_key_order(technician_observer_summary(tables, period, config)),
     }
     builders = {name: builders[name] for name in reports}
 
     def run(name: str) -> int:
+        # Under the fair scheduler each report has a pool of its own, so a long one does not hold up the others.
+        tables.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name if parallel else None)
         seen = Observation(f"rows_{name}")
         df = builders[name]().observe(seen, F.count(F.lit(1)).alias("rows"))
         write_report(df, f"{out_root.rstrip('/')}/{name}")
