@@ -21,10 +21,11 @@ give repeated results; an empty table gives an empty result; other columns are i
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -203,26 +204,41 @@ class Judge:
         """Accepted candidates (kind, start, end, score), likeliest first, that overlap no base span and none before them."""
         if self.model is None:
             return []
-        taken = sorted(s for spans in base.values() for s in spans)
-        open_ = [c for c in candidates(text) if not _overlaps(taken, c[1], c[2])]
+        taken = Intervals(s for spans in base.values() for s in spans)
+        open_ = [c for c in candidates(text) if not taken.meet(c[1], c[2])]
         if not open_:
             return []
         score = self.model.score(np.array([describe(text, *c) for c in open_], float))
         chosen: list[tuple[int, int, int, float]] = []
-        spans: list[Span] = []
         for s, c in sorted(zip(score.tolist(), open_, strict=True), key=lambda x: (-x[0], x[1])):
-            if s >= self.threshold.get(c[0], np.inf) and not _overlaps(spans, c[1], c[2]):
+            if s >= self.threshold.get(c[0], np.inf) and not taken.meet(c[1], c[2]):
                 chosen.append((*c, s))
-                spans = sorted([*spans, (c[1], c[2])])
+                taken.add(c[1], c[2])
         return chosen
 
 
-def _overlaps(spans: list[Span], start: int, end: int) -> bool:
-    """Whether [start, end) meets one of the spans, which are in order; spans of several kinds may overlap each other a little."""
-    import bisect
-
-    at = bisect.bisect_left(spans, (end,))
-    return any(s < end and start < e for s, e in spans[max(0, at - 8) : at])
+class Intervals:
+    """Disjoint intervals in order: spans that overlap are merged, so one look to the left tells whether another meets any."""
+
+    def __init__(self, spans: Iterable[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meet(self, start: int, end: int) -> bool:
+        at = bisect.bisect_left(self.starts, end)
+        return at > 0 and self.ends[at - 1] > start
+
+    def add(self, start: int, end: int) -> None:
+        """An interval that meets none of them."""
+        at = bisect.bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
 
 
 def fit(docs: DataFrame, train_spans: int = TRAIN_SPANS) -> Judge:

@@ -263,3 +263,31 @@ def test_texts_that_share_an_id_are_judged_one_by_one(spark):
     rows = [(1, text("a")), (5, text("a")), (5, text("b")), (6, text("b")), (8, text("c")), (8, text("d")), (8, text("d")), (8, "")]
     kept = jaccard.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(1, text("a")), (5, text("b")), (8, text("c")), (8, text("d")), (8, "")])
+
+
+def test_no_added_span_meets_any_earlier_one():
+    """Against a look at every span, however many shorter ones stand between."""
+    rng = random.Random(3)
+    for _ in range(200):
+        spans = [(a, a + rng.choice([1, 2, 3, 40])) for a in (rng.randrange(200) for _ in range(rng.randrange(30)))]
+        known = pii.Intervals(spans)
+        for _ in range(60):
+            a = rng.randrange(210)
+            b = a + rng.randrange(1, 12)
+            meets = any(s < b and a < e for s, e in spans)
+            assert known.meet(a, b) == meets
+            if not meets:
+                known.add(a, b)
+                spans.append((a, b))
+
+
+def test_an_address_that_holds_many_numbers_keeps_its_span():
+    class Sure:
+        def score(self, x):
+            return np.ones(len(x))
+
+    text = ".".join(["1.2.3.4"] * 12) + "._415-555-0134_x@b.co"
+    judge = pii.Judge(Sure(), {k: 0.5 for k in range(4)})
+    base, spans = pii.spans_of(text, judge)
+    assert (0, 0, len(text)) in base
+    assert spans == base
