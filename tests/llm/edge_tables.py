@@ -9,7 +9,7 @@ EDGE_TEXTS = [
     "<|endoftext|>a<|ENDOFTEXT|> b|c<|startoftext|>", "x" * 5000, "word " * 4000, "# * $ | | | &\n\n\nHome\nHome", "a@b.co +1 (968) 555-9369 4387513035237269 1.2.3.4",
 ]
 #: Columns that operators use inside, or return.
-CLASHING = ("score", "rank", "task", "node", "part", "length", "label", "key", "n", "y", "x", "kind", "cell", "start", "spans", "held_out", "kept", "predicted", "payload", "component_id")
+CLASHING = ("score", "rank", "task", "node", "part", "length", "label", "key", "n", "y", "x", "kind", "cell", "start", "spans", "held_out", "kept", "predicted", "payload", "component_id", "own_id", "h", "line", "w", "p", "k", "carrier", "one", "two", "at", "found", "families", "windows", "mine", "lo", "hi", "word", "slot", "salt", "id", "ids", "base", "piece", "pieces", "count", "total", "task_id")
 
 
 @pytest.fixture(scope="session")
