@@ -80,6 +80,21 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def map_large_arrays() -> None:
+    """Arrays of a megabyte or more are mapped, each by itself, and go back to the system as soon as they are freed.
+
+    By default the C library raises that size with every large array that is freed; later ones then come from
+    its heap, which small objects between them keep from shrinking: a worker grew from stage to stage."""
+    mmap_threshold, arena_max = -3, -8
+    with contextlib.suppress(OSError, AttributeError):
+        library = ctypes.CDLL(None)
+        library.mallopt(mmap_threshold, 1 << 20)
+        library.mallopt(arena_max, 2)
+
+
+map_large_arrays()
+
+
 def binary_array(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """An Arrow binary array over bytes that are there already; nothing is copied."""
     off = np.ascontiguousarray(offsets, np.int64)
