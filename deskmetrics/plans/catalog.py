@@ -346,7 +346,7 @@ FROM (SELECT CAST(date_creation AS DATE) AS data, count(DISTINCT id) AS novas_co
 
 @register("account_growth", O.with_fixtures(ACCOUNTS_BODY))
 def account_growth(t: Tables) -> DataFrame:
-    """R08 by prefix rank (checked against a count of all smaller ids per day)."""
+    """R08 by steps (checked against a count of all smaller ids per day)."""
     return R.account_growth_report(t)
 
 

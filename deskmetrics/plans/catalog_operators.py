@@ -124,7 +124,7 @@ def param_sql_worklog(t: Tables) -> DataFrame:
 
 @register("param_sql_accounts", O.with_fixtures(ACCOUNTS_BODY))
 def param_sql_accounts(t: Tables) -> DataFrame:
-    """Account growth from its SQL text (bucketed prefix rank)."""
+    """Account growth from its SQL text (steps of the days' largest ids)."""
     from .sql import run_sql_report
 
     return run_sql_report(t, "accounts_growth")

@@ -31,6 +31,7 @@ from ..operators.joins import FanOut, fan_out, hot_test, keep_columns, left_look
 from ..operators.prefilter import IdFilter, id_filter
 from ..schemas import CHANGE_TAG, COMMON_COLUMNS, DETAIL_COLUMNS, PROBLEM_TAG, ROLE_ASSIGNED, ROLE_OBSERVER, SUMMARY_LABELS
 from ..session import materialize as _materialize
+from ..session import scratch
 from ..sources.tables import Tables
 
 ScoreConfig = S.ScoreConfig
@@ -559,11 +560,12 @@ def run_all(
         write_report(df, f"{out_root.rstrip('/')}/{name}")
         return int(seen.get["rows"])
 
-    if parallel:
-        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-            counts = dict(zip(builders, pool.map(run, builders)))
-    else:
-        counts = {name: run(name) for name in builders}
+    with scratch(tables.spark):  # the reports are written inside; what they were made from goes
+        if parallel:
+            with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+                counts = dict(zip(builders, pool.map(run, builders)))
+        else:
+            counts = {name: run(name) for name in builders}
     return tables.spark.createDataFrame(
         [(name, counts[name]) for name in builders], "report string, linhas bigint"
     )

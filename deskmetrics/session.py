@@ -6,6 +6,8 @@ in. ``build_session`` is a convenience for tests, the bench and scripts.
 
 from __future__ import annotations
 
+import contextlib
+import posixpath
 import re
 import tempfile
 import uuid
@@ -56,10 +58,20 @@ def _context(spark: SparkSession):
         return None
 
 
-def _machine_local(base: str) -> bool:
-    """Whether a folder is the machine's own temporary folder itself (a mounted share below it has a name of its own)."""
-    path = re.sub("^file:/+", "/", base).rstrip("/")
-    return path in ("/tmp", "/var/tmp", tempfile.gettempdir().rstrip("/"))
+def _machine_local(base: str, default_fs: str = "file:///") -> bool:
+    """Whether a folder lies in a machine's own temporary folder: on the local file system, at or below such a folder.
+
+    A path without a scheme is on ``default_fs``."""
+    scheme = base.split(":", 1)[0] if re.match(r"[a-z0-9+.-]+:", base) else default_fs.split(":", 1)[0]
+    if scheme != "file":
+        return False
+    path = posixpath.normpath(re.sub("^file:/+", "/", base))
+    own = {"/tmp", "/var/tmp", "/dev/shm", posixpath.normpath(tempfile.gettempdir())}
+    return any(path == folder or path.startswith(folder + "/") for folder in own)
+
+
+def _default_fs(sc) -> str:
+    return sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -80,15 +92,45 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     base = str(base).rstrip("/")
-    local = base.startswith(("file:", "/"))
-    if local and sc is not None and not (sc.master.startswith("local")) and _machine_local(base):
+    if sc is not None and not sc.master.startswith("local") and _machine_local(base, _default_fs(sc)):
         raise RuntimeError(f"spark.checkpoint.dir = {base} is a machine-local temporary folder")
     return "/".join([base, *parts]) if parts else base
 
 
+#: Folders made inside each open ``scratch``.
+_OPEN: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A not-yet-used path below the shared folder (one per call)."""
-    return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    """A not-yet-used path below the shared folder (one per call); it goes with the innermost open ``scratch``."""
+    path = shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables made inside are deleted at its end: write the result before.
+
+    ``with scratch(spark): write_report(report(tables, period), path)``. Outside of any scope they stay, since results
+    are lazy and read them; their folders are then the shared folder's own retention's."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; a client without a JVM leaves it."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 *Bucketed* (``layout="bucketed"``): the big joins are ticket <-> bridge (on the ticket id) and
 timer <-> task (on the task id). Bucketed on those keys (same count on both sides, one
 sorted file per bucket) the tables are read back with the partitioning that the sort-merge
-join needs, so neither side is shuffled. Without a shuffle there is nothing that AQE could
-split either: a ticket that holds a large share of the bridge is one task's work. Take it where keys are even.
+join needs: tickets, tasks and timers are not shuffled, nor is a bridge whose users are broadcast (else its narrow rows,
+cut to the report's window, go by user and back). Without a shuffle there is nothing that AQE could split: a
+task with a large share of the timers is one task's work. Take it where keys are even.
 
 *Dated* (``layout="dated"``): the tables with a date are range-partitioned and sorted by it, so a report's
 window prunes files and row groups by their statistics. The joins shuffle, and AQE splits hot
