@@ -88,7 +88,7 @@ def tokenizer(vocabulary: str):
 def _ids(coder, texts: list[str]) -> list[list[int]]:
     """Ids of each text; a long one in pieces of ``LONG`` characters."""
     pieces = [[t[i : i + LONG] for i in range(0, len(t), LONG)] for t in texts]
-    encoded = iter(coder.encode_batch([p for some in pieces for p in some], add_special_tokens=False))
+    encoded = iter(coder.encode_batch_fast([p for some in pieces for p in some], add_special_tokens=False))
     return [[i for _ in some for i in next(encoded).ids] for some in pieces]
 
 
@@ -232,21 +232,29 @@ def decoded(tokens: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(vocabulary)
+        marks: dict[tuple, str] = {}
+
+        def said(ids: list[int]) -> str:
+            """The text of a turn's head or foot, of which there are few."""
+            if len(marks) > 10_000:
+                marks.clear()
+            if (key := tuple(ids)) not in marks:
+                marks[key] = coder.decode(ids, skip_special_tokens=False)
+            return marks[key]
+
         for batch in batches:
             for some in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                ids = some.column("ids").to_pylist()
-                texts = coder.decode_batch(ids, skip_special_tokens=False)
-                ranges = zip(ids, some.column("body_from").to_pylist(), some.column("body_to").to_pylist(), some.column("learned").to_pylist())
-                masked = [coder.decode(i[a:b], skip_special_tokens=False) if on else None for i, a, b, on in ranges]
+                rows = list(zip(*(some.column(c).to_pylist() for c in ("ids", "body_from", "body_to", "learned"))))
+                bodies = coder.decode_batch([ids[a:b] for ids, a, b, _ in rows], skip_special_tokens=False)
                 out = {"branch": some.column("branch"), "place": some.column("place"), "role": [], "body": [], "learned": [], "chars": []}
-                for text, mask in zip(texts, masked):
-                    if not (text.startswith(BEGIN) and text.endswith(f"{END}\n")):
+                for (ids, a, b, learned), body in zip(rows, bodies):
+                    head, foot = said(ids[:a]), said(ids[b:])
+                    if not (head.startswith(BEGIN) and head.endswith("\n") and foot == f"{END}\n") or "<|" in body:
                         raise ValueError("ids that are no turn of this template")
-                    role, body = text[len(BEGIN) : -len(END) - 1].split("\n", 1)
-                    out["role"].append(unescape_role(role))
+                    out["role"].append(unescape_role(head[len(BEGIN) : -1]))
                     out["body"].append(unescape(body))
-                    out["learned"].append(None if mask is None else unescape(mask))
-                    out["chars"].append(len(text))
+                    out["learned"].append(out["body"][-1] if learned else None)  # the mask's range is the body's
+                    out["chars"].append(len(head) + len(body) + len(foot))
                 for name, kind in (("role", pa.string()), ("body", pa.string()), ("learned", pa.string()), ("chars", pa.int64())):
                     out[name] = pa.array(out[name], kind)
                 yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
