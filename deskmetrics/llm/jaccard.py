@@ -14,15 +14,16 @@ slack exceeds the number of empty blocks, linked documents share ``need`` = fill
 least. The rare document with too few filled blocks sends its shingles as codes too.
 
 *Grouping.* Map tasks write the codes as arrays, one for each part of the code space, so Spark shuffles few
-large rows and no row per code. Each part finds the codes that several different sets share. Equal
+large rows and no row per code. Each layout has a part for every ``PART_BYTES`` of text (counted first), so a part's size does not
+grow with the corpus. Each part finds the codes that several different sets share. Equal
 sets count once: they are one node, whatever the number of copies.
 
 *Candidates.* Nodes that share fewer than ``need`` codes in every layout drop out (passages and boilerplate
 that many documents share end here). What is left are groups of nodes by code. No group is expanded into pairs:
 each node is verified against the most central node of its groups (``STARS`` rounds); verified links make
-components. Nodes of one group that are still in different components are compared by their bit sketches, in
-blocks: only pairs whose Hamming distance lets them link leave the task. Of a node's groups only the rarest
-have to be looked at for that (``_rarest``).
+components. In a group whose nodes are still in different components, those outside its largest one are compared with
+all others by their bit sketches, in blocks: only pairs whose Hamming distance lets them link leave the task. Of a
+node's groups only the rarest have to be looked at for that (``_rarest``).
 
 *Verification* compares the shingle sets themselves.
 
@@ -52,6 +53,8 @@ STARS = 3
 SKETCH_BITS = 6
 #: Nodes of a group that a task compares with as many others.
 COMPARED = 1024
+#: Text bytes for each part of a layout's code space; the codes of a layout are about as many bytes as the texts.
+PART_BYTES = 32 << 20
 #: Text bytes that a task sketches at once; its arrays take some 40 times as much.
 SKETCH_BYTES = 3 << 20
 #: Ids of up to so many candidates are broadcast to pick their texts; beyond, the join is shuffled.
@@ -332,20 +335,18 @@ def _bit_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _near_sketches(percent: int):
-    """Arrow function over two blocks of a group: the pairs of different labels whose sizes and sketches let them link."""
+    """Arrow function over a block of minor nodes and one of all nodes of a group: the pairs of different labels whose sizes and sketches let them link."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        node, label, n, own = (table.column(c).to_numpy() for c in ("node", "label", "n", "own"))
+        node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
+        minor = table.column("minor").to_numpy(zero_copy_only=False)
         bits = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in table.column("bits")), np.uint64).reshape(len(node), -1)
-        i, j = key[1].as_py(), key[2].as_py()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
         found = []
         step = max(1, (1 << 21) // max(1, len(right) * bits.shape[1]))
         for start in range(0, len(left), step):
             rows = left[start : start + step]
             fits = label[rows, None] != label[None, right]
-            if i == j:
-                fits &= rows[:, None] < right[None]
             small, large = np.minimum(n[rows, None], n[None, right]), np.maximum(n[rows, None], n[None, right])
             fits &= small * 100 >= large * percent
             x, y = np.nonzero(fits)
@@ -360,6 +361,25 @@ def _near_sketches(percent: int):
     return run
 
 
+def _open_groups(named: DataFrame) -> DataFrame:
+    """Per group with several labels: its commonest label, and blocks of ``COMPARED`` for all of its nodes and for those of other labels."""
+    per_label = named.groupBy("gid", "label").agg(F.count("*").alias("c"))
+    of = per_label.groupBy("gid").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("members"))
+    blocks = lambda c: F.ceil(c / COMPARED).cast("int")
+    of = of.where("members > top.c")
+    return of.select("gid", F.col("top.label").alias("major"), blocks(F.col("members")).alias("blocks"), blocks(F.col("members") - F.col("top.c")).alias("minors"))
+
+
+def _meetings(named: DataFrame) -> DataFrame:
+    """Every node outside its group's commonest label beside every node of the group: by (gid, i, j), block i of the former, block j of the latter."""
+    rest = [c for c in named.columns if c not in ("major", "blocks", "minors")]
+    block = lambda many: F.pmod(F.xxhash64("node"), many).cast("int")
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    left = named.where("label != major").select(*rest, F.lit(True).alias("minor"), block(F.col("minors")).alias("i"), every("blocks").alias("j"))
+    right = named.select(*rest, F.lit(False).alias("minor"), every("minors").alias("i"), block(F.col("blocks")).alias("j"))
+    return left.union(right)
+
+
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -432,12 +452,16 @@ def _label(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     return nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def parts_for(docs: DataFrame) -> int:
+    """Parts of one layout's code space: they follow the text's bytes and no setting."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("bytes")).first()["bytes"] or 0
+    return max(4, -(-total // PART_BYTES))
+
+
 def node_groups(docs: DataFrame, percent: int = PERCENT, parts: int | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, node (the set's fingerprint) and label of its component."""
-    spark = docs.sparkSession
-    # Parts of one layout's code space; a part has to fit a task's memory.
-    parts = parts or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    parts = parts or parts_for(own)
     sent = own.mapInArrow(_sketch_rows(parts), "part bigint, payload binary")
     rows = written(sent.groupBy("part").applyInArrow(_shared_codes(parts), ROWS), "sketches")
     of_docs = rows.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "node", F.col("gid").alias("second"))
@@ -478,16 +502,10 @@ def node_groups(docs: DataFrame, percent: int = PERCENT, parts: int | None = Non
             labels = components(edges)
 
     named = _label(_rarest(groups), labels)
-    sizes = F.ceil(F.count("*") / COMPARED).cast("int").alias("blocks")
-    open_ = named.groupBy("gid").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), sizes).where("l1 != l2")
-    named = written(named.join(open_.select("gid", "blocks"), "gid"), "open")
+    named = written(named.join(_open_groups(named), "gid"), "open")
     bits = sets.join(named.select("node", "layout").distinct(), "node").mapInArrow(_bit_sketches, "node bigint, layout smallint, bits binary")
-    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    met = named.join(bits, ["node", "layout"]).select(
-        "gid", "node", "label", "n", "bits", block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
-    met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other")
-    pairs = met.groupBy("gid", "i", "j").applyInArrow(_near_sketches(percent), "a bigint, b bigint").distinct()
+    met = named.join(bits, ["node", "layout"]).select("gid", "node", "label", "n", "bits", "major", "blocks", "minors")
+    pairs = _meetings(met).groupBy("gid", "i", "j").applyInArrow(_near_sketches(percent), "a bigint, b bigint").distinct()
     pairs = pairs.join(tried, ["a", "b"], "left_anti")
     swapped = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
     pairs = written(pairs.join(swapped, ["a", "b"], "left_anti"), "open-pairs")

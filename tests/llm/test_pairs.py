@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_CHECK
 from edge_tables import corpus, edge_docs, no_docs  # noqa: F401
@@ -291,3 +292,35 @@ def test_an_address_that_holds_many_numbers_keeps_its_span():
     base, spans = pii.spans_of(text, judge)
     assert (0, 0, len(text)) in base
     assert spans == base
+
+
+def test_parts_of_the_code_space_follow_the_bytes(spark, monkeypatch):
+    """Ten times the documents in ten times the parts: the largest group's bytes stay level, whatever the shuffle partitions."""
+    monkeypatch.setattr(jaccard, "PART_BYTES", 3_000)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([40, 80, 120]))) for _ in range(3000)]
+    largest = {}
+    for n in (300, 3000):
+        df = spark.createDataFrame(list(enumerate(texts[:n])), "doc_id bigint, text string").repartition(2)
+        parts = jaccard.parts_for(df)
+        sent = df.mapInArrow(jaccard._sketch_rows(parts), "part bigint, payload binary")
+        sizes = sent.where("part >= 0").groupBy("part").agg(F.sum(F.octet_length("payload")).alias("bytes"))  # the rows of documents go by slices
+        largest[n] = sizes.agg(F.max("bytes")).first()[0]
+    assert largest[3000] < 2 * largest[300]
+    assert jaccard.parts_for(df.limit(0)) == 4
+
+
+def test_only_nodes_outside_the_commonest_component_are_compared(spark):
+    """One node of another label in a group of 5 000: it meets each node once, and the others do not meet each other."""
+    rows = [(1, i, 7 if i else 8, 10, "x") for i in range(5000)] + [(2, i, i % 3, 10, "x") for i in range(2500)] + [(3, i, 4, 10, "x") for i in range(9)]
+    named = spark.createDataFrame(rows, "gid bigint, node bigint, label bigint, n int, bits string")
+    met = jaccard._meetings(named.join(jaccard._open_groups(named), "gid")).collect()
+    assert sum(r["gid"] == 1 for r in met) == 5 + 5000
+    places = {}
+    for r in met:
+        places.setdefault((r["gid"], r["i"], r["j"]), ([], []))[0 if r["minor"] else 1].append((r["node"], r["label"]))
+    assert max(len(a) for a, _ in places.values()) < 1200 and max(len(b) for _, b in places.values()) < 1200
+    pairs = {(g, frozenset((x, y))) for (g, _, _), (a, b) in places.items() for x, lx in a for y, ly in b if g == 2 and lx != ly}
+    assert len(pairs) == sum(x % 3 != y % 3 for x in range(2500) for y in range(x))
+    assert not any(g == 3 for g, _, _ in places)
