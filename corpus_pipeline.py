@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from deskmetrics.llm import jaccard, langid, packing, pii, quality  # noqa: E402
-from deskmetrics.llm.common import table, written  # noqa: E402
+from deskmetrics.llm.common import table  # noqa: E402
+from deskmetrics.session import fresh_path, scratch  # noqa: E402
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again before the next stage."""
+    """All stages over ``documents``; each result is written and read again before the next stage.
+
+    What a stage wrote for itself goes with it; the stages' results stay, or go with the caller's own ``scratch``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = fresh_path(spark, f"stage-{name}")
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
