@@ -4,7 +4,8 @@ import subprocess
 import sys
 
 import corpus_pipeline as P
-from conftest import ROOT, SF_CHECK
+from conftest import ROOT, SF_CHECK, SF_SMALL
+from edge_tables import edge_docs, no_docs  # noqa: F401
 from deskmetrics.llm import jaccard, langid, pii, quality
 from deskmetrics.llm.common import table, written
 
@@ -68,4 +69,30 @@ def test_every_operator_is_registered():
 
     names = set(e.queries())
     assert "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
+
+
+def test_stages_on_odd_and_empty_tables(spark, edge_docs, no_docs):  # noqa: F811
+    """Nulls, repeated rows and ids, long texts and columns of any name go through every stage; so does nothing at all."""
+    for docs in (edge_docs, no_docs):
+        for name, stage in P.STAGES:
+            columns = docs.columns
+            docs = written(stage(spark, docs, SF_SMALL), name)
+            assert name == "packing" or docs.columns == columns
+        assert "sequence_id" in docs.columns
+    assert docs.count() == 0
+
+
+def test_a_run_leaves_only_what_its_result_reads(spark):
+    import os
+
+    from deskmetrics.session import scratch, shared_dir
+
+    left = lambda: set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    before = left()
+    with scratch(spark):
+        assert P.run(spark, SF_SMALL).count() > 0
+        stages = {name.rsplit("-", 1)[0] for name in left() - before if name.startswith("stage-")}
+        assert {f"stage-{name}" for name, _ in P.STAGES[:-1]} <= stages
+        assert not any(name.startswith(("sketches-", "verified-")) for name in left() - before)
+    assert left() == before
