@@ -15,7 +15,7 @@ from deskmetrics.session import fresh_path
 
 #: Text bytes handled at once inside a task. Arrow batches above it are sliced, so the
 #: working arrays of a task do not depend on how long the documents are.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -90,6 +90,7 @@ def map_large_arrays() -> None:
         library = ctypes.CDLL(None)
         library.mallopt(mmap_threshold, 1 << 20)
         library.mallopt(arena_max, 2)
+    pa.set_memory_pool(pa.system_memory_pool())  # Arrow's own pool keeps what was freed, too
 
 
 map_large_arrays()

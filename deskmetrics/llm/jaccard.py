@@ -56,7 +56,7 @@ COMPARED = 1024
 #: Text bytes for each part of a layout's code space; the codes of a layout are about as many bytes as the texts.
 PART_BYTES = 32 << 20
 #: Text bytes that a task sketches at once; its arrays take some 40 times as much.
-SKETCH_BYTES = 3 << 20
+SKETCH_BYTES = 3 << 19
 #: Ids of up to so many candidates are broadcast to pick their texts; beyond, the join is shuffled.
 BROADCAST_IDS = 2_000_000
 
