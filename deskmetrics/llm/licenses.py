@@ -1,12 +1,13 @@
 """License scans: a trained paragraph classifier over word n-grams, with an unknown class and template confirmation.
 
 A paragraph is a line with a word. It is judged in windows of ``WINDOW`` words, one every ``STEP`` words, so that a notice counts the same
-in a short line and inside a long one. A window's features are its distinct hashed single words and word pairs, each weighing one over
-the root of their number. Two sparse logistic regressions (``spark.ml``, fitted on a bounded training table) judge it:
+in a short line and inside a long one. A window's features are its distinct single words and word pairs, each weighing one over
+the root of their number. Words and pairs that stand in no template have no weight of their own; they count in that number.
+Two sparse logistic regressions (``spark.ml``, fitted on all documents) judge it:
 
 1. licence or not. The unknown class is calibrated: the least probability that is accepted lies above that of all but
-   ``FALSE_SHARE`` of the ordinary windows that the fit did not see, and is at least ``LEAST``. A paragraph is accepted when one
-   of its windows is;
+   ``FALSE_SHARE`` of the ordinary windows that the fit did not see (a quarter of all), and is at least ``LEAST``. A paragraph is
+   accepted when one of its windows is;
 2. which family, for accepted windows only.
 
 *Confirmation*: of the pairs of neighbouring words of one of the family's templates, at least ``CONFIRM`` have to stand in the accepted
@@ -15,26 +16,31 @@ window or within ``STEP`` words of it, and no other family may have more there.
 The regressions' weights enter the scan as array constants, so scoring a paragraph is a column expression; documents are never
 split over rows and nothing is shuffled.
 
-Training table: the templates below, whole and in parts, alone and behind ordinary words, against at most ``ORDINARY``
-ordinary windows, out of as many documents (smallest id hash), that share few word pairs with any template.
+Training: every distinct window of all documents that shares few word pairs with any template is an ordinary one. Windows with equal
+features are one row with a weight, so what the regressions read is the number of different feature sets, not of windows; nothing is
+sampled. The templates, whole and in parts, stand against them alone and behind the first words of every ordinary window. All ordinary
+windows together weigh as much as ``ORDINARY`` rows (each one at most), those with a part of a template ``INSIDE``, it alone ``ALONE``.
 
 Defined results: null and empty texts have no paragraphs; repeated rows give repeated results; an empty table gives an empty
-result; without ordinary paragraphs everything is unknown; other columns are ignored.
+result; without ordinary paragraphs everything is unknown; other columns are ignored. Texts without a doc_id are learned from, too.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deskmetrics.llm.common import hash_sample, written
+from deskmetrics.llm.common import written
 from deskmetrics.llm.line_rules import let
 
-BUCKETS = 4096
 ORDINARY = 4_000
+INSIDE = 80
+ALONE = 10
+HEAD = 8
 FALSE_SHARE = 0.001
 LEAST = 0.5
 CONFIRM = 0.4
@@ -76,17 +82,50 @@ def pairs_of(words: Column) -> Column:
     return F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.xxhash64(a, b))
 
 
-def features_of(words: Column) -> Column:
-    """Distinct buckets of the words and word pairs; the last word pairs with the line's end."""
-    bucket = lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")
-    single = F.transform(words, lambda w: bucket(F.xxhash64(w)))
-    return F.array_distinct(F.concat(single, F.transform(pairs_of(words), bucket)))
+@dataclass
+class Lexicon:
+    """Numbers of the words (first) and word pairs (from ``words`` on) of all templates, found by their hash in a table without clashes."""
+
+    hashes: list[int]
+    words: int
+    places: int
+
+    @classmethod
+    def of(cls, words: set[int], pairs: set[int]) -> Lexicon:
+        hashes = sorted(words) + sorted(pairs - words)
+        places = next(m for m in itertools.count(4 * len(hashes)) if len({h % m for h in hashes}) == len(hashes))
+        return cls(hashes, len(words), places)
+
+    def codes_of(self, hashes: Column) -> Column:
+        """The number of each hash; other words and pairs keep their hash, as a negative number."""
+        at = {h % self.places: (h, i) for i, h in enumerate(self.hashes)}
+        known = _constant([at[k][0] if k in at else k + 1 for k in range(self.places)], "array<bigint>")  # k + 1 has another place
+        number = _constant([at[k][1] if k in at else -1 for k in range(self.places)], "array<bigint>")
+        place = lambda h: F.pmod(h, F.lit(self.places)).cast("int")
+        return F.transform(hashes, lambda h: F.when(F.get(known, place(h)) == h, F.get(number, place(h))).otherwise(h.bitwiseOR(F.lit(-(2**63)))))
+
+    def numbers(self, hashes: list[int]) -> list[int]:
+        number = {h: i for i, h in enumerate(self.hashes)}
+        return sorted({number[h] for h in hashes})
+
+
+def coded(words: Column, lexicon: Lexicon) -> Column:
+    """Codes of the words and of the word pairs, one of each a place; the last word pairs with the line's end, which is its own code."""
+    return F.struct(lexicon.codes_of(F.transform(words, lambda w: F.xxhash64(w))).alias("one"), lexicon.codes_of(pairs_of(words)).alias("two"))
+
+
+def features_of(codes: Column, at: Column, many: int) -> Column:
+    """(ids, n) of the ``many`` words from place ``at``: numbers of the lexicon, and how many distinct words and pairs there are in all."""
+    both = F.concat(F.slice(codes["one"], at, F.lit(many)), F.slice(codes["two"], at, F.lit(many - 1)))
+    ids = lambda b: F.array_sort(F.array_distinct(F.filter(b, lambda c: c >= 0))).cast("array<int>")
+    return let(both, lambda b: F.struct(ids(b).alias("ids"), F.size(F.array_distinct(b)).alias("n")))
 
 
 @dataclass
 class Scanner:
-    """Weights of both regressions, the acceptance line, and the word pairs of each family's templates."""
+    """Weights of both regressions by number of the lexicon, the acceptance line, and the word pairs of each family's templates."""
 
+    lexicon: Lexicon
     weights: list[float]
     bias: float
     least: float
@@ -101,8 +140,8 @@ def _constant(values: list, kind: str) -> Column:
 
 def _margin(features: Column, weights: list[float], bias: float) -> Column:
     table = _constant([round(w, 5) for w in weights], "array<double>")
-    total = F.aggregate(features, F.lit(0.0), lambda a, i: a + F.get(table, i))
-    return F.lit(float(bias)) + total / F.sqrt(F.greatest(F.size(features), F.lit(1)))
+    total = F.aggregate(features["ids"], F.lit(0.0), lambda a, i: a + F.get(table, i))
+    return F.lit(float(bias)) + total / F.sqrt(F.greatest(features["n"], F.lit(1)))
 
 
 def _logistic(x: Column) -> Column:
@@ -130,65 +169,119 @@ def inner_pairs(words: Column) -> Column:
     return F.slice(pairs_of(words), F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
 
 
-def template_share(pairs: Column, templates: list[list[int]]) -> Column:
+def template_share(pairs: Column, templates: list[list[int]], kind: str = "array<bigint>") -> Column:
     """The largest share of a template's pairs that stand in ``pairs``."""
-    return F.greatest(F.lit(0.0), *[F.size(F.array_intersect(pairs, _constant(t, "array<bigint>"))) / F.lit(float(len(t))) for t in templates if t])
+    return F.greatest(F.lit(0.0), *[F.size(F.array_intersect(pairs, _constant(t, kind))) / F.lit(float(len(t))) for t in templates if t])
+
+
+@dataclass
+class Notices:
+    """What the templates consist of: their words and pairs, the numbers of each template's pairs, and of whole templates and parts."""
+
+    lexicon: Lexicon
+    pairs: list[list[int]]
+    parts: list[tuple[str, list[int]]]
 
 
-def training_table(spark: SparkSession, docs: DataFrame, ordinary: int = ORDINARY) -> DataFrame:
-    """(line, family, seen): family null for ordinary windows; a quarter is not seen by the fit."""
+def notices(spark: SparkSession) -> Notices:
     templates = spark.createDataFrame(list(TEMPLATES), "family string, line string")
-    known = template_pairs(spark)
-    every = sorted({p for family in known.values() for t in family for p in t})
-    own = let(words_of(F.col("line")), inner_pairs)
-    share = let(own, lambda p: F.size(F.array_intersect(p, _constant(every, "array<bigint>"))) / F.greatest(F.size(p), F.lit(1)))
-    held = let(own, lambda p: template_share(p, [t for family in known.values() for t in family]))
-    own_docs = docs.select("doc_id", "text")  # whatever else the table calls its columns
-    ids = hash_sample(own_docs.where("doc_id IS NOT NULL").select("doc_id"), "doc_id", ordinary)
-    some = own_docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi")  # bounded ids
-    cut = let(words_of(F.col("line")), lambda w: F.transform(starts_of(w), lambda at: F.array_join(F.slice(w, at, F.lit(WINDOW)), " ")))
-    plain = paragraphs(some).distinct().select(F.explode(cut).alias("line")).distinct().withColumn("h", F.xxhash64("line"))
-    plain = plain.where((share < 0.2) & (held < CONFIRM)).orderBy("h").limit(ordinary)
-    plain = written(plain, "ordinary")
     words = F.split("line", " ")
     part = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 1), (0, 2), (1, 2), (1, 3), (0, 3), (2, 3))]))
-    windows = templates.select("family", words.alias("w"), part.alias("p")).select(
+    parts = templates.select("family", words.alias("w"), part.alias("p")).select(
         "family", F.col("w"), (F.floor(F.size("w") * F.col("p.a") / F.col("p.b")) + 1).cast("int").alias("start"), F.ceil(F.size("w") / F.col("p.b")).cast("int").alias("many")
     )
-    windows = windows.where("many >= 4 OR many = size(w)").select("family", F.array_join(F.slice("w", F.col("start"), F.col("many")), " ").alias("line")).distinct()
-    carriers = plain.select(F.pmod("h", F.lit(997)).alias("k"), F.array_join(F.slice(F.split("line", " "), 1, 8), " ").alias("carrier"))
-    inside = windows.withColumn("k", F.explode(F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.pmod(F.xxhash64("line", i), F.lit(997)))))
-    inside = inside.join(carriers, "k").select("family", F.concat_ws(" ", "carrier", "line").alias("line"))
-    alone = windows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9)))).select("family", "line")
-    rows = alone.unionByName(inside).unionByName(plain.select(F.lit(None).cast("string").alias("family"), "line"))
-    seen = F.col("family").isNotNull() | (F.pmod(F.xxhash64(F.lit(7), "line"), F.lit(4)) != 0)
-    return written(rows.withColumn("seen", seen), "training")
+    parts = parts.where("many >= 4 OR many = size(w)").select("family", F.array_join(F.slice("w", F.col("start"), F.col("many")), " ").alias("line")).distinct()
+    hashes = F.struct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)).alias("words"), let(words_of(F.col("line")), inner_pairs).alias("pairs"))
+    whole = [r["h"] for r in templates.select(hashes.alias("h")).collect()]
+    lexicon = Lexicon.of({h for r in whole for h in r["words"]}, {h for r in whole for h in r["pairs"]})
+    rows = parts.select("family", "line", hashes.alias("h")).orderBy("family", "line").collect()
+    return Notices(lexicon, [lexicon.numbers(r["pairs"]) for r in whole], [(r["family"], lexicon.numbers(r["h"]["words"] + r["h"]["pairs"])) for r in rows])
+
+
+def is_ordinary(ids: Column, many: Column, known: Notices) -> Column:
+    """Whether a window of ``many`` words shares few of its pairs with the templates, and holds no large part of one."""
+    few = lambda pairs: (F.size(pairs) / F.greatest(many - 1, F.lit(1)) < 0.2) & (template_share(pairs, known.pairs, "array<int>") < CONFIRM)
+    return let(F.filter(ids, lambda i: i >= known.lexicon.words), lambda pairs: (F.size(pairs) == 0) | few(pairs))
+
+
+def window_groups(docs: DataFrame, known: Notices) -> DataFrame:
+    """(ids, n, head_ids, head_n, seen, k): how many distinct ordinary windows of all documents have these features, as a whole and in their first words.
+
+    Without a word of the lexicon ``n`` makes no difference and is 0; a quarter of the windows is not seen by the fit."""
+
+    def windows(words: Column) -> Column:
+        def window(codes: Column, at: Column) -> Column:
+            own = F.slice(codes["one"], at, F.lit(WINDOW))
+            both = F.struct(features_of(codes, at, WINDOW).alias("f"), features_of(codes, at, HEAD).alias("head"))
+            parts = lambda x: F.struct(
+                F.xxhash64(own).alias("h"), F.size(own).alias("many"), x["f"]["ids"].alias("ids"), F.when(F.size(x["f"]["ids"]) > 0, x["f"]["n"]).otherwise(0).alias("n"),
+                x["head"]["ids"].alias("head_ids"), x["head"]["n"].alias("head_n"),
+            )
+            return let(both, parts)
+
+        places = F.struct(coded(words, known.lexicon).alias("codes"), starts_of(words).alias("at"))
+        return let(places, lambda p: F.transform(p["at"], lambda at: window(p["codes"], at)))
+
+    every = paragraphs(docs.select("text")).select(F.explode(let(words_of(F.col("line")), windows)).alias("w")).select("w.*").distinct()
+    plain = every.where(is_ordinary(F.col("ids"), F.col("many"), known))
+    seen = F.pmod(F.xxhash64(F.lit(7), "h"), F.lit(4)) != 0
+    return written(plain.withColumn("seen", seen).groupBy("ids", "n", "head_ids", "head_n", "seen").agg(F.count("*").alias("k")), "ordinary")
+
+
+def training_table(groups: DataFrame, known: Notices, share: float) -> DataFrame:
+    """(family, ids, n, weight): family null for ordinary windows, each of which weighs ``share``."""
+    plain = groups.where("seen").groupBy("ids", "n").agg((F.sum("k") * share).alias("weight")).withColumn("family", F.lit(None).cast("string"))
+    parts = F.explode(_constant([{"family": f, "ids": ids} for f, ids in known.parts], "array<struct<family:string,ids:array<int>>>"))
+    alone = groups.sparkSession.range(1).select(parts.alias("part")).select("part.family", "part.ids", F.size("part.ids").alias("n"), F.lit(float(ALONE)).alias("weight"))
+    heads = groups.groupBy("head_ids", "head_n").agg((F.sum("k") * (share * INSIDE / ORDINARY)).alias("weight")).withColumn("part", parts)
+    ids, common = F.array_sort(F.array_union("head_ids", "part.ids")), F.size(F.array_intersect("head_ids", "part.ids"))
+    inside = heads.select("part.family", ids.alias("ids"), (F.col("head_n") + F.size("part.ids") - common).alias("n"), "weight")
+    inside = inside.groupBy("family", "ids", "n").agg(F.sum("weight").alias("weight"))
+    return written(plain.unionByName(alone).unionByName(inside), "training")
+
+
+def acceptance_line(rows: DataFrame, share: float) -> float:
+    """The least score, in steps of 2 ** -32, that at most ``share`` of the windows (``k`` in a row) reach, by counts in steps of 2 ** -16."""
+    left = int(share * rows.agg(F.sum("k").alias("k")).first()["k"])
+    low, width, steps = 0.0, 1.0, 1 << 16
+    for _ in range(2):
+        width /= steps
+        place = F.least(F.floor((F.col("score") - low) / width), F.lit(steps - 1))
+        at = None
+        for at, k in sorted(rows.groupBy(place).agg(F.sum("k")).collect(), reverse=True):
+            if k > left:
+                break
+            left -= k
+        rows, low = rows.where(place == at), low + at * width
+    return low + width
 
 
 def fit(docs: DataFrame, ordinary: int = ORDINARY) -> Scanner | None:
-    """The scanner, or None when the documents have no ordinary window to learn from."""
+    """The scanner, learned from all documents, or None when they have no ordinary window. ``ordinary`` is what all those windows weigh."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import CountVectorizerModel, Normalizer
+    from pyspark.ml.feature import CountVectorizerModel, Interaction
 
     spark = docs.sparkSession
-    rows = training_table(spark, docs, ordinary)
-    if rows.where("family IS NULL AND seen").isEmpty():
+    known = notices(spark)
+    groups = window_groups(docs, known)
+    found = groups.agg(F.sum("k").alias("all"), F.sum(F.when(F.col("seen"), F.col("k"))).alias("seen"), F.sum(F.when(~F.col("seen"), F.col("k"))).alias("unseen")).first()
+    if not found["seen"]:
         return None
-    names = rows.withColumn("tokens", F.transform(let(words_of(F.col("line")), features_of), lambda i: i.cast("string")))
+    rows = training_table(groups, known, ordinary / max(found["all"], ordinary))
+    names = rows.withColumn("tokens", F.transform("ids", lambda i: i.cast("string"))).withColumn("each", F.lit(1.0) / F.sqrt(F.greatest(F.col("n"), F.lit(1))))
     names = names.withColumn("licence", F.col("family").isNotNull().cast("double"))
     names = names.withColumn("number", F.coalesce(F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), F.col("family")) - 1, F.lit(0)).cast("double"))
-    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(BUCKETS)], inputCol="tokens", outputCol="counts").transform(names)
-    vectors = written(Normalizer(inputCol="counts", outputCol="features").transform(vectors).select("line", "seen", "licence", "number", "features"), "vectors")
-    how = {"maxIter": 40, "regParam": 1e-4, "standardization": False}
-    binary = LogisticRegression(labelCol="licence", family="binomial", **how).fit(vectors.where("seen"))
+    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(known.lexicon.hashes))], inputCol="tokens", outputCol="counts").transform(names)
+    vectors = Interaction(inputCols=["each", "counts"], outputCol="features").transform(vectors).select("licence", "number", "weight", "features")
+    how = {"maxIter": 40, "regParam": 1e-4, "standardization": False, "weightCol": "weight"}
+    binary = LogisticRegression(labelCol="licence", family="binomial", **how).fit(vectors)
     family = LogisticRegression(labelCol="number", family="multinomial", **how).fit(vectors.where("licence = 1"))
     weights, bias = binary.coefficients.toArray().tolist(), float(binary.intercept)
-    unseen = rows.where("family IS NULL AND NOT seen")
-    unseen = rows.where("family IS NULL") if unseen.isEmpty() else unseen
-    score = _logistic(_margin(let(words_of(F.col("line")), features_of), weights, bias))
-    top = unseen.agg(F.percentile(score, F.lit(1 - FALSE_SHARE)).alias("top")).first()["top"]
+    unseen = groups.where("NOT seen") if found["unseen"] else groups
+    score = _logistic(_margin(F.struct("ids", "n"), weights, bias))
+    least = max(LEAST, acceptance_line(unseen.select(score.alias("score"), "k"), FALSE_SHARE))
     matrix = family.coefficientMatrix.toArray()
-    return Scanner(weights, bias, max(LEAST, top), [r.tolist() for r in matrix], family.interceptVector.toArray().tolist(), template_pairs(spark))
+    return Scanner(known.lexicon, weights, bias, least, [r.tolist() for r in matrix], family.interceptVector.toArray().tolist(), template_pairs(spark))
 
 
 def scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
@@ -204,15 +297,9 @@ def scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
 
     def judge(words: Column) -> Column:
         """Start and score of each window; words and pairs are hashed once for all of them."""
-        bucket = lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")
-        hashed = F.struct(F.transform(words, lambda w: bucket(F.xxhash64(w))).alias("one"), F.transform(pairs_of(words), bucket).alias("two"), starts_of(words).alias("at"))
-
-        def scores(h: Column) -> Column:
-            part = lambda at: F.array_distinct(F.concat(F.slice(h["one"], at, F.lit(WINDOW)), F.slice(h["two"], at, F.lit(WINDOW))))
-            score = lambda at: _logistic(let(part(at), lambda f: _margin(f, scanner.weights, scanner.bias)))
-            return F.transform(h["at"], lambda at: F.struct(at.alias("at"), score(at).alias("score")))
-
-        return let(hashed, scores)
+        places = F.struct(coded(words, scanner.lexicon).alias("codes"), starts_of(words).alias("at"))
+        score = lambda p, at: _logistic(let(features_of(p["codes"], at, WINDOW), lambda f: _margin(f, scanner.weights, scanner.bias)))
+        return let(places, lambda p: F.transform(p["at"], lambda at: F.struct(at.alias("at"), score(p, at).alias("score"))))
 
     top = lambda windows: F.array_max(F.transform(windows, lambda x: x["score"]))
     judged = F.transform(lines, lambda line: let(let(words_of(line), judge), lambda ws: F.struct(line.alias("line"), top(ws).alias("score"), ws.alias("windows"))))
@@ -240,7 +327,7 @@ def scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
                 ),
             )
 
-        features = features_of(F.slice(words, hit["at"], F.lit(WINDOW)))
+        features = let(coded(words, scanner.lexicon), lambda codes: features_of(codes, hit["at"], WINDOW))
         shares = let(near, lambda pairs: F.array(*[template_share(pairs, scanner.pairs[f]) for f in FAMILIES]))
         return let(F.struct(features.alias("features"), shares.alias("shares")), of)
 

@@ -1,8 +1,11 @@
 """Quality trees, language models, line rules and licence scans."""
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from compare import canon, duck
 from conftest import SF_CHECK, SF_SMALL
@@ -274,3 +277,64 @@ def test_licences_inside_long_lines(spark):
     got = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), licenses.fit(docs)).collect()
     assert {r["doc_id"]: r["families"] for r in got} == want | {1000: "gpl,mit", 1001: ""}
     assert all(r["n_confirmed"] == (r["doc_id"] != 1001) for r in got)
+
+
+def test_licences_learn_from_every_ordinary_window(spark):
+    # 2 000 paragraphs of one window each, and their copies; one in 50 sounds like a notice. Seen or not, such windows are ordinary.
+    def word(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(4)) + "q"
+
+    def text(i):
+        if i % 50 == 7:
+            return f"{word(i)} license of {word(i + 1)} source {word(i + 2)} under code {word(i + 3)} software {word(i + 4)} granted version public {word(i + 5)} terms"
+        return " ".join(word(16 * i + k) for k in range(16))
+
+    rows = [(i, text(i % 2000)) for i in range(2200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = licenses.notices(spark)
+    groups = licenses.window_groups(docs, known).collect()
+    assert sum(r["k"] for r in groups) == 2000
+    assert sum(r["k"] for r in groups if r["ids"]) >= 40
+    scanner = licenses.fit(docs, ordinary=50)
+    accepted = {r["doc_id"] for r in licenses.scan(docs, scanner).where("n_licence > 0").collect() if r["doc_id"] < 2000}
+    assert len(accepted) <= 2000 * licenses.FALSE_SHARE
+    notice = spark.createDataFrame([(1, "Released under the MIT License.")], "doc_id bigint, text string")
+    assert licenses.scan(notice, scanner).first()["families"] == "mit"
+
+
+def test_licence_windows_and_weights_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    known = licenses.notices(spark)
+    place = {h: i for i, h in enumerate(known.lexicon.hashes)}
+    words = licenses.words_of(F.col("line"))
+    lines = licenses.paragraphs(docs).select(words.alias("w"), F.transform(words, lambda w: F.xxhash64(w)).alias("h"), licenses.inner_pairs(words).alias("p")).distinct().collect()
+    want = {}
+    for r in lines:
+        for at in range(0, max(-(-(len(r["w"]) - 16) // 8), 0) * 8 + 1, 8):
+            whole, pairs = r["h"][at : at + 16], r["p"][at : at + 15]
+            ids = sorted({place[h] for h in (*whole, *pairs) if h in place})
+            hits = {i for i in ids if i >= known.lexicon.words}
+            if len(hits) < 0.2 * max(len(whole) - 1, 1) and all(len(hits & set(t)) < licenses.CONFIRM * len(t) for t in known.pairs if t):
+                want[tuple(r["w"][at : at + 16])] = (tuple(ids), len({*whole, *pairs}) if ids else 0)
+    got = {}
+    groups = licenses.window_groups(docs.union(docs), known)
+    for r in groups.collect():
+        key = tuple(r["ids"]), r["n"]
+        got[key] = got.get(key, 0) + r["k"]
+    assert got == dict(Counter(want.values()))
+    rows = licenses.training_table(groups, known, 0.5).groupBy("family").agg(F.sum("weight")).collect()
+    weight = {r[0]: r[1] for r in rows}
+    seen, parts = groups.where("seen").agg(F.sum("k")).first()[0], Counter(f for f, _ in known.parts)
+    assert np.isclose(weight.pop(None), seen / 2)
+    each = licenses.ALONE + licenses.INSIDE * 0.5 * len(want) / licenses.ORDINARY
+    assert all(np.isclose(weight[f], parts[f] * each) for f in licenses.FAMILIES)
+
+
+def test_acceptance_line_of_licences(spark):
+    scores = np.random.default_rng(3).beta(1, 8, 5000)
+    rows = spark.createDataFrame([(float(s), 3) for s in scores], "score double, k bigint")
+    for share in (0.0, 0.001, 0.1):
+        line = licenses.acceptance_line(rows, share)
+        top = np.sort(scores)[::-1]
+        many = int(share * 15_000) // 3
+        assert (scores >= line).sum() == many and 0 < line - top[many] <= 2**-32
