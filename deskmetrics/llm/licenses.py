@@ -75,7 +75,7 @@ FAMILIES = tuple(sorted({f for f, _ in TEMPLATES}))
 
 def words_of(line: Column) -> Column:
     """Lower-case words; marks at their ends are no part of them."""
-    return F.filter(F.split(F.lower(line), r"[^\p{L}\p{N}+-]+|[.](?= |$)"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}+-]+"), "")
 
 
 def pairs_of(words: Column) -> Column:
@@ -84,41 +84,66 @@ def pairs_of(words: Column) -> Column:
 
 @dataclass
 class Lexicon:
-    """Numbers of the words (first) and word pairs (from ``words`` on) of all templates, found by their hash in a table without clashes."""
+    """Numbers of the words and, after them, of the word pairs of all templates. Words are found by their hash in a table without clashes."""
 
-    hashes: list[int]
-    words: int
+    words: list[int]
+    pairs: dict[tuple[int, int], int]
     places: int
 
     @classmethod
-    def of(cls, words: set[int], pairs: set[int]) -> Lexicon:
-        hashes = sorted(words) + sorted(pairs - words)
-        places = next(m for m in itertools.count(4 * len(hashes)) if len({h % m for h in hashes}) == len(hashes))
-        return cls(hashes, len(words), places)
-
-    def codes_of(self, hashes: Column) -> Column:
-        """The number of each hash; other words and pairs keep their hash, as a negative number."""
-        at = {h % self.places: (h, i) for i, h in enumerate(self.hashes)}
+    def of(cls, lines: list[list[int]]) -> Lexicon:
+        """Of lines as hashes of their words."""
+        words = sorted({h for line in lines for h in line})
+        number = {h: i for i, h in enumerate(words)}
+        places = next(m for m in itertools.count(4 * len(words)) if len({h % m for h in words}) == len(words))
+        pairs = sorted({(number[a], number[b]) for line in lines for a, b in itertools.pairwise(line)})
+        return cls(words, {pair: len(words) + i for i, pair in enumerate(pairs)}, places)
+
+    @property
+    def size(self) -> int:
+        return len(self.words) + len(self.pairs)
+
+    def pairs_in(self, line: list[int]) -> list[int]:
+        number = {h: i for i, h in enumerate(self.words)}
+        return sorted({self.pairs[number[a], number[b]] for a, b in itertools.pairwise(line)})
+
+    def all_in(self, line: list[int]) -> list[int]:
+        number = {h: i for i, h in enumerate(self.words)}
+        return sorted({number[h] for h in line}) + self.pairs_in(line)
+
+    def codes_of(self, words: Column) -> Column:
+        """The number of each word; other words keep their hash, as a negative number."""
+        at = {h % self.places: (h, i) for i, h in enumerate(self.words)}
         known = _constant([at[k][0] if k in at else k + 1 for k in range(self.places)], "array<bigint>")  # k + 1 has another place
         number = _constant([at[k][1] if k in at else -1 for k in range(self.places)], "array<bigint>")
         place = lambda h: F.pmod(h, F.lit(self.places)).cast("int")
-        return F.transform(hashes, lambda h: F.when(F.get(known, place(h)) == h, F.get(number, place(h))).otherwise(h.bitwiseOR(F.lit(-(2**63)))))
+        other = lambda h: h.bitwiseOR(F.lit(-(2**63)))
+        return F.transform(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(F.get(known, place(h)) == h, F.get(number, place(h))).otherwise(other(h)))
 
-    def numbers(self, hashes: list[int]) -> list[int]:
-        number = {h: i for i, h in enumerate(self.hashes)}
-        return sorted({number[h] for h in hashes})
+    def pair_codes_of(self, codes: Column) -> Column:
+        """The number of each pair of neighbouring codes, negative ones for other pairs; the last code stands for its pair with the line's end."""
+        many = len(self.words)
+        number = _constant([self.pairs.get((a, b), -1 - a * many - b) for a in range(many) for b in range(many)], "array<bigint>")
+        other = lambda a, b: F.xxhash64(a, b).bitwiseOR(F.lit(-(2**63)))
+        pair = lambda a, b: F.when(b.isNull(), a).when((a >= 0) & (b >= 0), F.get(number, (a * many + b).cast("int"))).otherwise(other(a, b))
+        return F.zip_with(codes, F.slice(codes, 2, F.greatest(F.size(codes), F.lit(1))), pair)
 
 
 def coded(words: Column, lexicon: Lexicon) -> Column:
-    """Codes of the words and of the word pairs, one of each a place; the last word pairs with the line's end, which is its own code."""
-    return F.struct(lexicon.codes_of(F.transform(words, lambda w: F.xxhash64(w))).alias("one"), lexicon.codes_of(pairs_of(words)).alias("two"))
+    """Codes of the words and of the word pairs, one of each a place."""
+    return let(lexicon.codes_of(words), lambda one: F.struct(one.alias("one"), lexicon.pair_codes_of(one).alias("two")))
 
 
 def features_of(codes: Column, at: Column, many: int) -> Column:
     """(ids, n) of the ``many`` words from place ``at``: numbers of the lexicon, and how many distinct words and pairs there are in all."""
     both = F.concat(F.slice(codes["one"], at, F.lit(many)), F.slice(codes["two"], at, F.lit(many - 1)))
-    ids = lambda b: F.array_sort(F.array_distinct(F.filter(b, lambda c: c >= 0))).cast("array<int>")
-    return let(both, lambda b: F.struct(ids(b).alias("ids"), F.size(F.array_distinct(b)).alias("n")))
+    return let(F.array_distinct(both), lambda b: F.struct(F.filter(b, lambda c: c >= 0).alias("ids"), F.size(b).alias("n")))
+
+
+def known_features_of(codes: Column, at: Column, many: int) -> Column:
+    """The same; without a word of the lexicon ``n`` makes no difference and is 0."""
+    none = F.struct(F.array().cast("array<bigint>").alias("ids"), F.lit(0).alias("n"))
+    return F.when(F.exists(F.slice(codes["one"], at, F.lit(many)), lambda c: c >= 0), features_of(codes, at, many)).otherwise(none)
 
 
 @dataclass
@@ -140,7 +165,7 @@ def _constant(values: list, kind: str) -> Column:
 
 def _margin(features: Column, weights: list[float], bias: float) -> Column:
     table = _constant([round(w, 5) for w in weights], "array<double>")
-    total = F.aggregate(features["ids"], F.lit(0.0), lambda a, i: a + F.get(table, i))
+    total = F.aggregate(features["ids"], F.lit(0.0), lambda a, i: a + F.get(table, i.cast("int")))
     return F.lit(float(bias)) + total / F.sqrt(F.greatest(features["n"], F.lit(1)))
 
 
@@ -176,7 +201,7 @@ def template_share(pairs: Column, templates: list[list[int]], kind: str = "array
 
 @dataclass
 class Notices:
-    """What the templates consist of: their words and pairs, the numbers of each template's pairs, and of whole templates and parts."""
+    """What the templates consist of: their words and pairs, the numbers of each template's pairs, and those of whole templates and parts."""
 
     lexicon: Lexicon
     pairs: list[list[int]]
@@ -191,31 +216,32 @@ def notices(spark: SparkSession) -> Notices:
         "family", F.col("w"), (F.floor(F.size("w") * F.col("p.a") / F.col("p.b")) + 1).cast("int").alias("start"), F.ceil(F.size("w") / F.col("p.b")).cast("int").alias("many")
     )
     parts = parts.where("many >= 4 OR many = size(w)").select("family", F.array_join(F.slice("w", F.col("start"), F.col("many")), " ").alias("line")).distinct()
-    hashes = F.struct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)).alias("words"), let(words_of(F.col("line")), inner_pairs).alias("pairs"))
-    whole = [r["h"] for r in templates.select(hashes.alias("h")).collect()]
-    lexicon = Lexicon.of({h for r in whole for h in r["words"]}, {h for r in whole for h in r["pairs"]})
-    rows = parts.select("family", "line", hashes.alias("h")).orderBy("family", "line").collect()
-    return Notices(lexicon, [lexicon.numbers(r["pairs"]) for r in whole], [(r["family"], lexicon.numbers(r["h"]["words"] + r["h"]["pairs"])) for r in rows])
+    hashes = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)).alias("h")
+    whole = [r["h"] for r in templates.select(hashes).collect()]
+    lexicon = Lexicon.of(whole)
+    rows = parts.select("family", "line", hashes).orderBy("family", "line").collect()
+    return Notices(lexicon, [lexicon.pairs_in(h) for h in whole], [(r["family"], lexicon.all_in(r["h"])) for r in rows])
 
 
 def is_ordinary(ids: Column, many: Column, known: Notices) -> Column:
     """Whether a window of ``many`` words shares few of its pairs with the templates, and holds no large part of one."""
     few = lambda pairs: (F.size(pairs) / F.greatest(many - 1, F.lit(1)) < 0.2) & (template_share(pairs, known.pairs, "array<int>") < CONFIRM)
-    return let(F.filter(ids, lambda i: i >= known.lexicon.words), lambda pairs: (F.size(pairs) == 0) | few(pairs))
+    return let(F.filter(ids, lambda i: i >= len(known.lexicon.words)), lambda pairs: (F.size(pairs) == 0) | few(pairs))
 
 
 def window_groups(docs: DataFrame, known: Notices) -> DataFrame:
     """(ids, n, head_ids, head_n, seen, k): how many distinct ordinary windows of all documents have these features, as a whole and in their first words.
 
-    Without a word of the lexicon ``n`` makes no difference and is 0; a quarter of the windows is not seen by the fit."""
+    A quarter of the windows is not seen by the fit."""
 
     def windows(words: Column) -> Column:
         def window(codes: Column, at: Column) -> Column:
             own = F.slice(codes["one"], at, F.lit(WINDOW))
-            both = F.struct(features_of(codes, at, WINDOW).alias("f"), features_of(codes, at, HEAD).alias("head"))
+            both = F.struct(known_features_of(codes, at, WINDOW).alias("f"), features_of(codes, at, HEAD).alias("head"))
+            ids = lambda f: F.sort_array(f["ids"]).cast("array<int>")
             parts = lambda x: F.struct(
-                F.xxhash64(own).alias("h"), F.size(own).alias("many"), x["f"]["ids"].alias("ids"), F.when(F.size(x["f"]["ids"]) > 0, x["f"]["n"]).otherwise(0).alias("n"),
-                x["head"]["ids"].alias("head_ids"), x["head"]["n"].alias("head_n"),
+                F.xxhash64(own).alias("h"), F.size(own).alias("many"), ids(x["f"]).alias("ids"), x["f"]["n"].alias("n"),
+                ids(x["head"]).alias("head_ids"), x["head"]["n"].alias("head_n"),
             )
             return let(both, parts)
 
@@ -234,10 +260,10 @@ def training_table(groups: DataFrame, known: Notices, share: float) -> DataFrame
     parts = F.explode(_constant([{"family": f, "ids": ids} for f, ids in known.parts], "array<struct<family:string,ids:array<int>>>"))
     alone = groups.sparkSession.range(1).select(parts.alias("part")).select("part.family", "part.ids", F.size("part.ids").alias("n"), F.lit(float(ALONE)).alias("weight"))
     heads = groups.groupBy("head_ids", "head_n").agg((F.sum("k") * (share * INSIDE / ORDINARY)).alias("weight")).withColumn("part", parts)
-    ids, common = F.array_sort(F.array_union("head_ids", "part.ids")), F.size(F.array_intersect("head_ids", "part.ids"))
+    ids, common = F.sort_array(F.array_union("head_ids", "part.ids")), F.size(F.array_intersect("head_ids", "part.ids"))
     inside = heads.select("part.family", ids.alias("ids"), (F.col("head_n") + F.size("part.ids") - common).alias("n"), "weight")
     inside = inside.groupBy("family", "ids", "n").agg(F.sum("weight").alias("weight"))
-    return written(plain.unionByName(alone).unionByName(inside), "training")
+    return plain.unionByName(alone).unionByName(inside)
 
 
 def acceptance_line(rows: DataFrame, share: float) -> float:
@@ -271,8 +297,9 @@ def fit(docs: DataFrame, ordinary: int = ORDINARY) -> Scanner | None:
     names = rows.withColumn("tokens", F.transform("ids", lambda i: i.cast("string"))).withColumn("each", F.lit(1.0) / F.sqrt(F.greatest(F.col("n"), F.lit(1))))
     names = names.withColumn("licence", F.col("family").isNotNull().cast("double"))
     names = names.withColumn("number", F.coalesce(F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), F.col("family")) - 1, F.lit(0)).cast("double"))
-    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(known.lexicon.hashes))], inputCol="tokens", outputCol="counts").transform(names)
-    vectors = Interaction(inputCols=["each", "counts"], outputCol="features").transform(vectors).select("licence", "number", "weight", "features")
+    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(known.lexicon.size)], inputCol="tokens", outputCol="counts").transform(names)
+    vectors = Interaction(inputCols=["each", "counts"], outputCol="features").transform(vectors)
+    vectors = written(vectors.select("licence", "number", "weight", "features"), "vectors")
     how = {"maxIter": 40, "regParam": 1e-4, "standardization": False, "weightCol": "weight"}
     binary = LogisticRegression(labelCol="licence", family="binomial", **how).fit(vectors)
     family = LogisticRegression(labelCol="number", family="multinomial", **how).fit(vectors.where("licence = 1"))
@@ -298,7 +325,7 @@ def scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
     def judge(words: Column) -> Column:
         """Start and score of each window; words and pairs are hashed once for all of them."""
         places = F.struct(coded(words, scanner.lexicon).alias("codes"), starts_of(words).alias("at"))
-        score = lambda p, at: _logistic(let(features_of(p["codes"], at, WINDOW), lambda f: _margin(f, scanner.weights, scanner.bias)))
+        score = lambda p, at: _logistic(let(known_features_of(p["codes"], at, WINDOW), lambda f: _margin(f, scanner.weights, scanner.bias)))
         return let(places, lambda p: F.transform(p["at"], lambda at: F.struct(at.alias("at"), score(p, at).alias("score"))))
 
     top = lambda windows: F.array_max(F.transform(windows, lambda x: x["score"]))

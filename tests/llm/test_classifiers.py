@@ -1,6 +1,7 @@
 """Quality trees, language models, line rules and licence scans."""
 
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -302,20 +303,25 @@ def test_licences_learn_from_every_ordinary_window(spark):
     assert licenses.scan(notice, scanner).first()["families"] == "mit"
 
 
+def templates(spark):
+    return spark.createDataFrame([(t,) for _, t in licenses.TEMPLATES], "line string")
+
+
 def test_licence_windows_and_weights_against_plain_python(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     known = licenses.notices(spark)
-    place = {h: i for i, h in enumerate(known.lexicon.hashes)}
     words = licenses.words_of(F.col("line"))
-    lines = licenses.paragraphs(docs).select(words.alias("w"), F.transform(words, lambda w: F.xxhash64(w)).alias("h"), licenses.inner_pairs(words).alias("p")).distinct().collect()
+    number = {r["w"]: known.lexicon.words.index(r["h"]) for r in templates(spark).select(F.explode(words).alias("w")).select("w", F.xxhash64("w").alias("h")).collect()}
+    number |= {(a, b): known.lexicon.pairs[number[a], number[b]] for r in templates(spark).select(words.alias("w")).collect() for a, b in pairwise(r["w"])}
     want = {}
-    for r in lines:
-        for at in range(0, max(-(-(len(r["w"]) - 16) // 8), 0) * 8 + 1, 8):
-            whole, pairs = r["h"][at : at + 16], r["p"][at : at + 15]
-            ids = sorted({place[h] for h in (*whole, *pairs) if h in place})
-            hits = {i for i in ids if i >= known.lexicon.words}
-            if len(hits) < 0.2 * max(len(whole) - 1, 1) and all(len(hits & set(t)) < licenses.CONFIRM * len(t) for t in known.pairs if t):
-                want[tuple(r["w"][at : at + 16])] = (tuple(ids), len({*whole, *pairs}) if ids else 0)
+    for (line,) in licenses.paragraphs(docs).select(words).distinct().collect():
+        for at in range(0, max(-(-(len(line) - 16) // 8), 0) * 8 + 1, 8):
+            own = line[at : at + 16]
+            features = {*own, *pairwise(own)}
+            ids = sorted({number[f] for f in features if f in number})
+            hits = {number[f] for f in features if f in number and isinstance(f, tuple)}
+            if len(hits) < 0.2 * max(len(own) - 1, 1) and all(len(hits & set(t)) < licenses.CONFIRM * len(t) for t in known.pairs if t):
+                want[tuple(own)] = (tuple(ids), len(features) if ids else 0)
     got = {}
     groups = licenses.window_groups(docs.union(docs), known)
     for r in groups.collect():
