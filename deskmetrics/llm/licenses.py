@@ -118,32 +118,48 @@ class Lexicon:
         number = _constant([at[k][1] if k in at else -1 for k in range(self.places)], "array<bigint>")
         place = lambda h: F.pmod(h, F.lit(self.places)).cast("int")
         other = lambda h: h.bitwiseOR(F.lit(-(2**63)))
-        return F.transform(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(F.get(known, place(h)) == h, F.get(number, place(h))).otherwise(other(h)))
+        own = lambda h: F.coalesce(F.get(number, place(h)), F.lit(0))
+        return F.transform(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(F.get(known, place(h)) == h, own(h)).otherwise(other(h)))
+
+    @property
+    def bits(self) -> int:
+        return len(self.words).bit_length()
+
+    @property
+    def limit(self) -> int:
+        """Codes of the lexicon's words, and of pairs of two of them, lie from 0 to below this."""
+        return (len(self.words) + 1) << self.bits
 
     def pair_codes_of(self, codes: Column) -> Column:
-        """The number of each pair of neighbouring codes, negative ones for other pairs; the last code stands for its pair with the line's end."""
-        many = len(self.words)
-        number = _constant([self.pairs.get((a, b), -1 - a * many - b) for a in range(many) for b in range(many)], "array<bigint>")
-        other = lambda a, b: F.xxhash64(a, b).bitwiseOR(F.lit(-(2**63)))
-        pair = lambda a, b: F.when(b.isNull(), a).when((a >= 0) & (b >= 0), F.get(number, (a * many + b).cast("int"))).otherwise(other(a, b))
+        """A code for each pair of neighbouring codes, below ``limit`` for two words of the lexicon; the last code stands for its pair with the line's end.
+
+        The first word's code is moved up by ``bits``: what that drops of another word's hash leaves 57 bits and the whole hash of the second."""
+        pair = lambda a, b: F.coalesce(F.shiftleft(a + 1, self.bits).bitwiseXOR(b), a, F.lit(0))
         return F.zip_with(codes, F.slice(codes, 2, F.greatest(F.size(codes), F.lit(1))), pair)
 
+    def numbers_of(self, codes: Column) -> Column:
+        """The numbers behind codes below ``limit``, in the same order; pairs that stand in no template have none."""
+        pairs = {((a + 1) << self.bits) ^ b: i for (a, b), i in self.pairs.items()}
+        number = _constant([c if c < len(self.words) else pairs.get(c, -1) for c in range(self.limit)], "array<int>")
+        return F.filter(F.transform(codes, lambda c: F.get(number, c.cast("int"))), lambda i: i >= 0)
+
 
 def coded(words: Column, lexicon: Lexicon) -> Column:
     """Codes of the words and of the word pairs, one of each a place."""
     return let(lexicon.codes_of(words), lambda one: F.struct(one.alias("one"), lexicon.pair_codes_of(one).alias("two")))
 
 
-def features_of(codes: Column, at: Column, many: int) -> Column:
+def features_of(codes: Column, at: Column, many: int, lexicon: Lexicon) -> Column:
     """(ids, n) of the ``many`` words from place ``at``: numbers of the lexicon, and how many distinct words and pairs there are in all."""
     both = F.concat(F.slice(codes["one"], at, F.lit(many)), F.slice(codes["two"], at, F.lit(many - 1)))
-    return let(F.array_distinct(both), lambda b: F.struct(F.filter(b, lambda c: c >= 0).alias("ids"), F.size(b).alias("n")))
+    known = lambda b: F.filter(b, lambda c: (c >= 0) & (c < lexicon.limit))
+    return let(F.array_distinct(both), lambda b: F.struct(lexicon.numbers_of(known(b)).alias("ids"), F.size(b).alias("n")))
 
 
-def known_features_of(codes: Column, at: Column, many: int) -> Column:
+def known_features_of(codes: Column, at: Column, many: int, lexicon: Lexicon) -> Column:
     """The same; without a word of the lexicon ``n`` makes no difference and is 0."""
-    none = F.struct(F.array().cast("array<bigint>").alias("ids"), F.lit(0).alias("n"))
-    return F.when(F.exists(F.slice(codes["one"], at, F.lit(many)), lambda c: c >= 0), features_of(codes, at, many)).otherwise(none)
+    none = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(0).alias("n"))
+    return F.when(F.exists(F.slice(codes["one"], at, F.lit(many)), lambda c: c >= 0), features_of(codes, at, many, lexicon)).otherwise(none)
 
 
 @dataclass
@@ -165,7 +181,7 @@ def _constant(values: list, kind: str) -> Column:
 
 def _margin(features: Column, weights: list[float], bias: float) -> Column:
     table = _constant([round(w, 5) for w in weights], "array<double>")
-    total = F.aggregate(features["ids"], F.lit(0.0), lambda a, i: a + F.get(table, i.cast("int")))
+    total = F.aggregate(features["ids"], F.lit(0.0), lambda a, i: a + F.get(table, i))
     return F.lit(float(bias)) + total / F.sqrt(F.greatest(features["n"], F.lit(1)))
 
 
@@ -180,7 +196,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 def starts_of(words: Column) -> Column:
     """Places, from 1, where the windows of ``words`` start; the last ones reach the end."""
     last = F.ceil((F.size(words) - WINDOW) / F.lit(STEP)).cast("int")
-    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: i * STEP + 1)
+    return F.sequence(F.lit(1), F.greatest(last, F.lit(0)) * STEP + 1, F.lit(STEP))
 
 
 def template_pairs(spark: SparkSession) -> dict[str, list[list[int]]]:
@@ -234,24 +250,26 @@ def window_groups(docs: DataFrame, known: Notices) -> DataFrame:
 
     A quarter of the windows is not seen by the fit."""
 
-    def windows(words: Column) -> Column:
-        def window(codes: Column, at: Column) -> Column:
-            own = F.slice(codes["one"], at, F.lit(WINDOW))
-            both = F.struct(known_features_of(codes, at, WINDOW).alias("f"), features_of(codes, at, HEAD).alias("head"))
-            ids = lambda f: F.sort_array(f["ids"]).cast("array<int>")
-            parts = lambda x: F.struct(
-                F.xxhash64(own).alias("h"), F.size(own).alias("many"), ids(x["f"]).alias("ids"), x["f"]["n"].alias("n"),
-                ids(x["head"]).alias("head_ids"), x["head"]["n"].alias("head_n"),
-            )
-            return let(both, parts)
-
-        places = F.struct(coded(words, known.lexicon).alias("codes"), starts_of(words).alias("at"))
-        return let(places, lambda p: F.transform(p["at"], lambda at: window(p["codes"], at)))
-
-    every = paragraphs(docs.select("text")).select(F.explode(let(words_of(F.col("line")), windows)).alias("w")).select("w.*").distinct()
-    plain = every.where(is_ordinary(F.col("ids"), F.col("many"), known))
+    lexicon = known.lexicon
+    bounds = F.array(F.lit(-1).cast("bigint"), F.lit(lexicon.limit).cast("bigint"))
+    distinct = lambda *codes: F.sort_array(F.array_distinct(F.concat(*codes, bounds)))
+    at = lambda codes, bound: F.array_position(codes, F.get(bounds, F.lit(bound))).cast("int")
+    between = lambda codes: F.slice(codes, at(codes, 0) + 1, at(codes, 1) - at(codes, 0) - 1).cast("array<int>")
+
+    # A row per window: all that is done for a window are then plain functions of its row, which Spark compiles; those inside transform() it interprets.
+    lines = paragraphs(docs.select("text")).select(lexicon.codes_of(words_of(F.col("line"))).alias("one"))
+    lines = lines.select("one", lexicon.pair_codes_of(F.col("one")).alias("two"))
+    windows = lines.select("one", "two", F.explode(starts_of(F.col("one"))).alias("at"))
+    windows = windows.select(F.slice("one", F.col("at"), F.lit(WINDOW)).alias("one"), F.slice("two", F.col("at"), F.lit(WINDOW - 1)).alias("two"))
+    head = distinct(F.slice("one", 1, HEAD), F.slice("two", 1, HEAD - 1))
+    windows = windows.select(F.xxhash64("one").alias("h"), F.size("one").alias("many"), distinct(F.col("one"), F.col("two")).alias("f"), head.alias("head"))
+    windows = windows.select("h", "many", "f", "head", between(F.col("f")).alias("ids"), between(F.col("head")).alias("head_ids"))
+    n = F.when(F.size("ids") > 0, F.size("f") - 2).otherwise(0)  # without a word of the lexicon it makes no difference
+    every = windows.select("h", "many", "ids", n.alias("n"), "head_ids", (F.size("head") - 2).alias("head_n")).distinct()
+    every = every.withColumn("ids", lexicon.numbers_of(F.col("ids"))).withColumn("head_ids", lexicon.numbers_of(F.col("head_ids")))
     seen = F.pmod(F.xxhash64(F.lit(7), "h"), F.lit(4)) != 0
-    return written(plain.withColumn("seen", seen).groupBy("ids", "n", "head_ids", "head_n", "seen").agg(F.count("*").alias("k")), "ordinary")
+    k = F.count_if(is_ordinary(F.col("ids"), F.col("many"), known))  # counted and not filtered by: as a filter it would move to where windows still repeat
+    return written(every.withColumn("seen", seen).groupBy("ids", "n", "head_ids", "head_n", "seen").agg(k.alias("k")).where("k > 0"), "ordinary")
 
 
 def training_table(groups: DataFrame, known: Notices, share: float) -> DataFrame:
@@ -325,7 +343,7 @@ def scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
     def judge(words: Column) -> Column:
         """Start and score of each window; words and pairs are hashed once for all of them."""
         places = F.struct(coded(words, scanner.lexicon).alias("codes"), starts_of(words).alias("at"))
-        score = lambda p, at: _logistic(let(known_features_of(p["codes"], at, WINDOW), lambda f: _margin(f, scanner.weights, scanner.bias)))
+        score = lambda p, at: _logistic(let(known_features_of(p["codes"], at, WINDOW, scanner.lexicon), lambda f: _margin(f, scanner.weights, scanner.bias)))
         return let(places, lambda p: F.transform(p["at"], lambda at: F.struct(at.alias("at"), score(p, at).alias("score"))))
 
     top = lambda windows: F.array_max(F.transform(windows, lambda x: x["score"]))
@@ -354,7 +372,7 @@ def scan(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
                 ),
             )
 
-        features = let(coded(words, scanner.lexicon), lambda codes: features_of(codes, hit["at"], WINDOW))
+        features = let(coded(words, scanner.lexicon), lambda codes: features_of(codes, hit["at"], WINDOW, scanner.lexicon))
         shares = let(near, lambda pairs: F.array(*[template_share(pairs, scanner.pairs[f]) for f in FAMILIES]))
         return let(F.struct(features.alias("features"), shares.alias("shares")), of)
 
